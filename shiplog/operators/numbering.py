@@ -7,7 +7,8 @@ run may hold a third of all rows, so the plain window does not scale.
 ``number_within`` gives the same numbers with bounded tasks:
 
 1. range-partition on ``(g, k)``: a hot group is cut into several
-   partitions of similar size (Spark samples the keys for the bounds);
+   partitions of similar size (Spark samples the keys for the bounds); the
+   result is checkpointed so that partition ids are fixed;
 2. number the rows per *(range partition, group)* with an ordinary window;
    each such piece is at most one partition large;
 3. count the rows per (partition, group) and, with a window over that small
@@ -27,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shiplog.session import checkpoint_root
+
 _PID = "__range_pid"
 _LRN = "__local_rn"
 _CNT = "__piece_rows"
@@ -57,8 +60,18 @@ def number_within(
     by = list(by)
     n = num_partitions or default_partitions(df)
     order_cols = _cols(order)
-    ranged = df.repartitionByRange(n, *_cols(by), *order_cols).withColumn(
-        _PID, F.spark_partition_id()
+    checkpoint_root(df.sparkSession)
+    # The partition id must mean the same thing for the numbering and for the
+    # offsets. Recomputing the range exchange in two branches could give
+    # different bounds (the bounds come from a sample of an input whose
+    # partitioning AQE may choose differently per branch), so the
+    # range-partitioned rows are written once to the shared checkpoint folder
+    # and both branches read that copy. This also cuts the lineage, so a lost
+    # executor does not re-run the upstream joins.
+    ranged = (
+        df.repartitionByRange(n, *_cols(by), *order_cols)
+        .withColumn(_PID, F.spark_partition_id())
+        .checkpoint(eager=True)
     )
     piece = Window.partitionBy(_PID, *by).orderBy(*order_cols)
     local = ranged.withColumn(_LRN, F.row_number().over(piece))

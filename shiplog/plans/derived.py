@@ -142,13 +142,23 @@ def config_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nm = F.translate(F.lower("n_name"), "0123456789", "abcdefghij")
     tech_by_n = lambda k: F.element_at(F.array(F.lit("oracle-sqlplus"), F.lit("spark-sql"), F.lit("")), (k % 3 + 1).cast("int"))
     per_nation = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    def row(layer, ord_, key, value, keep):
+        return F.struct(
+            F.lit(layer).cast("int").alias("layer"),
+            ord_.cast("int").alias("ord"),
+            key.alias("key"),
+            value.alias("value"),
+            keep.alias("keep"),
+        )
+
+    target = lambda suffix: F.concat(F.lit("dpltgt_"), nm, F.lit(suffix))
     rows = F.array(
-        F.struct(F.lit(0).alias("layer"), (n * 10 + 1).alias("ord"), F.concat(F.lit("dpltgt_"), nm, F.lit("_tech")).alias("key"), tech_by_n(n).alias("value"), F.lit(True).alias("keep")),
-        F.struct(F.lit(0), n * 10 + 2, F.concat(F.lit("dpltgt_"), nm, F.lit("_db")), F.concat(F.lit("db"), n.cast("string")), n % 4 != 3),
-        F.struct(F.lit(0), n * 10 + 3, F.concat(F.lit("dpltgt_"), nm, F.lit("_password")), F.concat(F.lit("pw"), n.cast("string")), n % 2 == 0),
-        F.struct(F.lit(0), n * 10 + 4, F.concat(F.lit("dbgrp_"), nm), F.lit("x"), n % 3 == 0),
-        F.struct(F.lit(1), n, F.concat(F.lit("dpltgt_"), nm, F.lit("_db")), F.concat(F.lit("ovr"), n.cast("string")), n % 2 == 0),
-        F.struct(F.lit(1), n + 100, F.concat(F.lit("dpltgt_"), nm, F.lit("_db")), F.concat(F.lit("last"), n.cast("string")), n % 6 == 0),
+        row(0, n * 10 + 1, target("_tech"), tech_by_n(n), F.lit(True)),
+        row(0, n * 10 + 2, target("_db"), F.concat(F.lit("db"), n.cast("string")), n % 4 != 3),
+        row(0, n * 10 + 3, target("_password"), F.concat(F.lit("pw"), n.cast("string")), n % 2 == 0),
+        row(0, n * 10 + 4, F.concat(F.lit("dbgrp_"), nm), F.lit("x"), n % 3 == 0),
+        row(1, n, target("_db"), F.concat(F.lit("ovr"), n.cast("string")), n % 2 == 0),
+        row(1, n + 100, target("_db"), F.concat(F.lit("last"), n.cast("string")), n % 6 == 0),
     )
     nation_rows = (
         per_nation.select(F.col("r_name").alias("env"), F.explode(rows).alias("r"))

@@ -127,3 +127,171 @@ SELECT event_id, path, folder, file, package_ts, package_comment, script_no,
        target_id, extension, reject_reason
 FROM checked
 """
+
+_NEW_SCRIPTS = r""",
+unknown AS (
+  SELECT i.* FROM inv i
+  WHERE NOT EXISTS (SELECT 1 FROM scripts s
+                    WHERE s.app_id = i.app_id AND s.folder = i.folder AND s.file = i.file)
+),
+fresh AS (
+  SELECT u.* FROM unknown u
+  WHERE NOT EXISTS (SELECT 1 FROM scripts s
+                    WHERE s.is_finished AND s.app_id = u.app_id AND s.folder = u.folder)
+),
+last_id AS (SELECT app_id, max(id_script) AS last_id FROM scripts GROUP BY app_id),
+new_rows AS (
+  SELECT f.app_id,
+         coalesce(l.last_id, 0)
+           + row_number() OVER (PARTITION BY f.app_id ORDER BY f.package_ts, f.script_no, f.path) AS id_script,
+         f.folder, f.file, f.package_ts, f.package_comment, f.script_no, f.target_id,
+         false AS is_finished, true AS is_new
+  FROM fresh f LEFT JOIN last_id l ON l.app_id = f.app_id
+),
+merged AS (
+  SELECT app_id, id_script, folder, file, package_ts, package_comment, script_no, target_id,
+         is_finished, false AS is_new
+  FROM scripts
+  UNION ALL
+  SELECT * FROM new_rows
+)"""
+
+ORACLE["merge_increments"] = f"""
+WITH {_LEDGER}{_NEW_SCRIPTS}
+SELECT * FROM merged
+"""
+
+
+def _pending(scripts_rel: str) -> str:
+    return rf""",
+todo AS (
+  SELECT s.* FROM {scripts_rel} s
+  WHERE NOT EXISTS (SELECT 1 FROM executions e
+                    WHERE e.rc = 0 AND e.app_id = s.app_id AND e.id_script = s.id_script)
+),
+next_run AS (
+  SELECT t.app_id, coalesce(max(r.id_run), 0) + 1 AS id_run
+  FROM (SELECT DISTINCT app_id FROM todo) t LEFT JOIN runs r ON r.app_id = t.app_id
+  GROUP BY t.app_id
+),
+ordered AS (
+  SELECT t.app_id, n.id_run,
+         CAST(row_number() OVER (PARTITION BY t.app_id, n.id_run
+                                 ORDER BY t.package_ts, t.script_no, t.folder || '/' || t.file) AS BIGINT) AS num_order,
+         t.id_script, t.folder, t.file, t.target_id, t.package_ts, t.script_no
+  FROM todo t JOIN next_run n ON n.app_id = t.app_id
+)"""
+
+
+ORACLE["pending_in_order"] = f"""
+WITH {_LEDGER}{_pending("scripts")}
+SELECT * FROM ordered
+"""
+
+ORACLE["run_create"] = f"""
+WITH {_LEDGER}{_pending("scripts")},
+new_execs AS (
+  SELECT app_id, id_run, id_run * 1000000000 + num_order AS id_script_execution,
+         id_script, num_order, target_id
+  FROM ordered
+),
+inc AS (SELECT app_id, folder, min(id_script) AS id_increment FROM scripts GROUP BY app_id, folder)
+SELECT e.app_id, e.id_run, e.id_script_execution, e.num_order, e.id_script, i.id_increment,
+       e.target_id, s.folder AS script_folder, s.file AS script_file, CAST(NULL AS VARCHAR) AS add_info
+FROM new_execs e
+LEFT JOIN scripts s ON s.app_id = e.app_id AND s.id_script = e.id_script
+LEFT JOIN inc i ON i.app_id = s.app_id AND i.folder = s.folder
+"""
+
+ORACLE["run_outcome_halt"] = f"""
+WITH {_LEDGER},
+applied AS (
+  SELECT e.app_id, e.id_run, e.id_script_execution, e.num_order, r.rc
+  FROM executions e
+  LEFT JOIN returns r ON r.app_id = e.app_id AND r.id_script_execution = e.id_script_execution
+),
+halted AS (
+  SELECT *, coalesce(bool_or(rc > 0) OVER (PARTITION BY app_id, id_run ORDER BY num_order
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS halted
+  FROM applied
+)
+SELECT app_id, id_run, id_script_execution, num_order, rc,
+       CASE WHEN halted THEN 'not_reached' WHEN rc IS NULL THEN 'open'
+            WHEN rc = 0 THEN 'ok' ELSE 'failed' END AS status
+FROM halted
+"""
+
+# ---------------------------------------------------------------- B2 config
+_CONFIG = r"""
+nat AS (
+  SELECT r.r_name AS env, n.n_nationkey AS n,
+         translate(lower(n.n_name), '0123456789', 'abcdefghij') AS nm
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+config AS (
+  SELECT env, CAST(0 AS INTEGER) AS layer, CAST(n * 10 + 1 AS INTEGER) AS ord,
+         'dpltgt_' || nm || '_tech' AS key,
+         CASE n % 3 WHEN 0 THEN 'oracle-sqlplus' WHEN 1 THEN 'spark-sql' ELSE '' END AS value
+  FROM nat
+  UNION ALL
+  SELECT env, 0, CAST(n * 10 + 2 AS INTEGER), 'dpltgt_' || nm || '_db', 'db' || CAST(n AS VARCHAR)
+  FROM nat WHERE n % 4 <> 3
+  UNION ALL
+  SELECT env, 0, CAST(n * 10 + 3 AS INTEGER), 'dpltgt_' || nm || '_password', 'pw' || CAST(n AS VARCHAR)
+  FROM nat WHERE n % 2 = 0
+  UNION ALL
+  SELECT env, 0, CAST(n * 10 + 4 AS INTEGER), 'dbgrp_' || nm, 'x' FROM nat WHERE n % 3 = 0
+  UNION ALL
+  SELECT env, 1, CAST(n AS INTEGER), 'dpltgt_' || nm || '_db', 'ovr' || CAST(n AS VARCHAR)
+  FROM nat WHERE n % 2 = 0
+  UNION ALL
+  SELECT env, 1, CAST(n + 100 AS INTEGER), 'dpltgt_' || nm || '_db', 'last' || CAST(n AS VARCHAR)
+  FROM nat WHERE n % 6 = 0
+  UNION ALL
+  SELECT env, 0, CAST(300 + k AS INTEGER), 'dpltgt_t' || CAST(k AS VARCHAR) || '_tech',
+         CASE k % 3 WHEN 0 THEN 'oracle-sqlplus' WHEN 1 THEN 'spark-sql' ELSE '' END
+  FROM (SELECT r_name AS env, unnest(range(6)) AS k FROM region)
+  UNION ALL
+  SELECT r_name, 0, 400, 'cfg_target_no_run', 't1,t3' FROM region
+),
+eff_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY env, key ORDER BY layer DESC, ord DESC) AS pick FROM config
+),
+eff AS (SELECT env, key, value, layer FROM eff_ranked WHERE pick = 1)"""
+
+ORACLE["run_classify"] = f"""
+WITH {_LEDGER}, {_CONFIG},
+settings AS (
+  SELECT env, max(CASE WHEN key = 'cfg_target_no_run' THEN value END) AS no_run FROM eff GROUP BY env
+),
+techs AS (
+  SELECT env, regexp_extract(key, '^dpltgt_(.+)_tech$', 1) AS target_id, trim(value) AS tech
+  FROM eff WHERE regexp_matches(key, '^dpltgt_.+_tech\z')
+),
+x AS (
+  SELECT e.app_id, e.id_run, e.id_script_execution, e.target_id, e.rc, r.env, r.action, s.no_run, t.tech
+  FROM executions e
+  LEFT JOIN runs r ON r.app_id = e.app_id AND r.id_run = e.id_run
+  LEFT JOIN settings s ON s.env = r.env
+  LEFT JOIN techs t ON t.env = r.env AND t.target_id = e.target_id
+),
+y AS (
+  SELECT *, coalesce(list_contains(string_split(no_run, ','), target_id), false)
+            OR coalesce(action = 'sync', false) AS is_fake
+  FROM x
+),
+z AS (
+  SELECT app_id, id_run, id_script_execution, target_id, env, is_fake,
+         CASE WHEN NOT is_fake THEN coalesce(nullif(tech, ''), 'oracle-sqlplus') END AS tech,
+         CASE WHEN is_fake THEN CAST(0 AS BIGINT) ELSE rc END AS rc
+  FROM y
+)
+SELECT *, CASE WHEN rc IS NULL THEN 'open' WHEN rc = 0 THEN 'ok' ELSE 'failed' END AS status FROM z
+"""
+
+ORACLE["sync_mark"] = f"""
+WITH {_LEDGER}{_NEW_SCRIPTS}{_pending("merged")}
+SELECT app_id, id_run, id_run * 1000000000 + num_order AS id_script_execution, num_order, id_script,
+       CAST(0 AS BIGINT) AS rc, true AS is_fake, 'ok' AS status
+FROM ordered
+"""

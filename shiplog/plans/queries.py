@@ -50,3 +50,72 @@ def inventory_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         "extension",
         "reject_reason",
     )
+
+
+# ---------------------------------------------------------------- ledger
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from shiplog.operators import config as cfg_ops  # noqa: E402
+from shiplog.operators import ledger as led  # noqa: E402
+
+
+@register("merge_increments")
+def merge_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after merging the full inventory."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    inv = derived.valid_inventory(read_table(spark, sf_dir, "events"))
+    merged, new_rows = led.merge_increments(lg["scripts"], inv)
+    flagged = new_rows.select("app_id", "id_script", F.lit(True).alias("is_new"))
+    return merged.join(flagged, ["app_id", "id_script"], "left").select(
+        *led.SCRIPT_COLUMNS, F.coalesce("is_new", F.lit(False)).alias("is_new")
+    )
+
+
+@register("pending_in_order")
+def pending_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + W3: pending scripts numbered for each tenant's next run."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    out = led.pending_in_order(lg["scripts"], lg["executions"], lg["runs"])
+    return out.select(
+        "app_id", "id_run", "num_order", "id_script", "folder", "file", "target_id", "package_ts", "script_no"
+    )
+
+
+@register("run_create")
+def run_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 + L3: the new run's execution list (8 columns + tenant and run)."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    run = led.create_run(lg["scripts"], lg["executions"], lg["runs"], "all")
+    return led.execution_list(run["executions"], lg["scripts"])
+
+
+@register("run_outcome_halt")
+def run_outcome_halt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 + W2 + L4: reported codes applied to open executions, then halt."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    open_execs = lg["executions"].withColumn("rc", F.lit(None).cast("bigint"))
+    done = led.halt_status(led.apply_outcomes(open_execs, lg["returns"]))
+    return done.select("app_id", "id_run", "id_script_execution", "num_order", "rc", "status")
+
+
+@register("run_classify")
+def run_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + P19 + P20 + L5: real / fake split and technology per execution."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    eff = cfg_ops.effective_config(derived.config_from_nations(spark, sf_dir))
+    out = led.classify(lg["executions"], lg["runs"], eff)
+    return out.select(
+        "app_id", "id_run", "id_script_execution", "target_id", "env", "is_fake", "tech", "rc", "status"
+    )
+
+
+@register("sync_mark")
+def sync_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sync run over the merged inventory, every execution a successful fake."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    inv = derived.valid_inventory(read_table(spark, sf_dir, "events"))
+    out = led.sync(lg["scripts"], lg["executions"], lg["runs"], inv)
+    return out["executions"].select(
+        "app_id", "id_run", "id_script_execution", "num_order", "id_script", "rc", "is_fake", "status"
+    )
