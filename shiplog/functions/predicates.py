@@ -52,7 +52,8 @@ def is_secret(key: Column | str) -> Column:
 
 def shown_value(key: Column | str, value: Column | str) -> Column:
     """The value as it may be displayed; secrets are masked."""
-    return F.when(is_secret(key), F.lit(MASK)).otherwise(_c(value))
+    v = _c(value)
+    return F.when(is_secret(key) & v.isNotNull(), F.lit(MASK)).otherwise(v)
 
 
 def lnnvl(condition: Column) -> Column:

@@ -295,3 +295,116 @@ SELECT app_id, id_run, id_run * 1000000000 + num_order AS id_script_execution, n
        CAST(0 AS BIGINT) AS rc, true AS is_fake, 'ok' AS status
 FROM ordered
 """
+
+ORACLE["app_id_check"] = r"""
+WITH c AS (
+  SELECT c_custkey,
+         CASE WHEN c_custkey % 2 = 0 THEN replace(c_name, '#', '_') ELSE c_name END AS app_id
+  FROM customer
+)
+SELECT c_custkey, app_id,
+       coalesce(regexp_matches(app_id, '^[A-Za-z][A-Za-z0-9_-]*\z'), false) AS is_valid
+FROM c
+"""
+
+ORACLE["override_parse"] = f"""
+WITH {_CONFIG},
+lines AS (
+  SELECT env, ord, key || '=' || value AS text FROM config WHERE layer = 1
+  UNION ALL
+  SELECT r.r_name, CAST(n.n_nationkey + 1000 AS INTEGER), 'dpltgt_' || n.n_name || '_db=x'
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+v AS (
+  SELECT *, coalesce(regexp_matches(text, '^(cfg|dpltgt|dbgrp)_[a-zA-Z_]+=[^=\\s]*\\z'), false) AS is_valid
+  FROM lines
+)
+SELECT env, ord, text, is_valid,
+       CASE WHEN is_valid THEN regexp_extract(text, '^([^=]*)=', 1) END AS key,
+       CASE WHEN is_valid THEN regexp_replace(text, '^[^=]*=', '') END AS value
+FROM v
+"""
+
+ORACLE["config_effective"] = f"""
+WITH {_CONFIG},
+base_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY env, key ORDER BY ord DESC) AS pick
+  FROM config WHERE layer = 0
+),
+base AS (SELECT env, key, value AS base_value FROM base_ranked WHERE pick = 1),
+counts AS (SELECT env, CAST(count(*) FILTER (WHERE layer > 0) AS BIGINT) AS n_overrides FROM config GROUP BY env),
+j AS (
+  SELECT e.env, e.key, e.value, b.base_value, e.layer > 0 AS overridden,
+         coalesce(regexp_matches(e.key, 'passw(or)?d\\z'), false) AS is_secret, c.n_overrides
+  FROM eff e
+  LEFT JOIN base b ON b.env = e.env AND b.key = e.key
+  LEFT JOIN counts c ON c.env = e.env
+)
+SELECT env, key,
+       CASE WHEN is_secret AND value IS NOT NULL THEN '*****' ELSE value END AS value,
+       CASE WHEN is_secret AND base_value IS NOT NULL THEN '*****' ELSE base_value END AS base_value,
+       overridden, is_secret, n_overrides
+FROM j
+"""
+
+ORACLE["techs_in_use"] = f"""
+WITH {_CONFIG},
+t AS (
+  SELECT env, coalesce(nullif(trim(value), ''), 'oracle-sqlplus') AS tech
+  FROM eff WHERE regexp_matches(key, '(?i)^dpltgt_.*_tech\\z')
+  UNION
+  SELECT env, coalesce(nullif(max(CASE WHEN key = 'deploy_repo_tech' THEN trim(value) END), ''),
+                       'oracle-sqlplus')
+  FROM eff GROUP BY env
+)
+SELECT env, tech, CAST(row_number() OVER (PARTITION BY env ORDER BY tech) AS BIGINT) AS tech_no FROM t
+"""
+
+ORACLE["target_list"] = f"""
+WITH {_CONFIG},
+names AS (
+  SELECT env,
+         CASE WHEN starts_with(key, 'dpltgt_') THEN regexp_extract(key, '^dpltgt_(.*)_(db|user|password)$', 1)
+              WHEN starts_with(key, 'dbgrp_') THEN regexp_extract(key, '^dbgrp_(.*)$', 1) END AS target,
+         CASE WHEN starts_with(key, 'dpltgt_') THEN 'atomic'
+              WHEN starts_with(key, 'dbgrp_') THEN 'composite' END AS kind
+  FROM eff
+),
+k AS (
+  SELECT env, target, bool_or(kind = 'atomic') AS a FROM names
+  WHERE target IS NOT NULL AND target <> '' GROUP BY env, target
+)
+SELECT env, target, CASE WHEN a THEN 'atomic' ELSE 'composite' END AS kind,
+       '    * ' || target || CASE WHEN a THEN '' ELSE ' (composite)' END AS label,
+       CAST(row_number() OVER (PARTITION BY env ORDER BY target) AS BIGINT) AS target_no
+FROM k
+"""
+
+ORACLE["natural_order"] = r"""
+WITH p AS (
+  SELECT p_partkey, p_brand,
+         coalesce(CASE WHEN regexp_extract(p_brand, '#(\d+(?:\.\d+)?)', 1) <> ''
+                       THEN TRY_CAST(regexp_extract(p_brand, '#(\d+(?:\.\d+)?)', 1) AS DECIMAL(38,9)) END,
+                  CAST(0 AS DECIMAL(38,9))) AS brand_no
+  FROM part
+)
+SELECT p_partkey, p_brand, brand_no,
+       CAST(row_number() OVER (ORDER BY brand_no, p_brand, p_partkey) AS BIGINT) AS ord
+FROM p
+"""
+
+ORACLE["precedence_union"] = r"""
+WITH u AS (
+  SELECT 0 AS layer, n_name AS name FROM nation
+  UNION ALL
+  SELECT 1 AS layer, s_name AS name FROM supplier
+),
+k AS (
+  SELECT layer, name,
+         coalesce(CASE WHEN regexp_extract(name, '(\d+)', 1) <> ''
+                       THEN TRY_CAST(regexp_extract(name, '(\d+)', 1) AS DECIMAL(38,9)) END,
+                  CAST(0 AS DECIMAL(38,9))) AS num_key
+  FROM u
+)
+SELECT layer, name, CAST(row_number() OVER (ORDER BY layer, num_key, name) AS BIGINT) AS ord FROM k
+"""

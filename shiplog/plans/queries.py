@@ -119,3 +119,68 @@ def sync_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out["executions"].select(
         "app_id", "id_run", "id_script_execution", "num_order", "id_script", "rc", "is_fake", "status"
     )
+
+
+# ---------------------------------------------------------------- config
+
+from shiplog.functions.predicates import valid_app_id  # noqa: E402
+from shiplog.operators import ordering as ord_ops  # noqa: E402
+
+
+@register("app_id_check")
+def app_id_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenant ids made from customer names (even keys made valid)."""
+    c = read_table(spark, sf_dir, "customer")
+    app_id = F.when(F.col("c_custkey") % 2 == 0, F.replace("c_name", F.lit("#"), F.lit("_"))).otherwise(
+        F.col("c_name")
+    )
+    return c.select("c_custkey", app_id.alias("app_id")).withColumn("is_valid", valid_app_id("app_id"))
+
+
+@register("override_parse")
+def override_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 + P8 over override texts."""
+    return cfg_ops.parse_overrides(derived.override_lines(spark, sf_dir)).select(
+        "env", "ord", "text", "is_valid", "key", "value"
+    )
+
+
+@register("config_effective")
+def config_effective(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 + A4 + P9 + A5: effective settings with the change report."""
+    return cfg_ops.change_report(derived.config_from_nations(spark, sf_dir))
+
+
+@register("techs_in_use")
+def techs_in_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P21 + A2 + U2 + O5."""
+    eff = cfg_ops.effective_config(derived.config_from_nations(spark, sf_dir))
+    return cfg_ops.techs_in_use(eff).select("env", "tech", "tech_no")
+
+
+@register("target_list")
+def target_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P22 + A3 + O6."""
+    eff = cfg_ops.effective_config(derived.config_from_nations(spark, sf_dir))
+    return cfg_ops.target_list(eff).select("env", "target", "kind", "label", "target_no")
+
+
+# ---------------------------------------------------------------- ordering
+
+
+@register("natural_order")
+def natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + O2: parts in the order of the number inside their brand."""
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    keyed = part.withColumn("brand_no", ord_ops.number_key("p_brand", r"#(\d+(?:\.\d+)?)"))
+    return ord_ops.order_by_number(
+        keyed, "p_brand", r"#(\d+(?:\.\d+)?)", "ord", tie_breakers=("p_partkey",)
+    ).select("p_partkey", "p_brand", "brand_no", "ord")
+
+
+@register("precedence_union")
+def precedence_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation names (global list) before supplier names (local list)."""
+    g = read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"))
+    loc = read_table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"))
+    return ord_ops.union_with_precedence(g, loc, "name", r"(\d+)").select("layer", "name", "ord")
