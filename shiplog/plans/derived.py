@@ -197,3 +197,45 @@ def override_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("dpltgt_"), F.col("n_name"), F.lit("_db=x")).alias("text"),
     )
     return good.unionByName(bad)
+
+
+# ---------------------------------------------------------------- B5 catalog
+
+
+def catalog_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog of the 14 test tables (from their parquet schemas)
+    with the fixture's type, owner, length and flag rules applied."""
+    from shiplog.session import TABLES
+    from shiplog.sources.catalog import column_catalog
+
+    cat = column_catalog(spark, {t: read_table(spark, sf_dir, t) for t in TABLES})
+    nm = F.lower("column_name")
+    cid = F.col("column_id")
+    data_type = (
+        F.when(nm == "html", F.lit("XMLTYPE"))
+        .when(nm == "props", F.lit("CLOB"))
+        .when(nm == "embedding", F.lit("BLOB"))
+        .when(nm == "label", F.lit(None).cast("string"))
+        .when(nm == "lang", F.lit("CHAR"))
+        .when(nm == "role", F.lit("NCHAR"))
+        .when(nm == "text", F.lit("NVARCHAR2"))
+        .when(nm == "l_shipdate", F.lit("DATE"))
+        .when(nm == "o_orderdate", F.lit("TIMESTAMP(6) WITH TIME ZONE"))
+        .when(nm == "ts", F.lit("TIMESTAMP(6)"))
+        .when(F.col("spark_type") == "string", F.lit("VARCHAR2"))
+        .otherwise(F.lit("NUMBER"))
+    )
+    return cat.select(
+        "table_name",
+        "column_name",
+        "column_id",
+        data_type.alias("data_type"),
+        F.when(nm == "html", F.lit("SYS")).alias("data_type_owner"),
+        (cid * 10).cast("int").alias("data_length"),
+        F.when(nm == "html", F.lit("YES"))
+        .when(nm == "l_tax", F.lit("YES"))
+        .when(cid % 2 == 1, F.lit("NO"))
+        .alias("virtual_column"),
+        F.when(nm == "n_chars", F.lit("YES")).when(cid % 2 == 0, F.lit("NO")).alias("hidden_column"),
+        "spark_type",
+    )

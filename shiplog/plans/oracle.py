@@ -408,3 +408,136 @@ k AS (
 )
 SELECT layer, name, CAST(row_number() OVER (ORDER BY layer, num_key, name) AS BIGINT) AS ord FROM k
 """
+
+# ---------------------------------------------------------------- B5 catalog
+_CATALOG = r"""
+cols AS (
+  SELECT DISTINCT upper(table_name) AS table_name, upper(column_name) AS column_name,
+         CAST(ordinal_position AS INTEGER) AS column_id, lower(column_name) AS nm, data_type AS duck_type
+  FROM information_schema.columns
+  WHERE lower(table_name) IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem',
+                              'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels',
+                              'conversations')
+),
+catalog AS (
+  SELECT table_name, column_name, column_id,
+         CASE WHEN nm = 'html' THEN 'XMLTYPE'
+              WHEN nm = 'props' THEN 'CLOB'
+              WHEN nm = 'embedding' THEN 'BLOB'
+              WHEN nm = 'label' THEN NULL
+              WHEN nm = 'lang' THEN 'CHAR'
+              WHEN nm = 'role' THEN 'NCHAR'
+              WHEN nm = 'text' THEN 'NVARCHAR2'
+              WHEN nm = 'l_shipdate' THEN 'DATE'
+              WHEN nm = 'o_orderdate' THEN 'TIMESTAMP(6) WITH TIME ZONE'
+              WHEN nm = 'ts' THEN 'TIMESTAMP(6)'
+              WHEN duck_type = 'VARCHAR' THEN 'VARCHAR2'
+              ELSE 'NUMBER' END AS data_type,
+         CASE WHEN nm = 'html' THEN 'SYS' END AS data_type_owner,
+         CAST(column_id * 10 AS INTEGER) AS data_length,
+         CASE WHEN nm = 'html' THEN 'YES' WHEN nm = 'l_tax' THEN 'YES' WHEN column_id % 2 = 1 THEN 'NO' END
+           AS virtual_column,
+         CASE WHEN nm = 'n_chars' THEN 'YES' WHEN column_id % 2 = 0 THEN 'NO' END AS hidden_column
+  FROM cols
+),
+visible AS (
+  SELECT * FROM catalog
+  WHERE (virtual_column IS DISTINCT FROM 'YES'
+         OR (data_type_owner = 'SYS' AND data_type = 'XMLTYPE'))
+    AND hidden_column IS DISTINCT FROM 'YES'
+    AND data_type NOT IN ('BLOB', 'BFILE', 'CLOB', 'NCLOB')
+)"""
+
+ORACLE["visible_columns"] = f"""
+WITH {_CATALOG}
+SELECT table_name, column_name, column_id, data_type FROM visible
+"""
+
+ORACLE["column_list"] = f"""
+WITH {_CATALOG}
+SELECT table_name,
+       string_agg('''@..''||' || lower(column_name) || '||''..@''', '||chr(9)||' ORDER BY column_id)
+         AS column_list,
+       count(*) AS n_columns
+FROM visible GROUP BY table_name
+"""
+
+ORACLE["loader_spec"] = f"""
+WITH {_CATALOG},
+lines AS (
+  SELECT table_name, column_id,
+         '    ' || lower(column_name)
+         || coalesce(CASE WHEN data_type IN ('CHAR', 'VARCHAR2', 'NVARCHAR2', 'NCHAR')
+                          THEN '    char(' || CAST(CASE WHEN data_type IN ('NCHAR', 'NVARCHAR2')
+                                                       THEN 2 * data_length ELSE data_length END AS VARCHAR) || ')'
+                          WHEN data_type = 'DATE' THEN '    char(64)'
+                          WHEN data_type = 'TIMESTAMP' THEN '    char(64)'
+                          WHEN data_type LIKE 'TIMESTAMP(%) WITH TIME ZONE' THEN '    char(64)'
+                          WHEN data_type = 'XMLTYPE' THEN '    char(4000)' END, '')
+         || CASE WHEN row_number() OVER (PARTITION BY table_name ORDER BY column_id DESC) = 1 THEN '' ELSE ',' END
+           AS line
+  FROM visible
+),
+tables AS (SELECT table_name, count(*) AS n FROM lines GROUP BY table_name),
+head(pos, tpl) AS (VALUES
+  (0, 'OPTIONS (SKIP=0, DIRECT=FALSE)'), (1, 'LOAD DATA'), (2, 'CHARACTERSET UTF8'),
+  (3, 'INFILE * "STR ''<eor>\\n''"'), (4, 'BADFILE ''{{T}}.bad'''), (5, 'DISCARDFILE ''{{T}}.discard'''),
+  (6, 'REPLACE'), (7, 'INTO TABLE {{T}}'), (8, 'FIELDS TERMINATED BY X''09'''),
+  (9, 'OPTIONALLY ENCLOSED BY ''@..'' AND ''..@'''), (10, 'TRAILING NULLCOLS'), (11, '(')
+),
+foot(pos, tpl) AS (VALUES (0, ')'), (1, 'BEGINDATA'))
+SELECT t.table_name, CAST(1 + h.pos AS BIGINT) AS line_no, replace(h.tpl, '{{T}}', t.table_name) AS line
+FROM tables t, head h
+UNION ALL
+SELECT table_name, CAST(12 + row_number() OVER (PARTITION BY table_name ORDER BY column_id) AS BIGINT), line
+FROM lines
+UNION ALL
+SELECT t.table_name, CAST(13 + t.n + f.pos AS BIGINT), f.tpl FROM tables t, foot f
+"""
+
+
+def _enc(expr: str) -> str:
+    return f"'@..' || coalesce({expr}, '') || '..@'"
+
+
+_TS9 = "strftime({c}, '%Y-%m-%d %H:%M:%S.%n')"
+_ORDERS_LINE = " || chr(9) || ".join(
+    [
+        _enc("CAST(o_orderkey AS VARCHAR)"),
+        _enc("CAST(o_custkey AS VARCHAR)"),
+        _enc("o_orderstatus"),
+        _enc("CAST(o_totalprice AS VARCHAR)"),
+        _enc(_TS9.format(c="o_orderdate") + " || ' +00/00'"),
+        _enc("o_orderpriority"),
+    ]
+)
+_LINEITEM_LINE = " || chr(9) || ".join(
+    [
+        _enc("CAST(l_orderkey AS VARCHAR)"),
+        _enc("CAST(l_partkey AS VARCHAR)"),
+        _enc("CAST(l_suppkey AS VARCHAR)"),
+        _enc("CAST(l_linenumber AS VARCHAR)"),
+        _enc("CAST(l_quantity AS VARCHAR)"),
+        _enc("CAST(l_extendedprice AS VARCHAR)"),
+        _enc("CAST(l_discount AS VARCHAR)"),
+        _enc("l_returnflag"),
+        _enc("l_linestatus"),
+        _enc("strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')"),
+    ]
+)
+
+ORACLE["enclosed_export"] = f"""
+WITH o AS (SELECT o_orderkey, {_ORDERS_LINE} || chr(9) || '<eor>' AS line FROM orders),
+l AS (SELECT l_orderkey, l_linenumber, {_LINEITEM_LINE} || chr(9) || '<eor>' AS line FROM lineitem)
+SELECT 'ORDERS' AS table_name, CAST(row_number() OVER (ORDER BY o_orderkey, line) AS BIGINT) AS seq, line
+FROM o
+UNION ALL
+SELECT 'LINEITEM', CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, line) AS BIGINT), line
+FROM l
+"""
+
+ORACLE["enclosed_roundtrip"] = """
+SELECT d.doc_id, nullif(d.text, '') AS text, nullif(d.lang, '') AS lang, nullif(d.source, '') AS source,
+       l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+"""

@@ -184,3 +184,71 @@ def precedence_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"))
     loc = read_table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"))
     return ord_ops.union_with_precedence(g, loc, "name", r"(\d+)").select("layer", "name", "ord")
+
+
+# ---------------------------------------------------------------- catalog / export
+
+from shiplog.operators import catalog as cat_ops  # noqa: E402
+from shiplog.operators.numbering import number_within  # noqa: E402
+from shiplog.session import scratch_path  # noqa: E402
+from shiplog.sources import enclosed  # noqa: E402
+
+
+@register("visible_columns")
+def visible_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + P10 + P11 (+ O3 via column_id)."""
+    cat = derived.catalog_fixture(spark, sf_dir)
+    return cat_ops.visible_columns(cat).select("table_name", "column_name", "column_id", "data_type")
+
+
+@register("column_list")
+def column_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: ordered projection text per table."""
+    return cat_ops.column_list(derived.catalog_fixture(spark, sf_dir))
+
+
+@register("loader_spec")
+def loader_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P16 + P17 + P18 + W1: control files for every table."""
+    return cat_ops.loader_spec(derived.catalog_fixture(spark, sf_dir))
+
+
+EXPORTS = {"ORDERS": ("orders", ["o_orderkey"]), "LINEITEM": ("lineitem", ["l_orderkey", "l_linenumber"])}
+
+
+@register("enclosed_export")
+def enclosed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 + P14 + O4: export records of orders and lineitem with their
+    position in the requested order."""
+    cat = derived.catalog_fixture(spark, sf_dir)
+    out = None
+    for table, (name, order) in EXPORTS.items():
+        df = read_table(spark, sf_dir, name)
+        lines = df.select(*order, enclosed.record_line(df, cat, table).alias("line"))
+        # the record itself breaks ties: rows equal in every exported column
+        # are indistinguishable, so the numbering is deterministic
+        numbered = number_within(lines, [], [*order, "line"], "seq").select(
+            F.lit(table).alias("table_name"), "seq", "line"
+        )
+        out = numbered if out is None else out.unionByName(numbered)
+    return out
+
+
+@register("enclosed_roundtrip")
+def enclosed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + S6 + P15: documents and labels written in the enclosed format,
+    loaded back with their types, and joined."""
+    from pyspark.sql import types as T
+
+    cat = derived.catalog_fixture(spark, sf_dir)
+    loaded = {}
+    for table, name, order in (("DOCUMENTS", "documents", ["doc_id"]), ("LABELS", "labels", ["doc_id"])):
+        df = read_table(spark, sf_dir, name)
+        cols = enclosed.export_columns(df, cat, table)
+        path = scratch_path(spark, "export", name)
+        enclosed.export_enclosed(df, order, path, table, cat)
+        schema = T.StructType([df.schema[c] for c, _ in cols])
+        good, _, _ = enclosed.load_enclosed(spark, path, schema)
+        loaded[name] = good
+    d, lab = loaded["documents"], loaded["labels"]
+    return d.join(lab, "doc_id", "left").select("doc_id", "text", "lang", "source", "quality", "toxic")
