@@ -541,3 +541,14 @@ SELECT d.doc_id, nullif(d.text, '') AS text, nullif(d.lang, '') AS lang, nullif(
        l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 """
+
+ORACLE["execution_list_read"] = f"""
+WITH {_LEDGER},
+inc AS (SELECT app_id, folder, min(id_script) AS id_increment FROM scripts GROUP BY app_id, folder)
+SELECT e.id_script_execution, e.num_order, e.id_script, i.id_increment, e.target_id,
+       s.folder AS script_folder, s.file AS script_file,
+       CASE e.num_order % 3 WHEN 0 THEN NULL WHEN 1 THEN 'x' ELSE 'a|b' END AS add_info
+FROM executions e
+LEFT JOIN scripts s ON s.app_id = e.app_id AND s.id_script = e.id_script
+LEFT JOIN inc i ON i.app_id = s.app_id AND i.folder = s.folder
+"""

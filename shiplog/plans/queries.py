@@ -252,3 +252,33 @@ def enclosed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         loaded[name] = good
     d, lab = loaded["documents"], loaded["labels"]
     return d.join(lab, "doc_id", "left").select("doc_id", "text", "lang", "source", "quality", "toxic")
+
+
+# ---------------------------------------------------------------- execution list file
+
+from shiplog.sources import execution_list as xl  # noqa: E402
+
+
+@register("execution_list_read")
+def execution_list_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the ledger's execution list written as pipe-delimited text (with
+    CR line ends, separator lines and pipes inside the last field) and read
+    back."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    listing = led.execution_list(lg["executions"], lg["scripts"])
+    n = F.col("num_order")
+    listing = listing.withColumn(
+        "add_info", F.when(n % 3 == 0, F.lit("")).when(n % 3 == 1, F.lit("x|")).otherwise(F.lit("a|b"))
+    )
+    rows = xl.render_execution_list(listing).withColumn(
+        "value",
+        F.when(F.col("value").rlike(r"^\d+\|\d*[048]\|"), F.concat("value", F.lit("\r"))).otherwise(
+            F.col("value")
+        ),
+    )
+    separators = listing.select("id_run").distinct().select(
+        F.concat(F.lit("|run "), F.col("id_run").cast("string")).alias("value")
+    )
+    path = scratch_path(spark, "execution_list")
+    rows.unionByName(separators).write.mode("overwrite").text(path)
+    return xl.read_execution_list(spark, path)
