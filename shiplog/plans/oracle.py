@@ -266,7 +266,7 @@ settings AS (
 ),
 techs AS (
   SELECT env, regexp_extract(key, '^dpltgt_(.+)_tech$', 1) AS target_id, trim(value) AS tech
-  FROM eff WHERE regexp_matches(key, '^dpltgt_.+_tech\z')
+  FROM eff WHERE regexp_matches(key, '^dpltgt_.+_tech\\z')
 ),
 x AS (
   SELECT e.app_id, e.id_run, e.id_script_execution, e.target_id, e.rc, r.env, r.action, s.no_run, t.tech

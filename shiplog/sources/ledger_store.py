@@ -24,6 +24,17 @@ from pyspark.sql import functions as F
 LEDGER_TABLES = ("scripts", "runs", "executions")
 MARKER = "_COMMITTED"
 
+SCRIPTS_DDL = (
+    "app_id string, id_script bigint, folder string, file string, package_ts timestamp_ntz, "
+    "package_comment string, script_no bigint, target_id string, is_finished boolean"
+)
+RUNS_DDL = "app_id string, id_run bigint, action string, run_ts timestamp_ntz, env string"
+EXECUTIONS_DDL = (
+    "app_id string, id_run bigint, id_script_execution bigint, id_script bigint, "
+    "num_order bigint, target_id string, rc bigint"
+)
+DDL = {"scripts": SCRIPTS_DDL, "runs": RUNS_DDL, "executions": EXECUTIONS_DDL}
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -57,7 +68,8 @@ def read_ledger(spark: SparkSession, root: str, app_id: str | None = None) -> di
         raise FileNotFoundError(f"no complete ledger version below {root}")
     out = {}
     for t in LEDGER_TABLES:
-        df = spark.read.parquet(f"{root}/v={v}/{t}")
+        # explicit schemas: a table with no rows has no files to infer from
+        df = spark.read.schema(DDL[t]).parquet(f"{root}/v={v}/{t}")
         out[t] = df.where(F.col("app_id") == app_id) if app_id is not None else df
     return out
 
@@ -73,17 +85,6 @@ def write_ledger(spark: SparkSession, root: str, tables: Mapping[str, DataFrame]
     return v
 
 
-SCRIPTS_DDL = (
-    "app_id string, id_script bigint, folder string, file string, package_ts timestamp_ntz, "
-    "package_comment string, script_no bigint, target_id string, is_finished boolean"
-)
-RUNS_DDL = "app_id string, id_run bigint, action string, run_ts timestamp_ntz, env string"
-EXECUTIONS_DDL = (
-    "app_id string, id_run bigint, id_script_execution bigint, id_script bigint, "
-    "num_order bigint, target_id string, rc bigint"
-)
-
-
 def empty_ledger(spark: SparkSession) -> dict[str, DataFrame]:
     """A ledger with no rows (first deployment)."""
     return {
