@@ -39,6 +39,20 @@ def depth(path: Column | str) -> Column:
     return F.size(F.split(_c(path), "/"))
 
 
+# The exclusion rules of the listing, one per line. They are
+# joined into one pattern over the normalised path, so a row is tested with a
+# single regular-expression pass. ``[^/]`` keeps a rule inside the base name.
+NOISE_RULES = [
+    r"^\.[^/]*/",  # first component starts with a dot
+    r"\.~[^/]{3}$",  # name ends with .~ and 3 characters
+    r"\.[^/]{3}~$",  # name ends with . and 3 characters and ~
+    r";deploy_repo\.[^/]*$",  # script of the repository target itself
+    r"\.tmp$",  # temporary file
+    r"\.log$",  # log file
+]
+NOISE_PATTERN = "(?s)" + "|".join(f"(?:{r})" for r in NOISE_RULES)
+
+
 def is_noise(path: Column | str) -> Column:
     """P1 on a normalised path: true for entries the inventory leaves out.
 
@@ -46,15 +60,7 @@ def is_noise(path: Column | str) -> Column:
     looks at the first component; names starting with ``_`` or ``.`` deeper in
     the tree are kept.
     """
-    p = _c(path)
-    name = base_name(p)
-    # The exclusion rules of the listing, one per line.
-    hidden_top = p.rlike(r"^\.[^/]*/")  # first component starts with a dot
-    tilde_backup = name.rlike(r"\.~.{3}$")  # name ends with .~ and 3 characters
-    backup_tilde = name.rlike(r"\..{3}~$")  # name ends with . and 3 characters and ~
-    repository_target = name.contains(";deploy_repo.")
-    temp_or_log = name.endswith(".tmp") | name.endswith(".log")
-    return hidden_top | tilde_backup | backup_tilde | repository_target | temp_or_log
+    return _c(path).rlike(NOISE_PATTERN)
 
 
 def package_stamp(folder_name: Column | str) -> Column:

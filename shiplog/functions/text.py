@@ -82,20 +82,28 @@ def ambiguous(text: Column) -> Column:
     )
 
 
+def enclosed_parts(record: Column) -> Column:
+    """All fields of a record body as an array (enclosures still on)."""
+    return F.regexp_extract_all(record, F.lit(FIELD_PATTERN), 0)
+
+
+def field_at(parts: Column, i: int) -> Column:
+    """Field ``i`` (0-based) of ``enclosed_parts``: enclosure removed, empty
+    and missing fields null."""
+    raw = F.try_element_at(parts, F.lit(i + 1))
+    n = F.length(raw)
+    enclosed = raw.startswith(OPEN) & raw.endswith(CLOSE) & (n >= len(OPEN) + len(CLOSE))
+    inner = F.when(enclosed, F.substring(raw, len(OPEN) + 1, n - len(OPEN) - len(CLOSE))).otherwise(raw)
+    return F.nullif(inner, F.lit(""))
+
+
 def split_enclosed(record: Column, n_fields: int) -> list[Column]:
     """The first ``n_fields`` fields of a record body.
 
     Enclosures are optional; tabs and newlines inside an enclosure are kept;
     text after the last expected field is ignored; missing fields and empty
-    fields are null.
+    fields are null. (For many fields, project ``enclosed_parts`` once and
+    use ``field_at`` on it, so the pattern runs once per record.)
     """
-    parts = F.regexp_extract_all(record, F.lit(FIELD_PATTERN), 0)
-    out = []
-    for i in range(n_fields):
-        raw = F.try_element_at(parts, F.lit(i + 1))
-        inner = F.when(
-            raw.rlike(r"(?s)^@\.\..*\.\.@\z"),
-            F.regexp_extract(raw, r"(?s)^@\.\.(.*)\.\.@\z", 1),
-        ).otherwise(raw)
-        out.append(F.nullif(inner, F.lit("")))
-    return out
+    parts = enclosed_parts(record)
+    return [field_at(parts, i) for i in range(n_fields)]

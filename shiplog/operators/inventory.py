@@ -39,6 +39,8 @@ def exclude_noise(inventory: DataFrame, path_col: str = "path") -> DataFrame:
 
 def min_depth(inventory: DataFrame, levels: int = 2, path_col: str = "path") -> DataFrame:
     """Keep files with at least ``levels - 1`` folders above them."""
+    if levels == 2:
+        return inventory.where(F.col(path_col).contains("/"))
     return inventory.where(depth(path_col) >= levels)
 
 

@@ -12,9 +12,12 @@ Ledger tables (every key starts with the tenant ``app_id``):
 Scale notes: tenant and run keys are few and hot (one run may hold a third of
 all rows), so nothing here partitions a window by them. Ordering uses the
 skew-safe ``number_within``; per-run facts (first failure, next run id) are
-hash aggregates with map-side combine, joined back through a size-checked
-broadcast. Script-level joins are on unique keys (no skew) and are left to
-sort-merge / AQE.
+hash aggregates with map-side combine. Joining them back is left to adaptive
+execution: once the aggregate's shuffle stage has run, its measured size
+decides between a broadcast join (below the broadcast threshold) and a
+sort-merge join whose hot partitions are split (skew join). That is a
+run-time size check that needs no second pass over the input. Script-level
+joins are on unique keys (no skew).
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplog.functions.predicates import DEFAULT_TECH, default_if_blank, in_csv_list
-from shiplog.operators.numbering import broadcast_if_small, number_within
+from shiplog.operators.numbering import number_within
 
 RUN_ID_SCALE = 1_000_000_000  # id_script_execution = id_run * scale + num_order
 
@@ -73,7 +76,7 @@ def merge_increments(scripts: DataFrame, inventory: DataFrame) -> tuple[DataFram
     fresh = unknown.join(finished, ["app_id", "folder"], "left_anti")
     numbered = number_within(fresh.withColumn("path", script_path()), ["app_id"], EXECUTION_ORDER, "_new_no")
     last_id = scripts.groupBy("app_id").agg(F.max("id_script").alias("_last_id"))
-    new_rows = numbered.join(broadcast_if_small(last_id), "app_id", "left").select(
+    new_rows = numbered.join(last_id, "app_id", "left").select(
         "app_id",
         (F.coalesce(F.col("_last_id"), F.lit(0)) + F.col("_new_no")).alias("id_script"),
         "folder",
@@ -102,15 +105,9 @@ def pending(scripts: DataFrame, executions: DataFrame) -> DataFrame:
     return scripts.join(done, ["app_id", "id_script"], "left_anti")
 
 
-def next_run_ids(runs: DataFrame, tenants: DataFrame) -> DataFrame:
-    """``(app_id, id_run)`` of the run to create: highest id + 1, else 1."""
-    last = runs.groupBy("app_id").agg(F.max("id_run").alias("_last_run"))
-    return (
-        tenants.select("app_id")
-        .distinct()
-        .join(last, "app_id", "left")
-        .select("app_id", (F.coalesce(F.col("_last_run"), F.lit(0)) + 1).cast("bigint").alias("id_run"))
-    )
+def last_run_ids(runs: DataFrame) -> DataFrame:
+    """``(app_id, _last_run)``: the highest run id per tenant."""
+    return runs.groupBy("app_id").agg(F.max("id_run").alias("_last_run"))
 
 
 def pending_in_order(scripts: DataFrame, executions: DataFrame, runs: DataFrame) -> DataFrame:
@@ -119,8 +116,9 @@ def pending_in_order(scripts: DataFrame, executions: DataFrame, runs: DataFrame)
     Order: package time, script number, then path (unique) for ties.
     """
     todo = pending(scripts, executions).withColumn("path", script_path())
-    run_ids = broadcast_if_small(next_run_ids(runs, todo))
-    with_run = todo.join(run_ids, "app_id")
+    with_run = todo.join(last_run_ids(runs), "app_id", "left").withColumn(
+        "id_run", (F.coalesce(F.col("_last_run"), F.lit(0)) + 1).cast("bigint")
+    ).drop("_last_run")
     return number_within(with_run, ["app_id", "id_run"], EXECUTION_ORDER, "num_order").drop("path")
 
 
@@ -211,7 +209,7 @@ def halt_status(executions: DataFrame) -> DataFrame:
         .groupBy("app_id", "id_run")
         .agg(F.min("num_order").alias("_first_fail"))
     )
-    joined = executions.join(broadcast_if_small(first_fail), ["app_id", "id_run"], "left")
+    joined = executions.join(first_fail, ["app_id", "id_run"], "left")
     halted = F.coalesce(F.col("num_order") > F.col("_first_fail"), F.lit(False))
     return joined.withColumn(
         "status", F.when(halted, F.lit(NOT_REACHED)).otherwise(status_of(F.col("rc")))
@@ -242,9 +240,9 @@ def classify(executions: DataFrame, runs: DataFrame, config_effective: DataFrame
     """P20 + J1 + L5: fake when the target is on the environment's no-run
     list or the run is a ``sync``; real executions get their technology
     (default when unset or empty); fake ones are recorded as successful."""
-    run_cols = broadcast_if_small(runs.select("app_id", "id_run", "env", "action"))
-    settings = broadcast_if_small(run_settings(config_effective))
-    techs = broadcast_if_small(target_techs(config_effective))
+    run_cols = runs.select("app_id", "id_run", "env", "action")
+    settings = run_settings(config_effective)
+    techs = target_techs(config_effective)
     x = (
         executions.join(run_cols, ["app_id", "id_run"], "left")
         .join(settings, "env", "left")

@@ -65,13 +65,14 @@ def number_within(
     # offsets. Recomputing the range exchange in two branches could give
     # different bounds (the bounds come from a sample of an input whose
     # partitioning AQE may choose differently per branch), so the
-    # range-partitioned rows are written once to the shared checkpoint folder
-    # and both branches read that copy. This also cuts the lineage, so a lost
-    # executor does not re-run the upstream joins.
+    # range-partitioned rows become one RDD (one shuffle, one set of bounds)
+    # that both branches read; it is also written to the shared checkpoint
+    # folder after its first use, which cuts the lineage, so a lost executor
+    # does not re-run the upstream joins.
     ranged = (
         df.repartitionByRange(n, *_cols(by), *order_cols)
         .withColumn(_PID, F.spark_partition_id())
-        .checkpoint(eager=True)
+        .checkpoint(eager=False)
     )
     piece = Window.partitionBy(_PID, *by).orderBy(*order_cols)
     local = ranged.withColumn(_LRN, F.row_number().over(piece))

@@ -46,7 +46,11 @@ def inventory_from_events(events: DataFrame) -> DataFrame:
     name = F.when(eid % 37 == 1, F.lit("readme.txt")).otherwise(
         F.concat(F.lpad(eid.cast("string"), 8, "0"), F.lit(";"), target, F.lit("."), ext)
     )
-    return events.select("event_id", "user_id", "event_type", F.concat(folder, name).alias("path"))
+    # the one-element explode keeps later filters from re-building the path
+    # once per predicate that reads it
+    return events.select(
+        "event_id", "user_id", "event_type", F.explode(F.array(F.concat(folder, name))).alias("path")
+    )
 
 
 def valid_inventory(events: DataFrame) -> DataFrame:

@@ -70,4 +70,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one test table, spread over the cluster if the scan is narrow."""
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A file with one row group is read by one task, and everything narrow
+    after it (the regex-heavy parsing) would run on one core. With many
+    splits (the normal case on large data) this returns ``df`` unchanged, so
+    no shuffle is added where parallelism already exists.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

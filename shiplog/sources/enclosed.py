@@ -24,9 +24,10 @@ from shiplog.functions.text import (
     FIELD_SEP,
     RECORD_END,
     ambiguous,
+    enclosed_parts,
     enclosed_record,
+    field_at,
     render_text,
-    split_enclosed,
 )
 from shiplog.operators.catalog import columns_of, visible_columns
 from shiplog.sources.catalog import column_catalog
@@ -119,15 +120,31 @@ def load_enclosed(
     if skip:
         raise ValueError("only skip=0 is supported: part files have no global record number")
     raw = spark.read.option("lineSep", RECORD_END).text(path)
-    fields = split_enclosed(F.col("value"), len(schema.fields))
-    typed = [_typed(f, fld.dataType).alias(fld.name) for f, fld in zip(fields, schema.fields)]
+    n = len(schema.fields)
+    # One regex pass per record, then one pass to unwrap the fields. Each
+    # one-element explode is a barrier: the good/bad filters below cannot be
+    # pushed under it, so no expression is re-evaluated per reference (that
+    # would also blow up the generated code for wide tables).
+    parts = raw.select(
+        F.col("value").alias("_record"),
+        F.explode(F.array(enclosed_parts(F.col("value")))).alias("_parts"),
+    )
+    unwrapped = F.struct(*[field_at(F.col("_parts"), i).alias(f"_f{i}") for i in range(n)])
+    fields = parts.select("_record", F.explode(F.array(unwrapped)).alias("_fs")).select("_record", "_fs.*")
+    typed = fields.select(
+        "*", *[_typed(F.col(f"_f{i}"), fld.dataType).alias(f"_t{i}") for i, fld in enumerate(schema.fields)]
+    )
     failed = F.lit(False)
-    for f, fld in zip(fields, schema.fields):
-        failed = failed | (f.isNotNull() & _typed(f, fld.dataType).isNull())
     blank = F.lit(True)
-    for f in fields:
-        blank = blank & f.isNull()
-    staged = raw.select(F.col("value").alias("_record"), *typed, failed.alias("_failed"), blank.alias("_blank"))
+    for i in range(n):
+        failed = failed | (F.col(f"_f{i}").isNotNull() & F.col(f"_t{i}").isNull())
+        blank = blank & F.col(f"_f{i}").isNull()
+    staged = typed.select(
+        "_record",
+        *[F.col(f"_t{i}").alias(fld.name) for i, fld in enumerate(schema.fields)],
+        failed.alias("_failed"),
+        blank.alias("_blank"),
+    )
     good = staged.where(~F.col("_failed") & ~F.col("_blank")).select(*[f.name for f in schema.fields])
     bad = staged.where(F.col("_failed")).select("_record")
     discard = staged.where(F.col("_blank") & ~F.col("_failed")).select("_record")
