@@ -4,21 +4,30 @@
 into one task. Execution orders are numbered per tenant and run, and a single
 run may hold a third of all rows, so the plain window does not scale.
 
-``number_within`` gives the same numbers with bounded tasks:
-
-1. range-partition on ``(g, k)``: a hot group is cut into several
-   partitions of similar size (Spark samples the keys for the bounds); the
-   result is checkpointed so that partition ids are fixed;
-2. number the rows per *(range partition, group)* with an ordinary window;
-   each such piece is at most one partition large;
-3. count the rows per (partition, group) and, with a window over that small
-   table, add the counts of the same group held by earlier partitions.
-   Because a range partition holds a contiguous key range, only its *first*
-   group can continue from an earlier partition, so the offset table has at
-   most one row per partition: a proven bound, safe to broadcast.
+``number_within`` gives the same numbers with bounded tasks and one shuffle
+of the rows:
+
+1. range-partition on ``(g, k)`` and sort inside each partition: a hot group
+   is cut into several partitions of similar size (Spark samples the keys
+   for the bounds), and every partition holds a contiguous key range;
+2. ``monotonically_increasing_id`` then encodes (partition, position in the
+   partition) for each row, in key order, without another shuffle. The rows
+   are frozen into one RDD (and written to the shared checkpoint folder), so
+   the ids cannot change between the two uses below or after a lost task;
+3. a small table with one row per (partition, group) "piece" holds the
+   piece's first position and the number of rows of the same group in
+   earlier partitions (a grouped count and a window over pieces);
+4. rank = position - first position of the piece + 1 + earlier rows.
+
+The piece table has at most (groups + partitions) rows; it is joined back on
+(partition, group), and adaptive execution broadcasts it when its measured
+size is small (the usual case), else joins it with a sort-merge join whose
+keys are balanced (one piece is at most one partition). For a single global
+sequence the table has at most one row per partition, a proven bound, and is
+broadcast explicitly.
 
 Ties must be broken by the caller (the order keys must be unique within a
-group) so that the numbering is deterministic when a task is re-run.
+group) so that the numbering does not depend on arrival order.
 """
 
 from __future__ import annotations
@@ -30,10 +39,12 @@ from pyspark.sql import functions as F
 
 from shiplog.session import checkpoint_root
 
+_MID = "__row_id"
 _PID = "__range_pid"
-_LRN = "__local_rn"
+_POS = "__pos"
 _CNT = "__piece_rows"
-_OFF = "__rows_before"
+_BASE = "__piece_base"
+_POS_BITS = 33  # monotonically_increasing_id: partition index above bit 33
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
@@ -59,43 +70,38 @@ def number_within(
     """
     by = list(by)
     n = num_partitions or default_partitions(df)
-    order_cols = _cols(order)
+    keys = [*_cols(by), *_cols(order)]
     checkpoint_root(df.sparkSession)
-    # The partition id must mean the same thing for the numbering and for the
-    # offsets. Recomputing the range exchange in two branches could give
-    # different bounds (the bounds come from a sample of an input whose
-    # partitioning AQE may choose differently per branch), so the
-    # range-partitioned rows become one RDD (one shuffle, one set of bounds)
-    # that both branches read; it is also written to the shared checkpoint
-    # folder after its first use, which cuts the lineage, so a lost executor
-    # does not re-run the upstream joins.
-    ranged = (
-        df.repartitionByRange(n, *_cols(by), *order_cols)
-        .withColumn(_PID, F.spark_partition_id())
+    frozen = (
+        df.repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn(_MID, F.monotonically_increasing_id())
         .checkpoint(eager=False)
     )
-    piece = Window.partitionBy(_PID, *by).orderBy(*order_cols)
-    local = ranged.withColumn(_LRN, F.row_number().over(piece))
-
-    counts = ranged.groupBy(_PID, *by).agg(F.count(F.lit(1)).alias(_CNT))
+    located = frozen.select(
+        "*",
+        F.shiftright(F.col(_MID), _POS_BITS).cast("int").alias(_PID),
+        F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias(_POS),
+    ).drop(_MID)
+
+    pieces = located.groupBy(_PID, *by).agg(
+        F.min(_POS).alias("__first"), F.count(F.lit(1)).alias(_CNT)
+    )
     earlier = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counts.withColumn(_OFF, F.sum(_CNT).over(earlier))
-        .where(F.col(_OFF) > 0)
-        .select(
-            F.col(_PID).alias("__o" + _PID),
-            *[F.col(c).alias(f"__o_{i}") for i, c in enumerate(by)],
-            _OFF,
-        )
+    pieces = pieces.select(
+        F.col(_PID).alias("__p" + _PID),
+        *[F.col(c).alias(f"__p_{i}") for i, c in enumerate(by)],
+        (F.coalesce(F.sum(_CNT).over(earlier), F.lit(0)) - F.col("__first")).alias(_BASE),
     )
-    # at most one offset row per range partition (see module notes)
-    cond = [F.col(_PID) == F.col("__o" + _PID)] + [
-        F.col(c).eqNullSafe(F.col(f"__o_{i}")) for i, c in enumerate(by)
+    if not by:
+        pieces = F.broadcast(pieces)  # one row per partition
+    cond = [F.col(_PID) == F.col("__p" + _PID)] + [
+        F.col(c).eqNullSafe(F.col(f"__p_{i}")) for i, c in enumerate(by)
     ]
-    joined = local.join(F.broadcast(offsets), cond, "left")
+    joined = located.join(pieces, cond, "left")
     return joined.select(
         *df.columns,
-        (F.col(_LRN) + F.coalesce(F.col(_OFF), F.lit(0))).cast("bigint").alias(name),
+        (F.col(_POS) + F.col(_BASE) + 1).cast("bigint").alias(name),
     )
 
 
