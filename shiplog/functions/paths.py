@@ -21,17 +21,20 @@ def normalise_path(path: Column | str) -> Column:
 
 def base_name(path: Column | str) -> Column:
     """Last path component (the file name)."""
-    return F.regexp_extract(_c(path), r"([^/]*)$", 1)
+    return F.substring_index(_c(path), "/", -1)
 
 
 def parent_folder(path: Column | str) -> Column:
     """Everything before the last ``/``; empty for a bare name."""
-    return F.regexp_extract(_c(path), r"^(.*)/[^/]*$", 1)
+    p = _c(path)
+    return F.when(
+        p.contains("/"), F.substring(p, F.lit(1), F.length(p) - F.length(base_name(p)) - 1)
+    ).otherwise(F.lit(""))
 
 
 def last_folder(path: Column | str) -> Column:
     """Name of the folder holding the file (the package folder)."""
-    return F.regexp_extract(_c(path), r"([^/]*)/[^/]*$", 1)
+    return F.substring_index(parent_folder(path), "/", -1)
 
 
 def depth(path: Column | str) -> Column:
@@ -71,16 +74,17 @@ def package_stamp(folder_name: Column | str) -> Column:
     times that fall into a daylight-saving gap.
     """
     f = _c(folder_name)
-    iso = F.regexp_replace(
-        F.regexp_extract(f, r"^(\d{8}-\d{4})(;.*)?$", 1),
-        r"^(\d{4})(\d{2})(\d{2})-(\d{2})(\d{2})$",
-        "$1-$2-$3 $4:$5:00",
+    stamp = F.substring_index(f, ";", 1)
+    part = lambda pos, n: F.substring(stamp, pos, n)
+    iso = F.concat(
+        part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 2), F.lit(" "),
+        part(10, 2), F.lit(":"), part(12, 2), F.lit(":00"),
     )
     # try_cast keeps a malformed stamp as null instead of failing the job
-    return F.when(iso != "", iso.try_cast("timestamp_ntz"))
+    return F.when(stamp.rlike(r"^\d{8}-\d{4}\z"), iso.try_cast("timestamp_ntz"))
 
 
 def package_comment(folder_name: Column | str) -> Column:
     """Optional informative part after the first ``;`` of a package folder."""
     f = _c(folder_name)
-    return F.when(f.contains(";"), F.regexp_extract(f, r"^[^;]*;(.*)$", 1))
+    return F.when(f.contains(";"), F.substring(f, F.length(F.substring_index(f, ";", 1)) + 2, F.lit(1 << 30)))

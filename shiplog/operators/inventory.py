@@ -22,9 +22,6 @@ from shiplog.functions.paths import (
     parent_folder,
 )
 
-# Fixed value: script file name = positive number ; target id . extension
-SCRIPT_NAME_PATTERN = r"(?s)^(\d+);([A-Za-z0-9_]+)\.(.*)$"
-
 
 def normalise(inventory: DataFrame, path_col: str = "path") -> DataFrame:
     """Canonical relative paths."""
@@ -56,30 +53,44 @@ def parse_inventory(inventory: DataFrame, path_col: str = "path") -> DataFrame:
     ``script_no``, ``target_id``, ``extension`` and ``reject_reason`` (null
     for a valid row). The timestamp orders packages, the number orders
     scripts inside a package.
+
+    A script name is ``<digits>;<target>.<extension>``: the number ends at
+    the first ``;``, the target at the next ``.`` (it is limited to
+    identifier characters, as it names configuration variables), the
+    extension is the rest and may be empty or contain dots. The parts are cut
+    with string functions; only three short anchored checks use patterns.
     """
     p = F.col(path_col)
     name = base_name(p)
     pkg = last_folder(p)
-    number_text = F.regexp_extract(name, SCRIPT_NAME_PATTERN, 1)
-    script_no = F.when(number_text != "", number_text.try_cast("bigint"))
+    number = F.substring_index(name, ";", 1)
+    rest = F.substring(name, F.length(number) + 2, F.lit(1 << 30))
+    target = F.substring_index(rest, ".", 1)
+    well_formed = (
+        name.contains(";")
+        & rest.contains(".")
+        & number.rlike(r"^[0-9]+\z")
+        & target.rlike(r"^[A-Za-z0-9_]+\z")
+    )
     parsed = inventory.select(
         "*",
         parent_folder(p).alias("folder"),
         name.alias("file"),
         package_stamp(pkg).alias("package_ts"),
         package_comment(pkg).alias("package_comment"),
-        script_no.alias("script_no"),
-        F.nullif(F.regexp_extract(name, SCRIPT_NAME_PATTERN, 2), F.lit("")).alias("target_id"),
-        F.when(name.rlike(SCRIPT_NAME_PATTERN), F.regexp_extract(name, SCRIPT_NAME_PATTERN, 3)).alias(
-            "extension"
-        ),
+        F.when(well_formed, number.try_cast("bigint")).alias("script_no"),
+        F.when(well_formed, target).alias("target_id"),
+        F.when(well_formed, F.substring(rest, F.length(target) + 2, F.lit(1 << 30))).alias("extension"),
     )
     reason = (
         F.when(F.col("package_ts").isNull(), F.lit("bad package folder"))
         .when(F.col("target_id").isNull(), F.lit("bad script name"))
         .when(~(F.col("script_no") > 0) | F.col("script_no").isNull(), F.lit("bad script number"))
     )
-    return parsed.withColumn("reject_reason", reason)
+    out = parsed.withColumn("reject_reason", reason)
+    # one-element explode: filters on the result (valid / rejected) stay
+    # above it instead of re-running the parsing inside the filter
+    return out.select(F.explode(F.array(F.struct(*out.columns))).alias("_r")).select("_r.*")
 
 
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -74,15 +75,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the cluster has cores.
 
     A file with one row group is read by one task, and everything narrow
     after it (the regex-heavy parsing) would run on one core. With many
-    splits (the normal case on large data) this returns ``df`` unchanged, so
-    no shuffle is added where parallelism already exists.
+    splits (the normal case on large data), or for small inputs, this returns
+    ``df`` unchanged, so no shuffle is added where it does not pay. Hashing
+    all columns is deterministic (a re-run task gets the same rows) without
+    the extra sort a round-robin repartition needs for that.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or _input_bytes(df) < min_bytes:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, *[F.col(c) for c in df.columns])
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """Total size of the files behind a file scan (driver-side metadata)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
