@@ -29,7 +29,7 @@ def run_noop(df) -> None:
 
 def enclosed_lineitem(spark, sf_dir):
     """S5 + S6 on lineitem: export in key order, load back, verify count."""
-    df = read_table(spark, sf_dir, "lineitem")
+    df = read_table(spark, sf_dir, "lineitem", spread_narrow=False)
     path = scratch_path(spark, "bench", "lineitem")
     enclosed.export_enclosed(df, ["l_orderkey", "l_linenumber"], path, "LINEITEM")
     good, bad, _ = enclosed.load_enclosed(spark, path, df.schema)

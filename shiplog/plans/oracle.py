@@ -527,13 +527,18 @@ _LINEITEM_LINE = " || chr(9) || ".join(
 )
 
 ORACLE["enclosed_export"] = f"""
-WITH o AS (SELECT o_orderkey, {_ORDERS_LINE} || chr(9) || '<eor>' AS line FROM orders),
-l AS (SELECT l_orderkey, l_linenumber, {_LINEITEM_LINE} || chr(9) || '<eor>' AS line FROM lineitem)
-SELECT 'ORDERS' AS table_name, CAST(row_number() OVER (ORDER BY o_orderkey, line) AS BIGINT) AS seq, line
-FROM o
+SELECT 'ORDERS' AS table_name,
+       CAST(row_number() OVER (ORDER BY o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+                                        o_orderpriority) AS BIGINT) AS seq,
+       {_ORDERS_LINE} || chr(9) || '<eor>' AS line
+FROM orders
 UNION ALL
-SELECT 'LINEITEM', CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, line) AS BIGINT), line
-FROM l
+SELECT 'LINEITEM',
+       CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+                                        l_extendedprice, l_discount, l_returnflag, l_linestatus,
+                                        l_shipdate) AS BIGINT),
+       {_LINEITEM_LINE} || chr(9) || '<eor>'
+FROM lineitem
 """
 
 ORACLE["enclosed_roundtrip"] = """

@@ -65,11 +65,10 @@ def merge_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger after merging the full inventory."""
     lg = derived.ledger_from_events(spark, sf_dir)
     inv = derived.valid_inventory(read_table(spark, sf_dir, "events"))
-    merged, new_rows = led.merge_increments(lg["scripts"], inv)
-    flagged = new_rows.select("app_id", "id_script", F.lit(True).alias("is_new"))
-    return merged.join(flagged, ["app_id", "id_script"], "left").select(
-        *led.SCRIPT_COLUMNS, F.coalesce("is_new", F.lit(False)).alias("is_new")
-    )
+    _, new_rows = led.merge_increments(lg["scripts"], inv)
+    # merged ledger = known rows + new rows; flag them without a join
+    known = lg["scripts"].select(*led.SCRIPT_COLUMNS, F.lit(False).alias("is_new"))
+    return known.unionByName(new_rows.select(*led.SCRIPT_COLUMNS, F.lit(True).alias("is_new")))
 
 
 @register("pending_in_order")
@@ -223,14 +222,18 @@ def enclosed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = derived.catalog_fixture(spark, sf_dir)
     out = None
     for table, (name, order) in EXPORTS.items():
-        df = read_table(spark, sf_dir, name)
-        lines = df.select(*order, enclosed.record_line(df, cat, table).alias("line"))
-        # the record itself breaks ties: rows equal in every exported column
-        # are indistinguishable, so the numbering is deterministic
-        numbered = number_within(lines, [], [*order, "line"], "seq").select(
-            F.lit(table).alias("table_name"), "seq", "line"
+        # no spreading: the range exchange of the numbering spreads the rows,
+        # and records are rendered after it, in parallel
+        df = read_table(spark, sf_dir, name, spread_narrow=False)
+        cols = [c for c, _ in enclosed.export_columns(df, cat, table)]
+        # all exported columns break ties: rows equal in every one of them
+        # give the same record, so the numbering is deterministic
+        ties = [c for c in cols if c not in order]
+        numbered = number_within(df.select(*cols), [], [*order, *ties], "seq")
+        out_t = numbered.select(
+            F.lit(table).alias("table_name"), "seq", enclosed.record_line(numbered, cat, table).alias("line")
         )
-        out = numbered if out is None else out.unionByName(numbered)
+        out = out_t if out is None else out.unionByName(out_t)
     return out
 
 

@@ -70,9 +70,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "shiplog", *parts, uuid.uuid4().hex])
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one test table, spread over the cluster if the scan is narrow."""
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_narrow: bool = True) -> DataFrame:
+    """Read one test table; by default spread over the cluster if the scan
+    is narrow (pass ``False`` when a shuffle follows right away anyway)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if spread_narrow else df
 
 
 SPREAD_MIN_BYTES = 1 << 20

@@ -76,12 +76,16 @@ def export_enclosed(
     not written (they would not load back as they are).
     """
     cols = export_columns(df, catalog, table)
-    fields = rendered_fields(df, cols)
+    # Only text can hold "..@<tab>" or the record terminator: numbers, dates
+    # and timestamps render to digits and separators. So the check reads the
+    # raw string columns and the records are rendered once, after the sort.
+    types = {f.name: f.dataType for f in df.schema.fields}
     bad = F.lit(False)
-    for f in fields:
-        bad = bad | ambiguous(f)
+    for c, _ in cols:
+        if isinstance(types[c], T.StringType):
+            bad = bad | ambiguous(F.col(c))
     flagged = df.withColumn("_ambiguous", bad)
-    body = F.concat(enclosed_record(fields), F.lit(FIELD_SEP)).alias("value")
+    body = F.concat(enclosed_record(rendered_fields(df, cols)), F.lit(FIELD_SEP)).alias("value")
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     (
         flagged.where(~F.col("_ambiguous"))
