@@ -34,6 +34,21 @@ ZONE_SUFFIX_UTC = " +00/00"
 FIELD_PATTERN = r"(?s)(?:^|(?<=\t))(?:@\.\.(.*?)\.\.@(?=\t|\z)|([^\t]*))"
 
 
+def _ntz_text(col: Column, fraction: bool) -> Column:
+    """Wall-clock text of a zone-less value without any zone conversion.
+
+    ``date_format`` would first cast to a zoned timestamp in the session
+    zone, which shifts times inside a daylight-saving gap; the value's own
+    text form (``yyyy-MM-dd HH:mm:ss[.ffffff]``) does not.
+    """
+    text = col.cast("timestamp_ntz").cast("string")
+    base = F.substring(text, 1, 19)
+    if not fraction:
+        return base
+    frac = F.when(F.length(text) > 20, F.substring(text, 21, 9)).otherwise(F.lit(""))
+    return F.concat(base, F.lit("."), F.rpad(frac, 9, "0"))
+
+
 def render_text(col: Column, data_type: T.DataType, declared: str | None = None) -> Column:
     """Text of a value under the export session formats.
 
@@ -42,23 +57,21 @@ def render_text(col: Column, data_type: T.DataType, declared: str | None = None)
     Numbers use ``.`` as decimal point and no grouping.
     """
     declared = (declared or "").upper()
-    if isinstance(data_type, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+    if isinstance(data_type, (T.TimestampNTZType, T.DateType)):
+        if declared == "DATE" or (isinstance(data_type, T.DateType) and not declared):
+            return _ntz_text(col, fraction=False)
+        base = _ntz_text(col, fraction=True)
+        # a zone-less value declared as zoned is taken as UTC
+        return F.concat(base, F.lit(ZONE_SUFFIX_UTC)) if "WITH TIME ZONE" in declared else base
+    if isinstance(data_type, T.TimestampType):
         if declared == "DATE":
             return F.date_format(col, DATE_FORMAT)
-        zoned = "WITH TIME ZONE" in declared or (
-            not declared and isinstance(data_type, T.TimestampType)
-        )
-        if isinstance(data_type, T.DateType) and not declared:
-            return F.date_format(col, DATE_FORMAT)
         base = F.date_format(col, TIMESTAMP_FORMAT)
-        if not zoned:
+        if declared and "WITH TIME ZONE" not in declared:
             return base
-        if isinstance(data_type, T.TimestampType):
-            # session-zone offset as +hh:mm, written as +hh/mm
-            offset = F.regexp_replace(F.date_format(col, "xxx"), ":", "/")
-            return F.concat(base, F.lit(" "), offset)
-        # a zone-less value declared as zoned is taken as UTC
-        return F.concat(base, F.lit(ZONE_SUFFIX_UTC))
+        # session-zone offset as +hh:mm, written as +hh/mm
+        offset = F.regexp_replace(F.date_format(col, "xxx"), ":", "/")
+        return F.concat(base, F.lit(" "), offset)
     if isinstance(data_type, T.StringType):
         return col
     return col.cast("string")

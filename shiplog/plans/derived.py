@@ -21,9 +21,12 @@ from shiplog.session import read_table
 def inventory_from_events(events: DataFrame) -> DataFrame:
     """B1: one script path per event: ``(event_id, user_id, event_type, path)``."""
     eid = F.col("event_id")
-    stamp = F.when(eid % 41 == 1, F.lit("20241399-0000")).otherwise(
-        F.concat(F.date_format("ts", "yyyyMMdd-HH"), F.lit("00"))
+    # wall-clock text of the zone-less ts (no session-zone conversion)
+    t = F.col("ts").cast("string")
+    hour_stamp = F.concat(
+        F.substring(t, 1, 4), F.substring(t, 6, 2), F.substring(t, 9, 2), F.lit("-"), F.substring(t, 12, 2), F.lit("00")
     )
+    stamp = F.when(eid % 41 == 1, F.lit("20241399-0000")).otherwise(hour_stamp)
     comment = F.when(eid % 3 == 0, F.lit("")).otherwise(F.concat(F.lit(";"), F.col("event_type")))
     folder = (
         F.when(eid % 29 == 1, F.lit("./.hidden/"))

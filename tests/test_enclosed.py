@@ -77,3 +77,14 @@ def test_loader_spec_writer(spark, tmp_path):
     text = "".join(open(p).read() for p in sorted((tmp_path / "spec" / "table_name=T").glob("part-*")))
     assert "INTO TABLE T\n" in text and "    a,\n    b    char(" not in text
     assert text.splitlines()[-1] == "BEGINDATA"
+
+
+def test_zone_less_render_ignores_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 0, 5),)], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 is in the DST gap
+        got = df.select(render_text(F.col("ts"), T.TimestampNTZType())).collect()[0][0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == "2024-03-10 02:30:00.000005000"
