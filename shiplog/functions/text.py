@@ -87,6 +87,13 @@ def enclosed_record(fields: Sequence[Column]) -> Column:
     return F.concat_ws(FIELD_SEP, *[enclose(f) for f in fields])
 
 
+def enclosed_expr(schema: T.StructType) -> Column:
+    """P13 from a schema alone: all columns, in schema order, rendered by
+    their Spark types (use the catalog-driven form to apply visibility rules
+    and declared types)."""
+    return enclosed_record([render_text(F.col(f.name), f.dataType) for f in schema.fields])
+
+
 def ambiguous(text: Column) -> Column:
     """True when a value cannot be written unambiguously (no escape exists)."""
     return F.coalesce(

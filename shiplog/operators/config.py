@@ -46,6 +46,19 @@ def overrides_as_layer(parsed: DataFrame, layer: int = 1) -> DataFrame:
     )
 
 
+def split_app_ids(df: DataFrame, col: str = "app_id") -> tuple[DataFrame, DataFrame]:
+    """P6 as a split: (rows with a valid tenant id, rejected rows)."""
+    from shiplog.functions.predicates import valid_app_id
+
+    flagged = df.withColumn("_ok", valid_app_id(col))
+    return flagged.where("_ok").drop("_ok"), flagged.where(~F.col("_ok")).drop("_ok")
+
+
+def redact(config: DataFrame) -> DataFrame:
+    """The configuration with secret values masked."""
+    return config.withColumn("value", shown_value(F.col("key"), F.col("value")))
+
+
 def last_wins(config: DataFrame) -> DataFrame:
     """A4: per ``(env, key)`` the value of the highest ``(layer, ord)``."""
     return config.groupBy("env", "key").agg(

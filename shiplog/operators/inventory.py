@@ -93,6 +93,25 @@ def parse_inventory(inventory: DataFrame, path_col: str = "path") -> DataFrame:
     return out.select(F.explode(F.array(F.struct(*out.columns))).alias("_r")).select("_r.*")
 
 
+def parse_package(inventory: DataFrame, path_col: str = "path") -> DataFrame:
+    """P4 alone: ``package_ts`` (null when malformed) and ``package_comment``."""
+    pkg = last_folder(F.col(path_col))
+    return inventory.select("*", package_stamp(pkg).alias("package_ts"), package_comment(pkg).alias("package_comment"))
+
+
+def parse_script(inventory: DataFrame, path_col: str = "path") -> DataFrame:
+    """P5 alone: ``script_no``, ``target_id``, ``extension`` (null when the
+    name is malformed or the number is not positive)."""
+    parsed = parse_inventory(inventory, path_col)
+    keep = [c for c in inventory.columns] + ["script_no", "target_id", "extension"]
+    return parsed.select(
+        *[c for c in keep if c not in ("script_no", "target_id", "extension")],
+        F.when(F.col("script_no") > 0, F.col("script_no")).alias("script_no"),
+        F.when(F.col("script_no") > 0, F.col("target_id")).alias("target_id"),
+        F.when(F.col("script_no") > 0, F.col("extension")).alias("extension"),
+    )
+
+
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows) of ``parse_inventory`` output."""
     ok = parsed.where(F.col("reject_reason").isNull()).drop("reject_reason")

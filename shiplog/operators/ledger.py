@@ -236,6 +236,15 @@ def target_techs(config_effective: DataFrame) -> DataFrame:
     )
 
 
+def with_tech(executions: DataFrame, config_effective: DataFrame) -> DataFrame:
+    """Technology per execution from ``dpltgt_<target>_tech`` of its
+    environment (``executions`` carries ``env``); default when unset or empty."""
+    techs = target_techs(config_effective)
+    return executions.join(techs, ["env", "target_id"], "left").withColumn(
+        "tech", default_if_blank(F.col("tech"), DEFAULT_TECH)
+    )
+
+
 def classify(executions: DataFrame, runs: DataFrame, config_effective: DataFrame) -> DataFrame:
     """P20 + J1 + L5: fake when the target is on the environment's no-run
     list or the run is a ``sync``; real executions get their technology

@@ -13,6 +13,21 @@ from shiplog.operators.numbering import number_within
 DASH_NUMBER = r"^[^-]*-(\d+(?:\.\d+)?)"
 
 
+def sort_list(spec: str) -> list[Column]:
+    """A caller-supplied ordering list such as ``"a, b desc, c asc"``."""
+    out = []
+    for item in (x.strip() for x in spec.split(",")):
+        if not item:
+            continue
+        parts = item.split()
+        c = F.col(parts[0])
+        direction = parts[1].lower() if len(parts) > 1 else "asc"
+        if direction not in ("asc", "desc"):
+            raise ValueError(f"bad ordering item {item!r}")
+        out.append(c.desc() if direction == "desc" else c.asc())
+    return out
+
+
 def number_key(text: Column | str, pattern: str = DASH_NUMBER, on_base_name: bool = True) -> Column:
     """O1 key: the first group of ``pattern`` as a decimal, 0 when absent or
     not numeric. By default only the base name is searched, so a dash in a

@@ -50,3 +50,11 @@ def test_catalog_from_schema(spark):
     assert got == [("A", 1, "NUMBER"), ("B", 2, "VARCHAR2"), ("C", 3, "TIMESTAMP(6)"), ("D", 4, None)]
     listed = cat_ops.column_list(column_catalog(spark, {"t": df})).collect()[0]
     assert listed["column_list"] == "'@..'||a||'..@'||chr(9)||'@..'||b||'..@'||chr(9)||'@..'||c||'..@'"
+
+
+def test_is_last_and_exclude_lobs(spark):
+    rows = [("T", "A", 1, "NUMBER", None, 1, None, None), ("T", "B", 2, "BLOB", None, 1, None, None), ("U", "C", 1, None, None, 1, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(r["column_name"] for r in cat_ops.exclude_lobs(df).collect()) == ["A"]
+    last = {r["column_name"]: r["is_last"] for r in cat_ops.is_last(df).collect()}
+    assert last == {"A": False, "B": True, "C": True}

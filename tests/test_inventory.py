@@ -60,3 +60,11 @@ def test_counts_match_survey(spark):
     good, bad = inv.split_valid(inv.parse_inventory(kept))
     assert kept.count() == 6765
     assert bad.count() == 407
+
+
+def test_parse_package_and_script_alone(spark):
+    df = _inv(spark, ["r/20240105-0730;c/0007;t.sql", "r/bad/0;t.sql"])
+    pk = {r["path"]: r["package_ts"] for r in inv.parse_package(df).collect()}
+    assert pk["r/bad/0;t.sql"] is None and pk["r/20240105-0730;c/0007;t.sql"] is not None
+    sc = {r["path"]: (r["script_no"], r["target_id"]) for r in inv.parse_script(df).collect()}
+    assert sc == {"r/20240105-0730;c/0007;t.sql": (7, "t"), "r/bad/0;t.sql": (None, None)}

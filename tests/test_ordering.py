@@ -24,3 +24,11 @@ def test_number_key_values(spark):
     df = spark.createDataFrame([("x-007",), ("x",)], "s string")
     got = [float(r[0]) for r in df.select(number_key("s")).collect()]
     assert got == [7.0, 0.0]
+
+
+def test_sort_list(spark):
+    from shiplog.operators.ordering import sort_list
+
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "x int, y string")
+    got = [tuple(r) for r in df.orderBy(*sort_list("x desc, y")).collect()]
+    assert got == [(2, "c"), (1, "a"), (1, "b")]
