@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplog.functions.predicates import DEFAULT_TECH, default_if_blank, in_csv_list
-from shiplog.operators.numbering import number_within
+from shiplog.operators.numbering import broadcast_if_small, number_within
+from shiplog.session import checkpoint_root
 
 RUN_ID_SCALE = 1_000_000_000  # id_script_execution = id_run * scale + num_order
 
@@ -200,16 +201,25 @@ def apply_outcomes(executions: DataFrame, returns: DataFrame) -> DataFrame:
     )
 
 
-def halt_status(executions: DataFrame) -> DataFrame:
+def halt_status(executions: DataFrame, max_broadcast_runs: int = 1_000_000) -> DataFrame:
     """Once a script of a run fails, later scripts of that run are not
     reached. Computed as ``num_order > first failing num_order`` of the run,
-    i.e. a grouped minimum and a join, not a window over the whole run."""
+    i.e. a grouped minimum and a join, not a window over the whole run.
+
+    The input is frozen first (its shuffles run once and are shared by both
+    uses; the lineage is cut). The first-failure table has one row per run
+    with a failure; after a row-count check it is broadcast, so the rows are
+    never shuffled by (tenant, run) - those keys are few and hot. Above the
+    bound the join falls back to a sort-merge join with AQE skew splitting.
+    """
+    checkpoint_root(executions.sparkSession)
+    frozen = executions.checkpoint(eager=False)
     first_fail = (
-        executions.where(F.col("rc") > 0)
+        frozen.where(F.col("rc") > 0)
         .groupBy("app_id", "id_run")
         .agg(F.min("num_order").alias("_first_fail"))
     )
-    joined = executions.join(first_fail, ["app_id", "id_run"], "left")
+    joined = frozen.join(broadcast_if_small(first_fail, max_broadcast_runs), ["app_id", "id_run"], "left")
     halted = F.coalesce(F.col("num_order") > F.col("_first_fail"), F.lit(False))
     return joined.withColumn(
         "status", F.when(halted, F.lit(NOT_REACHED)).otherwise(status_of(F.col("rc")))
