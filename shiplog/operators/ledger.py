@@ -10,14 +10,13 @@ Ledger tables (every key starts with the tenant ``app_id``):
   target_id, rc)`` - ``rc`` null while a script has not reported back.
 
 Scale notes: tenant and run keys are few and hot (one run may hold a third of
-all rows), so nothing here partitions a window by them. Ordering uses the
-skew-safe ``number_within``; per-run facts (first failure, next run id) are
-hash aggregates with map-side combine. Joining them back is left to adaptive
-execution: once the aggregate's shuffle stage has run, its measured size
-decides between a broadcast join (below the broadcast threshold) and a
-sort-merge join whose hot partitions are split (skew join). That is a
-run-time size check that needs no second pass over the input. Script-level
-joins are on unique keys (no skew).
+all rows), so nothing here partitions a window or a shuffle by them.
+Ordering uses the skew-safe ``number_within``; per-tenant and per-run facts
+(next run id, last script id, first failure, run settings) are hash
+aggregates with map-side combine, joined back through ``broadcast_if_small``:
+a row-count check (``limit(n + 1).count()``, stops early) and a broadcast
+below the bound, a sort-merge join with AQE skew splitting above it.
+Script-level joins are on unique keys (no skew) and shuffle evenly.
 """
 
 from __future__ import annotations
@@ -77,7 +76,8 @@ def merge_increments(scripts: DataFrame, inventory: DataFrame) -> tuple[DataFram
     fresh = unknown.join(finished, ["app_id", "folder"], "left_anti")
     numbered = number_within(fresh.withColumn("path", script_path()), ["app_id"], EXECUTION_ORDER, "_new_no")
     last_id = scripts.groupBy("app_id").agg(F.max("id_script").alias("_last_id"))
-    new_rows = numbered.join(last_id, "app_id", "left").select(
+    # one row per tenant; checked, then broadcast (tenant keys are hot)
+    new_rows = numbered.join(broadcast_if_small(last_id), "app_id", "left").select(
         "app_id",
         (F.coalesce(F.col("_last_id"), F.lit(0)) + F.col("_new_no")).alias("id_script"),
         "folder",
@@ -117,7 +117,7 @@ def pending_in_order(scripts: DataFrame, executions: DataFrame, runs: DataFrame)
     Order: package time, script number, then path (unique) for ties.
     """
     todo = pending(scripts, executions).withColumn("path", script_path())
-    with_run = todo.join(last_run_ids(runs), "app_id", "left").withColumn(
+    with_run = todo.join(broadcast_if_small(last_run_ids(runs)), "app_id", "left").withColumn(
         "id_run", (F.coalesce(F.col("_last_run"), F.lit(0)) + 1).cast("bigint")
     ).drop("_last_run")
     return number_within(with_run, ["app_id", "id_run"], EXECUTION_ORDER, "num_order").drop("path")
@@ -249,7 +249,7 @@ def target_techs(config_effective: DataFrame) -> DataFrame:
 def with_tech(executions: DataFrame, config_effective: DataFrame) -> DataFrame:
     """Technology per execution from ``dpltgt_<target>_tech`` of its
     environment (``executions`` carries ``env``); default when unset or empty."""
-    techs = target_techs(config_effective)
+    techs = broadcast_if_small(target_techs(config_effective))
     return executions.join(techs, ["env", "target_id"], "left").withColumn(
         "tech", default_if_blank(F.col("tech"), DEFAULT_TECH)
     )
@@ -259,9 +259,11 @@ def classify(executions: DataFrame, runs: DataFrame, config_effective: DataFrame
     """P20 + J1 + L5: fake when the target is on the environment's no-run
     list or the run is a ``sync``; real executions get their technology
     (default when unset or empty); fake ones are recorded as successful."""
-    run_cols = runs.select("app_id", "id_run", "env", "action")
-    settings = run_settings(config_effective)
-    techs = target_techs(config_effective)
+    # run-, environment- and target-level tables: checked, then broadcast,
+    # so executions are never shuffled by those few, hot keys
+    run_cols = broadcast_if_small(runs.select("app_id", "id_run", "env", "action"))
+    settings = broadcast_if_small(run_settings(config_effective))
+    techs = broadcast_if_small(target_techs(config_effective))
     x = (
         executions.join(run_cols, ["app_id", "id_run"], "left")
         .join(settings, "env", "left")

@@ -20,11 +20,11 @@ of the rows:
 4. rank = position - first position of the piece + 1 + earlier rows.
 
 The piece table has at most (groups + partitions) rows; it is joined back on
-(partition, group), and adaptive execution broadcasts it when its measured
-size is small (the usual case), else joins it with a sort-merge join whose
-keys are balanced (one piece is at most one partition). For a single global
-sequence the table has at most one row per partition, a proven bound, and is
-broadcast explicitly.
+(partition, group). After a row-count check it is broadcast (the usual
+case), so the numbered rows are not shuffled again; above the bound a
+sort-merge join is used, whose keys are balanced (one piece is at most one
+partition). For a single global sequence the table has at most one row per
+partition, a proven bound, and is broadcast without a check.
 
 Ties must be broken by the caller (the order keys must be unique within a
 group) so that the numbering does not depend on arrival order.
@@ -93,8 +93,9 @@ def number_within(
         *[F.col(c).alias(f"__p_{i}") for i, c in enumerate(by)],
         (F.coalesce(F.sum(_CNT).over(earlier), F.lit(0)) - F.col("__first")).alias(_BASE),
     )
-    if not by:
-        pieces = F.broadcast(pieces)  # one row per partition
+    # one row per partition without groups (proven bound); otherwise at most
+    # groups + partitions rows, checked before broadcasting
+    pieces = F.broadcast(pieces) if not by else broadcast_if_small(pieces)
     cond = [F.col(_PID) == F.col("__p" + _PID)] + [
         F.col(c).eqNullSafe(F.col(f"__p_{i}")) for i, c in enumerate(by)
     ]
