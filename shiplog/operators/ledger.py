@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from shiplog.functions.predicates import DEFAULT_TECH, default_if_blank, in_csv_list
 from shiplog.operators.numbering import broadcast_if_small, number_within
-from shiplog.session import checkpoint_root
+from shiplog.session import freeze
 
 RUN_ID_SCALE = 1_000_000_000  # id_script_execution = id_run * scale + num_order
 
@@ -206,14 +206,13 @@ def halt_status(executions: DataFrame, max_broadcast_runs: int = 1_000_000) -> D
     reached. Computed as ``num_order > first failing num_order`` of the run,
     i.e. a grouped minimum and a join, not a window over the whole run.
 
-    The input is frozen first (its shuffles run once and are shared by both
-    uses; the lineage is cut). The first-failure table has one row per run
+    The input is written once to the shared checkpoint folder and read back
+    (it is computed once for both uses; the lineage is cut). The first-failure table has one row per run
     with a failure; after a row-count check it is broadcast, so the rows are
     never shuffled by (tenant, run) - those keys are few and hot. Above the
     bound the join falls back to a sort-merge join with AQE skew splitting.
     """
-    checkpoint_root(executions.sparkSession)
-    frozen = executions.checkpoint(eager=False)
+    frozen = freeze(executions, "halt")
     first_fail = (
         frozen.where(F.col("rc") > 0)
         .groupBy("app_id", "id_run")

@@ -12,8 +12,9 @@ of the rows:
    for the bounds), and every partition holds a contiguous key range;
 2. ``monotonically_increasing_id`` then encodes (partition, position in the
    partition) for each row, in key order, without another shuffle. The rows
-   are frozen into one RDD (and written to the shared checkpoint folder), so
-   the ids cannot change between the two uses below or after a lost task;
+   are written once as a parquet table in the shared checkpoint folder, so
+   the ids are data: they cannot change between the two uses below or after
+   a lost task, and the lineage is cut;
 3. a small table with one row per (partition, group) "piece" holds the
    piece's first position and the number of rows of the same group in
    earlier partitions (a grouped count and a window over pieces);
@@ -37,7 +38,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiplog.session import checkpoint_root
+from shiplog.session import freeze
 
 _MID = "__row_id"
 _PID = "__range_pid"
@@ -71,12 +72,11 @@ def number_within(
     by = list(by)
     n = num_partitions or default_partitions(df)
     keys = [*_cols(by), *_cols(order)]
-    checkpoint_root(df.sparkSession)
-    frozen = (
+    frozen = freeze(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
-        .withColumn(_MID, F.monotonically_increasing_id())
-        .checkpoint(eager=False)
+        .withColumn(_MID, F.monotonically_increasing_id()),
+        "numbering",
     )
     located = frozen.select(
         "*",
@@ -106,13 +106,17 @@ def number_within(
     )
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only after checking the row count at run time.
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Broadcast ``df`` only after checking its row count at run time.
 
-    ``limit(max_rows + 1).count()`` stops as soon as the bound is exceeded,
-    so the check itself stays cheap. Above the bound the frame is returned
-    unchanged and the planner / AQE choose a shuffled join.
+    The rows are fetched with ``limit(max_rows + 1)`` (the job stops once the
+    bound is exceeded). Within the bound, the fetched rows themselves are
+    broadcast, the same trip to the driver a broadcast join makes anyway,
+    so the small side is computed once, not once for the check and again for
+    the join. Above the bound ``df`` is returned unchanged and the join is
+    planned as a shuffle join (with AQE skew splitting).
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     return df

@@ -70,6 +70,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "shiplog", *parts, uuid.uuid4().hex])
 
 
+def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
+    """Write ``df`` as a parquet table below the shared checkpoint folder and
+    read it back.
+
+    Used where one result feeds two branches of a plan: both read the same
+    stored rows (no recomputation, no chance of differing re-evaluation) and
+    the lineage is cut, so a lost executor does not replay upstream work.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_narrow: bool = True) -> DataFrame:
     """Read one test table; by default spread over the cluster if the scan
     is narrow (pass ``False`` when a shuffle follows right away anyway)."""
