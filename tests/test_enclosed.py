@@ -88,3 +88,27 @@ def test_zone_less_render_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == "2024-03-10 02:30:00.000005000"
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_TEXT = st.text(alphabet=st.sampled_from(list("ab.@<>eor\t\n\r| ;")), max_size=12)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(_TEXT, min_size=1, max_size=25))
+def test_round_trip_property(spark, values):
+    """Export -> load gives every writable value back (empty becomes null);
+    values that cannot be written unambiguously are exactly the rejects."""
+    from shiplog.functions.text import CLOSE, FIELD_SEP, RECORD_END
+
+    df = spark.createDataFrame(list(enumerate(values)), "id bigint, s string")
+    path = scratch_path(spark, "prop")
+    rejects = {r["id"] for r in enclosed.export_enclosed(df, ["id"], path, "P").collect()}
+    expect_bad = {i for i, v in enumerate(values) if (CLOSE + FIELD_SEP) in v or RECORD_END in v}
+    assert rejects == expect_bad
+    good, bad, _ = enclosed.load_enclosed(spark, path, df.schema)
+    got = {r["id"]: r["s"] for r in good.collect()}
+    want = {i: (v if v != "" else None) for i, v in enumerate(values) if i not in expect_bad}
+    assert got == want and bad.count() == 0
