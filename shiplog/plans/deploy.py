@@ -34,13 +34,14 @@ def prepare(
     """Merge the inventory and open a run.
 
     ``inventory`` = ``DF(app_id, path)``. Returns the new ledger tables, the
-    execution list of the new run and the rejected inventory rows.
+    rows to append (``changes``), the execution list of the new run and the
+    rejected inventory rows.
     """
     if action not in ACTIONS:
         raise ValueError(f"unknown action {action!r}; expected one of {ACTIONS}")
     parsed = inv_ops.parse_inventory(inv_ops.filter_inventory(inventory))
     good, bad = inv_ops.split_valid(parsed)
-    merged, _ = led.merge_increments(ledger["scripts"], good)
+    merged, new_scripts = led.merge_increments(ledger["scripts"], good)
     if action == "sync":
         run = led.create_run(merged, ledger["executions"], ledger["runs"], "sync", run_ts)
         new_execs = led.mark_fake(run["executions"]).drop("is_fake", "status")
@@ -52,7 +53,13 @@ def prepare(
         "runs": ledger["runs"].unionByName(run["runs"]),
         "executions": ledger["executions"].unionByName(new_execs),
     }
-    return {**tables, "execution_list": led.execution_list(new_execs, merged), "rejects": bad}
+    changes = {"scripts": new_scripts, "runs": run["runs"], "executions": new_execs}
+    return {
+        **tables,
+        "changes": changes,
+        "execution_list": led.execution_list(new_execs, merged),
+        "rejects": bad,
+    }
 
 
 def record(ledger: dict[str, DataFrame], returns: DataFrame) -> dict[str, DataFrame]:
@@ -63,18 +70,23 @@ def record(ledger: dict[str, DataFrame], returns: DataFrame) -> dict[str, DataFr
     status = led.halt_status(applied)
     stored = status.withColumn(
         "rc", F.when(F.col("status") == led.NOT_REACHED, F.lit(None).cast("bigint")).otherwise(F.col("rc"))
-    )
+    ).drop("status")
+    # only executions with a reported code change; the rest stays as stored
+    reported = returns.select("app_id", "id_script_execution")
+    changed = stored.join(reported, ["app_id", "id_script_execution"], "left_semi")
     return {
         "scripts": ledger["scripts"],
         "runs": ledger["runs"],
-        "executions": stored.drop("status"),
+        "executions": stored,
         "status": status,
+        "changes": {"executions": changed},
     }
 
 
-def commit(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> int:
-    """Write the tables as the next complete ledger version."""
-    return ledger_store.write_ledger(spark, root, {t: tables[t] for t in ledger_store.LEDGER_TABLES})
+def commit(spark: SparkSession, root: str, result: dict) -> int:
+    """Append the changes of a ``prepare`` / ``record`` / ``merge_only``
+    result to the ledger as its next version."""
+    return ledger_store.write_ledger(spark, root, result["changes"])
 
 
 def merge_only(ledger: dict[str, DataFrame], inventory: DataFrame) -> dict[str, DataFrame]:
@@ -88,4 +100,5 @@ def merge_only(ledger: dict[str, DataFrame], inventory: DataFrame) -> dict[str,
         "executions": ledger["executions"],
         "new_scripts": new_rows,
         "rejects": bad,
+        "changes": {"scripts": new_rows},
     }

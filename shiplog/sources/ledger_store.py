@@ -1,17 +1,21 @@
-"""Ledger snapshots on shared storage.
+"""The ledger on shared storage, as append-only versioned tables.
 
 Parquet has no in-place update (``MERGE INTO`` needs a table format that is
-not available here), so every ledger change writes a complete new snapshot
-version and readers take the highest *complete* version. Layout::
-
-    <root>/v=<n>/<table>/app_id=<tenant>/part-*.parquet
-    <root>/v=<n>/_COMMITTED
-
-Tables are partitioned by tenant, so a tenant-scoped read prunes files.
-A version counts only after ``_COMMITTED`` is written, which happens after
-all its tables are written; a failed job leaves an incomplete version that
-readers ignore. One writer per ledger root at a time; a path being read is
-never overwritten.
+not available here), and rewriting the whole ledger for every deployment
+would copy all history each time. The ledger changes in a way that suits
+appends: merging and opening a run only insert rows, and recording outcomes
+changes the return code of some executions. So every commit appends only the
+changed rows as a new version::
+
+    <root>/<table>/v=<n>/app_id=<tenant>/part-*.parquet
+    <root>/_committed/v=<n>          (empty marker, written last)
+
+Readers take the committed versions only (partition pruning on ``v``), so a
+failed or running commit is invisible. ``scripts`` and ``runs`` are the
+union of their versions; ``executions`` keep the newest row per
+``(app_id, id_script_execution)``, a grouped aggregate on a unique key (it
+shuffles evenly). A tenant-scoped read prunes ``app_id`` directories too.
+One writer per ledger root at a time.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEDGER_TABLES = ("scripts", "runs", "executions")
-MARKER = "_COMMITTED"
+COMMITTED = "_committed"
 
 SCRIPTS_DDL = (
     "app_id string, id_script bigint, folder string, file string, package_ts timestamp_ntz, "
@@ -34,6 +38,11 @@ EXECUTIONS_DDL = (
     "num_order bigint, target_id string, rc bigint"
 )
 DDL = {"scripts": SCRIPTS_DDL, "runs": RUNS_DDL, "executions": EXECUTIONS_DDL}
+EXECUTION_KEY = ["app_id", "id_script_execution"]
+
+
+def _columns(table: str) -> list[str]:
+    return [c.split()[0] for c in DDL[table].split(", ")]
 
 
 def _fs(spark: SparkSession, path: str):
@@ -42,56 +51,85 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
-    fs, p, jvm = _fs(spark, root)
+def _versions_in(spark: SparkSession, path: str) -> list[int]:
+    fs, p, _ = _fs(spark, path)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            v = int(name[2:])
-            done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), MARKER))
-            out.append((v, done))
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v="))
+
+
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Version numbers with a commit marker, ascending (driver-side listing
+    of one small folder)."""
+    return _versions_in(spark, f"{root}/{COMMITTED}")
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    done = [v for v, ok in _versions(spark, root) if ok]
+    done = committed_versions(spark, root)
     return done[-1] if done else None
 
 
-def read_ledger(spark: SparkSession, root: str, app_id: str | None = None) -> dict[str, DataFrame]:
-    """The tables of the latest complete version (optionally one tenant)."""
-    v = latest_version(spark, root)
-    if v is None:
-        raise FileNotFoundError(f"no complete ledger version below {root}")
+def _table(spark: SparkSession, root: str, table: str, versions: list[int]) -> DataFrame:
+    fs, p, _ = _fs(spark, f"{root}/{table}")
+    if not fs.exists(p):
+        return spark.createDataFrame([], DDL[table]).withColumn("v", F.lit(None).cast("int"))
+    # explicit schema: a version with no rows has no files to infer from
+    df = spark.read.schema(f"{DDL[table]}, v int").parquet(f"{root}/{table}")
+    return df.where(F.col("v").isin(versions)).select(*_columns(table), "v")
+
+
+def read_ledger(
+    spark: SparkSession, root: str, app_id: str | None = None, as_of: int | None = None
+) -> dict[str, DataFrame]:
+    """Current ledger state (optionally one tenant, optionally as of a
+    committed version)."""
+    versions = [v for v in committed_versions(spark, root) if as_of is None or v <= as_of]
+    if not versions:
+        raise FileNotFoundError(f"no committed ledger version below {root}")
     out = {}
     for t in LEDGER_TABLES:
-        # explicit schemas: a table with no rows has no files to infer from
-        df = spark.read.schema(DDL[t]).parquet(f"{root}/v={v}/{t}")
-        out[t] = df.where(F.col("app_id") == app_id) if app_id is not None else df
+        df = _table(spark, root, t, versions)
+        if app_id is not None:
+            df = df.where(F.col("app_id") == app_id)
+        if t == "executions":
+            # newest row per execution: max_by over the version number
+            value_cols = [c for c in _columns(t) if c not in EXECUTION_KEY]
+            latest = df.groupBy(*EXECUTION_KEY).agg(F.max_by(F.struct(*value_cols), F.col("v")).alias("_s"))
+            df = latest.select(*EXECUTION_KEY, "_s.*")
+        out[t] = df.select(*_columns(t))
     return out
 
 
-def write_ledger(spark: SparkSession, root: str, tables: Mapping[str, DataFrame]) -> int:
-    """Write all ledger tables as the next version; returns its number."""
-    known = _versions(spark, root)
-    v = (known[-1][0] + 1) if known else 1
+def write_ledger(spark: SparkSession, root: str, changes: Mapping[str, DataFrame]) -> int:
+    """Append the given rows (new or changed) as the next version; returns it.
+
+    Tables that are not given add nothing. The marker is written after all
+    tables, so readers never see half a commit; the version number also
+    skips numbers left behind by failed commits.
+    """
+    taken = set(committed_versions(spark, root))
     for t in LEDGER_TABLES:
-        tables[t].write.mode("errorifexists").partitionBy("app_id").parquet(f"{root}/v={v}/{t}")
+        taken |= set(_versions_in(spark, f"{root}/{t}"))
+    v = max(taken) + 1 if taken else 1
+    for t, df in changes.items():
+        if t not in DDL:
+            continue
+        (
+            df.select(*_columns(t))
+            .withColumn("v", F.lit(v))
+            .write.mode("append")
+            .partitionBy("v", "app_id")
+            .parquet(f"{root}/{t}")
+        )
     fs, _, jvm = _fs(spark, root)
-    fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/v={v}/{MARKER}")).close()
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/{COMMITTED}/v={v}")).close()
     return v
 
 
 def empty_ledger(spark: SparkSession) -> dict[str, DataFrame]:
     """A ledger with no rows (first deployment)."""
-    return {
-        "scripts": spark.createDataFrame([], SCRIPTS_DDL),
-        "runs": spark.createDataFrame([], RUNS_DDL),
-        "executions": spark.createDataFrame([], EXECUTIONS_DDL),
-    }
+    return {t: spark.createDataFrame([], DDL[t]) for t in LEDGER_TABLES}
 
 
 def read_or_empty(spark: SparkSession, root: str) -> dict[str, DataFrame]:

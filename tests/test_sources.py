@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import functions as F
+
 from shiplog.sources import ledger_store
 from shiplog.sources.execution_list import parse_execution_lines, read_execution_list
 from shiplog.sources.tree import tree_inventory
@@ -48,15 +50,25 @@ def test_parse_lines_types(spark):
 
 def test_ledger_versions(spark, tmp_path):
     root = str(tmp_path / "ledger")
-    lg = ledger_store.empty_ledger(spark)
     assert ledger_store.latest_version(spark, root) is None
     scripts = spark.createDataFrame(
         [("a", 1, "f", "1;t.sql", None, None, 1, "t", False), ("b", 1, "f", "1;t.sql", None, None, 1, "t", False)],
         ledger_store.SCRIPTS_DDL,
     )
-    v1 = ledger_store.write_ledger(spark, root, {**lg, "scripts": scripts})
-    assert v1 == 1
-    os.makedirs(os.path.join(root, "v=2", "scripts"))  # incomplete version: ignored
-    assert ledger_store.latest_version(spark, root) == 1
+    execs = spark.createDataFrame([("a", 1, 1000000001, 1, 1, "t", None)], ledger_store.EXECUTIONS_DDL)
+    assert ledger_store.write_ledger(spark, root, {"scripts": scripts, "executions": execs}) == 1
+    # an outcome: the same execution with a return code, as version 2
+    done = spark.createDataFrame([("a", 1, 1000000001, 1, 1, "t", 0)], ledger_store.EXECUTIONS_DDL)
+    assert ledger_store.write_ledger(spark, root, {"executions": done}) == 2
+    # rows written without a commit marker (a failed commit) stay invisible
+    scripts.withColumn("v", F.lit(3)).write.mode("append").partitionBy("v", "app_id").parquet(root + "/scripts")
+    assert ledger_store.latest_version(spark, root) == 2
+    now = ledger_store.read_ledger(spark, root)
+    assert now["scripts"].count() == 2
+    assert [r["rc"] for r in now["executions"].collect()] == [0]
+    before = ledger_store.read_ledger(spark, root, as_of=1)
+    assert [r["rc"] for r in before["executions"].collect()] == [None]
     back = ledger_store.read_ledger(spark, root, app_id="a")
     assert [r["app_id"] for r in back["scripts"].collect()] == ["a"]
+    # the next commit skips the number the failed commit used
+    assert ledger_store.write_ledger(spark, root, {}) == 4
