@@ -33,7 +33,7 @@ from shiplog.session import freeze
 RUN_ID_SCALE = 1_000_000_000  # id_script_execution = id_run * scale + num_order
 
 # Execution states.
-OPEN, OK, FAILED, NOT_REACHED = "open", "ok", "failed", "not_reached"
+OPEN, RUNNING, OK, FAILED, NOT_REACHED = "open", "running", "ok", "failed", "not_reached"
 
 SCRIPT_COLUMNS = [
     "app_id",
@@ -190,6 +190,28 @@ def status_of(rc: Column) -> Column:
     return F.when(rc.isNull(), F.lit(OPEN)).when(rc == 0, F.lit(OK)).otherwise(F.lit(FAILED))
 
 
+def mark_started(executions: DataFrame, started: DataFrame) -> DataFrame:
+    """L4 pre phase: ``started(app_id, id_script_execution, started_at)``
+    stamps executions a runner has picked up; ``status_started`` reports
+    them as running until a return code arrives."""
+    s = started.select("app_id", "id_script_execution", F.col("started_at").alias("_started_new"))
+    cols = executions.columns
+    base = executions if "started_at" in cols else executions.withColumn("started_at", F.lit(None).cast("timestamp_ntz"))
+    return (
+        base.join(s, ["app_id", "id_script_execution"], "left")
+        .withColumn("started_at", F.coalesce(F.col("_started_new"), F.col("started_at")))
+        .drop("_started_new")
+    )
+
+
+def status_started(executions: DataFrame) -> DataFrame:
+    """Status including the running state: started, no return code yet."""
+    st = status_of(F.col("rc"))
+    return executions.withColumn(
+        "status", F.when(F.col("rc").isNull() & F.col("started_at").isNotNull(), F.lit(RUNNING)).otherwise(st)
+    )
+
+
 def apply_outcomes(executions: DataFrame, returns: DataFrame) -> DataFrame:
     """Store reported return codes; executions without a report keep
     their current code."""

@@ -116,3 +116,16 @@ def test_classify_and_split_runnable_agree(spark):
     cfg2 = spark.createDataFrame([("dev", "dpltgt_t2_tech", "")], "env string, key string, value string")
     out2 = {r["target_id"]: r["tech"] for r in led.classify(e, runs, cfg2).collect()}
     assert out2 == {"t1": "oracle-sqlplus", "t2": "oracle-sqlplus", "t3": "oracle-sqlplus"}
+
+
+def test_pre_phase_marks_running(spark):
+    e = _execs(spark, [None, None])
+    started = spark.createDataFrame(
+        [("a", led.RUN_ID_SCALE + 1, dt.datetime(2024, 1, 1, 12))], "app_id string, id_script_execution bigint, started_at timestamp_ntz"
+    )
+    marked = led.mark_started(e, started)
+    got = {r["num_order"]: r["status"] for r in led.status_started(marked).collect()}
+    assert got == {1: "running", 2: "open"}
+    ret = spark.createDataFrame([("a", led.RUN_ID_SCALE + 1, 0)], "app_id string, id_script_execution bigint, rc bigint")
+    done = led.status_started(led.apply_outcomes(marked, ret))
+    assert {r["num_order"]: r["status"] for r in done.collect()} == {1: "ok", 2: "open"}
