@@ -51,17 +51,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     visible to other executors). In local mode, when it is unset, a fresh
     folder under the system temp area is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
-    if not sc.master.startswith("local"):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    if configured:
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+        return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a folder every executor can reach"
         )
     local = tempfile.mkdtemp(prefix="shiplog-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    spark.conf.set("spark.checkpoint.dir", local)
+    return local
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
@@ -104,8 +115,11 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     the extra sort a round-robin repartition needs for that.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or _input_bytes(df) < min_bytes:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores or _input_bytes(df) < min_bytes:
+            return df
+    except Exception:  # no RDD / JVM access (Spark Connect): leave as is
         return df
     return df.repartition(cores, *[F.col(c) for c in df.columns])
 

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from shiplog.operators.ordering import number_key, order_by_number, union_with_precedence
 
 
