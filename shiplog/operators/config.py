@@ -22,10 +22,14 @@ from shiplog.functions.predicates import (
     valid_override,
 )
 
-# Variable families.
+# Variable families, the repository technology key and the
+# target kinds with their display label.
 TARGET_PREFIX = "dpltgt_"
 GROUP_PREFIX = "dbgrp_"
+REPO_TECH_KEY = "deploy_repo_tech"
 ATOMIC, COMPOSITE = "atomic", "composite"
+LIST_BULLET = "    * "
+COMPOSITE_LABEL = " (composite)"
 
 
 def parse_overrides(lines: DataFrame, text_col: str = "text") -> DataFrame:
@@ -118,7 +122,7 @@ def techs_in_use(config_effective: DataFrame) -> DataFrame:
         "env", default_if_blank(F.col("tech"), DEFAULT_TECH).alias("tech")
     )
     repo = config_effective.groupBy("env").agg(
-        F.max(F.when(F.col("key") == "deploy_repo_tech", F.trim("value"))).alias("tech")
+        F.max(F.when(F.col("key") == REPO_TECH_KEY, F.trim("value"))).alias("tech")
     ).select("env", default_if_blank(F.col("tech"), DEFAULT_TECH).alias("tech"))
     techs = per_target.unionByName(repo).distinct()
     # the distinct set per environment is tiny (one row per technology)
@@ -157,9 +161,9 @@ def target_list(config: DataFrame) -> DataFrame:
         "target",
         F.when(F.col("_atomic"), F.lit(ATOMIC)).otherwise(F.lit(COMPOSITE)).alias("kind"),
         F.concat(
-            F.lit("    * "),
+            F.lit(LIST_BULLET),
             F.col("target"),
-            F.when(F.col("_atomic"), F.lit("")).otherwise(F.lit(" (composite)")),
+            F.when(F.col("_atomic"), F.lit("")).otherwise(F.lit(COMPOSITE_LABEL)),
         ).alias("label"),
     )
     # targets grow with the configuration: number them without a per-env window

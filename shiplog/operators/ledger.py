@@ -32,6 +32,10 @@ from shiplog.session import freeze
 
 RUN_ID_SCALE = 1_000_000_000  # id_script_execution = id_run * scale + num_order
 
+# Configuration keys read by the run loop.
+NO_RUN_KEY = "cfg_target_no_run"
+TECH_KEY_PATTERN = r"^dpltgt_(.+)_tech\z"
+
 # Execution states.
 OPEN, RUNNING, OK, FAILED, NOT_REACHED = "open", "running", "ok", "failed", "not_reached"
 
@@ -254,15 +258,15 @@ def run_settings(config_effective: DataFrame) -> DataFrame:
     """Per environment: the no-run target list (one row per env)."""
     return (
         config_effective.groupBy("env")
-        .agg(F.max(F.when(F.col("key") == "cfg_target_no_run", F.col("value"))).alias("no_run"))
+        .agg(F.max(F.when(F.col("key") == NO_RUN_KEY, F.col("value"))).alias("no_run"))
     )
 
 
 def target_techs(config_effective: DataFrame) -> DataFrame:
     """``(env, target_id, tech)`` from ``dpltgt_<target>_tech`` keys."""
-    return config_effective.where(F.col("key").rlike(r"^dpltgt_.+_tech\z")).select(
+    return config_effective.where(F.col("key").rlike(TECH_KEY_PATTERN)).select(
         "env",
-        F.regexp_extract("key", r"^dpltgt_(.+)_tech$", 1).alias("target_id"),
+        F.regexp_extract("key", TECH_KEY_PATTERN, 1).alias("target_id"),
         F.trim(F.col("value")).alias("tech"),
     )
 

@@ -1,4 +1,4 @@
-"""End-to-end ledger jobs: what one deployer invocation does to the ledger,
+"""End-to-end ledger jobs: what one deployment invocation does to the ledger,
 for many tenants at once.
 
 ``prepare``  scan -> parse -> merge -> create run -> execution list

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from shiplog.operators.config import overrides_as_layer, parse_overrides
 
+# Assignment line syntax, and the file name (without .cfg)
+# that holds the "as-set" environment.
 _ASSIGNMENT = r"^\s*(?:export\s+)?([A-Za-z_][A-Za-z0-9_]*)=(.*?)\s*$"
 AS_SET_FILE = "run_deploy"
 

@@ -12,10 +12,3 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert "num_order" in df.columns
-
-
-def test_every_query_runs_small(spark):
-    for name, fn in E.queries().items():
-        df = fn(spark, SF_SMALL)
-        assert df.columns, name
-        df.limit(1).collect()
