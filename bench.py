@@ -27,11 +27,21 @@ def run_noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+BYTES_WRITTEN: dict[str, int] = {}
+
+
+def _bytes_under(spark, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
 def enclosed_lineitem(spark, sf_dir):
     """S5 + S6 on lineitem: export in key order, load back, verify count."""
     df = read_table(spark, sf_dir, "lineitem", spread_narrow=False)
     path = scratch_path(spark, "bench", "lineitem")
     enclosed.export_enclosed(df, ["l_orderkey", "l_linenumber"], path, "LINEITEM")
+    BYTES_WRITTEN["enclosed_roundtrip_lineitem"] = _bytes_under(spark, path)
     good, bad, _ = enclosed.load_enclosed(spark, path, df.schema)
     return good.agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
 
@@ -78,6 +88,8 @@ def main() -> None:
                 "cpus": cpus,
                 "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
                 "spark": spark.version,
+                "driver_memory": spark.conf.get("spark.driver.memory"),
+                "bytes_written": BYTES_WRITTEN,
                 "reps": reps,
             }
         )
