@@ -72,9 +72,11 @@ def merge_increments(scripts: DataFrame, inventory: DataFrame) -> tuple[DataFram
     same inventory twice adds nothing the second time.
     """
     keys = ["app_id", "folder", "file"]
+    # an inventory may list a script twice (several listings combined); the
+    # de-duplication shuffles on the join keys, so the anti join reuses it
     candidates = inventory.select(
         "app_id", "folder", "file", "package_ts", "package_comment", "script_no", "target_id"
-    )
+    ).dropDuplicates(keys)
     unknown = candidates.join(scripts.select(*keys), keys, "left_anti")
     finished = scripts.where(F.col("is_finished")).select("app_id", "folder").distinct()
     fresh = unknown.join(finished, ["app_id", "folder"], "left_anti")

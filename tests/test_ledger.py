@@ -129,3 +129,10 @@ def test_pre_phase_marks_running(spark):
     ret = spark.createDataFrame([("a", led.RUN_ID_SCALE + 1, 0)], "app_id string, id_script_execution bigint, rc bigint")
     done = led.status_started(led.apply_outcomes(marked, ret))
     assert {r["num_order"]: r["status"] for r in done.collect()} == {1: "ok", 2: "open"}
+
+
+def test_merge_ignores_repeated_listing(spark):
+    lg = empty_ledger(spark)
+    inv = _inventory(spark)
+    _, new_rows = led.merge_increments(lg["scripts"], inv.unionByName(inv))
+    assert new_rows.count() == 4
