@@ -78,7 +78,9 @@ def merge_increments(scripts: DataFrame, inventory: DataFrame) -> tuple[DataFram
         "app_id", "folder", "file", "package_ts", "package_comment", "script_no", "target_id"
     ).dropDuplicates(keys)
     unknown = candidates.join(scripts.select(*keys), keys, "left_anti")
-    finished = scripts.where(F.col("is_finished")).select("app_id", "folder").distinct()
+    # one row per finished package folder: checked, then broadcast, so the
+    # inventory is not shuffled by folder (a folder can be hot)
+    finished = broadcast_if_small(scripts.where(F.col("is_finished")).select("app_id", "folder").distinct())
     fresh = unknown.join(finished, ["app_id", "folder"], "left_anti")
     numbered = number_within(fresh.withColumn("path", script_path()), ["app_id"], EXECUTION_ORDER, "_new_no")
     last_id = scripts.groupBy("app_id").agg(F.max("id_script").alias("_last_id"))
