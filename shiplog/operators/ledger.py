@@ -171,7 +171,7 @@ def create_run(
 
 def execution_list(executions: DataFrame, scripts: DataFrame) -> DataFrame:
     """L3: the 8 execution-list columns (plus tenant and run) in run order."""
-    inc = increments(scripts)
+    inc = broadcast_if_small(increments(scripts))  # one row per package folder
     s = scripts.select("app_id", "id_script", "folder", "file")
     return (
         executions.join(s, ["app_id", "id_script"], "left")
