@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from shiplog.plans.queries import QUERIES  # noqa: E402
-from shiplog.session import build_session, read_table, scratch_path  # noqa: E402
+from shiplog.session import build_session, read_table, scratch_path, scratch_scope  # noqa: E402
 from shiplog.sources import enclosed  # noqa: E402
 
 
@@ -70,9 +70,10 @@ def main() -> None:
             continue
         samples = []
         for i in range(reps + 1):
-            t0 = time.perf_counter()
-            run_noop(job(spark, sf_dir))
-            dt = time.perf_counter() - t0
+            with scratch_scope(spark):  # scratch tables are removed after each run
+                t0 = time.perf_counter()
+                run_noop(job(spark, sf_dir))
+                dt = time.perf_counter() - t0
             if i:
                 samples.append(dt)
         times[name] = round(statistics.median(samples), 3)

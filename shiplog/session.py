@@ -6,9 +6,11 @@ are for tests, the benchmark and local runs.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,10 +77,38 @@ def checkpoint_root(spark: SparkSession) -> str:
     return local
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique location below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return "/".join([root, "shiplog", *parts, uuid.uuid4().hex])
+    path = "/".join([root, "shiplog", *parts, uuid.uuid4().hex])
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the scratch folders created inside the block when it ends.
+
+    DataFrames built inside the block may read those folders lazily, so
+    write or collect their results before leaving it.
+    """
+    created: list[str] = []
+    _SCOPES.append(created)
+    try:
+        yield created
+    finally:
+        _SCOPES.pop()
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in created:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            fs = p.getFileSystem(conf)
+            if fs.exists(p):
+                fs.delete(p, True)
 
 
 def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:

@@ -36,3 +36,16 @@ def test_broadcast_if_small(spark):
     big = spark.range(100)
     assert broadcast_if_small(small, 10) is not small  # hinted copy
     assert broadcast_if_small(big, 10) is big
+
+
+def test_scratch_scope_cleans_up(spark):
+    import os
+
+    from shiplog.session import scratch_scope
+
+    df = spark.range(0, 100).select((F.col("id") % 7).alias("g"), "id")
+    with scratch_scope(spark) as created:
+        total = number_within(df, ["g"], ["id"], "rn", 4).agg(F.sum("rn")).collect()[0][0]
+        assert created and all(os.path.exists(p.replace("file:", "")) for p in created)
+    assert total == sum(sum(range(1, len(range(g, 100, 7)) + 1)) for g in range(7))
+    assert not any(os.path.exists(p.replace("file:", "")) for p in created)
