@@ -66,7 +66,13 @@ def _list_folder(root: str, rel: str, recursive: bool) -> Iterator[str]:
                 yield f"{rel_dir}/{name}" if rel_dir != "." else name
 
 
-def tree_inventory(spark: SparkSession, root: str, parallelism: int | None = None, max_levels: int = 3) -> DataFrame:
+def tree_inventory(
+    spark: SparkSession,
+    root: str,
+    parallelism: int | None = None,
+    max_levels: int = 3,
+    batch_rows: int = 50_000,
+) -> DataFrame:
     """``DF(path)`` of every regular file below ``root`` (relative paths)."""
     root = os.path.abspath(root)
     target = parallelism or spark.sparkContext.defaultParallelism
@@ -74,8 +80,17 @@ def tree_inventory(spark: SparkSession, root: str, parallelism: int | None = Non
     tasks = spark.createDataFrame(work, _TASKS).repartition(max(1, min(len(work), target * 4)))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # paths are streamed in bounded batches: a flat folder with millions
+        # of files never sits in one task's memory at once
+        buf: list[str] = []
         for b in batches:
-            out = [p for rel, rec in zip(b["folder"], b["recursive"]) for p in _list_folder(root, rel, bool(rec))]
-            yield pd.DataFrame({"path": out}, dtype=object)
+            for rel, rec in zip(b["folder"], b["recursive"]):
+                for path in _list_folder(root, rel, bool(rec)):
+                    buf.append(path)
+                    if len(buf) >= batch_rows:
+                        yield pd.DataFrame({"path": buf}, dtype=object)
+                        buf = []
+        if buf:
+            yield pd.DataFrame({"path": buf}, dtype=object)
 
     return tasks.mapInPandas(walk, _SCHEMA)
