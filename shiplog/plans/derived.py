@@ -209,13 +209,18 @@ def override_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- B5 catalog
 
 
-def catalog_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+def catalog_fixture(spark: SparkSession, sf_dir: str, measure_lengths: bool = False) -> DataFrame:
     """The catalog of the 14 test tables (from their parquet schemas)
-    with the fixture's type, owner, length and flag rules applied."""
+    with the fixture's type, owner, length and flag rules applied.
+
+    ``data_length`` is 10 x column_id, except that with ``measure_lengths``
+    string columns get the longest value in bytes, measured from the data
+    (the length a loader spec needs)."""
     from shiplog.session import TABLES
     from shiplog.sources.catalog import column_catalog
 
-    cat = column_catalog(spark, {t: read_table(spark, sf_dir, t) for t in TABLES})
+    tables = {t: read_table(spark, sf_dir, t, spread_narrow=False) for t in TABLES}
+    cat = column_catalog(spark, tables, measure_lengths=measure_lengths)
     nm = F.lower("column_name")
     cid = F.col("column_id")
     data_type = (
@@ -238,7 +243,13 @@ def catalog_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         "column_id",
         data_type.alias("data_type"),
         F.when(nm == "html", F.lit("SYS")).alias("data_type_owner"),
-        (cid * 10).cast("int").alias("data_length"),
+        (
+            F.when(F.col("spark_type") == "string", F.col("data_length")).otherwise(cid * 10)
+            if measure_lengths
+            else cid * 10
+        )
+        .cast("int")
+        .alias("data_length"),
         F.when(nm == "html", F.lit("YES"))
         .when(nm == "l_tax", F.lit("YES"))
         .when(cid % 2 == 1, F.lit("NO"))

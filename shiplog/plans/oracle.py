@@ -462,8 +462,48 @@ SELECT table_name,
 FROM visible GROUP BY table_name
 """
 
+_STRING_COLUMNS = {
+    "region": ["r_name"],
+    "nation": ["n_name"],
+    "customer": ["c_name", "c_mktsegment"],
+    "supplier": ["s_name"],
+    "part": ["p_name", "p_brand", "p_type"],
+    "orders": ["o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_returnflag", "l_linestatus"],
+    "events": ["event_type", "props"],
+    "documents": ["text", "lang", "source"],
+    "pages": ["url", "html"],
+    "benchmark": ["text"],
+    "conversations": ["role", "text"],
+}
+# longest value in bytes of every string column (sets its char(n))
+_MEASURED = "\n  UNION ALL\n".join(
+    f"  SELECT '{t.upper()}' AS table_name, '{c.upper()}' AS column_name, "
+    f"CAST(max(strlen({c})) AS INTEGER) AS max_len FROM {t}"
+    for t, cols in _STRING_COLUMNS.items()
+    for c in cols
+)
+
 ORACLE["loader_spec"] = f"""
 WITH {_CATALOG},
+measured AS (
+{_MEASURED}
+),
+sized AS (
+  SELECT k.table_name, k.column_name, k.column_id, k.data_type, k.data_type_owner,
+         CASE WHEN c.duck_type = 'VARCHAR' THEN m.max_len ELSE k.data_length END AS data_length,
+         k.virtual_column, k.hidden_column
+  FROM catalog k
+  JOIN cols c ON c.table_name = k.table_name AND c.column_name = k.column_name
+  LEFT JOIN measured m ON m.table_name = k.table_name AND m.column_name = k.column_name
+),
+visible_sized AS (
+  SELECT * FROM sized
+  WHERE (virtual_column IS DISTINCT FROM 'YES'
+         OR (data_type_owner = 'SYS' AND data_type = 'XMLTYPE'))
+    AND hidden_column IS DISTINCT FROM 'YES'
+    AND data_type NOT IN ('BLOB', 'BFILE', 'CLOB', 'NCLOB')
+),
 lines AS (
   SELECT table_name, column_id,
          '    ' || lower(column_name)
@@ -476,7 +516,7 @@ lines AS (
                           WHEN data_type = 'XMLTYPE' THEN '    char(4000)' END, '')
          || CASE WHEN row_number() OVER (PARTITION BY table_name ORDER BY column_id DESC) = 1 THEN '' ELSE ',' END
            AS line
-  FROM visible
+  FROM visible_sized
 ),
 tables AS (SELECT table_name, count(*) AS n FROM lines GROUP BY table_name),
 head(pos, tpl) AS (VALUES

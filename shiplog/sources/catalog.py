@@ -2,6 +2,8 @@
 
 The catalog is metadata (one row per column), built on the driver from the
 DataFrames' schemas; its size is bounded by the column count, never by data.
+Optionally the byte length of string columns is measured from the data (one
+aggregate pass per table).
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CATALOG_SCHEMA = T.StructType(
@@ -61,13 +64,34 @@ def catalog_type(field: T.StructField) -> tuple[str | None, int | None]:
     return None, None
 
 
-def column_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+def measured_lengths(df: DataFrame) -> dict[str, int | None]:
+    """Longest value in bytes of every string column, in one aggregate pass
+    (partial aggregation per task; the result is one row)."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return {}
+    row = df.agg(*[F.max(F.octet_length(F.col(c))).alias(c) for c in names]).collect()[0]
+    return {c: row[c] for c in names}
+
+
+def column_catalog(
+    spark: SparkSession, tables: Mapping[str, DataFrame], measure_lengths: bool = False
+) -> DataFrame:
     """One row per column of every table: upper-case names, 1-based
-    ``column_id`` in schema order, catalog type and the Spark type."""
+    ``column_id`` in schema order, catalog type and the Spark type.
+
+    Spark strings have no declared length. With ``measure_lengths`` the
+    length of a string column without one is the longest value in bytes,
+    measured from the data, so a loader spec made from the catalog accepts
+    every row.
+    """
     rows = []
     for name, df in tables.items():
+        measured = measured_lengths(df) if measure_lengths else {}
         for pos, field in enumerate(df.schema.fields, start=1):
             type_name, length = catalog_type(field)
+            if length is None and field.name in measured:
+                length = measured[field.name]
             rows.append(
                 (
                     name.upper(),
