@@ -52,11 +52,6 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def default_partitions(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def number_within(
     df: DataFrame,
     by: Sequence[str],
@@ -70,11 +65,13 @@ def number_within(
     are names or sort expressions (``F.col(c).desc()``).
     """
     by = list(by)
-    n = num_partitions or default_partitions(df)
     keys = [*_cols(by), *_cols(order)]
+    # Without an explicit count AQE may merge neighbouring ranges toward the
+    # advisory partition size (still contiguous key ranges, so positions stay
+    # valid); spark.sql.shuffle.partitions is the upper limit.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     frozen = freeze(
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+        ranged.sortWithinPartitions(*keys)
         .withColumn(_MID, F.monotonically_increasing_id()),
         "numbering",
     )
