@@ -316,7 +316,9 @@ def split_runnable(executions: DataFrame, no_run: DataFrame) -> tuple[DataFrame,
     ``no_run(env, no_run)`` holds the comma lists; they are exploded to one
     row per target and used in a semi / anti join.
     """
-    targets = no_run.select("env", F.explode(F.split("no_run", ",")).alias("target_id")).distinct()
+    targets = broadcast_if_small(
+        no_run.select("env", F.explode(F.split("no_run", ",")).alias("target_id")).distinct()
+    )
     return (
         executions.join(targets, ["env", "target_id"], "left_anti"),
         executions.join(targets, ["env", "target_id"], "left_semi"),

@@ -80,18 +80,20 @@ def _table(spark: SparkSession, root: str, table: str, versions: list[int]) -> D
 
 
 def read_ledger(
-    spark: SparkSession, root: str, app_id: str | None = None, as_of: int | None = None
+    spark: SparkSession, root: str, app_id: str | list[str] | None = None, as_of: int | None = None
 ) -> dict[str, DataFrame]:
-    """Current ledger state (optionally one tenant, optionally as of a
-    committed version)."""
+    """Current ledger state (optionally for some tenants, optionally as of a
+    committed version). A tenant filter prunes ``app_id`` directories."""
     versions = [v for v in committed_versions(spark, root) if as_of is None or v <= as_of]
     if not versions:
         raise FileNotFoundError(f"no committed ledger version below {root}")
     out = {}
     for t in LEDGER_TABLES:
         df = _table(spark, root, t, versions)
-        if app_id is not None:
+        if isinstance(app_id, str):
             df = df.where(F.col("app_id") == app_id)
+        elif app_id is not None:
+            df = df.where(F.col("app_id").isin(list(app_id)))
         if t == "executions":
             # newest row per execution: max_by over the version number
             value_cols = [c for c in _columns(t) if c not in EXECUTION_KEY]
@@ -132,5 +134,7 @@ def empty_ledger(spark: SparkSession) -> dict[str, DataFrame]:
     return {t: spark.createDataFrame([], DDL[t]) for t in LEDGER_TABLES}
 
 
-def read_or_empty(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return read_ledger(spark, root) if latest_version(spark, root) is not None else empty_ledger(spark)
+def read_or_empty(spark: SparkSession, root: str, app_id: str | list[str] | None = None) -> dict[str, DataFrame]:
+    if latest_version(spark, root) is None:
+        return empty_ledger(spark)
+    return read_ledger(spark, root, app_id=app_id)

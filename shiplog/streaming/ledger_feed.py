@@ -38,7 +38,10 @@ def start_ledger_feed(
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        ledger = read_or_empty(spark, ledger_root)
+        # only the tenants of this batch are read (partition pruning); the
+        # tenant list is bounded by the number of tenants, not by rows
+        tenants = [r["app_id"] for r in batch.select("app_id").distinct().collect()]
+        ledger = read_or_empty(spark, ledger_root, app_id=tenants)
         out = merge_only(ledger, batch)
         commit(spark, ledger_root, out)
 
