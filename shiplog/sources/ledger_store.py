@@ -15,7 +15,9 @@ failed or running commit is invisible. ``scripts`` and ``runs`` are the
 union of their versions; ``executions`` keep the newest row per
 ``(app_id, id_script_execution)``, a grouped aggregate on a unique key (it
 shuffles evenly). A tenant-scoped read prunes ``app_id`` directories too.
-One writer per ledger root at a time.
+``compact`` writes the current state as a base version (marked in
+``<root>/_base``); readers start from the newest base, so history does not
+have to be re-read forever. One writer per ledger root at a time.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 LEDGER_TABLES = ("scripts", "runs", "executions")
 COMMITTED = "_committed"
+BASE = "_base"
 
 SCRIPTS_DDL = (
     "app_id string, id_script bigint, folder string, file string, package_ts timestamp_ntz, "
@@ -87,6 +90,10 @@ def read_ledger(
     versions = [v for v in committed_versions(spark, root) if as_of is None or v <= as_of]
     if not versions:
         raise FileNotFoundError(f"no committed ledger version below {root}")
+    # start from the newest compacted base at or before the wanted version
+    bases = [b for b in _versions_in(spark, f"{root}/{BASE}") if b <= versions[-1] and b in versions]
+    if bases:
+        versions = [v for v in versions if v >= bases[-1]]
     out = {}
     for t in LEDGER_TABLES:
         df = _table(spark, root, t, versions)
@@ -129,6 +136,24 @@ def write_ledger(spark: SparkSession, root: str, changes: Mapping[str, DataFrame
     return v
 
 
+def compact(spark: SparkSession, root: str, prune: bool = False) -> int:
+    """Write the current state as one new base version; readers start there.
+
+    With ``prune`` the version folders older than the base are deleted
+    afterwards (only do that when no reader needs ``as_of`` older states).
+    """
+    state = read_ledger(spark, root)
+    v = write_ledger(spark, root, state)
+    fs, _, jvm = _fs(spark, root)
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/{BASE}/v={v}")).close()
+    if prune:
+        for t in LEDGER_TABLES:
+            for old in _versions_in(spark, f"{root}/{t}"):
+                if old < v:
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{t}/v={old}"), True)
+    return v
+
+
 def empty_ledger(spark: SparkSession) -> dict[str, DataFrame]:
     """A ledger with no rows (first deployment)."""
     return {t: spark.createDataFrame([], DDL[t]) for t in LEDGER_TABLES}

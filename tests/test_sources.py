@@ -72,3 +72,23 @@ def test_ledger_versions(spark, tmp_path):
     assert [r["app_id"] for r in back["scripts"].collect()] == ["a"]
     # the next commit skips the number the failed commit used
     assert ledger_store.write_ledger(spark, root, {}) == 4
+
+
+def test_ledger_compaction(spark, tmp_path):
+    root = str(tmp_path / "ledger-c")
+    execs = spark.createDataFrame(
+        [("a", 1, 1000000001, 1, 1, "t", None), ("a", 1, 1000000002, 2, 2, "t", None)], ledger_store.EXECUTIONS_DDL
+    )
+    ledger_store.write_ledger(spark, root, {"executions": execs})
+    done = spark.createDataFrame([("a", 1, 1000000001, 1, 1, "t", 0)], ledger_store.EXECUTIONS_DDL)
+    ledger_store.write_ledger(spark, root, {"executions": done})
+    before = sorted((r["id_script_execution"], r["rc"]) for r in ledger_store.read_ledger(spark, root)["executions"].collect())
+    base = ledger_store.compact(spark, root, prune=True)
+    assert base == 3
+    assert not os.path.exists(os.path.join(root, "executions", "v=1"))
+    after = sorted((r["id_script_execution"], r["rc"]) for r in ledger_store.read_ledger(spark, root)["executions"].collect())
+    assert before == after == [(1000000001, 0), (1000000002, None)]
+    later = spark.createDataFrame([("a", 1, 1000000002, 2, 2, "t", 5)], ledger_store.EXECUTIONS_DDL)
+    ledger_store.write_ledger(spark, root, {"executions": later})
+    final = sorted((r["id_script_execution"], r["rc"]) for r in ledger_store.read_ledger(spark, root)["executions"].collect())
+    assert final == [(1000000001, 0), (1000000002, 5)]
