@@ -26,7 +26,10 @@ from shiplog.functions.predicates import (
 from shiplog.functions.text import (
     ambiguous,
     enclose,
+    enclosed_expr,
+    enclosed_parts,
     enclosed_record,
+    field_at,
     render_text,
     split_enclosed,
 )
@@ -39,7 +42,10 @@ __all__ = [
     "default_if_blank",
     "depth",
     "enclose",
+    "enclosed_expr",
+    "enclosed_parts",
     "enclosed_record",
+    "field_at",
     "in_csv_list",
     "is_noise",
     "is_secret",
