@@ -112,18 +112,39 @@ def _typed(text: Column, dt: T.DataType) -> Column:
     return text.try_cast(dt)
 
 
+def skip_records(raw: DataFrame, n: int) -> DataFrame:
+    """Drop the first ``n`` records in file order (file name, then position).
+
+    The order key is taken at the scan, before anything can reorder rows:
+    file path, start of the file split and the position inside the scan
+    task (``monotonically_increasing_id``). The records are then numbered
+    with the skew-safe global numbering and the first ``n`` dropped.
+    """
+    from shiplog.operators.numbering import number_within
+
+    keyed = raw.select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"),
+    )
+    numbered = number_within(keyed, [], ["_file", "_block", "_pos"], "_record_no")
+    return numbered.where(F.col("_record_no") > n).select("value")
+
+
 def load_enclosed(
     spark: SparkSession, path: str, schema: T.StructType, skip: int = 0
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(good, bad, discard)`` from files written by ``export_enclosed``.
 
     Missing trailing fields are null, empty fields are null, text after the
-    last expected field is ignored. ``bad`` keeps the raw record for every
-    row with a value that does not convert; ``discard`` holds blank records.
+    last expected field is ignored. ``skip`` drops the first records in file
+    order. ``bad`` keeps the raw record for every row with a value that does
+    not convert; ``discard`` holds blank records.
     """
-    if skip:
-        raise ValueError("only skip=0 is supported: part files have no global record number")
     raw = spark.read.option("lineSep", RECORD_END).text(path)
+    if skip:
+        raw = skip_records(raw, skip)
     n = len(schema.fields)
     # One regex pass per record, then one pass to unwrap the fields. Each
     # one-element explode is a barrier: the good/bad filters below cannot be

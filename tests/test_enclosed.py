@@ -112,3 +112,11 @@ def test_round_trip_property(spark, values):
     got = {r["id"]: r["s"] for r in good.collect()}
     want = {i: (v if v != "" else None) for i, v in enumerate(values) if i not in expect_bad}
     assert got == want and bad.count() == 0
+
+
+def test_load_skips_first_records(spark):
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(1, 41)], "id bigint, s string").repartition(4)
+    path = scratch_path(spark, "skip")
+    enclosed.export_enclosed(df, ["id"], path, "S")
+    good, _, _ = enclosed.load_enclosed(spark, path, df.schema, skip=5)
+    assert sorted(r["id"] for r in good.collect()) == list(range(6, 41))
