@@ -120,3 +120,25 @@ def test_load_skips_first_records(spark):
     enclosed.export_enclosed(df, ["id"], path, "S")
     good, _, _ = enclosed.load_enclosed(spark, path, df.schema, skip=5)
     assert sorted(r["id"] for r in good.collect()) == list(range(6, 41))
+
+
+def test_round_trip_zoned_decimal_bool_date(spark):
+    import decimal
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        rows = [
+            (1, dt.datetime(2024, 7, 1, 12, 0, 0, 250000), decimal.Decimal("12.34"), True, dt.date(2024, 2, 29)),
+            (2, None, None, None, None),
+        ]
+        df = spark.createDataFrame(rows, "id bigint, ts timestamp, amount decimal(18,2), flag boolean, d date")
+        path = scratch_path(spark, "zoned")
+        enclosed.export_enclosed(df, ["id"], path, "Z")
+        text = spark.read.option("lineSep", "<eor>\n").text(path).collect()
+        assert any("+02/00" in r["value"] for r in text)  # summer time offset, written as +hh/mm
+        good, bad, _ = enclosed.load_enclosed(spark, path, df.schema)
+        assert bad.count() == 0
+        assert sorted(tuple(r) for r in good.collect()) == sorted(tuple(r) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
