@@ -49,3 +49,21 @@ def test_scratch_scope_cleans_up(spark):
         assert created and all(os.path.exists(p.replace("file:", "")) for p in created)
     assert total == sum(sum(range(1, len(range(g, 100, 7)) + 1)) for g in range(7))
     assert not any(os.path.exists(p.replace("file:", "")) for p in created)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(
+    st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b", None]), st.integers(0, 50)), min_size=1, max_size=300),
+    st.integers(1, 7),
+)
+def test_numbering_matches_window_property(spark, rows, parts):
+    data = [(g, k, i) for i, (g, k) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g string, k int, id int")
+    ours = {r["id"]: r["rn"] for r in number_within(df, ["g"], ["k", "id"], "rn", num_partitions=parts).collect()}
+    w = Window.partitionBy("g").orderBy("k", "id")
+    ref = {r["id"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    assert ours == ref
