@@ -63,7 +63,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "5"))
     only = [a for a in sys.argv[1:] if a in JOBS]
-    spark = build_session("shiplog-bench", cpus=cpus, shuffle_partitions=max(8, cpus * 2), driver_memory="16g")
+    spark = build_session("shiplog-bench", cpus=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2)))), driver_memory="16g")
     times: dict[str, float] = {}
     for name, job in JOBS.items():
         if only and name not in only:
