@@ -9,10 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shiplog.functions.predicates import valid_app_id
+from shiplog.operators import catalog as cat_ops
+from shiplog.operators import config as cfg_ops
 from shiplog.operators import inventory as inv_ops
+from shiplog.operators import ledger as led
+from shiplog.operators import ordering as ord_ops
+from shiplog.operators.numbering import number_within
 from shiplog.plans import derived
-from shiplog.session import read_table
+from shiplog.session import read_table, scratch_path
+from shiplog.sources import enclosed
+from shiplog.sources import execution_list as xl
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,11 +63,6 @@ def inventory_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- ledger
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from shiplog.operators import config as cfg_ops  # noqa: E402
-from shiplog.operators import ledger as led  # noqa: E402
-
 
 @register("merge_increments")
 def merge_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,9 +126,6 @@ def sync_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- config
 
-from shiplog.functions.predicates import valid_app_id  # noqa: E402
-from shiplog.operators import ordering as ord_ops  # noqa: E402
-
 
 @register("app_id_check")
 def app_id_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,11 +188,6 @@ def precedence_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- catalog / export
 
-from shiplog.operators import catalog as cat_ops  # noqa: E402
-from shiplog.operators.numbering import number_within  # noqa: E402
-from shiplog.session import scratch_path  # noqa: E402
-from shiplog.sources import enclosed  # noqa: E402
-
 
 @register("visible_columns")
 def visible_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,8 +257,6 @@ def enclosed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- execution list file
 
-from shiplog.sources import execution_list as xl  # noqa: E402
-
 
 @register("execution_list_read")
 def execution_list_read(spark: SparkSession, sf_dir: str) -> DataFrame:
