@@ -96,7 +96,7 @@ from hypothesis import strategies as st  # noqa: E402
 _TEXT = st.text(alphabet=st.sampled_from(list("ab.@<>eor\t\n\r| ;")), max_size=12)
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=4, deadline=None, derandomize=True)
 @given(st.lists(_TEXT, min_size=1, max_size=25))
 def test_round_trip_property(spark, values):
     """Export -> load gives every writable value back (empty becomes null);
