@@ -67,3 +67,26 @@ def test_numbering_matches_window_property(spark, rows, parts):
     w = Window.partitionBy("g").orderBy("k", "id")
     ref = {r["id"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert ours == ref
+
+
+def test_hot_group_is_split_over_partitions(spark):
+    from shiplog.session import scratch_scope
+
+    df = spark.range(0, 40000).select(
+        F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.lit("cold")).alias("app_id"),
+        ((F.col("id") * 104729) % 40009).alias("k"),
+        "id",
+    )
+    with scratch_scope(spark) as created:
+        out = number_within(df, ["app_id"], ["k", "id"], "rn", num_partitions=8)
+        assert out.where("app_id = 'hot'").agg(F.max("rn")).collect()[0][0] == 36000
+        frozen = spark.read.parquet(*[p for p in created if "/numbering/" in p])
+        per_part = (
+            frozen.where("app_id = 'hot'")
+            .groupBy(F.shiftright("__row_id", 33).alias("pid"))
+            .count()
+            .collect()
+        )
+    # the hot tenant is cut over several range partitions, none holding it all
+    assert len(per_part) >= 6
+    assert max(r["count"] for r in per_part) < 36000 / 2
