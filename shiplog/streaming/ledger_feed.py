@@ -32,6 +32,7 @@ def start_ledger_feed(
     ledger_root: str,
     checkpoint_location: str,
     processing_time: str | None = None,
+    max_tenants: int = 10_000,
 ) -> StreamingQuery:
     """Start the feed; each non-empty micro-batch writes one ledger version."""
 
@@ -39,9 +40,10 @@ def start_ledger_feed(
         if batch.isEmpty():
             return
         # only the tenants of this batch are read (partition pruning); the
-        # tenant list is bounded by the number of tenants, not by rows
-        tenants = [r["app_id"] for r in batch.select("app_id").distinct().collect()]
-        ledger = read_or_empty(spark, ledger_root, app_id=tenants)
+        # list is fetched with a bound, beyond which the whole ledger is read
+        tenants = [r["app_id"] for r in batch.select("app_id").distinct().limit(max_tenants + 1).collect()]
+        scope = tenants if len(tenants) <= max_tenants else None
+        ledger = read_or_empty(spark, ledger_root, app_id=scope)
         out = merge_only(ledger, batch)
         commit(spark, ledger_root, out)
 
