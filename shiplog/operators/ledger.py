@@ -14,8 +14,9 @@ all rows), so nothing here partitions a window or a shuffle by them.
 Ordering uses the skew-safe ``number_within``; per-tenant and per-run facts
 (next run id, last script id, first failure, run settings) are hash
 aggregates with map-side combine, joined back through ``broadcast_if_small``:
-a row-count check (``limit(n + 1).count()``, stops early) and a broadcast
-below the bound, a sort-merge join with AQE skew splitting above it.
+the small side is fetched with ``limit(n + 1)`` (stops early); within the
+bound those rows are broadcast, above it the join is a sort-merge join with
+AQE skew splitting.
 Script-level joins are on unique keys (no skew) and shuffle evenly.
 """
 
