@@ -58,11 +58,13 @@ def number_within(
     order: Sequence[str | Column],
     name: str = "rn",
     num_partitions: int | None = None,
+    max_broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, ... per group ``by`` in ``order`` (bigint).
 
     ``by`` are column names (may be empty for one global sequence); ``order``
-    are names or sort expressions (``F.col(c).desc()``).
+    are names or sort expressions (``F.col(c).desc()``). Above
+    ``max_broadcast_rows`` pieces the piece table is joined with a shuffle.
     """
     by = list(by)
     keys = [*_cols(by), *_cols(order)]
@@ -92,7 +94,7 @@ def number_within(
     )
     # one row per partition without groups (proven bound); otherwise at most
     # groups + partitions rows, checked before broadcasting
-    pieces = F.broadcast(pieces) if not by else broadcast_if_small(pieces)
+    pieces = F.broadcast(pieces) if not by else broadcast_if_small(pieces, max_broadcast_rows)
     cond = [F.col(_PID) == F.col("__p" + _PID)] + [
         F.col(c).eqNullSafe(F.col(f"__p_{i}")) for i, c in enumerate(by)
     ]

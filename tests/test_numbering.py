@@ -90,3 +90,11 @@ def test_hot_group_is_split_over_partitions(spark):
     # the hot tenant is cut over several range partitions, none holding it all
     assert len(per_part) >= 6
     assert max(r["count"] for r in per_part) < 36000 / 2
+
+
+def test_many_groups_use_the_shuffle_join_path(spark):
+    # more pieces than the broadcast bound: the piece table is joined with a shuffle
+    df = spark.range(0, 3000).select((F.col("id") % 500).alias("g"), "id")
+    out = number_within(df, ["g"], ["id"], "rn", num_partitions=4, max_broadcast_rows=10)
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("id")).cast("bigint"))
+    assert out.select("id", "rn").exceptAll(ref.select("id", "rn")).count() == 0
