@@ -51,7 +51,7 @@ def prepare(
     tables = {
         "scripts": merged,
         "runs": ledger["runs"].unionByName(run["runs"]),
-        "executions": ledger["executions"].unionByName(new_execs),
+        "executions": ledger["executions"].unionByName(new_execs, allowMissingColumns=True),
     }
     changes = {"scripts": new_scripts, "runs": run["runs"], "executions": new_execs}
     return {
@@ -83,6 +83,14 @@ def record(ledger: dict[str, DataFrame], returns: DataFrame) -> dict[str, DataFr
     }
 
 
+def start(ledger: dict[str, DataFrame], started: DataFrame) -> dict[str, DataFrame]:
+    """L4 pre phase: stamp executions a runner has picked up
+    (``DF(app_id, id_script_execution, started_at)``)."""
+    marked = led.mark_started(ledger["executions"], started)
+    changed = marked.join(started.select("app_id", "id_script_execution"), ["app_id", "id_script_execution"], "left_semi")
+    return {**ledger, "executions": marked, "changes": {"executions": changed}}
+
+
 def commit(spark: SparkSession, root: str, result: dict) -> int:
     """Append the changes of a ``prepare`` / ``record`` / ``merge_only``
     result to the ledger as its next version."""

@@ -38,7 +38,7 @@ SCRIPTS_DDL = (
 RUNS_DDL = "app_id string, id_run bigint, action string, run_ts timestamp_ntz, env string"
 EXECUTIONS_DDL = (
     "app_id string, id_run bigint, id_script_execution bigint, id_script bigint, "
-    "num_order bigint, target_id string, rc bigint"
+    "num_order bigint, target_id string, rc bigint, started_at timestamp_ntz"
 )
 DDL = {"scripts": SCRIPTS_DDL, "runs": RUNS_DDL, "executions": EXECUTIONS_DDL}
 EXECUTION_KEY = ["app_id", "id_script_execution"]
@@ -124,8 +124,13 @@ def write_ledger(spark: SparkSession, root: str, changes: Mapping[str, DataFrame
     for t, df in changes.items():
         if t not in DDL:
             continue
+        types = dict(c.split() for c in DDL[t].split(", "))
+        # optional columns a writer did not produce are stored as null
+        cols = [
+            F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in _columns(t)
+        ]
         (
-            df.select(*_columns(t))
+            df.select(*cols)
             .withColumn("v", F.lit(v))
             .write.mode("append")
             .partitionBy("v", "app_id")
@@ -159,6 +164,13 @@ def empty_ledger(spark: SparkSession) -> dict[str, DataFrame]:
     return {t: spark.createDataFrame([], DDL[t]) for t in LEDGER_TABLES}
 
 
+def fit(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with exactly the stored columns of ``table`` (missing optional
+    columns as null)."""
+    types = dict(c.split() for c in DDL[table].split(", "))
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in _columns(table)])
+
+
 def read_or_empty(spark: SparkSession, root: str, app_id: str | list[str] | None = None) -> dict[str, DataFrame]:
     if latest_version(spark, root) is None:
         return empty_ledger(spark)

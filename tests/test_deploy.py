@@ -38,8 +38,18 @@ def test_deploy_cycle(spark, tmp_path):
     assert out["rejects"].count() == 0
     deploy.commit(spark, root, out)
 
-    # the second script fails: the rest of the run is not reached
+    # the runner picks up the first two scripts (pre phase)
+    stored = ledger_store.read_ledger(spark, root)
+    picked = [r["id_script_execution"] for r in listing if r["num_order"] <= 2]
+    started = spark.createDataFrame(
+        [("shop", x, dt.datetime(2024, 3, 1, 10)) for x in picked],
+        "app_id string, id_script_execution bigint, started_at timestamp_ntz",
+    )
+    deploy.commit(spark, root, deploy.start(stored, started))
     stored = ledger_store.read_ledger(spark, root)
+    assert stored["executions"].where("started_at IS NOT NULL").count() == 2
+
+    # the second script fails: the rest of the run is not reached
     second = [r for r in listing if r["num_order"] == 2][0]["id_script_execution"]
     first = [r for r in listing if r["num_order"] == 1][0]["id_script_execution"]
     returns = spark.createDataFrame(
@@ -48,8 +58,10 @@ def test_deploy_cycle(spark, tmp_path):
     rec = deploy.record(stored, returns)
     status = {r["num_order"]: r["status"] for r in rec["status"].collect()}
     assert status == {1: "ok", 2: "failed", 3: "not_reached", 4: "not_reached"}
-    v2 = deploy.commit(spark, root, rec)
-    assert v2 == 2
+    v3 = deploy.commit(spark, root, rec)
+    assert v3 == 3
+    after = {r["id_script_execution"]: (r["rc"], r["started_at"]) for r in ledger_store.read_ledger(spark, root)["executions"].collect()}
+    assert after[first] == (0, dt.datetime(2024, 3, 1, 10))
 
     # the next run lists the failed script and everything after it
     again = deploy.prepare(spark, ledger_store.read_ledger(spark, root), inv, "all", dt.datetime(2024, 3, 2))

@@ -3,6 +3,12 @@ import os
 from pyspark.sql import functions as F
 
 from shiplog.sources import ledger_store
+
+# executions as an older writer produces them (no started_at): stored as null
+EXEC7 = (
+    "app_id string, id_run bigint, id_script_execution bigint, id_script bigint, "
+    "num_order bigint, target_id string, rc bigint"
+)
 from shiplog.sources.execution_list import parse_execution_lines, read_execution_list
 from shiplog.sources.tree import tree_inventory
 
@@ -55,10 +61,10 @@ def test_ledger_versions(spark, tmp_path):
         [("a", 1, "f", "1;t.sql", None, None, 1, "t", False), ("b", 1, "f", "1;t.sql", None, None, 1, "t", False)],
         ledger_store.SCRIPTS_DDL,
     )
-    execs = spark.createDataFrame([("a", 1, 1000000001, 1, 1, "t", None)], ledger_store.EXECUTIONS_DDL)
+    execs = spark.createDataFrame([("a", 1, 1000000001, 1, 1, "t", None)], EXEC7)
     assert ledger_store.write_ledger(spark, root, {"scripts": scripts, "executions": execs}) == 1
     # an outcome: the same execution with a return code, as version 2
-    done = spark.createDataFrame([("a", 1, 1000000001, 1, 1, "t", 0)], ledger_store.EXECUTIONS_DDL)
+    done = spark.createDataFrame([("a", 1, 1000000001, 1, 1, "t", 0)], EXEC7)
     assert ledger_store.write_ledger(spark, root, {"executions": done}) == 2
     # rows written without a commit marker (a failed commit) stay invisible
     scripts.withColumn("v", F.lit(3)).write.mode("append").partitionBy("v", "app_id").parquet(root + "/scripts")
@@ -77,10 +83,10 @@ def test_ledger_versions(spark, tmp_path):
 def test_ledger_compaction(spark, tmp_path):
     root = str(tmp_path / "ledger-c")
     execs = spark.createDataFrame(
-        [("a", 1, 1000000001, 1, 1, "t", None), ("a", 1, 1000000002, 2, 2, "t", None)], ledger_store.EXECUTIONS_DDL
+        [("a", 1, 1000000001, 1, 1, "t", None), ("a", 1, 1000000002, 2, 2, "t", None)], EXEC7
     )
     ledger_store.write_ledger(spark, root, {"executions": execs})
-    done = spark.createDataFrame([("a", 1, 1000000001, 1, 1, "t", 0)], ledger_store.EXECUTIONS_DDL)
+    done = spark.createDataFrame([("a", 1, 1000000001, 1, 1, "t", 0)], EXEC7)
     ledger_store.write_ledger(spark, root, {"executions": done})
     before = sorted((r["id_script_execution"], r["rc"]) for r in ledger_store.read_ledger(spark, root)["executions"].collect())
     base = ledger_store.compact(spark, root, prune=True)
@@ -88,7 +94,7 @@ def test_ledger_compaction(spark, tmp_path):
     assert not os.path.exists(os.path.join(root, "executions", "v=1"))
     after = sorted((r["id_script_execution"], r["rc"]) for r in ledger_store.read_ledger(spark, root)["executions"].collect())
     assert before == after == [(1000000001, 0), (1000000002, None)]
-    later = spark.createDataFrame([("a", 1, 1000000002, 2, 2, "t", 5)], ledger_store.EXECUTIONS_DDL)
+    later = spark.createDataFrame([("a", 1, 1000000002, 2, 2, "t", 5)], EXEC7)
     ledger_store.write_ledger(spark, root, {"executions": later})
     final = sorted((r["id_script_execution"], r["rc"]) for r in ledger_store.read_ledger(spark, root)["executions"].collect())
     assert final == [(1000000001, 0), (1000000002, 5)]
