@@ -65,15 +65,8 @@ def valid_inventory(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- B3/B4 ledger
 
 
-def ledger_from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """B3 + B4: ``scripts``, ``executions``, ``runs`` and ``returns``.
-
-    ``num_order`` is numbered per (tenant, run) with the skew-safe numbering;
-    ``id_script_execution`` = ``id_run * 10^9 + num_order``.
-    """
-    events = read_table(spark, sf_dir, "events")
-    inv = valid_inventory(events).where(F.col("event_id") % 3 != 1)
-    scripts = inv.select(
+def _scripts(inv: DataFrame) -> DataFrame:
+    return inv.select(
         "app_id",
         F.col("event_id").alias("id_script"),
         "folder",
@@ -84,6 +77,23 @@ def ledger_from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
         "target_id",
         (F.hour("package_ts") % 2 == 0).alias("is_finished"),
     )
+
+
+def scripts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 ``scripts`` alone (lazy; the executions need an eager numbering)."""
+    inv = valid_inventory(read_table(spark, sf_dir, "events")).where(F.col("event_id") % 3 != 1)
+    return _scripts(inv)
+
+
+def ledger_from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """B3 + B4: ``scripts``, ``executions``, ``runs`` and ``returns``.
+
+    ``num_order`` is numbered per (tenant, run) with the skew-safe numbering;
+    ``id_script_execution`` = ``id_run * 10^9 + num_order``.
+    """
+    events = read_table(spark, sf_dir, "events")
+    inv = valid_inventory(events).where(F.col("event_id") % 3 != 1)
+    scripts = _scripts(inv)
     eid = F.col("event_id")
     rc = (
         F.when(eid % 10 == 9, F.lit(None).cast("bigint"))

@@ -67,11 +67,11 @@ def inventory_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("merge_increments")
 def merge_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger after merging the full inventory."""
-    lg = derived.ledger_from_events(spark, sf_dir)
+    scripts = derived.scripts_from_events(spark, sf_dir)
     inv = derived.valid_inventory(read_table(spark, sf_dir, "events"))
-    _, new_rows = led.merge_increments(lg["scripts"], inv)
+    _, new_rows = led.merge_increments(scripts, inv)
     # merged ledger = known rows + new rows; flag them without a join
-    known = lg["scripts"].select(*led.SCRIPT_COLUMNS, F.lit(False).alias("is_new"))
+    known = scripts.select(*led.SCRIPT_COLUMNS, F.lit(False).alias("is_new"))
     return known.unionByName(new_rows.select(*led.SCRIPT_COLUMNS, F.lit(True).alias("is_new")))
 
 
