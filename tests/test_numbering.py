@@ -98,3 +98,10 @@ def test_many_groups_use_the_shuffle_join_path(spark):
     out = number_within(df, ["g"], ["id"], "rn", num_partitions=4, max_broadcast_rows=10)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("id")).cast("bigint"))
     assert out.select("id", "rn").exceptAll(ref.select("id", "rn")).count() == 0
+
+
+def test_descending_order(spark):
+    df = spark.range(0, 2000).select((F.col("id") % 3).alias("g"), "id")
+    out = number_within(df, ["g"], [F.col("id").desc()], "rn", num_partitions=5)
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(F.col("id").desc())).cast("bigint"))
+    assert out.select("id", "rn").exceptAll(ref.select("id", "rn")).count() == 0
