@@ -20,6 +20,7 @@ from shiplog.functions.predicates import (
     override_key,
     override_value,
     shown_value,
+    split_override,
     valid_app_id,
     valid_override,
 )
@@ -60,6 +61,7 @@ __all__ = [
     "render_text",
     "shown_value",
     "split_enclosed",
+    "split_override",
     "valid_app_id",
     "valid_override",
 ]

@@ -45,6 +45,11 @@ def override_value(text: Column | str) -> Column:
     return F.regexp_replace(_c(text), r"^[^=]*=", "")
 
 
+def split_override(text: Column | str) -> Column:
+    """``struct(key, value)`` split at the first ``=``."""
+    return F.struct(override_key(text).alias("key"), override_value(text).alias("value"))
+
+
 def is_secret(key: Column | str) -> Column:
     """Keys ending in ``passwd`` or ``password``."""
     return F.coalesce(_c(key).rlike(SECRET_KEY_PATTERN), F.lit(False))

@@ -170,8 +170,11 @@ def create_run(
     return {"runs": new_runs, "executions": new_execs, "ordered": ordered}
 
 
-def execution_list(executions: DataFrame, scripts: DataFrame) -> DataFrame:
-    """L3: the 8 execution-list columns (plus tenant and run) in run order."""
+def execution_list(executions: DataFrame, scripts: DataFrame, id_run: int | None = None) -> DataFrame:
+    """L3: the 8 execution-list columns (plus tenant and run); ``num_order``
+    is the run order. ``id_run`` limits the list to one run."""
+    if id_run is not None:
+        executions = executions.where(F.col("id_run") == id_run)
     inc = broadcast_if_small(increments(scripts))  # one row per package folder
     s = scripts.select("app_id", "id_script", "folder", "file")
     return (

@@ -74,3 +74,11 @@ def test_read_config_files(spark, tmp_path):
     ovr = spark.createDataFrame([("dev", 1, "dpltgt_a_db=db3"), ("dev", 2, "bad=1")], "env string, ord int, text string")
     eff = {(r["env"], r["key"]): r["value"] for r in cfg.effective_config(with_overrides(conf, ovr)).collect()}
     assert eff[("dev", "dpltgt_a_db")] == "db3"
+
+
+def test_split_override_struct(spark):
+    from shiplog.functions.predicates import split_override
+
+    df = spark.createDataFrame([("cfg_a=b=c",)], "t string")
+    r = df.select(split_override("t").alias("kv")).collect()[0]["kv"]
+    assert (r["key"], r["value"]) == ("cfg_a", "b=c")
