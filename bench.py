@@ -1,7 +1,7 @@
 """Benchmark the headline jobs; prints one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_REPS`` (default 5). Each job is built from scratch and
+(default 8), ``BENCH_REPS`` (default 7). Each job is built from scratch and
 fully executed (``noop`` sink, nothing collected) once as warm-up and then
 ``BENCH_REPS`` times; the median is reported.
 """
@@ -61,7 +61,7 @@ JOBS = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "5"))
+    reps = int(os.environ.get("BENCH_REPS", "7"))
     only = [a for a in sys.argv[1:] if a in JOBS]
     spark = build_session("shiplog-bench", cpus=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2)))), driver_memory="16g")
     times: dict[str, float] = {}
