@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplog.llm import decontaminate, line_dedup
+from shiplog.llm import decontaminate, line_dedup, secret_scan, toxicity
 from shiplog.llm.common import read_table, share_package
 
 
@@ -14,13 +14,25 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return secret_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
+    "op6_toxicity": op6_toxicity,
     "op8_line_dedup": op8_line_dedup,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLE: dict[str, str] = {
