@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplog.llm import decontaminate, line_dedup, secret_scan, toxicity
+from shiplog.llm import decontaminate, html_extract, line_dedup, packing, secret_scan, toxicity
 from shiplog.llm.common import read_table, share_package
 
 
@@ -19,6 +19,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
@@ -28,11 +33,18 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return html_extract.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op6_toxicity": op6_toxicity,
+    "op7_packing": op7_packing,
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
+    "op10_html_extract": op10_html_extract,
 }
 
 ORACLE: dict[str, str] = {
