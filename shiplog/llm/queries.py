@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplog.llm import decontaminate, html_extract, line_dedup, packing, secret_scan, toxicity
+from shiplog.llm import decontaminate, html_extract, line_dedup, order_minhash, packing, secret_scan, toxicity
 from shiplog.llm.common import read_table, share_package
 
 
@@ -14,6 +14,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return order_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     share_package(spark)
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -40,6 +45,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
+    "op4_order_minhash": op4_order_minhash,
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
     "op8_line_dedup": op8_line_dedup,
