@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplog.llm import decontaminate, html_extract, line_dedup, order_minhash, packing, secret_scan, toxicity
+from shiplog.llm import decontaminate, html_extract, line_dedup, order_minhash, packing, secret_scan, suffix_dedup, toxicity
 from shiplog.llm.common import read_table, share_package
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    found = suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +50,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_order_minhash": op4_order_minhash,
     "op6_toxicity": op6_toxicity,
