@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplog.llm import decontaminate, html_extract, line_dedup, order_minhash, packing, secret_scan, suffix_dedup, toxicity
+from shiplog.llm import cover_tree, decontaminate, html_extract, line_dedup, order_minhash, packing, secret_scan, suffix_dedup, toxicity
 from shiplog.llm.common import read_table, share_package
 
 
@@ -16,6 +16,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return cover_tree.top_k(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +56,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_cover_tree": op2_cover_tree,
     "op3_decontaminate": op3_decontaminate,
     "op4_order_minhash": op4_order_minhash,
     "op6_toxicity": op6_toxicity,
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_cover_tree": cover_tree.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
 }
