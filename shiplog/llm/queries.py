@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplog.llm import cover_tree, decontaminate, html_extract, line_dedup, order_minhash, packing, secret_scan, suffix_dedup, toxicity
+from shiplog.llm import cover_tree, decontaminate, gru_lm, html_extract, line_dedup, order_minhash, packing, secret_scan, suffix_dedup, toxicity
 from shiplog.llm.common import read_table, share_package
 
 
@@ -30,6 +30,11 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return gru_lm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     share_package(spark)
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cover_tree": op2_cover_tree,
     "op3_decontaminate": op3_decontaminate,
     "op4_order_minhash": op4_order_minhash,
+    "op5_gru_lm": op5_gru_lm,
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
     "op8_line_dedup": op8_line_dedup,
