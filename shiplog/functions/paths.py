@@ -47,11 +47,11 @@ def depth(path: Column | str) -> Column:
 # single regular-expression pass. ``[^/]`` keeps a rule inside the base name.
 NOISE_RULES = [
     r"^\.[^/]*/",  # first component starts with a dot
-    r"\.~[^/]{3}$",  # name ends with .~ and 3 characters
-    r"\.[^/]{3}~$",  # name ends with . and 3 characters and ~
-    r";deploy_repo\.[^/]*$",  # script of the repository target itself
-    r"\.tmp$",  # temporary file
-    r"\.log$",  # log file
+    r"\.~[^/]{3}\z",  # name ends with .~ and 3 characters
+    r"\.[^/]{3}~\z",  # name ends with . and 3 characters and ~
+    r";deploy_repo\.[^/]*\z",  # script of the repository target itself
+    r"\.tmp\z",  # temporary file
+    r"\.log\z",  # log file
 ]
 NOISE_PATTERN = "(?s)" + "|".join(f"(?:{r})" for r in NOISE_RULES)
 
@@ -87,4 +87,4 @@ def package_stamp(folder_name: Column | str) -> Column:
 def package_comment(folder_name: Column | str) -> Column:
     """Optional informative part after the first ``;`` of a package folder."""
     f = _c(folder_name)
-    return F.when(f.contains(";"), F.substring(f, F.length(F.substring_index(f, ";", 1)) + 2, F.lit(1 << 30)))
+    return F.when(f.contains(";"), F.substring(f, F.length(F.substring_index(f, ";", 1)) + 2, F.length(f)))

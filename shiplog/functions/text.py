@@ -42,10 +42,10 @@ def _ntz_text(col: Column, fraction: bool) -> Column:
     text form (``yyyy-MM-dd HH:mm:ss[.ffffff]``) does not.
     """
     text = col.cast("timestamp_ntz").cast("string")
-    base = F.substring(text, 1, 19)
+    base = F.substring_index(text, ".", 1)  # years may have more than four digits
     if not fraction:
         return base
-    frac = F.when(F.length(text) > 20, F.substring(text, 21, 9)).otherwise(F.lit(""))
+    frac = F.when(text.contains("."), F.substring_index(text, ".", -1)).otherwise(F.lit(""))
     return F.concat(base, F.lit("."), F.rpad(frac, 9, "0"))
 
 

@@ -27,6 +27,9 @@ from shiplog.functions.predicates import (
 TARGET_PREFIX = "dpltgt_"
 GROUP_PREFIX = "dbgrp_"
 REPO_TECH_KEY = "deploy_repo_tech"
+TARGET_TECH_PATTERN = r"(?i)^dpltgt_.*_tech\z"
+ATOMIC_PATTERN = r"^dpltgt_(.*)_(db|user|password)\z"
+COMPOSITE_PATTERN = r"^dbgrp_(.*)\z"
 ATOMIC, COMPOSITE = "atomic", "composite"
 LIST_BULLET = "    * "
 COMPOSITE_LABEL = " (composite)"
@@ -43,11 +46,12 @@ def parse_overrides(lines: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def overrides_as_layer(parsed: DataFrame, layer: int = 1) -> DataFrame:
-    """Valid overrides as a config layer (invalid ones are left out)."""
-    return parsed.where("is_valid").select(
+def overrides_as_layer(parsed: DataFrame, layer: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(valid overrides as a config layer, refused overrides)."""
+    good = parsed.where("is_valid").select(
         "env", F.lit(layer).cast("int").alias("layer"), F.col("ord").cast("int"), "key", "value"
     )
+    return good, parsed.where(~F.coalesce(F.col("is_valid"), F.lit(False))).drop("is_valid", "key", "value")
 
 
 def split_app_ids(df: DataFrame, col: str = "app_id") -> tuple[DataFrame, DataFrame]:
@@ -107,7 +111,7 @@ def change_report(config: DataFrame) -> DataFrame:
 def target_tech(config: DataFrame) -> DataFrame:
     """``(env, key, tech)`` for ``dpltgt_*_tech`` keys, case-insensitive,
     blanks trimmed."""
-    return config.where(F.col("key").rlike(r"(?i)^dpltgt_.*_tech\z")).select(
+    return config.where(F.col("key").rlike(TARGET_TECH_PATTERN)).select(
         "env", "key", F.trim(F.col("value")).alias("tech")
     )
 
@@ -134,8 +138,8 @@ def target_names(config: DataFrame) -> DataFrame:
     """Target names and kinds. ``dpltgt_<t>_{db,user,password}`` is an
     atomic target, ``dbgrp_<t>`` a composite one; the name match is greedy."""
     k = F.col("key")
-    atomic = F.regexp_extract(k, r"^dpltgt_(.*)_(db|user|password)$", 1)
-    composite = F.regexp_extract(k, r"^dbgrp_(.*)$", 1)
+    atomic = F.regexp_extract(k, ATOMIC_PATTERN, 1)
+    composite = F.regexp_extract(k, COMPOSITE_PATTERN, 1)
     return (
         config.select(
             "env",

@@ -13,10 +13,8 @@ Scale notes: tenant and run keys are few and hot (one run may hold a third of
 all rows), so nothing here partitions a window or a shuffle by them.
 Ordering uses the skew-safe ``number_within``; per-tenant and per-run facts
 (next run id, last script id, first failure, run settings) are hash
-aggregates with map-side combine, joined back through ``broadcast_if_small``:
-the small side is fetched with ``limit(n + 1)`` (stops early); within the
-bound those rows are broadcast, above it the join is a sort-merge join with
-AQE skew splitting.
+aggregates with map-side combine, stored once and joined plainly, so Spark
+chooses between broadcast and shuffle by their size in bytes.
 Script-level joins are on unique keys (no skew) and shuffle evenly.
 """
 
@@ -28,10 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplog.functions.predicates import DEFAULT_TECH, default_if_blank, in_csv_list
-from shiplog.operators.numbering import broadcast_if_small, number_within
+from shiplog.operators.numbering import number_within, stored
 from shiplog.session import freeze
 
-RUN_ID_SCALE = 1_000_000_000  # id_script_execution = id_run * scale + num_order
+# id_script_execution = id_run * scale + num_order; a run would need 2**40
+# scripts to reach the next run's ids, and ids stay below 2**63 for 2**22 runs
+RUN_ID_SCALE = 1 << 40
 
 # Configuration keys read by the run loop.
 NO_RUN_KEY = "cfg_target_no_run"
@@ -79,14 +79,13 @@ def merge_increments(scripts: DataFrame, inventory: DataFrame) -> tuple[DataFram
         "app_id", "folder", "file", "package_ts", "package_comment", "script_no", "target_id"
     ).dropDuplicates(keys)
     unknown = candidates.join(scripts.select(*keys), keys, "left_anti")
-    # one row per finished package folder: checked, then broadcast, so the
-    # inventory is not shuffled by folder (a folder can be hot)
-    finished = broadcast_if_small(scripts.where(F.col("is_finished")).select("app_id", "folder").distinct())
+    # one row per finished package folder (a folder can be hot)
+    finished = stored(scripts.where(F.col("is_finished")).select("app_id", "folder").distinct())
     fresh = unknown.join(finished, ["app_id", "folder"], "left_anti")
     numbered = number_within(fresh.withColumn("path", script_path()), ["app_id"], EXECUTION_ORDER, "_new_no")
     last_id = scripts.groupBy("app_id").agg(F.max("id_script").alias("_last_id"))
-    # one row per tenant; checked, then broadcast (tenant keys are hot)
-    new_rows = numbered.join(broadcast_if_small(last_id), "app_id", "left").select(
+    # one row per tenant (tenant keys are hot)
+    new_rows = numbered.join(stored(last_id), "app_id", "left").select(
         "app_id",
         (F.coalesce(F.col("_last_id"), F.lit(0)) + F.col("_new_no")).alias("id_script"),
         "folder",
@@ -126,7 +125,7 @@ def pending_in_order(scripts: DataFrame, executions: DataFrame, runs: DataFrame)
     Order: package time, script number, then path (unique) for ties.
     """
     todo = pending(scripts, executions).withColumn("path", script_path())
-    with_run = todo.join(broadcast_if_small(last_run_ids(runs)), "app_id", "left").withColumn(
+    with_run = todo.join(stored(last_run_ids(runs)), "app_id", "left").withColumn(
         "id_run", (F.coalesce(F.col("_last_run"), F.lit(0)) + 1).cast("bigint")
     ).drop("_last_run")
     return number_within(with_run, ["app_id", "id_run"], EXECUTION_ORDER, "num_order").drop("path")
@@ -175,7 +174,7 @@ def execution_list(executions: DataFrame, scripts: DataFrame, id_run: int | None
     is the run order. ``id_run`` limits the list to one run."""
     if id_run is not None:
         executions = executions.where(F.col("id_run") == id_run)
-    inc = broadcast_if_small(increments(scripts))  # one row per package folder
+    inc = stored(increments(scripts))  # one row per package folder
     s = scripts.select("app_id", "id_script", "folder", "file")
     return (
         executions.join(s, ["app_id", "id_script"], "left")
@@ -235,16 +234,15 @@ def apply_outcomes(executions: DataFrame, returns: DataFrame) -> DataFrame:
     )
 
 
-def halt_status(executions: DataFrame, max_broadcast_runs: int = 1_000_000) -> DataFrame:
+def halt_status(executions: DataFrame) -> DataFrame:
     """Once a script of a run fails, later scripts of that run are not
     reached. Computed as ``num_order > first failing num_order`` of the run,
     i.e. a grouped minimum and a join, not a window over the whole run.
 
     The input is written once to the shared checkpoint folder and read back
     (it is computed once for both uses; the lineage is cut). The first-failure table has one row per run
-    with a failure; after a row-count check it is broadcast, so the rows are
-    never shuffled by (tenant, run) - those keys are few and hot. Above the
-    bound the join falls back to a sort-merge join with AQE skew splitting.
+    with a failure; it is stored, so Spark broadcasts it when it is small and
+    the rows are not shuffled by (tenant, run) - those keys are few and hot.
     """
     frozen = freeze(executions, "halt")
     first_fail = (
@@ -252,7 +250,7 @@ def halt_status(executions: DataFrame, max_broadcast_runs: int = 1_000_000) -> D
         .groupBy("app_id", "id_run")
         .agg(F.min("num_order").alias("_first_fail"))
     )
-    joined = frozen.join(broadcast_if_small(first_fail, max_broadcast_runs), ["app_id", "id_run"], "left")
+    joined = frozen.join(stored(first_fail), ["app_id", "id_run"], "left")
     halted = F.coalesce(F.col("num_order") > F.col("_first_fail"), F.lit(False))
     return joined.withColumn(
         "status", F.when(halted, F.lit(NOT_REACHED)).otherwise(status_of(F.col("rc")))
@@ -282,7 +280,7 @@ def target_techs(config_effective: DataFrame) -> DataFrame:
 def with_tech(executions: DataFrame, config_effective: DataFrame) -> DataFrame:
     """Technology per execution from ``dpltgt_<target>_tech`` of its
     environment (``executions`` carries ``env``); default when unset or empty."""
-    techs = broadcast_if_small(target_techs(config_effective))
+    techs = stored(target_techs(config_effective))
     return executions.join(techs, ["env", "target_id"], "left").withColumn(
         "tech", default_if_blank(F.col("tech"), DEFAULT_TECH)
     )
@@ -292,11 +290,10 @@ def classify(executions: DataFrame, runs: DataFrame, config_effective: DataFrame
     """P20 + J1 + L5: fake when the target is on the environment's no-run
     list or the run is a ``sync``; real executions get their technology
     (default when unset or empty); fake ones are recorded as successful."""
-    # run-, environment- and target-level tables: checked, then broadcast,
-    # so executions are never shuffled by those few, hot keys
-    run_cols = broadcast_if_small(runs.select("app_id", "id_run", "env", "action"))
-    settings = broadcast_if_small(run_settings(config_effective))
-    techs = broadcast_if_small(target_techs(config_effective))
+    # run-, environment- and target-level tables: few and hot keys
+    run_cols = stored(runs.select("app_id", "id_run", "env", "action"))
+    settings = stored(run_settings(config_effective))
+    techs = stored(target_techs(config_effective))
     x = (
         executions.join(run_cols, ["app_id", "id_run"], "left")
         .join(settings, "env", "left")
@@ -320,7 +317,7 @@ def split_runnable(executions: DataFrame, no_run: DataFrame) -> tuple[DataFrame,
     ``no_run(env, no_run)`` holds the comma lists; they are exploded to one
     row per target and used in a semi / anti join.
     """
-    targets = broadcast_if_small(
+    targets = stored(
         no_run.select("env", F.explode(F.split("no_run", ",")).alias("target_id")).distinct()
     )
     return (

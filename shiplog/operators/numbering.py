@@ -1,4 +1,4 @@
-"""Skew-safe row numbering and size-checked broadcasting.
+"""Skew-safe row numbering, and stored fact tables for joins.
 
 ``row_number() OVER (PARTITION BY g ORDER BY k)`` puts every row of a group
 into one task. Execution orders are numbered per tenant and run, and a single
@@ -21,11 +21,9 @@ of the rows:
 4. rank = position - first position of the piece + 1 + earlier rows.
 
 The piece table has at most (groups + partitions) rows; it is joined back on
-(partition, group). After a row-count check it is broadcast (the usual
-case), so the numbered rows are not shuffled again; above the bound a
-sort-merge join is used, whose keys are balanced (one piece is at most one
-partition). For a single global sequence the table has at most one row per
-partition, a proven bound, and is broadcast without a check.
+(partition, group). It is stored first, so Spark broadcasts it when it is
+small (the numbered rows are then not shuffled again) and otherwise joins on
+keys that are balanced (one piece is at most one partition).
 
 Ties must be broken by the caller (the order keys must be unique within a
 group) so that the numbering does not depend on arrival order.
@@ -58,13 +56,11 @@ def number_within(
     order: Sequence[str | Column],
     name: str = "rn",
     num_partitions: int | None = None,
-    max_broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, ... per group ``by`` in ``order`` (bigint).
 
     ``by`` are column names (may be empty for one global sequence); ``order``
-    are names or sort expressions (``F.col(c).desc()``). Above
-    ``max_broadcast_rows`` pieces the piece table is joined with a shuffle.
+    are names or sort expressions (``F.col(c).desc()``).
     """
     by = list(by)
     keys = [*_cols(by), *_cols(order)]
@@ -92,9 +88,7 @@ def number_within(
         *[F.col(c).alias(f"__p_{i}") for i, c in enumerate(by)],
         (F.coalesce(F.sum(_CNT).over(earlier), F.lit(0)) - F.col("__first")).alias(_BASE),
     )
-    # one row per partition without groups (proven bound); otherwise at most
-    # groups + partitions rows, checked before broadcasting
-    pieces = F.broadcast(pieces) if not by else broadcast_if_small(pieces, max_broadcast_rows)
+    pieces = stored(pieces)
     cond = [F.col(_PID) == F.col("__p" + _PID)] + [
         F.col(c).eqNullSafe(F.col(f"__p_{i}")) for i, c in enumerate(by)
     ]
@@ -105,17 +99,13 @@ def number_within(
     )
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count at run time.
+def stored(df: DataFrame) -> DataFrame:
+    """A per-tenant, per-run or per-folder fact table, written to the shared
+    checkpoint folder and read back.
 
-    The rows are fetched with ``limit(max_rows + 1)`` (the job stops once the
-    bound is exceeded). Within the bound, the fetched rows themselves are
-    broadcast, the same trip to the driver a broadcast join makes anyway,
-    so the small side is computed once, not once for the check and again for
-    the join. Above the bound ``df`` is returned unchanged and the join is
-    planned as a shuffle join (with AQE skew splitting).
+    It is computed once, its lineage is cut, and Spark knows its size in bytes
+    when it plans the join: a table under its own broadcast threshold is
+    broadcast, a larger one is joined with a shuffle (and skew splitting), and
+    nothing is collected here.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    return df
+    return freeze(df, "side")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shiplog.operators.inventory import scan
 from shiplog.operators.numbering import number_within
-from shiplog.session import read_table
+from shiplog.session import freeze, read_table
 
 # ---------------------------------------------------------------- B1 inventory
 
@@ -79,20 +79,29 @@ def _scripts(inv: DataFrame) -> DataFrame:
     )
 
 
-def scripts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B3 ``scripts`` alone (lazy; the executions need an eager numbering)."""
-    inv = valid_inventory(read_table(spark, sf_dir, "events")).where(F.col("event_id") % 3 != 1)
+def parsed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``inv``, parsed once and stored: ledger jobs read it several times."""
+    return freeze(valid_inventory(read_table(spark, sf_dir, "events")), "inventory")
+
+
+def known_part(inv: DataFrame) -> DataFrame:
+    """The scripts that a partial ledger knows (the others are new)."""
+    return inv.where(F.col("event_id") % 3 != 1)
+
+
+def scripts_of(inv: DataFrame) -> DataFrame:
+    """B3 ``scripts`` alone."""
     return _scripts(inv)
 
 
-def ledger_from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """B3 + B4: ``scripts``, ``executions``, ``runs`` and ``returns``.
+def ledger_from_events(spark: SparkSession, sf_dir: str, inv: DataFrame | None = None) -> dict[str, DataFrame]:
+    """B3 + B4: ``scripts``, ``executions``, ``runs`` and ``returns`` of the
+    given scripts (all valid ones by default).
 
     ``num_order`` is numbered per (tenant, run) with the skew-safe numbering;
-    ``id_script_execution`` = ``id_run * 10^9 + num_order``.
+    ``id_script_execution`` = ``id_run * 2^40 + num_order``.
     """
-    events = read_table(spark, sf_dir, "events")
-    inv = valid_inventory(events).where(F.col("event_id") % 3 != 1)
+    inv = parsed_inventory(spark, sf_dir) if inv is None else inv
     scripts = _scripts(inv)
     eid = F.col("event_id")
     rc = (
@@ -119,7 +128,7 @@ def ledger_from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     executions = numbered.select(
         "app_id",
         "id_run",
-        (F.col("id_run") * 1_000_000_000 + F.col("num_order")).alias("id_script_execution"),
+        (F.col("id_run") * (1 << 40) + F.col("num_order")).alias("id_script_execution"),
         "id_script",
         "num_order",
         "target_id",
@@ -229,7 +238,7 @@ def catalog_fixture(spark: SparkSession, sf_dir: str, measure_lengths: bool = Fa
     from shiplog.session import TABLES
     from shiplog.sources.catalog import column_catalog
 
-    tables = {t: read_table(spark, sf_dir, t, spread_narrow=False) for t in TABLES}
+    tables = {t: read_table(spark, sf_dir, t) for t in TABLES}
     cat = column_catalog(spark, tables, measure_lengths=measure_lengths)
     nm = F.lower("column_name")
     cid = F.col("column_id")

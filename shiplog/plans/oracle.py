@@ -98,7 +98,7 @@ exec_base AS (
   FROM inv WHERE event_id % 3 <> 1
 ),
 executions AS (
-  SELECT app_id, id_run, id_run * 1000000000 + num_order AS id_script_execution,
+  SELECT app_id, id_run, id_run * 1099511627776 + num_order AS id_script_execution,
          id_script, num_order, target_id, rc
   FROM exec_base
 ),
@@ -114,6 +114,9 @@ returns AS (
 )"""
 )
 
+# every valid script and execution; the partial ledger is for merging and sync
+_FULL = _LEDGER.replace(" WHERE event_id % 3 <> 1", "")
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["inventory_filter"] = f"""
@@ -184,14 +187,14 @@ ordered AS (
 
 
 ORACLE["pending_in_order"] = f"""
-WITH {_LEDGER}{_pending("scripts")}
+WITH {_FULL}{_pending("scripts")}
 SELECT * FROM ordered
 """
 
 ORACLE["run_create"] = f"""
-WITH {_LEDGER}{_pending("scripts")},
+WITH {_FULL}{_pending("scripts")},
 new_execs AS (
-  SELECT app_id, id_run, id_run * 1000000000 + num_order AS id_script_execution,
+  SELECT app_id, id_run, id_run * 1099511627776 + num_order AS id_script_execution,
          id_script, num_order, target_id
   FROM ordered
 ),
@@ -204,7 +207,7 @@ LEFT JOIN inc i ON i.app_id = s.app_id AND i.folder = s.folder
 """
 
 ORACLE["run_outcome_halt"] = f"""
-WITH {_LEDGER},
+WITH {_FULL},
 applied AS (
   SELECT e.app_id, e.id_run, e.id_script_execution, e.num_order, r.rc
   FROM executions e
@@ -260,7 +263,7 @@ eff_ranked AS (
 eff AS (SELECT env, key, value, layer FROM eff_ranked WHERE pick = 1)"""
 
 ORACLE["run_classify"] = f"""
-WITH {_LEDGER}, {_CONFIG},
+WITH {_FULL}, {_CONFIG},
 settings AS (
   SELECT env, max(CASE WHEN key = 'cfg_target_no_run' THEN value END) AS no_run FROM eff GROUP BY env
 ),
@@ -291,7 +294,7 @@ SELECT *, CASE WHEN rc IS NULL THEN 'open' WHEN rc = 0 THEN 'ok' ELSE 'failed' E
 
 ORACLE["sync_mark"] = f"""
 WITH {_LEDGER}{_NEW_SCRIPTS}{_pending("merged")}
-SELECT app_id, id_run, id_run * 1000000000 + num_order AS id_script_execution, num_order, id_script,
+SELECT app_id, id_run, id_run * 1099511627776 + num_order AS id_script_execution, num_order, id_script,
        CAST(0 AS BIGINT) AS rc, true AS is_fake, 'ok' AS status
 FROM ordered
 """
@@ -588,11 +591,12 @@ FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 """
 
 ORACLE["execution_list_read"] = f"""
-WITH {_LEDGER},
+WITH {_FULL},
 inc AS (SELECT app_id, folder, min(id_script) AS id_increment FROM scripts GROUP BY app_id, folder)
 SELECT e.id_script_execution, e.num_order, e.id_script, i.id_increment, e.target_id,
        s.folder AS script_folder, s.file AS script_file,
-       CASE e.num_order % 3 WHEN 0 THEN NULL WHEN 1 THEN 'x' ELSE 'a|b' END AS add_info
+       CASE e.num_order % 6 WHEN 0 THEN NULL WHEN 1 THEN 'x' WHEN 2 THEN 'a|b' WHEN 3 THEN 'a|b|'
+            WHEN 4 THEN 'x||' ELSE NULL END AS add_info
 FROM executions e
 LEFT JOIN scripts s ON s.app_id = e.app_id AND s.id_script = e.id_script
 LEFT JOIN inc i ON i.app_id = s.app_id AND i.folder = s.folder

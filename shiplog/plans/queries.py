@@ -1,7 +1,8 @@
 """Named jobs over the test tables, one per operator group of the survey.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
-columns match the SQL of the same name in ``shiplog.plans.oracle``.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame whose columns
+match the SQL of the same name in ``shiplog.plans.oracle``. Jobs that number
+rows or join per-tenant facts store these while the DataFrame is built.
 """
 
 from __future__ import annotations
@@ -67,8 +68,8 @@ def inventory_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("merge_increments")
 def merge_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger after merging the full inventory."""
-    scripts = derived.scripts_from_events(spark, sf_dir)
-    inv = derived.valid_inventory(read_table(spark, sf_dir, "events"))
+    inv = derived.parsed_inventory(spark, sf_dir)
+    scripts = derived.scripts_of(derived.known_part(inv))
     _, new_rows = led.merge_increments(scripts, inv)
     # merged ledger = known rows + new rows; flag them without a join
     known = scripts.select(*led.SCRIPT_COLUMNS, F.lit(False).alias("is_new"))
@@ -116,8 +117,8 @@ def run_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("sync_mark")
 def sync_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sync run over the merged inventory, every execution a successful fake."""
-    lg = derived.ledger_from_events(spark, sf_dir)
-    inv = derived.valid_inventory(read_table(spark, sf_dir, "events"))
+    inv = derived.parsed_inventory(spark, sf_dir)
+    lg = derived.ledger_from_events(spark, sf_dir, derived.known_part(inv))
     out = led.sync(lg["scripts"], lg["executions"], lg["runs"], inv)
     return out["executions"].select(
         "app_id", "id_run", "id_script_execution", "num_order", "id_script", "rc", "is_fake", "status"
@@ -219,9 +220,9 @@ def enclosed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = derived.catalog_fixture(spark, sf_dir)
     out = None
     for table, (name, order) in EXPORTS.items():
-        # no spreading: the range exchange of the numbering spreads the rows,
-        # and records are rendered after it, in parallel
-        df = read_table(spark, sf_dir, name, spread_narrow=False)
+        # the range exchange of the numbering spreads the rows, and records
+        # are rendered after it, in parallel
+        df = read_table(spark, sf_dir, name)
         cols = [c for c, _ in enclosed.export_columns(df, cat, table)]
         # all exported columns break ties: rows equal in every one of them
         # give the same record, so the numbering is deterministic
@@ -243,8 +244,7 @@ def enclosed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = derived.catalog_fixture(spark, sf_dir)
     loaded = {}
     for table, name, order in (("DOCUMENTS", "documents", ["doc_id"]), ("LABELS", "labels", ["doc_id"])):
-        # the export's sort shuffles anyway: no spreading before it
-        df = read_table(spark, sf_dir, name, spread_narrow=False)
+        df = read_table(spark, sf_dir, name)
         cols = enclosed.export_columns(df, cat, table)
         path = scratch_path(spark, "export", name)
         enclosed.export_enclosed(df, order, path, table, cat)
@@ -267,7 +267,7 @@ def execution_list_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = led.execution_list(lg["executions"], lg["scripts"])
     n = F.col("num_order")
     listing = listing.withColumn(
-        "add_info", F.when(n % 3 == 0, F.lit("")).when(n % 3 == 1, F.lit("x|")).otherwise(F.lit("a|b"))
+        "add_info", F.element_at(F.array(*[F.lit(x) for x in ("", "x|", "a|b", "a|b|", "x||", "|")]), (n % 6 + 1).cast("int"))
     )
     rows = xl.render_execution_list(listing).withColumn(
         "value",

@@ -124,43 +124,6 @@ def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_narrow: bool = True) -> DataFrame:
-    """Read one test table; by default spread over the cluster if the scan
-    is narrow (pass ``False`` when a shuffle follows right away anyway)."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if spread_narrow else df
-
-
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Hash-spread a scan that yields fewer splits than the cluster has cores.
-
-    A file with one row group is read by one task, and everything narrow
-    after it (the regex-heavy parsing) would run on one core. With many
-    splits (the normal case on large data), or for small inputs, this returns
-    ``df`` unchanged, so no shuffle is added where it does not pay. Hashing
-    all columns is deterministic (a re-run task gets the same rows) without
-    the extra sort a round-robin repartition needs for that.
-    """
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores or _input_bytes(df) < min_bytes:
-            return df
-    except Exception:  # no RDD / JVM access (Spark Connect): leave as is
-        return df
-    return df.repartition(cores, *[F.col(c) for c in df.columns])
-
-
-def _input_bytes(df: DataFrame) -> int:
-    """Total size of the files behind a file scan (driver-side metadata)."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -45,7 +45,10 @@ def read_config(spark: SparkSession, pattern: str) -> DataFrame:
     return kv.select("env", "layer", "ord", "key", unquoted.alias("value"))
 
 
-def with_overrides(config: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Config plus valid command-line overrides as layer 1; ``overrides`` is
-    ``DF(env, ord, text)`` with ``key=value`` texts."""
-    return config.unionByName(overrides_as_layer(parse_overrides(overrides)))
+def with_overrides(config: DataFrame, overrides: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(config plus the valid command-line overrides as layer 1, refused
+    overrides); ``overrides`` is ``DF(env, ord, text)`` with ``key=value``
+    texts. A caller that must not go on with a refused override checks the
+    second frame."""
+    good, refused = overrides_as_layer(parse_overrides(overrides))
+    return config.unionByName(good), refused

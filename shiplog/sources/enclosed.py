@@ -103,12 +103,12 @@ def _typed(text: Column, dt: T.DataType) -> Column:
         return text
     if isinstance(dt, T.TimestampNTZType):
         # a zone suffix (+hh/mm) is dropped for zone-less targets
-        return F.regexp_replace(text, r" [+-]\d{2}/\d{2}$", "").try_cast(dt)
+        return F.regexp_replace(text, r" [+-]\d{2}/\d{2}\z", "").try_cast(dt)
     if isinstance(dt, T.TimestampType):
-        iso = F.regexp_replace(text, r" ([+-]\d{2})/(\d{2})$", "$1:$2")
+        iso = F.regexp_replace(text, r" ([+-]\d{2})/(\d{2})\z", "$1:$2")
         return iso.try_cast(dt)
     if isinstance(dt, T.DateType):
-        return F.substring(text, 1, 10).try_cast(dt)
+        return F.substring_index(text, " ", 1).try_cast(dt)
     return text.try_cast(dt)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shiplog.operators.numbering import stored
 from shiplog.plans.deploy import commit, merge_only
 from shiplog.sources.ledger_store import read_or_empty
 
@@ -32,18 +33,17 @@ def start_ledger_feed(
     ledger_root: str,
     checkpoint_location: str,
     processing_time: str | None = None,
-    max_tenants: int = 10_000,
 ) -> StreamingQuery:
     """Start the feed; each non-empty micro-batch writes one ledger version."""
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        # only the tenants of this batch are read (partition pruning); the
-        # list is fetched with a bound, beyond which the whole ledger is read
-        tenants = [r["app_id"] for r in batch.select("app_id").distinct().limit(max_tenants + 1).collect()]
-        scope = tenants if len(tenants) <= max_tenants else None
-        ledger = read_or_empty(spark, ledger_root, app_id=scope)
+        # only the tenants of this batch are merged; the join lets Spark prune
+        # the tenant folders at run time
+        tenants = stored(batch.select("app_id").distinct())
+        whole = read_or_empty(spark, ledger_root)
+        ledger = {t: df.join(tenants, "app_id", "left_semi") for t, df in whole.items()}
         out = merge_only(ledger, batch)
         commit(spark, ledger_root, out)
 

@@ -72,7 +72,7 @@ def test_read_config_files(spark, tmp_path):
         ("dev", 5, "dpltgt_a_db", "db2"),
     ]
     ovr = spark.createDataFrame([("dev", 1, "dpltgt_a_db=db3"), ("dev", 2, "bad=1")], "env string, ord int, text string")
-    eff = {(r["env"], r["key"]): r["value"] for r in cfg.effective_config(with_overrides(conf, ovr)).collect()}
+    eff = {(r["env"], r["key"]): r["value"] for r in cfg.effective_config(with_overrides(conf, ovr)[0]).collect()}
     assert eff[("dev", "dpltgt_a_db")] == "db3"
 
 

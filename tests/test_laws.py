@@ -11,7 +11,7 @@ from shiplog.sources import enclosed
 
 
 def test_merge_twice_is_merge_once(spark):
-    scripts = derived.scripts_from_events(spark, SF_SMALL)
+    scripts = derived.scripts_of(derived.known_part(derived.parsed_inventory(spark, SF_SMALL)))
     inv = derived.valid_inventory(read_table(spark, SF_SMALL, "events"))
     once, _ = led.merge_increments(scripts, inv)
     _, again = led.merge_increments(once, inv)

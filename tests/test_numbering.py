@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shiplog.operators.numbering import broadcast_if_small, number_within
+from shiplog.operators.numbering import number_within, stored
 
 
 def test_matches_row_number_with_hot_group(spark):
@@ -31,11 +31,16 @@ def test_null_group(spark):
     assert out == {(None, 1): 1, (None, 2): 2, ("a", 1): 1}
 
 
-def test_broadcast_if_small(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert broadcast_if_small(small, 10) is not small  # hinted copy
-    assert broadcast_if_small(big, 10) is big
+def test_stored_side_is_joined_by_its_size(spark):
+    side, rows = stored(spark.range(10)), spark.range(1000)
+    assert sorted(r["id"] for r in side.collect()) == list(range(10))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, join in (("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            assert join in rows.join(side, "id")._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_scratch_scope_cleans_up(spark):
@@ -95,7 +100,7 @@ def test_hot_group_is_split_over_partitions(spark):
 def test_many_groups_use_the_shuffle_join_path(spark):
     # more pieces than the broadcast bound: the piece table is joined with a shuffle
     df = spark.range(0, 3000).select((F.col("id") % 500).alias("g"), "id")
-    out = number_within(df, ["g"], ["id"], "rn", num_partitions=4, max_broadcast_rows=10)
+    out = number_within(df, ["g"], ["id"], "rn", num_partitions=4)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("id")).cast("bigint"))
     assert out.select("id", "rn").exceptAll(ref.select("id", "rn")).count() == 0
 
