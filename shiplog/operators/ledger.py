@@ -257,6 +257,26 @@ def halt_status(executions: DataFrame) -> DataFrame:
     ).drop("_first_fail")
 
 
+def finished_increments(scripts: DataFrame, executions: DataFrame, changed: DataFrame) -> DataFrame:
+    """``(app_id, folder)`` of the unfinished increments that ``changed``
+    executions belong to and all of whose scripts have succeeded."""
+    ids = changed.where(F.col("rc") == 0).select("app_id", "id_script").distinct()
+    folders = stored(
+        scripts.where(~F.col("is_finished")).join(ids, ["app_id", "id_script"], "left_semi").select("app_id", "folder").distinct()
+    )
+    members = scripts.select("app_id", "folder", "id_script").join(folders, ["app_id", "folder"], "left_semi")
+    done = successful(executions).select("app_id", "id_script")
+    still_open = members.join(done, ["app_id", "id_script"], "left_anti").select("app_id", "folder").distinct()
+    return stored(folders.join(still_open, ["app_id", "folder"], "left_anti"))
+
+
+def finish(scripts: DataFrame, finished: DataFrame) -> DataFrame:
+    """``scripts`` with the flag of the finished increments set."""
+    marks = finished.select("app_id", "folder", F.lit(True).alias("_now"))
+    joined = scripts.join(marks, ["app_id", "folder"], "left")
+    return joined.withColumn("is_finished", F.col("is_finished") | F.coalesce(F.col("_now"), F.lit(False))).select(*scripts.columns)
+
+
 # ---------------------------------------------------------------- J1 / J5 / P19 / P20 / L5
 
 
@@ -291,7 +311,7 @@ def classify(executions: DataFrame, runs: DataFrame, config_effective: DataFrame
     list or the run is a ``sync``; real executions get their technology
     (default when unset or empty); fake ones are recorded as successful."""
     # run-, environment- and target-level tables: few and hot keys
-    run_cols = stored(runs.select("app_id", "id_run", "env", "action"))
+    run_cols = stored(runs.select("app_id", "id_run", "env", "action"))  # one row per run
     settings = stored(run_settings(config_effective))
     techs = stored(target_techs(config_effective))
     x = (

@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 
 from shiplog.operators import inventory as inv_ops
 from shiplog.operators import ledger as led
+from shiplog.operators.config import split_app_ids
+from shiplog.operators.numbering import stored
 from shiplog.sources import ledger_store
 
 ACTIONS = ("all", "delta", "delta-prep", "sync")
+CONFIG_DDL = "env string, key string, value string"
 
 
 def prepare(
@@ -30,24 +33,34 @@ def prepare(
     inventory: DataFrame,
     action: str = "all",
     run_ts: dt.datetime | None = None,
+    env: str | None = None,
+    config: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Merge the inventory and open a run.
+    """Merge the inventory and open a run of environment ``env``.
 
-    ``inventory`` = ``DF(app_id, path)``. Returns the new ledger tables, the
-    rows to append (``changes``), the execution list of the new run and the
-    rejected inventory rows.
+    ``inventory`` = ``DF(app_id, path)``; ``config`` = the effective
+    configuration ``DF(env, key, value)``. Rows of an invalid tenant id are
+    refused. Executions on targets that the environment does not run, and all
+    of a ``sync``, are stored as successful without being run; the others form
+    the execution list, with their technology.
+
+    Returns the new ledger tables, the rows to append (``changes``), the
+    execution list and the rejected rows (``rejects``: paths,
+    ``rejected_tenants``).
     """
     if action not in ACTIONS:
         raise ValueError(f"unknown action {action!r}; expected one of {ACTIONS}")
-    parsed = inv_ops.parse_inventory(inv_ops.filter_inventory(inventory))
+    known, unknown = split_app_ids(inventory)
+    parsed = inv_ops.parse_inventory(inv_ops.filter_inventory(known))
     good, bad = inv_ops.split_valid(parsed)
     merged, new_scripts = led.merge_increments(ledger["scripts"], good)
-    if action == "sync":
-        run = led.create_run(merged, ledger["executions"], ledger["runs"], "sync", run_ts)
-        new_execs = led.mark_fake(run["executions"]).drop("is_fake", "status")
-    else:
-        run = led.create_run(merged, ledger["executions"], ledger["runs"], action, run_ts)
-        new_execs = run["executions"]
+    run = led.create_run(merged, ledger["executions"], ledger["runs"], action, run_ts, env)
+    opened = run["executions"]
+    settings = config if config is not None else spark.createDataFrame([], CONFIG_DDL)
+    sorted_out = stored(led.classify(opened, run["runs"], settings))
+    new_execs = sorted_out.select(*opened.columns)
+    todo = sorted_out.where(~F.col("is_fake"))
+    listing = led.execution_list(todo.select(*opened.columns), merged)
     tables = {
         "scripts": merged,
         "runs": ledger["runs"].unionByName(run["runs"]),
@@ -57,29 +70,39 @@ def prepare(
     return {
         **tables,
         "changes": changes,
-        "execution_list": led.execution_list(new_execs, merged),
+        "execution_list": listing,
+        "techs": todo.select("app_id", "id_script_execution", "tech"),
         "rejects": bad,
+        "rejected_tenants": unknown,
     }
 
 
 def record(ledger: dict[str, DataFrame], returns: DataFrame) -> dict[str, DataFrame]:
-    """Store return codes ``DF(app_id, id_script_execution, rc)``; executions
-    after a failure in the same run stay open and are reported as
-    ``not_reached``."""
-    applied = led.apply_outcomes(ledger["executions"], returns)
-    status = led.halt_status(applied)
-    stored = status.withColumn(
+    """Store return codes ``DF(app_id, id_script_execution, rc)``.
+
+    Only the runs that reported are touched: executions after a failure in the
+    same run stay open and are reported as ``not_reached``. An increment all of
+    whose scripts have now succeeded is finished.
+    """
+    key = ["app_id", "id_script_execution"]
+    reported = stored(returns.select(*key, "rc"))
+    hit = stored(ledger["executions"].join(reported.select(*key), key, "left_semi").select("app_id", "id_run").distinct())
+    touched = ledger["executions"].join(hit, ["app_id", "id_run"], "left_semi")
+    status = led.halt_status(led.apply_outcomes(touched, reported))
+    settled = status.withColumn(
         "rc", F.when(F.col("status") == led.NOT_REACHED, F.lit(None).cast("bigint")).otherwise(F.col("rc"))
     ).drop("status")
-    # only executions with a reported code change; the rest stays as stored
-    reported = returns.select("app_id", "id_script_execution")
-    changed = stored.join(reported, ["app_id", "id_script_execution"], "left_semi")
+    changed = stored(settled.join(reported.select(*key), key, "left_semi"))
+    executions = ledger["executions"].join(hit, ["app_id", "id_run"], "left_anti").unionByName(settled)
+    finished = led.finished_increments(ledger["scripts"], executions, changed)
+    scripts = led.finish(ledger["scripts"], finished)
     return {
-        "scripts": ledger["scripts"],
+        "scripts": scripts,
         "runs": ledger["runs"],
-        "executions": stored,
+        "executions": executions,
         "status": status,
-        "changes": {"executions": changed},
+        "finished": finished,
+        "changes": {"executions": changed, "scripts": scripts.join(finished, ["app_id", "folder"], "left_semi")},
     }
 
 
@@ -100,7 +123,8 @@ def commit(spark: SparkSession, root: str, result: dict) -> int:
 def merge_only(ledger: dict[str, DataFrame], inventory: DataFrame) -> dict[str, DataFrame]:
     """L1 alone: store newly found scripts; runs and executions unchanged.
     Idempotent: merging the same inventory again adds nothing."""
-    good, bad = inv_ops.split_valid(inv_ops.parse_inventory(inv_ops.filter_inventory(inventory)))
+    known, unknown = split_app_ids(inventory)
+    good, bad = inv_ops.split_valid(inv_ops.parse_inventory(inv_ops.filter_inventory(known)))
     merged, new_rows = led.merge_increments(ledger["scripts"], good)
     return {
         "scripts": merged,
@@ -108,5 +132,6 @@ def merge_only(ledger: dict[str, DataFrame], inventory: DataFrame) -> dict[str,
         "executions": ledger["executions"],
         "new_scripts": new_rows,
         "rejects": bad,
+        "rejected_tenants": unknown,
         "changes": {"scripts": new_rows},
     }

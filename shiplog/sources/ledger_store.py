@@ -11,10 +11,9 @@ changed rows as a new version::
     <root>/_committed/v=<n>          (empty marker, written last)
 
 Readers take the committed versions only (partition pruning on ``v``), so a
-failed or running commit is invisible. ``scripts`` and ``runs`` are the
-union of their versions; ``executions`` keep the newest row per
-``(app_id, id_script_execution)``, a grouped aggregate on a unique key (it
-shuffles evenly). A tenant-scoped read prunes ``app_id`` directories too.
+failed or running commit is invisible. ``runs`` are the
+union of their versions; ``executions`` and ``scripts`` keep the newest row
+per key, a grouped aggregate on a unique key (it shuffles evenly). A tenant-scoped read prunes ``app_id`` directories too.
 ``compact`` writes the current state as a base version (marked in
 ``<root>/_base``); readers start from the newest base, so history does not
 have to be re-read forever. One writer per ledger root at a time.
@@ -41,7 +40,8 @@ EXECUTIONS_DDL = (
     "num_order bigint, target_id string, rc bigint, started_at timestamp_ntz"
 )
 DDL = {"scripts": SCRIPTS_DDL, "runs": RUNS_DDL, "executions": EXECUTIONS_DDL}
-EXECUTION_KEY = ["app_id", "id_script_execution"]
+#: Tables whose rows can change, with their key.
+KEYS = {"scripts": ["app_id", "id_script"], "executions": ["app_id", "id_script_execution"]}
 
 
 def _columns(table: str) -> list[str]:
@@ -77,9 +77,15 @@ def _table(spark: SparkSession, root: str, table: str, versions: list[int]) -> D
     fs, p, _ = _fs(spark, f"{root}/{table}")
     if not fs.exists(p):
         return spark.createDataFrame([], DDL[table]).withColumn("v", F.lit(None).cast("int"))
+    # only the folders of the wanted versions are listed and read; a version
+    # that did not touch the table has no folder
+    have = set(_versions_in(spark, f"{root}/{table}"))
+    paths = [f"{root}/{table}/v={v}" for v in versions if v in have]
+    if not paths:
+        return spark.createDataFrame([], DDL[table]).withColumn("v", F.lit(None).cast("int"))
     # explicit schema: a version with no rows has no files to infer from
-    df = spark.read.schema(f"{DDL[table]}, v int").parquet(f"{root}/{table}")
-    return df.where(F.col("v").isin(versions)).select(*_columns(table), "v")
+    df = spark.read.schema(f"{DDL[table]}, v int").option("basePath", f"{root}/{table}").parquet(*paths)
+    return df.select(*_columns(table), "v")
 
 
 def read_ledger(
@@ -101,17 +107,18 @@ def read_ledger(
             df = df.where(F.col("app_id") == app_id)
         elif app_id is not None:
             df = df.where(F.col("app_id").isin(list(app_id)))
-        if t == "executions":
-            # newest row per execution: max_by over the version number
-            value_cols = [c for c in _columns(t) if c not in EXECUTION_KEY]
-            latest = df.groupBy(*EXECUTION_KEY).agg(F.max_by(F.struct(*value_cols), F.col("v")).alias("_s"))
-            df = latest.select(*EXECUTION_KEY, "_s.*")
+        if t in KEYS:
+            # newest row per key: max_by over the version number
+            value_cols = [c for c in _columns(t) if c not in KEYS[t]]
+            latest = df.groupBy(*KEYS[t]).agg(F.max_by(F.struct(*value_cols), F.col("v")).alias("_s"))
+            df = latest.select(*KEYS[t], "_s.*")
         out[t] = df.select(*_columns(t))
     return out
 
 
-def write_ledger(spark: SparkSession, root: str, changes: Mapping[str, DataFrame]) -> int:
+def write_ledger(spark: SparkSession, root: str, changes: Mapping[str, DataFrame], base: bool = False) -> int:
     """Append the given rows (new or changed) as the next version; returns it.
+    With ``base`` the version holds the whole state, and readers start from it.
 
     Tables that are not given add nothing. The marker is written after all
     tables, so readers never see half a commit; the version number also
@@ -132,11 +139,14 @@ def write_ledger(spark: SparkSession, root: str, changes: Mapping[str, DataFrame
         (
             df.select(*cols)
             .withColumn("v", F.lit(v))
+            .hint("rebalance", "app_id")  # few files a tenant; a large tenant is split
             .write.mode("append")
             .partitionBy("v", "app_id")
             .parquet(f"{root}/{t}")
         )
     fs, _, jvm = _fs(spark, root)
+    if base:  # first: a base that is not committed counts for nothing
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/{BASE}/v={v}")).close()
     fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/{COMMITTED}/v={v}")).close()
     return v
 
@@ -148,9 +158,8 @@ def compact(spark: SparkSession, root: str, prune: bool = False) -> int:
     afterwards (only do that when no reader needs ``as_of`` older states).
     """
     state = read_ledger(spark, root)
-    v = write_ledger(spark, root, state)
+    v = write_ledger(spark, root, state, base=True)
     fs, _, jvm = _fs(spark, root)
-    fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/{BASE}/v={v}")).close()
     if prune:
         for t in LEDGER_TABLES:
             for old in _versions_in(spark, f"{root}/{t}"):

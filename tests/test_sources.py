@@ -49,9 +49,13 @@ def test_execution_list_rules(spark, tmp_path):
 
 
 def test_parse_lines_types(spark):
+    from shiplog.sources.execution_list import split_execution_lines
+
     df = spark.createDataFrame([("x|2|3|4|t|f|g|",)], "value string")
-    r = parse_execution_lines(df).collect()[0]
-    assert r["id_script_execution"] is None and r["num_order"] == 2 and r["script_file"] == "g"
+    assert parse_execution_lines(df).collect() == []
+    assert [r["line"] for r in split_execution_lines(df)[1].collect()] == ["x|2|3|4|t|f|g|"]
+    df = spark.createDataFrame([("1|2|3|4|t|f|g|" + x,) for x in ("a|b|", "x||", "y|", "|", "")], "value string")
+    assert [r["add_info"] for r in parse_execution_lines(df).collect()] == ["a|b|", "x||", "y", None, None]
 
 
 def test_ledger_versions(spark, tmp_path):
