@@ -39,4 +39,4 @@ def test_tenant_read_prunes_partitions(spark):
     ledger_store.write_ledger(spark, root, {"scripts": scripts})
     plan = _plan(ledger_store.read_ledger(spark, root, app_id="a")["scripts"])
     part = [line for line in plan.splitlines() if "PartitionFilters" in line]
-    assert any("app_id" in line and "v" in line for line in part), part
+    assert any("app_id" in line for line in part), part
