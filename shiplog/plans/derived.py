@@ -142,7 +142,7 @@ def ledger_from_events(spark: SparkSession, sf_dir: str, inv: DataFrame | None =
         .select(
             "app_id",
             "id_run",
-            F.lit("all").alias("action"),
+            F.when(F.col("id_run") % 4 == 3, F.lit("sync")).otherwise(F.lit("all")).alias("action"),
             F.make_timestamp_ntz(
                 F.lit(2024), F.lit(2), F.col("id_run").cast("int") + 1, F.lit(0), F.lit(0), F.lit(0)
             ).alias("run_ts"),
@@ -191,18 +191,25 @@ def config_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("r.keep")
         .select("env", "r.layer", "r.ord", "r.key", "r.value")
     )
-    # every region: dpltgt_t<n>_tech for n < 6 and the no-run list
+    # every region: dpltgt_t<n>_tech for n < 6, the no-run list, the repository's
+    # technology and a technology key in upper case
     k = F.col("k")
     region_rows = (
-        region.select(F.col("r_name").alias("env"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("k"))
+        region.select(F.col("r_name").alias("env"), "r_regionkey", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("k"))
         .select(
             "env",
             F.lit(0).alias("layer"),
-            F.when(k < 6, k + 300).otherwise(F.lit(400)).cast("int").alias("ord"),
+            F.when(k < 6, k + 300).otherwise(k + 394).cast("int").alias("ord"),
             F.when(k < 6, F.concat(F.lit("dpltgt_t"), k.cast("string"), F.lit("_tech")))
-            .otherwise(F.lit("cfg_target_no_run"))
+            .when(k == 6, F.lit("cfg_target_no_run"))
+            .when(k == 7, F.lit("deploy_repo_tech"))
+            .otherwise(F.lit("DPLTGT_Upper_TECH"))
             .alias("key"),
-            F.when(k < 6, tech_by_n(k)).otherwise(F.lit("t1,t3")).alias("value"),
+            F.when(k < 6, tech_by_n(k))
+            .when(k == 6, F.lit("t1,t3"))
+            .when(k == 7, F.when(F.col("r_regionkey") % 2 == 0, F.lit("postgres")).otherwise(F.lit(" ")))
+            .otherwise(F.concat(F.lit("tech"), F.col("r_regionkey").cast("string")))
+            .alias("value"),
         )
     )
     return nation_rows.unionByName(region_rows).select(

@@ -28,7 +28,9 @@ def export_table(
     Returns the rejected (ambiguous) rows and the spec frame.
     """
     spark = df.sparkSession
-    cat = catalog if catalog is not None else column_catalog(spark, {table: df})
+    # measured lengths: a string without a length clause would be cut at the
+    # loader's default
+    cat = catalog if catalog is not None else column_catalog(spark, {table: df}, measure_lengths=True)
     spec = loader_spec(columns_of(cat, table))
     enclosed.write_loader_spec(spec, f"{out_dir}/spec")
     rejects = enclosed.export_enclosed(df, order_cols, f"{out_dir}/data", table, cat)

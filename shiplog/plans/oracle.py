@@ -103,7 +103,7 @@ executions AS (
   FROM exec_base
 ),
 runs AS (
-  SELECT e.app_id, e.id_run, 'all' AS action,
+  SELECT e.app_id, e.id_run, CASE WHEN e.id_run % 4 = 3 THEN 'sync' ELSE 'all' END AS action,
          make_timestamp(2024, 2, CAST(e.id_run AS BIGINT) + 1, 0, 0, 0) AS run_ts,
          r.r_name AS env
   FROM (SELECT DISTINCT app_id, id_run FROM executions) e
@@ -256,6 +256,10 @@ config AS (
   FROM (SELECT r_name AS env, unnest(range(6)) AS k FROM region)
   UNION ALL
   SELECT r_name, 0, 400, 'cfg_target_no_run', 't1,t3' FROM region
+  UNION ALL
+  SELECT r_name, 0, 401, 'deploy_repo_tech', CASE WHEN r_regionkey % 2 = 0 THEN 'postgres' ELSE ' ' END FROM region
+  UNION ALL
+  SELECT r_name, 0, 402, 'DPLTGT_Upper_TECH', 'tech' || CAST(r_regionkey AS VARCHAR) FROM region
 ),
 eff_ranked AS (
   SELECT *, row_number() OVER (PARTITION BY env, key ORDER BY layer DESC, ord DESC) AS pick FROM config
@@ -451,18 +455,36 @@ visible AS (
     AND data_type NOT IN ('BLOB', 'BFILE', 'CLOB', 'NCLOB')
 )"""
 
-ORACLE["visible_columns"] = f"""
-WITH {_CATALOG}
-SELECT table_name, column_name, column_id, data_type FROM visible
-"""
+_COLUMNS = {
+    "benchmark": ["item_id", "text"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "pages": ["page_id", "url", "html"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "region": ["r_regionkey", "r_name"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+}
+_VALUE_COUNTS = "\n  UNION ALL\n".join(
+    f"  SELECT '{t.upper()}' AS table_name, '{c.upper()}' AS column_name, count({c}) AS n_values FROM {t}"
+    for t, cols in _COLUMNS.items()
+    for c in cols
+)
 
-ORACLE["column_list"] = f"""
-WITH {_CATALOG}
-SELECT table_name,
-       string_agg('''@..''||' || lower(column_name) || '||''..@''', '||chr(9)||' ORDER BY column_id)
-         AS column_list,
-       count(*) AS n_columns
-FROM visible GROUP BY table_name
+ORACLE["visible_columns"] = f"""
+WITH {_CATALOG},
+counted AS (
+{_VALUE_COUNTS}
+)
+SELECT v.table_name, v.column_name, v.column_id, v.data_type, c.n_values
+FROM visible v JOIN counted c ON c.table_name = v.table_name AND c.column_name = v.column_name
 """
 
 _STRING_COLUMNS = {
@@ -523,19 +545,30 @@ lines AS (
 ),
 tables AS (SELECT table_name, count(*) AS n FROM lines GROUP BY table_name),
 head(pos, tpl) AS (VALUES
-  (0, 'OPTIONS (SKIP=0, DIRECT=FALSE)'), (1, 'LOAD DATA'), (2, 'CHARACTERSET UTF8'),
-  (3, 'INFILE * "STR ''<eor>\\n''"'), (4, 'BADFILE ''{{T}}.bad'''), (5, 'DISCARDFILE ''{{T}}.discard'''),
-  (6, 'REPLACE'), (7, 'INTO TABLE {{T}}'), (8, 'FIELDS TERMINATED BY X''09'''),
-  (9, 'OPTIONALLY ENCLOSED BY ''@..'' AND ''..@'''), (10, 'TRAILING NULLCOLS'), (11, '(')
-),
-foot(pos, tpl) AS (VALUES (0, ')'), (1, 'BEGINDATA'))
+  (0, 'options ('),
+  (1, '    skip = 0,'),
+  (2, '    direct = false'),
+  (3, ')'),
+  (4, 'load'),
+  (5, '    characterset utf8'),
+  (6, '    infile * "str ''<eor>\\n''"'),
+  (7, '    badfile ''{{T}}.bad'''),
+  (8, '    discardfile ''{{T}}.discard'''),
+  (9, 'into table {{T}}'),
+  (10, '    replace'),
+  (11, 'fields terminated by ''' || chr(9) || ''''),
+  (12, '    optionally enclosed by ''@..'' and ''..@'''),
+  (13, '    trailing nullcols'),
+  (14, '(')
+),
+foot(pos, tpl) AS (VALUES (0, ')'), (1, 'begindata'))
 SELECT t.table_name, CAST(1 + h.pos AS BIGINT) AS line_no, replace(h.tpl, '{{T}}', t.table_name) AS line
 FROM tables t, head h
 UNION ALL
-SELECT table_name, CAST(12 + row_number() OVER (PARTITION BY table_name ORDER BY column_id) AS BIGINT), line
+SELECT table_name, CAST(15 + row_number() OVER (PARTITION BY table_name ORDER BY column_id) AS BIGINT), line
 FROM lines
 UNION ALL
-SELECT t.table_name, CAST(13 + t.n + f.pos AS BIGINT), f.tpl FROM tables t, foot f
+SELECT t.table_name, CAST(16 + t.n + f.pos AS BIGINT), f.tpl FROM tables t, foot f
 """
 
 
@@ -601,3 +634,92 @@ FROM executions e
 LEFT JOIN scripts s ON s.app_id = e.app_id AND s.id_script = e.id_script
 LEFT JOIN inc i ON i.app_id = s.app_id AND i.folder = s.folder
 """
+
+_DOCUMENT_LINE = " || chr(9) || ".join([_enc("CAST(doc_id AS VARCHAR)"), _enc("CASE WHEN doc_id % 7 <> 0 THEN text END"), _enc("lang"), _enc("source")])
+
+ORACLE["column_list"] = f"""
+SELECT 'ORDERS' AS table_name, o_orderkey AS id,
+       md5({_ORDERS_LINE.replace("coalesce(o_orderstatus, '')", "CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderstatus END")}) AS record_md5
+FROM orders
+UNION ALL
+SELECT 'DOCUMENTS', doc_id, md5({_DOCUMENT_LINE}) FROM documents
+"""
+
+_PARTS = "year({c}) AS y, month({c}) AS mo, day({c}) AS d, hour({c}) AS h, minute({c}) AS mi, second({c}) AS s"
+ORACLE["enclosed_roundtrip_times"] = f"""
+WITH t AS (
+  SELECT 'orders' AS name, o_orderkey AS id,
+         CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 10000 YEAR ELSE o_orderdate END AS ts FROM orders
+  UNION ALL
+  SELECT 'events', event_id, CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 20000 YEAR ELSE ts END FROM events
+)
+SELECT name, id, {_PARTS.format(c="ts")} FROM t
+"""
+
+_VALID_TENANTS = _NEW_SCRIPTS.replace("FROM inv i", "FROM (SELECT * FROM inv WHERE event_id % 5 <> 0) i")
+ORACLE["deploy_prepare"] = f"""
+WITH {_LEDGER}{_VALID_TENANTS}{_pending("merged")}
+SELECT o.app_id, o.id_run, o.id_run * 1099511627776 + o.num_order AS id_script_execution, o.num_order,
+       o.id_script, o.target_id, g.r_name AS env,
+       CASE WHEN list_contains(['t1', 't3'], o.target_id) THEN CAST(0 AS BIGINT) END AS rc
+FROM ordered o, (SELECT r_name FROM region WHERE r_regionkey = 1) g
+"""
+
+# returns of the runs below 8; the others are not touched
+_RECORDED = f"""{_FULL},
+reported AS (SELECT * FROM executions WHERE id_run < 8),
+halted AS (
+  SELECT *, coalesce(bool_or(rc > 0) OVER (PARTITION BY app_id, id_run ORDER BY num_order
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS halted
+  FROM reported
+),
+settled AS (
+  SELECT app_id, id_run, id_script_execution, id_script, num_order, CASE WHEN NOT halted THEN rc END AS rc,
+         CASE WHEN halted THEN 'not_reached' WHEN rc IS NULL THEN 'open' WHEN rc = 0 THEN 'ok' ELSE 'failed' END AS status
+  FROM halted
+)"""
+
+ORACLE["deploy_record"] = f"""
+WITH {_RECORDED}
+SELECT app_id, id_run, id_script_execution, num_order, rc, status FROM settled
+"""
+
+ORACLE["deploy_finished"] = f"""
+WITH {_RECORDED},
+done AS (SELECT DISTINCT app_id, id_script FROM settled WHERE rc = 0)
+SELECT s.app_id, s.folder FROM scripts s LEFT JOIN done d ON d.app_id = s.app_id AND d.id_script = s.id_script
+WHERE NOT s.is_finished GROUP BY s.app_id, s.folder HAVING count(*) = count(d.id_script)
+"""
+
+ORACLE["ledger_versions"] = f"""
+WITH {_FULL}
+SELECT app_id, id_script_execution, id_script, num_order, target_id,
+       CASE WHEN id_run % 2 = 0 THEN rc END AS rc
+FROM executions
+"""
+
+ORACLE["config_files"] = f"""
+WITH {_CONFIG}
+SELECT env, CAST(0 AS INTEGER) AS layer,
+       CAST(row_number() OVER (PARTITION BY env ORDER BY ord, key) AS INTEGER) AS ord, key, trim(value) AS value
+FROM config WHERE layer = 0
+"""
+
+_SPEC = ORACLE["loader_spec"].strip()
+ORACLE["loader_spec_files"] = f"""
+SELECT table_name, md5(string_agg(line, chr(10) ORDER BY line_no) || chr(10)) AS file_md5
+FROM ({_SPEC}) GROUP BY table_name
+"""
+
+ORACLE["split_no_run"] = f"""
+WITH {_FULL}
+SELECT e.app_id, e.id_script_execution, e.target_id, r.env, NOT list_contains(['t1', 't3'], e.target_id) AS runs
+FROM executions e JOIN runs r ON r.app_id = e.app_id AND r.id_run = e.id_run
+"""
+
+ORACLE["pre_phase"] = f"""
+WITH {_FULL}
+SELECT app_id, id_script_execution, rc,
+       CASE WHEN rc = 0 THEN 'ok' WHEN rc IS NOT NULL THEN 'failed' WHEN num_order % 2 = 0 THEN 'running' ELSE 'open' END AS status
+FROM executions
+"""

@@ -19,10 +19,11 @@ from shiplog.operators import inventory as inv_ops
 from shiplog.operators import ledger as led
 from shiplog.operators import ordering as ord_ops
 from shiplog.operators.numbering import number_within
-from shiplog.plans import derived
-from shiplog.session import read_table, scratch_path
-from shiplog.sources import enclosed
+from shiplog.plans import deploy, derived
+from shiplog.session import TABLES, read_table, scratch_path
+from shiplog.sources import config_files, enclosed, ledger_store
 from shiplog.sources import execution_list as xl
+from shiplog.sources.catalog import value_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,15 +193,25 @@ def precedence_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("visible_columns")
 def visible_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 + P10 + P11 (+ O3 via column_id)."""
-    cat = derived.catalog_fixture(spark, sf_dir)
-    return cat_ops.visible_columns(cat).select("table_name", "column_name", "column_id", "data_type")
+    """S4 + P10 + P11 (+ O3 via column_id), with each column's values."""
+    cat = cat_ops.visible_columns(derived.catalog_fixture(spark, sf_dir))
+    counts = value_counts({t: read_table(spark, sf_dir, t) for t in TABLES})
+    return cat.join(counts, ["table_name", "column_name"]).select("table_name", "column_name", "column_id", "data_type", "n_values")
 
 
 @register("column_list")
 def column_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: ordered projection text per table."""
-    return cat_ops.column_list(derived.catalog_fixture(spark, sf_dir))
+    """A1: the projection of orders and of documents applied to their rows
+    (with nulls put into a text column)."""
+    lists = cat_ops.column_list(derived.catalog_fixture(spark, sf_dir)).where(F.col("table_name").isin("ORDERS", "DOCUMENTS"))
+    texts = {r["table_name"]: r["column_list"] for r in lists.collect()}  # one row per table
+    orders = read_table(spark, sf_dir, "orders").withColumn("o_orderstatus", F.expr("if(o_orderkey % 5 = 0, null, o_orderstatus)"))
+    docs = read_table(spark, sf_dir, "documents").withColumn("text", F.expr("if(doc_id % 7 = 0, null, text)"))
+    parts = [
+        df.select(F.lit(t).alias("table_name"), F.col(key).alias("id"), F.md5(F.expr(texts[t])).alias("record_md5"))
+        for t, df, key in (("ORDERS", orders, "o_orderkey"), ("DOCUMENTS", docs, "doc_id"))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @register("loader_spec")
@@ -281,3 +292,127 @@ def execution_list_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "execution_list")
     rows.unionByName(separators).write.mode("overwrite").text(path)
     return xl.read_execution_list(spark, path)
+
+
+@register("enclosed_roundtrip_times")
+def enclosed_roundtrip_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + S6 + P14: times with years of four and five digits, written and
+    loaded back."""
+    out = None
+    for name, key, col, years in (("orders", "o_orderkey", "o_orderdate", 10_000), ("events", "event_id", "ts", 20_000)):
+        shifted = F.when(F.col(key) % 3 == 0, F.col(col) + F.make_ym_interval(F.lit(years), F.lit(0))).otherwise(F.col(col))
+        df = read_table(spark, sf_dir, name).select(F.col(key).alias("id"), shifted.cast("timestamp_ntz").alias("t"))
+        path = scratch_path(spark, "times", name)
+        enclosed.export_enclosed(df, ["id"], path, name)
+        good, _, _ = enclosed.load_enclosed(spark, path, df.schema)
+        t = F.col("t")
+        parts = good.select(
+            F.lit(name).alias("name"), "id", F.year(t).alias("y"), F.month(t).alias("mo"), F.day(t).alias("d"),
+            F.hour(t).alias("h"), F.minute(t).alias("mi"), F.second(t).alias("s"),
+        )
+        out = parts if out is None else out.unionByName(parts)
+    return out
+
+
+# ---------------------------------------------------------------- the joined-up flow
+
+
+def _tenant_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw script paths of tenants; every fifth under a customer's name, which
+    is no valid tenant id."""
+    raw = derived.inventory_from_events(read_table(spark, sf_dir, "events"))
+    names = read_table(spark, sf_dir, "customer").select("c_name", (F.col("c_custkey") - 1).alias("k")).where("k < 10")
+    named = raw.join(names, F.col("event_id") % 10 == F.col("k"), "left")
+    app = F.concat(F.lit("app"), (F.col("event_id") % 2).cast("string"))
+    return named.select(F.when(F.col("event_id") % 5 == 0, F.coalesce("c_name", F.lit("9#"))).otherwise(app).alias("app_id"), "path")
+
+
+@register("deploy_prepare")
+def deploy_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenants checked, scripts merged, a run of one
+    environment opened, targets that it does not run stored as successful."""
+    inv = derived.parsed_inventory(spark, sf_dir)
+    ledger = derived.ledger_from_events(spark, sf_dir, derived.known_part(inv))
+    env = read_table(spark, sf_dir, "region").where("r_regionkey = 1").first()["r_name"]
+    config = cfg_ops.effective_config(derived.config_from_nations(spark, sf_dir))
+    out = deploy.prepare(spark, ledger, _tenant_inventory(spark, sf_dir), "all", env=env, config=config)["changes"]
+    runs = out["runs"].select("app_id", "id_run", "env")
+    return out["executions"].join(runs, ["app_id", "id_run"]).select(
+        "app_id", "id_run", "id_script_execution", "num_order", "id_script", "target_id", "env", "rc"
+    )
+
+
+def _recorded(spark: SparkSession, sf_dir: str) -> dict:
+    ledger = derived.ledger_from_events(spark, sf_dir)
+    still_open = ledger["executions"].withColumn("rc", F.lit(None).cast("bigint"))
+    ids = ledger["executions"].where("id_run < 8").select("app_id", "id_script_execution")
+    returns = ledger["returns"].join(ids, ["app_id", "id_script_execution"], "left_semi")
+    return deploy.record({**ledger, "executions": still_open}, returns)
+
+
+@register("deploy_record")
+def deploy_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 + W2 + L4: the runs that reported, after their return codes."""
+    out = _recorded(spark, sf_dir)
+    reached = F.when(F.col("status") != led.NOT_REACHED, F.col("rc")).alias("rc")
+    return out["status"].select("app_id", "id_run", "id_script_execution", "num_order", reached, "status")
+
+
+@register("deploy_finished")
+def deploy_finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The increments that recording has finished."""
+    return _recorded(spark, sf_dir)["finished"].select("app_id", "folder")
+
+
+@register("ledger_versions")
+def ledger_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions (scripts and runs, open executions, return codes),
+    compacted and read back."""
+    ledger = derived.ledger_from_events(spark, sf_dir)
+    root = scratch_path(spark, "ledger")
+    execs = ledger["executions"]
+    ledger_store.write_ledger(spark, root, {"scripts": ledger["scripts"], "runs": ledger["runs"]})
+    ledger_store.write_ledger(spark, root, {"executions": execs.withColumn("rc", F.lit(None).cast("bigint"))})
+    ledger_store.write_ledger(spark, root, {"executions": execs.where("id_run % 2 = 0")})
+    ledger_store.compact(spark, root)
+    back = ledger_store.read_ledger(spark, root)["executions"]
+    return back.select("app_id", "id_script_execution", "id_script", "num_order", "target_id", "rc")
+
+
+@register("config_files")
+def config_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One configuration file per environment, written and read back."""
+    base = derived.config_from_nations(spark, sf_dir).where("layer = 0")
+    line = F.struct("ord", "key", F.concat("key", F.lit("='"), "value", F.lit("'")).alias("text"))
+    files = base.groupBy("env").agg(F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["text"]), "\n").alias("body"))
+    root = scratch_path(spark, "config")
+    for r in files.collect():  # one small file per environment
+        config_files.write_config(spark, f"{root}/{r['env']}.cfg", r["body"])
+    return config_files.read_config(spark, f"{root}/*.cfg").withColumn("value", F.trim("value"))
+
+
+@register("loader_spec_files")
+def loader_spec_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The control files as written, one per table."""
+    path = scratch_path(spark, "spec")
+    enclosed.write_loader_spec(cat_ops.loader_spec(derived.catalog_fixture(spark, sf_dir, measure_lengths=True)), path)
+    return spark.read.text(path, wholetext=True).select("table_name", F.md5("value").alias("file_md5"))
+
+
+@register("split_no_run")
+def split_no_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Executions on targets that their environment runs, and the others."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    settings = led.run_settings(cfg_ops.effective_config(derived.config_from_nations(spark, sf_dir)))
+    execs = lg["executions"].join(lg["runs"].select("app_id", "id_run", "env"), ["app_id", "id_run"])
+    run, skip = led.split_runnable(execs, settings)
+    cols = ["app_id", "id_script_execution", "target_id", "env"]
+    return run.select(*cols, F.lit(True).alias("runs")).unionByName(skip.select(*cols, F.lit(False).alias("runs")))
+
+
+@register("pre_phase")
+def pre_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4: executions that a runner has picked up are running until they report."""
+    execs = derived.ledger_from_events(spark, sf_dir)["executions"]
+    started = execs.where("num_order % 2 = 0").select("app_id", "id_script_execution", F.lit("2024-03-01 10:00:00").cast("timestamp_ntz").alias("started_at"))
+    return led.status_started(led.mark_started(execs, started)).select("app_id", "id_script_execution", "rc", "status")

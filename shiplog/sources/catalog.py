@@ -3,7 +3,7 @@
 The catalog is metadata (one row per column), built on the driver from the
 DataFrames' schemas; its size is bounded by the column count, never by data.
 Optionally the byte length of string columns is measured from the data (one
-aggregate pass per table).
+lazy job over all tables).
 """
 
 from __future__ import annotations
@@ -64,14 +64,29 @@ def catalog_type(field: T.StructField) -> tuple[str | None, int | None]:
     return None, None
 
 
-def measured_lengths(df: DataFrame) -> dict[str, int | None]:
-    """Longest value in bytes of every string column, in one aggregate pass
-    (partial aggregation per task; the result is one row)."""
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if not names:
-        return {}
-    row = df.agg(*[F.max(F.octet_length(F.col(c))).alias(c) for c in names]).collect()[0]
-    return {c: row[c] for c in names}
+def _per_column(tables: Mapping[str, DataFrame], measure, wanted, name: str) -> DataFrame:
+    """(table_name, column_name, name): one measure of each wanted column, one
+    partial aggregation per table, all tables in one job."""
+    spark = next(iter(tables.values())).sparkSession
+    out = spark.createDataFrame([], f"table_name string, column_name string, {name} bigint")
+    for table, df in tables.items():
+        fields = [f.name for f in df.schema.fields if wanted(f)]
+        if not fields:
+            continue
+        row = df.agg(*[measure(F.col(f"`{c}`")).cast("bigint").alias(c) for c in fields])
+        cells = [F.struct(F.lit(c.upper()).alias("column_name"), F.col(f"`{c}`").alias(name)) for c in fields]
+        out = out.unionByName(row.select(F.lit(table.upper()).alias("table_name"), F.inline(F.array(*cells))))
+    return out
+
+
+def measured_lengths(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Longest value in bytes of every string column (lazy)."""
+    return _per_column(tables, lambda c: F.max(F.octet_length(c)), lambda f: isinstance(f.dataType, T.StringType), "max_bytes")
+
+
+def value_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Values that are not null in every column (lazy)."""
+    return _per_column(tables, F.count, lambda f: True, "n_values")
 
 
 def column_catalog(
@@ -87,11 +102,8 @@ def column_catalog(
     """
     rows = []
     for name, df in tables.items():
-        measured = measured_lengths(df) if measure_lengths else {}
         for pos, field in enumerate(df.schema.fields, start=1):
             type_name, length = catalog_type(field)
-            if length is None and field.name in measured:
-                length = measured[field.name]
             rows.append(
                 (
                     name.upper(),
@@ -105,4 +117,9 @@ def column_catalog(
                     field.dataType.simpleString(),
                 )
             )
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    cat = spark.createDataFrame(rows, CATALOG_SCHEMA)
+    if not measure_lengths or not tables:
+        return cat
+    sized = cat.join(measured_lengths(tables), ["table_name", "column_name"], "left")
+    length = F.coalesce("data_length", F.col("max_bytes").cast("int")).alias("data_length")
+    return sized.select(*[length if c == "data_length" else c for c in CATALOG_SCHEMA.names])

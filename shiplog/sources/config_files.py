@@ -27,8 +27,10 @@ def read_config(spark: SparkSession, pattern: str) -> DataFrame:
     Files are read whole (one small file per environment), split into lines
     and exploded with their position.
     """
+    # the name comes as part of a URI; a plus sign there is itself
+    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
     files = spark.read.text(pattern, wholetext=True).select(
-        F.regexp_extract(F.input_file_name(), r"([^/]*)\.cfg$", 1).alias("env"), "value"
+        F.regexp_extract(name, r"([^/]*)\.cfg\z", 1).alias("env"), "value"
     )
     lines = files.select(
         F.when(F.col("env") == AS_SET_FILE, F.lit("as-set")).otherwise(F.col("env")).alias("env"),
@@ -45,6 +47,17 @@ def read_config(spark: SparkSession, pattern: str) -> DataFrame:
     return kv.select("env", "layer", "ord", "key", unquoted.alias("value"))
 
 
+def write_config(spark: SparkSession, path: str, body: str) -> None:
+    """One configuration file (a driver-side write of a small text)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(body.encode("utf-8"))
+    finally:
+        out.close()
+
+
 def with_overrides(config: DataFrame, overrides: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(config plus the valid command-line overrides as layer 1, refused
     overrides); ``overrides`` is ``DF(env, ord, text)`` with ``key=value``

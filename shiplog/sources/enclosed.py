@@ -30,6 +30,7 @@ from shiplog.functions.text import (
     render_text,
 )
 from shiplog.operators.catalog import columns_of, visible_columns
+from shiplog.session import freeze
 from shiplog.sources.catalog import column_catalog
 
 RECORD_TAIL = "<eor>"
@@ -124,24 +125,33 @@ def skip_records(raw: DataFrame, n: int) -> DataFrame:
 
     keyed = raw.select(
         "value",
+        # part files by number: names of six digits sort before those of five
+        F.regexp_extract("_metadata.file_path", r"part-(\d+)", 1).try_cast("bigint").alias("_part"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_pos"),
     )
-    numbered = number_within(keyed, [], ["_file", "_block", "_pos"], "_record_no")
+    numbered = number_within(keyed, [], ["_part", "_file", "_block", "_pos"], "_record_no")
     return numbered.where(F.col("_record_no") > n).select("value")
 
 
 def load_enclosed(
     spark: SparkSession, path: str, schema: T.StructType, skip: int = 0
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(good, bad, discard)`` from files written by ``export_enclosed``.
+    """``(good, bad, discard)`` from files written by ``export_enclosed``;
+    each side reads the files when it is used (:func:`load_enclosed_into` reads
+    them once).
 
     Missing trailing fields are null, empty fields are null, text after the
     last expected field is ignored. ``skip`` drops the first records in file
     order. ``bad`` keeps the raw record for every row with a value that does
     not convert; ``discard`` holds blank records.
     """
+    return _sides(_staged(spark, path, schema, skip), schema)
+
+
+def _staged(spark: SparkSession, path: str, schema: T.StructType, skip: int) -> DataFrame:
+    """Every record, its typed fields, and whether it failed or is blank."""
     raw = spark.read.option("lineSep", RECORD_END).text(path)
     if skip:
         raw = skip_records(raw, skip)
@@ -164,24 +174,36 @@ def load_enclosed(
     for i in range(n):
         failed = failed | (F.col(f"_f{i}").isNotNull() & F.col(f"_t{i}").isNull())
         blank = blank & F.col(f"_f{i}").isNull()
-    staged = typed.select(
+    return typed.select(
         "_record",
         *[F.col(f"_t{i}").alias(fld.name) for i, fld in enumerate(schema.fields)],
         failed.alias("_failed"),
         blank.alias("_blank"),
     )
+
+
+def _sides(staged: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame, DataFrame]:
     good = staged.where(~F.col("_failed") & ~F.col("_blank")).select(*[f.name for f in schema.fields])
     bad = staged.where(F.col("_failed")).select("_record")
     discard = staged.where(F.col("_blank") & ~F.col("_failed")).select("_record")
     return good, bad, discard
 
 
-def load_enclosed_into(spark: SparkSession, path: str, schema: T.StructType, target: str) -> dict[str, DataFrame]:
-    """S6 with the target replaced: good rows overwrite the parquet target;
-    bad and discard rows are returned for the caller to keep."""
-    good, bad, discard = load_enclosed(spark, path, schema)
+def load_enclosed_into(
+    spark: SparkSession, path: str, schema: T.StructType, target: str, skip: int = 0, bad_path: str | None = None, discard_path: str | None = None
+) -> dict[str, DataFrame]:
+    """S6 with the target replaced: good rows overwrite the parquet target,
+    raw bad and blank records the text files beside it (``.bad`` and
+    ``.discard`` unless other paths are given). The three are written from one
+    stored pass over the files."""
+    staged = freeze(_staged(spark, path, schema, skip), "load")
+    out = {"bad": bad_path or f"{target}.bad", "discard": discard_path or f"{target}.discard"}
+    good, bad, discard = _sides(staged, schema)
     good.write.mode("overwrite").parquet(target)
-    return {"good": spark.read.parquet(target), "bad": bad, "discard": discard}
+    for name, side in (("bad", bad), ("discard", discard)):
+        side.select("_record").write.mode("overwrite").option("lineSep", RECORD_END).text(out[name])
+    read = {k: spark.read.option("lineSep", RECORD_END).text(p).withColumnRenamed("value", "_record") for k, p in out.items()}
+    return {"good": spark.read.parquet(target), **read}
 
 
 def write_loader_spec(spec: DataFrame, path: str) -> None:

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from shiplog.operators import catalog as cat_ops
 from shiplog.sources.catalog import column_catalog
 
@@ -40,7 +42,7 @@ def test_loader_types_and_spec(spark):
         "    c9    char(4000),",
         "    c10",
     ]
-    assert "INTO TABLE T" in lines
+    assert "into table T" in lines
     assert [r["line_no"] for r in spec] == list(range(1, len(lines) + 1))
 
 
@@ -48,8 +50,23 @@ def test_catalog_from_schema(spark):
     df = spark.createDataFrame([], "a bigint, b string, c timestamp_ntz, d array<int>")
     got = [(r["column_name"], r["column_id"], r["data_type"]) for r in column_catalog(spark, {"t": df}).collect()]
     assert got == [("A", 1, "NUMBER"), ("B", 2, "VARCHAR2"), ("C", 3, "TIMESTAMP(6)"), ("D", 4, None)]
-    listed = cat_ops.column_list(column_catalog(spark, {"t": df})).collect()[0]
-    assert listed["column_list"] == "'@..'||a||'..@'||chr(9)||'@..'||b||'..@'||chr(9)||'@..'||c||'..@'"
+
+
+def test_column_list_equals_record(spark):
+    """The projection text renders what ``record_line`` writes, nulls too."""
+    import datetime as dt
+
+    from shiplog.sources.enclosed import record_line
+
+    rows = [(1, "x\ty", dt.datetime(2024, 1, 2, 3, 4, 5, 678), dt.date(2024, 1, 2), 1.5, True), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "a bigint, b string, c timestamp_ntz, d date, e double, f boolean").withColumn("g", F.col("c").cast("timestamp"))
+    for declared in (None, "DATE", "TIMESTAMP(6)", "TIMESTAMP(6) WITH TIME ZONE"):
+        cat = column_catalog(spark, {"t": df})
+        if declared:
+            cat = cat.withColumn("data_type", F.when(F.col("column_name").isin("C", "D", "G"), F.lit(declared)).otherwise(F.col("data_type")))
+        text = cat_ops.column_list(cat).first()["column_list"]
+        for r in df.select((F.concat(F.expr(text), F.lit("\t<eor>"))).alias("x"), record_line(df, cat, "t").alias("y")).collect():
+            assert r["x"] == r["y"]
 
 
 def test_is_last_and_exclude_lobs(spark):
