@@ -22,6 +22,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Largest side, in bytes, that an operator asks Spark to broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def checked(side: DataFrame, row_bytes: int) -> DataFrame:
+    """``side`` (a stored table) marked for broadcast if its rows, of at most
+    ``row_bytes`` each, fit the bound; otherwise as it is, for a shuffle join."""
+    return F.broadcast(side) if side.count() * row_bytes <= BROADCAST_BYTES else side
+
+
 def share_package(spark: SparkSession) -> None:
     """Let Python workers of this session import the library.
 

@@ -5,12 +5,13 @@ else (in this or another document) is removed. Positions are ranked by the
 bytes that follow them, and only the equality of ranks matters, so a rank is a
 fingerprint. Rounds at growing offsets drop the positions that are unique:
 
-1. Rank at ``GRAM`` bytes. Only anchors are ranked: the anchor of a string of
-   ``length`` bytes is the position in it whose gram has the smallest
-   fingerprint, a choice that depends on the string alone, so equal strings
-   have their anchors at equal places. A string whose anchor has a unique rank
-   is unique.
-2. Rank at growing spans: the runs of surviving positions with one anchor, with
+1. Rank at the first of ``GRAMS`` bytes. Only anchors are ranked: the anchor of
+   a string of ``length`` bytes is the position in it whose gram has the
+   smallest fingerprint, a choice that depends on the string alone, so equal
+   strings have their anchors at equal places. A string whose anchor has a
+   unique rank is unique. The strings left are ranked again at the next,
+   doubled, gram.
+2. Rank at longer spans: the runs of surviving positions with one anchor, with
    all the bytes that their strings cover. A run whose rank repeats is settled
    (all its strings repeat); one copy of it stays in play.
 3. Rank at ``length`` bytes: the surviving positions of the runs still in play.
@@ -18,8 +19,8 @@ fingerprint. Rounds at growing offsets drop the positions that are unique:
 
 Equal texts are one text that repeats as a whole. Ranks are counted with
 pre-aggregation, so a passage that many documents share makes no hot group.
-Fingerprints have 64 bits in round 1 (where a collision only costs time) and
-128 bits in rounds 2 and 3.
+Fingerprints have 64 bits in round 1 (where a collision only costs time), 128
+in round 2 and 96 in round 3.
 
 Defined results: null counts as the empty text; texts shorter than ``length``
 keep all bytes; repeated rows are equal texts; null ids are passed on; other
@@ -35,10 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import _BYTE, BASE_A, BASE_B, U64, freeze, mix, pieces, prefix_hash, span_hash, text_bytes
+from shiplog.llm.common import _BYTE, BASE_A, BASE_B, U64, checked, freeze, mix, pieces, prefix_hash, span_hash, text_bytes
 
 LENGTH = 400
-GRAM = 144
+GRAMS = (144, 288)
 CHUNK = 1 << 19
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
 #: Low bits that hold a place within a chunk (CHUNK plus a window fits).
@@ -63,7 +64,7 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(after[: n - w + 1], before[w - 1 : n])
 
 
-def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAMS[0]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(place, rank, lo, hi) of a text's anchors, chunk by chunk.
 
     The strings that start at lo..hi have their smallest gram at ``place``
@@ -90,34 +91,85 @@ def _digest(data: bytes) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def _anchor_rows(length: int, gram: int):
+def live_starts(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which of n starts lie in one of the ranges lo..hi."""
+    change = np.zeros(n + 1, dtype=np.int32)
+    np.add.at(change, lo, 1)
+    np.add.at(change, hi + 1, -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def survivors(raw: np.ndarray, alive: list[list[int]], grams: tuple[int, ...], length: int) -> np.ndarray:
+    """Which starts are left after the rounds at ``grams``, given the places
+    of the anchors that each round kept."""
+    n = max(0, len(raw) - length + 1)
+    left = np.ones(n, dtype=bool)
+    for places, gram in zip(alive, grams, strict=False):
+        p, _, lo, hi = anchors(raw, length, gram)
+        kept = np.isin(p, places)
+        left &= live_starts(n, lo[kept], hi[kept])
+    return left
+
+
+def _first_round(length: int, gram: int):
     def run(batches):
         for batch in batches:
             for part in pieces(batch):
-                a, b, at, rank = [], [], [], []
-                for x, y, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                a, at, rank = [], [], []
+                for x, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     p, r, _, _ = anchors(np.frombuffer(t, dtype=np.uint8), length, gram)
-                    a.append(x)
-                    b.append(y)
-                    at.append(p)
-                    rank.append(r.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(at, pa.list_(pa.int64())), pa.array(rank, pa.list_(pa.int64()))], ["a", "b", "at", "rank"])
+                    fresh = np.concatenate([[True], p[1:] != p[:-1]])  # a chunk's end may repeat one
+                    a.append(np.full(int(fresh.sum()), x, dtype=np.int64))
+                    at.append(p[fresh])
+                    rank.append(r[fresh].view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (a, at, rank)], ["a", "at", "rank"])
 
     return run
 
 
-def _run_rows(length: int, gram: int):
+def _next_round(length: int, grams: tuple[int, ...]):
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, 64):
+                key, at, rank = [], [], []
+                for x, t, *alive in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                    raw = np.frombuffer(t, dtype=np.uint8)
+                    left = np.concatenate([[0], np.cumsum(survivors(raw, alive, grams, length))])
+                    p, r, lo, hi = anchors(raw, length, grams[-1])
+                    use = left[hi + 1] > left[lo]
+                    use[1:] &= ~((p[1:] == p[:-1]) & use[:-1])
+                    key.append(np.full(int(use.sum()), x, dtype=np.int64))
+                    at.append(p[use])
+                    rank.append(r[use].view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (key, at, rank)], ["key", "at", "rank"])
+
+    return run
+
+
+def runs(raw: np.ndarray, left: np.ndarray, length: int, gram: int) -> list[tuple[int, int]]:
+    """(first, last) of the runs of surviving starts, cut where the first
+    round's anchor changes."""
+    if not len(left):
+        return []
+    edge = np.zeros(len(left) + 1, dtype=bool)
+    edge[0] = edge[-1] = True
+    edge[1:-1] = left[1:] != left[:-1]
+    edge[anchors(raw, length, gram)[2]] = True
+    cut = np.flatnonzero(edge)
+    return [(a, b - 1) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) if left[a]]
+
+
+def _run_rows(length: int, grams: tuple[int, ...]):
     def run(batches):
         for batch in batches:
             for part in pieces(batch, 64):
                 rows = []
-                for x, y, t, alive in zip(*[c.to_pylist() for c in part.columns], strict=True):
-                    p, _, los, his = anchors(np.frombuffer(t, dtype=np.uint8), length, gram)
-                    live = np.isin(p, alive)
-                    for lo, hi in zip(los[live].tolist(), his[live].tolist(), strict=True):
-                        rows.append((x, y, lo, hi, *_digest(t[lo : hi + length])))
+                for x, t, *alive in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                    raw = np.frombuffer(t, dtype=np.uint8)
+                    for lo, hi in runs(raw, survivors(raw, alive, grams, length), length, grams[0]):
+                        rows.append((x, lo, hi, *_digest(t[lo : hi + length])))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["a", "b", "lo", "hi", "r1", "r2"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["key", "lo", "hi", "r1", "r2"])
 
     return run
 
@@ -126,23 +178,22 @@ def _string_rows(length: int):
     def run(batches):
         for batch in batches:
             for part in pieces(batch, 16):
-                for x, y, t, los, his, settled in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                for x, t, los, his, settled in zip(*[c.to_pylist() for c in part.columns], strict=True):
                     raw = np.frombuffer(t, dtype=np.uint8)
                     for lo, hi, known in zip(los, his, settled, strict=True):
                         for s in range(lo, hi + 1, CHUNK):
                             e = min(hi + 1, s + CHUNK)
                             own = raw[s : e - 1 + length]
-                            n = e - s
+                            second = gram_hashes(own, length, _BYTE2, BASE_B)
                             yield pa.RecordBatch.from_arrays(
                                 [
-                                    pa.array(np.full(n, x, dtype=np.int64)),
-                                    pa.array(np.full(n, y, dtype=np.int64)),
-                                    pa.array(np.arange(s, e)),
-                                    pa.array(np.full(n, known)),
+                                    pa.array(np.full(e - s, x, dtype=np.int64)),
+                                    pa.array(np.arange(s, e, dtype=np.int32)),
+                                    pa.array(np.full(e - s, known)),
                                     pa.array(gram_hashes(own, length).view(np.int64)),
-                                    pa.array(gram_hashes(own, length, _BYTE2, BASE_B).view(np.int64)),
+                                    pa.array((second >> U64(32)).astype(np.uint32).view(np.int32)),
                                 ],
-                                ["a", "b", "at", "settled", "r1", "r2"],
+                                ["key", "at", "settled", "r1", "r2"],
                             )
 
     return run
@@ -154,13 +205,10 @@ def _removal_rows(length: int):
             for part in pieces(batch, 32):
                 rows = []
                 for x, y, t, los, his, singles in zip(*[c.to_pylist() for c in part.columns], strict=True):
-                    change = np.zeros(len(t) + 1, dtype=np.int32)
-                    np.add.at(change, np.array(los or [], dtype=np.int64), 1)
-                    np.add.at(change, np.array(his or [], dtype=np.int64) + length, -1)
                     one = np.array(singles or [], dtype=np.int64)
-                    np.add.at(change, one, 1)
-                    np.add.at(change, one + length, -1)
-                    gone = np.cumsum(change[:-1]) > 0
+                    lo = np.concatenate([np.array(los or [], dtype=np.int64), one])
+                    hi = np.concatenate([np.array(his or [], dtype=np.int64), one]) + length - 1
+                    gone = live_starts(len(t), lo, hi)
                     starts = np.flatnonzero(gone & ~np.concatenate([[False], gone[:-1]]))
                     ends = np.flatnonzero(gone & ~np.concatenate([gone[1:], [False]])) + 1
                     kept = np.frombuffer(t, dtype=np.uint8)[~gone].tobytes()
@@ -174,41 +222,55 @@ def _removal_rows(length: int):
     return run
 
 
-def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _repeated(ranked: DataFrame, owner: str) -> DataFrame:
+    """(owner, alive): the places whose rank stands at two places or more."""
+    where = F.xxhash64(owner, "at")
+    twice = ranked.groupBy("rank").agg(F.min(where).alias("p"), F.max(where).alias("q")).where("p <> q").select("rank")
+    return ranked.join(twice, "rank", "left_semi").groupBy(owner).agg(F.collect_list("at").alias("alive"))
+
+
+def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, grams: tuple[int, ...] = GRAMS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans
     (starts and ends, in bytes) of every document."""
     body = text_bytes(text)
     own = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("a"), F.xxhash64(F.lit(7), body).alias("b"), body.alias("text"))
     long_enough = own.where(F.octet_length("text") >= length)
-    # round 1: anchors at GRAM bytes
-    found = freeze(long_enough.select("a", "b", "text").mapInArrow(_anchor_rows(length, gram), "a long, b long, at array<long>, rank array<long>"), "anchors")
-    each = found.select("a", "b", F.explode(F.arrays_zip("at", "rank")).alias("x")).select("a", "b", "x.at", "x.rank")
-    where = F.xxhash64("a", "b", "at")
-    repeated = each.groupBy("rank").agg(F.min(where).alias("p"), F.max(where).alias("q")).where("p <> q").select("rank")
-    alive = each.join(freeze(repeated, "ranks"), "rank", "left_semi").groupBy("a", "b").agg(F.collect_set("at").alias("alive"))
-    texts = freeze(long_enough.select("a", "b", "text").join(alive, ["a", "b"]).dropDuplicates(["a", "b"]).select("a", "b", "text", "alive"), "texts")
-    # round 2: runs between anchors
-    spans = freeze(texts.mapInArrow(_run_rows(length, gram), "a long, b long, lo long, hi long, r1 long, r2 long"), "runs")
-    ranked = spans.groupBy("r1", "r2").agg(F.min(F.struct("a", "b", "lo")).alias("p"), F.max(F.struct("a", "b", "lo")).alias("q"))
-    ranked = ranked.select("r1", "r2", (F.col("p") != F.col("q")).alias("settled"), "p")
-    spans = freeze(spans.join(ranked, ["r1", "r2"]).select("a", "b", "lo", "hi", "settled", (F.struct("a", "b", "lo") == F.col("p")).alias("first")), "ranked_runs")
-    # round 3: single strings of the runs in play
-    play = spans.where("first").groupBy("a", "b").agg(F.collect_list(F.struct("lo", "hi", "settled")).alias("r"))
+    # the first round ranks all texts; a text is named by 64 bits here, and two
+    # texts of one name would only keep more starts in play
+    ranked = freeze(long_enough.select("a", "text").mapInArrow(_first_round(length, grams[0]), "a long, at long, rank long"), "anchors")
+    alive = freeze(_repeated(ranked, "a").withColumnsRenamed({"alive": "alive0"}), "alive")
+    some = long_enough.select("a", "b", "text").join(checked(alive.select("a"), 16), "a", "left_semi").dropDuplicates(["a", "b"])
+    texts = some.join(alive, "a").withColumn("key", F.monotonically_increasing_id())
+    texts = freeze(texts.select("key", "a", "b", "text", "alive0"), "texts")
+    # further rounds rank what is left
+    lists = ["alive0"]
+    for k in range(1, len(grams)):
+        ranked = texts.select("key", "text", *lists).mapInArrow(_next_round(length, grams[: k + 1]), "key long, at long, rank long")
+        alive = _repeated(freeze(ranked, "anchors"), "key").withColumnsRenamed({"alive": f"alive{k}"})
+        lists.append(f"alive{k}")
+        texts = freeze(texts.join(alive, "key"), "texts")
+    # runs of surviving starts
+    spans = freeze(texts.select("key", "text", *lists).mapInArrow(_run_rows(length, grams), "key long, lo long, hi long, r1 long, r2 long"), "runs")
+    place = F.struct("key", "lo")
+    counted = spans.groupBy("r1", "r2").agg(F.min(place).alias("p"), F.max(place).alias("q"))
+    counted = counted.select("r1", "r2", (F.col("p") != F.col("q")).alias("settled"), "p")
+    spans = freeze(spans.join(counted, ["r1", "r2"]).select("key", "lo", "hi", "settled", (place == F.col("p")).alias("first")), "ranked_runs")
+    # single strings of the runs in play: those of settled runs count twice,
+    # and need no answer themselves
+    play = spans.where("first").groupBy("key").agg(F.collect_list(F.struct("lo", "hi", "settled")).alias("r"))
     strings = (
-        texts.select("a", "b", "text")
-        .join(play, ["a", "b"])
-        .select("a", "b", "text", "r.lo", "r.hi", "r.settled")
-        .mapInArrow(_string_rows(length), "a long, b long, at long, settled boolean, r1 long, r2 long")
+        texts.select("key", "text")
+        .join(play, "key")
+        .select("key", "text", "r.lo", "r.hi", "r.settled")
+        .mapInArrow(_string_rows(length), "key long, at int, settled boolean, r1 long, r2 int")
     )
-    # strings of settled runs count twice, and need no answer themselves
-    strings = freeze(strings, "strings")
     twice = strings.groupBy("r1", "r2").agg(F.sum(F.when(F.col("settled"), 2).otherwise(1)).alias("n")).where("n > 1").select("r1", "r2")
-    singles = strings.where("not settled").join(twice, ["r1", "r2"], "left_semi").groupBy("a", "b").agg(F.collect_list("at").alias("singles"))
-    settled = spans.where("settled").groupBy("a", "b").agg(F.collect_list(F.struct("lo", "hi")).alias("r"))
-    marks = settled.join(singles, ["a", "b"], "full_outer")
+    singles = strings.where("not settled").join(twice, ["r1", "r2"], "left_semi").groupBy("key").agg(F.collect_list("at").alias("singles"))
+    settled = spans.where("settled").groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("r"))
+    marks = settled.join(freeze(singles, "singles"), "key", "full_outer")
     removed = (
-        texts.select("a", "b", "text")
-        .join(marks, ["a", "b"])
+        texts.select("key", "a", "b", "text")
+        .join(marks, "key")
         .select("a", "b", "text", "r.lo", "r.hi", "singles")
         .mapInArrow(_removal_rows(length), "a long, b long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>")
     )

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from shiplog.llm import suffix_dedup as S
@@ -30,21 +31,34 @@ def found(spark, texts, **options):
     return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.repeated_passages(df, **options).collect()}
 
 
-@pytest.mark.parametrize(("seed", "chunk"), [(1, 1 << 19), (2, 97)])
-def test_matches_brute_force(spark, monkeypatch, seed, chunk):
-    # small chunks also cut texts into parts on the driver's side of the test
-    monkeypatch.setattr(S, "CHUNK", chunk)
+@pytest.mark.parametrize(("seed", "grams"), [(1, (14, 28)), (2, (10, 20, 35)), (3, (14,))])
+def test_matches_brute_force(spark, seed, grams):
     r = random.Random(seed)
     word = lambda a, b: "".join(r.choice("abcdefgh é") for _ in range(r.randint(a, b)))
     passages = [word(20, 200) for _ in range(6)]
     docs = ["".join(r.choice([r.choice(passages), word(1, 120), r.choice(passages)[r.randint(0, 19) :]]) for _ in range(r.randint(0, 6))) for _ in range(50)]
     docs += [docs[3], docs[5], "a" * 300, "ab" * 60, "", "x" * 39, "y" * 40, "z" * 41, None, docs[7][3:]]
-    got = found(spark, docs, length=40, gram=14)
+    got = found(spark, docs, length=40, grams=grams)
     for i, want in enumerate(brute([(d or "").encode() for d in docs], 40)):
         assert got[i] == want, i
 
 
-def test_full_length_passage_and_anchor_chunks(spark, monkeypatch):
+def test_chunks_do_not_change_the_anchors(monkeypatch):
+    raw = np.random.default_rng(1).integers(97, 100, 3000).astype(np.uint8)
+    raw[1000:1400] = 97
+
+    def by_start():
+        place, rank, lo, hi = S.anchors(raw, 40, 14)
+        return [(int(p), int(r)) for p, r, a, b in zip(place, rank, lo, hi, strict=True) for _ in range(a, b + 1)]
+
+    want = by_start()
+    assert len(want) == 3000 - 40 + 1
+    for chunk in (64, 97, 500):
+        monkeypatch.setattr(S, "CHUNK", chunk)
+        assert by_start() == want
+
+
+def test_full_length_passage(spark):
     r = random.Random(3)
     word = lambda n: "".join(r.choice("abcdefghijklmnop ") for _ in range(n))
     shared, just, short = word(900), word(400), word(399)
