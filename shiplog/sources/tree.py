@@ -5,12 +5,13 @@ names starting with ``_`` or ``.`` below the top level included; paths are
 relative to the root, ``/``-separated. (Spark's ``binaryFile`` source skips
 ``_``/``.`` names and empty files, so it cannot be used.)
 
-Listing is split over tasks: the driver only reads folder names near the
-top, until there are enough folders to keep the cluster busy (a hot folder
-holding most files is split further); each task then walks one folder.
-Top-level folders starting with a dot are pruned while the work list is
-made, so hidden trees are never walked. The tree must be on storage every
-executor mounts at the same path.
+The tree is listed level by level: the folders of a level are dealt over the
+tasks, each task lists the folders it got (not what is below them), and the
+folders found make the next level, until there are none. So a folder that
+holds most of the tree is spread over the tasks as soon as its subfolders are
+known, and the driver lists nothing. Top-level folders starting with a dot are
+never listed. The tree must be on storage every executor mounts at the same
+path.
 """
 
 from __future__ import annotations
@@ -20,77 +21,46 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-_SCHEMA = T.StructType([T.StructField("path", T.StringType(), False)])
-_TASKS = T.StructType(
-    [T.StructField("folder", T.StringType(), False), T.StructField("recursive", T.BooleanType(), False)]
-)
+from shiplog.session import freeze
 
 
-def _work_list(root: str, target: int, max_levels: int) -> list[tuple[str, bool]]:
-    """(relative folder, walk recursively?) pairs covering the whole tree."""
-    work: list[tuple[str, bool]] = []
-    frontier = [""]
-    for level in range(max_levels):
-        nxt: list[str] = []
-        for rel in frontier:
-            with os.scandir(os.path.join(root, rel) if rel else root) as it:
-                subdirs = [
-                    e.name
-                    for e in it
-                    if e.is_dir(follow_symlinks=False) and not (level == 0 and e.name.startswith("."))
-                ]
-            # files directly in this folder: one non-recursive task
-            work.append((rel, False))
-            nxt.extend(f"{rel}/{d}" if rel else d for d in subdirs)
-        frontier = nxt
-        if len(frontier) >= target or not frontier:
-            break
-    work.extend((rel, True) for rel in frontier)
-    return work
+def _lister(root: str, batch_rows: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # paths are streamed in bounded batches: a flat folder with millions
+        # of files never sits in one task's memory at once
+        rows: list[tuple[str, bool]] = []
+        for b in batches:
+            for rel in b["path"]:
+                with os.scandir(os.path.join(root, rel) if rel else root) as entries:
+                    for e in entries:
+                        folder = e.is_dir(follow_symlinks=False)
+                        if folder and not rel and e.name.startswith("."):
+                            continue
+                        if folder or e.is_file(follow_symlinks=False):
+                            rows.append((f"{rel}/{e.name}" if rel else e.name, folder))
+                        if len(rows) >= batch_rows:
+                            yield pd.DataFrame(rows, columns=["path", "is_folder"])
+                            rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=["path", "is_folder"])
 
+    return run
 
-def _list_folder(root: str, rel: str, recursive: bool) -> Iterator[str]:
-    base = os.path.join(root, rel) if rel else root
-    if not recursive:
-        with os.scandir(base) as it:
-            for e in it:
-                if e.is_file(follow_symlinks=False):
-                    yield f"{rel}/{e.name}" if rel else e.name
-        return
-    for dirpath, _dirs, files in os.walk(base, followlinks=False):
-        rel_dir = os.path.relpath(dirpath, root).replace(os.sep, "/")
-        for name in files:
-            if os.path.isfile(os.path.join(dirpath, name)) and not os.path.islink(os.path.join(dirpath, name)):
-                yield f"{rel_dir}/{name}" if rel_dir != "." else name
 
+def tree_inventory(spark: SparkSession, root: str, parallelism: int | None = None, batch_rows: int = 50_000) -> DataFrame:
+    """``DF(path)`` of every regular file below ``root`` (relative paths).
 
-def tree_inventory(
-    spark: SparkSession,
-    root: str,
-    parallelism: int | None = None,
-    max_levels: int = 3,
-    batch_rows: int = 50_000,
-) -> DataFrame:
-    """``DF(path)`` of every regular file below ``root`` (relative paths)."""
+    ``parallelism`` is the number of tasks that a level's folders are dealt to
+    (the cluster's default parallelism unless given)."""
     root = os.path.abspath(root)
-    target = parallelism or spark.sparkContext.defaultParallelism
-    work = _work_list(root, target, max_levels)
-    tasks = spark.createDataFrame(work, _TASKS).repartition(max(1, min(len(work), target * 4)))
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # paths are streamed in bounded batches: a flat folder with millions
-        # of files never sits in one task's memory at once
-        buf: list[str] = []
-        for b in batches:
-            for rel, rec in zip(b["folder"], b["recursive"]):
-                for path in _list_folder(root, rel, bool(rec)):
-                    buf.append(path)
-                    if len(buf) >= batch_rows:
-                        yield pd.DataFrame({"path": buf}, dtype=object)
-                        buf = []
-        if buf:
-            yield pd.DataFrame({"path": buf}, dtype=object)
-
-    return tasks.mapInPandas(walk, _SCHEMA)
+    tasks = parallelism or spark.sparkContext.defaultParallelism
+    folders = spark.createDataFrame([("",)], "path string")
+    files = spark.createDataFrame([], "path string")
+    while True:
+        level = freeze(folders.repartition(tasks, "path").mapInPandas(_lister(root, batch_rows), "path string, is_folder boolean"), "tree")
+        files = files.union(level.where(~F.col("is_folder")).select("path"))
+        folders = level.where("is_folder").select("path")
+        if folders.isEmpty():
+            return files

@@ -75,8 +75,8 @@ def test_loader_spec_writer(spark, tmp_path):
     out = str(tmp_path / "spec")
     enclosed.write_loader_spec(loader_spec(column_catalog(spark, {"t": df})), out)
     text = "".join(open(p).read() for p in sorted((tmp_path / "spec" / "table_name=T").glob("part-*")))
-    assert "INTO TABLE T\n" in text and "    a,\n    b    char(" not in text
-    assert text.splitlines()[-1] == "BEGINDATA"
+    assert "into table T\n" in text and "    a,\n    b    char(" not in text
+    assert text.splitlines()[-1] == "begindata"
 
 
 def test_zone_less_render_ignores_session_zone(spark):

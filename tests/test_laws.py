@@ -31,7 +31,7 @@ def test_effective_config_ignores_row_order(spark):
     a = sorted(tuple(r) for r in cfg.effective_config(conf).collect())
     shuffled = conf.orderBy(F.rand(7)).repartition(5)
     b = sorted(tuple(r) for r in cfg.effective_config(shuffled).collect())
-    assert a == b and len(a) == 101
+    assert a == b and len(a) == 111
 
 
 def test_export_then_load_gives_the_rows_back(spark):

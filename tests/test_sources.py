@@ -102,3 +102,23 @@ def test_ledger_compaction(spark, tmp_path):
     ledger_store.write_ledger(spark, root, {"executions": later})
     final = sorted((r["id_script_execution"], r["rc"]) for r in ledger_store.read_ledger(spark, root)["executions"].collect())
     assert final == [(1000000001, 0), (1000000002, 5)]
+
+
+def test_tree_with_a_hot_folder(spark, tmp_path):
+    """One folder holds nearly all subfolders; every file is found once."""
+    from shiplog.sources.tree import tree_inventory
+
+    want = set()
+    for i in range(100):
+        rel = f"hot/s{i}" if i < 95 else f"cold{i}"
+        for name in ("_a.sql", ".b", f"d{i % 3}/c.sql"):
+            p = tmp_path / rel / name
+            p.parent.mkdir(parents=True, exist_ok=True)
+            p.write_text("")
+            want.add(f"{rel}/{name}")
+    (tmp_path / ".git" / "x").mkdir(parents=True)
+    (tmp_path / ".git" / "x" / "no.sql").write_text("")
+    (tmp_path / "top.txt").write_text("")
+    (tmp_path / "link").symlink_to(tmp_path / "hot")
+    got = [r["path"] for r in tree_inventory(spark, str(tmp_path), parallelism=4).collect()]
+    assert len(got) == len(set(got)) and set(got) == want | {"top.txt"}
