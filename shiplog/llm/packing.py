@@ -19,6 +19,7 @@ columns play no part. Sequence ids grow with the partition and are unique.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections import deque
 
@@ -40,6 +41,9 @@ CACHE = 1_000_000
 #: Tokens that end a sentence.
 SENTENCE_ENDS = (".</w>", "!</w>", "?</w>", "...</w>", "!!</w>", "?!</w>")
 
+#: ASCII marks that may follow letters (no apostrophe: contractions are tokens).
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 _TOKENIZERS: dict[str, tuple] = {}
 
 
@@ -52,46 +56,90 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class Encoder:
     """Token ids of texts, as little-endian 32-bit integers.
 
-    The vocabulary's pattern drops white space and no token spans it, so the
-    ids of a text are those of its parts between ASCII white space; frequent
-    parts are kept in a bounded table.
+    The vocabulary's rules lower the case, drop white space and let no token
+    span it or join letters to marks, so the ids of a text are those of its
+    parts between ASCII white space, and the ids of letters followed by marks
+    are those of the letters and of the marks. Parts are kept in a bounded
+    table. Words of lower-case letters need no normalising and go to the
+    vocabulary's merges alone.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.whole = Tokenizer.from_file(path)
+        self.merges = Tokenizer(self.whole.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
-        ends = [self.tokenizer.token_to_id(t) for t in SENTENCE_ENDS]
-        self.ends = np.zeros(max(self.tokenizer.get_vocab_size(), END_ID) + 1, dtype=bool)
+        self.marks: dict[bytes, bytes] = {}
+        ends = [self.whole.token_to_id(t) for t in SENTENCE_ENDS]
+        self.ends = np.zeros(max(self.whole.get_vocab_size(), END_ID) + 1, dtype=bool)
         self.ends[[i for i in ends if i is not None]] = True
 
-    def learn(self, parts: list[bytes]) -> None:
-        """Encode new parts, many to a call, and tell them apart by offset."""
+    def _ids(self, parts: list[bytes], words: bool) -> list[bytes]:
+        """The ids of each part (none holds white space), many to a call."""
+        out: list[bytes] = []
         for i in range(0, len(parts), 512):
             own = parts[i : i + 512]
-            texts = [p.decode("utf-8", "replace") for p in own]
-            e = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            text = b" ".join(own).decode("utf-8", "replace")
+            e = (self.merges if words else self.whole).encode(text, add_special_tokens=False)
             ids = np.array(e.ids, dtype="<u4").tobytes()
-            begin = np.array([o[0] for o in e.offsets], dtype=np.int64)
-            first = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
-            at = (np.searchsorted(begin, first) * 4).tolist()
-            for p, lo, hi in zip(own, at, [*at[1:], len(ids)], strict=True):
-                self.known[p] = ids[lo:hi]
+            if words:
+                at = np.searchsorted(np.array(e.word_ids, dtype=np.int64), np.arange(len(own) + 1))
+            else:
+                first = np.cumsum([0, *[len(p.decode("utf-8", "replace")) + 1 for p in own]])
+                at = np.searchsorted(np.array([o[0] for o in e.offsets], dtype=np.int64), first)
+            at = (at * 4).tolist()
+            out += [ids[lo:hi] for lo, hi in zip(at, at[1:], strict=False)]
+        return out
+
+    def learn(self, parts: list[bytes]) -> None:
+        plain: list[bytes] = []  # letters alone
+        marked: list[tuple[bytes, bytes, bytes]] = []  # letters and marks
+        others: list[bytes] = []
+        for p in parts:
+            core = p.rstrip(MARKS)
+            if (core.isalpha() and core.islower()) or _lower_letters(core):
+                if len(core) == len(p):
+                    plain.append(p)
+                else:
+                    marked.append((p, core, p[len(core) :]))
+            else:
+                others.append(p)
+        known, marks = self.known, self.marks
+        plain += {c for _, c, _ in marked if c not in known}.difference(plain)
+        known.update(zip(plain, self._ids(plain, True), strict=True))
+        new = list({m for *_, m in marked if m not in marks})
+        marks.update(zip(new, self._ids(new, False), strict=True))
+        for p, core, mark in marked:
+            known[p] = known[core] + marks[mark]
+        known.update(zip(others, self._ids(others, False), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > CACHE:
+        if len(self.known) + len(self.marks) > CACHE:
             self.known.clear()
-        get = self.known.get
-        split = [t.split() for t in texts]
-        out = [list(map(get, s)) for s in split]
-        new = {p for s, o in zip(split, out, strict=True) if None in o for p, x in zip(s, o, strict=True) if x is None}
-        if new:
-            self.learn(list(new))
-            out = [list(map(get, s)) if None in o else o for s, o in zip(split, out, strict=True)]
+            self.marks.clear()
+        known = self.known
+        # a special token's text keeps its case, as the vocabulary reads it
+        split = [t.split() if b"<|" in t else t.lower().split() for t in texts]
+        out = [list(map(known.get, s)) for s in split]
+        lacking = [(s, o, [k for k, x in enumerate(o) if x is None]) for s, o in zip(split, out, strict=True) if None in o]
+        if lacking:
+            self.learn(list({s[k] for s, _, at in lacking for k in at}))
+            for s, o, at in lacking:
+                for k in at:
+                    o[k] = known[s[k]]
         return [b"".join(o) for o in out]
 
 
+def _lower_letters(core: bytes) -> bool:
+    """Letters that lower-casing and composing leave as they are."""
+    if core.isascii():
+        return False
+    text = core.decode("utf-8", "replace")
+    return text.isalpha() and text.islower() and unicodedata.is_normalized("NFC", text)
+
+
 def encoder(path: str) -> Encoder:
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = Encoder(path)
