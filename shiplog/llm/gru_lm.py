@@ -1,7 +1,7 @@
 """Document log-likelihood under a gated recurrent language model.
 
 Corpus statistics: the tokens of all training documents are counted over Spark.
-The ``vocabulary`` most frequent tokens are the model's own; any other token
+At most ``vocabulary`` of the most frequent tokens are the model's own; any other token
 has the model's unknown-token probability times its share (c + 1 of c
 occurrences) among the tokens outside the vocabulary, one unseen kind included,
 so the probabilities of all tokens add up to one.
@@ -16,9 +16,9 @@ with the state carried from window to window, and the parameters are averaged,
 weighted by tokens, in a Spark aggregation.
 
 Scoring reads every document whole: documents run side by side, sorted by
-length, with the state carried across windows. Counts of the ``frequent`` most
-frequent tokens (a bounded table) travel with the task; the others are joined
-over Spark.
+length, with the state carried across windows. Counts of at most ``frequent``
+of the most frequent tokens travel with the task; the others are joined over
+Spark.
 
 Defined results: null counts as the empty text, whose only token is the end; a
 corpus without training documents has no counts (base score 0) and an untrained
@@ -123,6 +123,18 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _at(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log-softmax of each row at its target. One shift serves all rows unless
+    a row lies so low that its sum would vanish."""
+    row = np.arange(len(x))
+    top = x.max()
+    e = np.exp(x - top)
+    total = e @ np.ones(x.shape[1], dtype=x.dtype)
+    if total.min() < 1e-30:
+        return _log_softmax(x)[row, target]
+    return x[row, target] - top - np.log(total)
+
+
 def _by_class(target: np.ndarray, size: int):
     kind = target // size
     order = np.argsort(kind, kind="stable")
@@ -134,9 +146,9 @@ def log_prob(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> np.
     """Natural log-probability of each target after its state."""
     size = p["word_b"].shape[1]
     kind, groups = _by_class(target, size)
-    out = _log_softmax(h @ p["class_w"] + p["class_b"])[np.arange(len(h)), kind]
+    out = _at(h @ p["class_w"] + p["class_b"], kind)
     for c, rows in groups:
-        out[rows] += _log_softmax(h[rows] @ p["word_w"][c] + p["word_b"][c])[np.arange(len(rows)), target[rows] - c * size]
+        out[rows] += _at(h[rows] @ p["word_w"][c] + p["word_b"][c], target[rows] - c * size)
     return out
 
 
@@ -354,12 +366,28 @@ def _score_rows(model: dict):
     return run
 
 
+def frequent_tokens(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
+    """The most frequent tokens (the end aside) by count and then by token: as
+    many as whole ranges of counts allow within ``most``. The ranges (64 to a
+    doubling) are counted first, so only chosen tokens leave their tasks."""
+    kinds = counts.where(F.octet_length("token") > 0)
+    step = F.floor(F.log2("c") * 64).cast("int")
+    left, least = most, None
+    for r in sorted(kinds.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["step"]):
+        if r["n"] > left:
+            break
+        left, least = left - r["n"], r["step"]
+    if least is None:
+        return [], np.zeros(0, dtype=np.int64)
+    top = sorted((-r["c"], bytes(r["token"])) for r in kinds.where(step >= least).collect())
+    return [w for _, w in top], np.array([-n for n, _ in top], dtype=np.int64)
+
+
 def fit(training: DataFrame, counts: DataFrame, vocabulary: int = VOCABULARY, frequent: int = FREQUENT, share: float = SHARE, rounds: int = ROUNDS) -> dict:
     """Counts, tables and trained parameters that scoring needs."""
     whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.octet_length("token") == 0, F.col("c"))).alias("e")).first()
     n, kinds, n_end = int(whole["n"] or 0), int(whole["v"]), int(whole["e"] or 0)
-    top = counts.where(F.octet_length("token") > 0).orderBy(F.col("c").desc(), "token").limit(frequent).collect()
-    words, c = [bytes(r["token"]) for r in top], np.array([r["c"] for r in top], dtype=np.int64)
+    words, c = frequent_tokens(counts, frequent)
     own = min(len(words), vocabulary - 2)
     n_out, kinds_out = n - n_end - int(c[:own].sum()), kinds - own - (n_end > 0)
     weights = np.concatenate([[n_out + 1, n_end], c[:own]]).astype(float)

@@ -58,7 +58,7 @@ def docs():
 
 def test_counts_and_gain(spark):
     rows = [*docs(), (900, None), (901, ""), (902, "a\x0bb\x1cc　d  É é")]
-    got = {x.doc_id: x for x in L.score(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary=40, frequent=60, share=1.0).collect()}
+    got = {x.doc_id: x for x in L.score(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary=40, frequent=80, share=1.0).collect()}
     words = {i: (t or "").encode().lower().split() + [b""] for i, t in rows}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in words}
     c = Counter(w for i, ws in words.items() if not held[i] for w in ws)
