@@ -14,8 +14,8 @@ document's evidence is its best segment's lambda S - ln K and -ln E, and the
 summed lambda S - ln K of its significant segments; a logistic curve fitted to
 the labels turns them into a probability.
 
-Bounds: the model is fitted on at most ``max_labelled`` labelled documents
-(smallest id hashes), and keeps at most ``max_words`` weights (largest
+Bounds: the model is fitted on ``max_labelled`` labelled documents or all, if
+fewer (smallest id hashes, so about as many), and keeps at most ``max_words`` weights (largest
 standardised difference); both are parameters. Scoring covers every word of
 every document.
 
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import crc_remainder, freeze, pieces
+from shiplog.llm.common import checked, crc_remainder, freeze, pieces
 
 MAX_LABELLED = 20_000
 MAX_WORDS = 20_000
@@ -196,16 +196,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50
 
 def labelled_part(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_labelled: int) -> DataFrame:
     """(text, toxic) of the labelled documents of the learning part."""
-    chosen = (
+    usable = (
         labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("toxic"))
         .where(F.col("toxic").isNotNull() & F.col("__id").isNotNull())
         .where(crc_remainder("__id", HOLD_OUT) != 0)
         .groupBy("__id")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("__id"), "__id")
-        .limit(max_labelled)
     )
-    chosen = freeze(chosen, "labelled")
+    # by the id's hash, so that no task sends its rows to one place
+    share = min(1.0, max_labelled / max(1, usable.count()))
+    near = F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    chosen = checked(freeze(usable.where(near), "labelled"), 24)
     own = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"))
     texts = own.join(chosen, "__id").groupBy("text").agg(F.max("toxic").alias("toxic"))
     return freeze(texts, "labelled_texts")
