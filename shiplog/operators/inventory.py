@@ -64,7 +64,7 @@ def parse_inventory(inventory: DataFrame, path_col: str = "path") -> DataFrame:
     name = base_name(p)
     pkg = last_folder(p)
     number = F.substring_index(name, ";", 1)
-    rest = F.substring(name, F.length(number) + 2, F.lit(1 << 30))
+    rest = F.substring(name, F.length(number) + 2, F.length(name))
     target = F.substring_index(rest, ".", 1)
     well_formed = (
         name.contains(";")
@@ -80,7 +80,7 @@ def parse_inventory(inventory: DataFrame, path_col: str = "path") -> DataFrame:
         package_comment(pkg).alias("package_comment"),
         F.when(well_formed, number.try_cast("bigint")).alias("script_no"),
         F.when(well_formed, target).alias("target_id"),
-        F.when(well_formed, F.substring(rest, F.length(target) + 2, F.lit(1 << 30))).alias("extension"),
+        F.when(well_formed, F.substring(rest, F.length(target) + 2, F.length(rest))).alias("extension"),
     )
     reason = (
         F.when(F.col("package_ts").isNull(), F.lit("bad package folder"))
