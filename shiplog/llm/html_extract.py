@@ -44,15 +44,19 @@ BLOCKS = frozenset(
 CLOSES_P = BLOCKS - {"br", "td", "th", "tr", "tbody", "thead", "tfoot", "html", "body"}
 SAME = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table article section div main body html td th blockquote".split())
-#: Words of class, id or role names that mark something other than the article.
+# Parts of class, id and role names. SIDE marks what is not the
+# article, ALWAYS even beside a name of MAIN; MODIFIERS start names that speak
+# of another element.
 SIDE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adv|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|side|footer|foot|header|masthead|"
-    r"cookie\w*|consent|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|"
-    r"comment|comments|commentlist|disqus\w*|reply|replies|respond|share|sharing|social|related|recommend\w*|widget\w*|toolbar|pagination|pager|"
-    r"skip|legal|copyright|disclaimer|hidden|contentinfo|complementary|navigation|search)(?:$|[\s_-])",
-    re.I,
+    r"(?:adv|banner|promo\w*|nav\w*|menu\w*|sidebar\w*|side|foot|footer\w*|header\w*|masthead|consent|notices?|notification\w*|alerts?|overlay|"
+    r"signup|login|subscri\w*|reply|replies|respond|responses?|reviews?|discussion|feedback|share|sharing|social\w*|related|recommend\w*|"
+    r"widgets?|toolbar|pager|skip|legal|copyright|disclaimer|hidden|contentinfo|complementary|search\w*|teasers?|tags|byline)"
 )
-SIDE_BUT_MAIN = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body)(?:$|[\s_-])", re.I)
+ALWAYS = re.compile(
+    r"(?:ads?|advert\w*|sponsor\w*|breadcrumbs?|cookies?|gdpr|popups?|modal|newsletter|comments?|commentlist|commentary|disqus\w*|pagination|navigation|navbar)"
+)
+MAIN = re.compile(r"(?:article\w*|content|main|posts?|entry|story|body|text)")
+MODIFIERS = frozenset("has with no without is not js".split())
 SMOOTH = 1.0
 THRESHOLD = 0.5
 COVER = 0.9
@@ -62,6 +66,22 @@ _SPACE = re.compile(r"\s+")
 _PUNCT = re.compile(r"[.,;:!?。，、；：！？…]")
 
 
+def is_side(names: str) -> bool:
+    """Whether class, id and role names mark something besides the article."""
+    side = main = False
+    for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", names).lower().split():
+        parts = [p for p in re.split(r"[-_:.]+", name) if p]
+        if not parts or parts[0] in MODIFIERS:
+            continue
+        if any(ALWAYS.fullmatch(p) for p in parts):
+            return True
+        if any(SIDE.fullmatch(p) for p in parts):
+            side = True
+        elif any(MAIN.fullmatch(p) for p in parts):
+            main = True
+    return side and not main
+
+
 class Node:
     """An element: its parent, tag, mark and whether it is outside the article."""
 
@@ -74,7 +94,7 @@ class Node:
             a = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
             mark = " ".join(x for x in (a.get("class", ""), a.get("id", "")) if x)
             said = " ".join(x for x in (mark, a.get("role", "")) if x)
-            if said and tag not in ("html", "body", "article", "main") and SIDE.search(said) and not SIDE_BUT_MAIN.search(said):
+            if said and tag not in ("html", "body", "main") and is_side(said):
                 aside = True
             style = a.get("style", "").replace(" ", "").lower()
             if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style:

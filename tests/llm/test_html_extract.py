@@ -21,6 +21,8 @@ COMMENTS = '<div class="comments"><h3>Comments</h3>' + "".join(f"<div class='com
         f"<body><div id='header'><h1>Site</h1></div>{NAV}<div id='content'>{BODY}</div><div class='sidebar'><p>Aside text, for you.</p></div>{COMMENTS}</body>",
         f"<body>{NAV}<main>{BODY}{COMMENTS}<form><label>Name, please</label><input></form></main>",
         f"<div class='cookie-notice'>We use cookies, as you know, to make things better, and so on.</div><div>{NAV}<div><div class='ad'>Buy, buy!</div>{BODY}</div></div>",
+        f"<body><div class='main-nav'>Home, about, and more.</div><div class='post-body has-sidebar'>{BODY}<div class='post-share'>Share it, please.</div></div>"
+        f"<section id='articleComments'><article class='comment'><p>Well, I do not think so, and I never did.</p></article></section></body>",
         f"<body><article>{BODY}<script>var t='</p>';</script><style>p{{}}</style><!-- hidden <p>words</p> --></article>",
     ],
 )
@@ -28,6 +30,13 @@ def test_article_only(page):
     assert H.extract(page) == TEXT
 
 
+def test_names():
+    for names in ("ad", "main-nav", "post-comments", "sidebar-content", "siteFooter", "comment post", "cookie_notice", "entry-footer", "reader-responses"):
+        assert H.is_side(names), names
+    for names in ("", "article", "main-content has-sidebar", "post-body", "content no-ads", "lead", "download", "headline", "shadow", "adagio"):
+        assert not H.is_side(names), names
+
+
 def test_text_rules():
     page = "<article><h1>A&amp;B&nbsp;&#8212; x</h1><p>one\n\n two<b>three</b> <br>four<p>five <i>six</i>, seven. And eight, and nine.</article>"
     assert H.extract(page) == "A&B — x one twothree four five six, seven. And eight, and nine."
