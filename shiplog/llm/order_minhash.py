@@ -11,11 +11,13 @@ with c words aligned of n and m, the pair is linked when c / (n + m - c)
 reaches ``min_similarity``. Classes are the connected components of the links;
 a class is named by its smallest doc_id.
 
-Large groups: equal texts are one node. Within a bucket of equal sketches every
-node is compared with the bucket's pivot only (the same pivot wherever it
-appears), so pairs grow with the bucket, not with its square. While a bucket
-still holds several classes, one node of each is compared with a new pivot;
-rounds go on until one brings no new link.
+Large groups: equal texts are one node. Every bucket of equal sketches has a
+pivot, the node that shares sketches with most others (in a group of copies the
+likely source), and a node is compared with the first of its pivots only, so
+pairs grow with the bucket, not with its square. Then the nodes of different
+classes that share a bucket of up to ``SMALL`` nodes all meet; while a larger
+bucket still holds several classes, one node of each is compared with a new
+pivot, until a round brings no new link.
 
 Defined results: equal texts are one class, null counts as empty, a text of
 under five words is one shingle, a text without words only equals its copies,
@@ -32,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import GOLDEN, MIN_SIMILARITY, U64, freeze, mix, pieces, shingle_hashes, text_bytes, word_hashes
+from shiplog.llm.common import GOLDEN, MIN_SIMILARITY, U64, checked, freeze, mix, pieces, shingle_hashes, text_bytes, word_hashes
 
 SKETCHES = 32
 KEEP = 2
 CHUNK = 512
+BINS = 256
+SMALL = 8
 
 
 def labelled(shingles: np.ndarray) -> np.ndarray:
@@ -53,9 +57,24 @@ def labelled(shingles: np.ndarray) -> np.ndarray:
     return mix(shingles + number * GOLDEN)
 
 
-def sketch(text: str, sketches: int = SKETCHES) -> np.ndarray:
+def profile(words: np.ndarray) -> bytes:
+    """How many words fall into each of ``BINS`` hash bins, one byte each if
+    they fit, else four."""
+    counts = np.bincount((words >> U64(11)).astype(np.int64) % BINS, minlength=BINS)
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32).tobytes()
+
+
+def may_reach(a: bytes, b: bytes, least: float) -> bool:
+    """Whether two texts with these profiles can reach ``least``: no alignment
+    has more pairs than the bins have words in common."""
+    x, y = (np.frombuffer(p, dtype=np.uint8 if len(p) == BINS else np.uint32).astype(np.int64) for p in (a, b))
+    both = int(x.sum() + y.sum())
+    return int(np.minimum(x, y).sum()) >= least / (1 + least) * both - 1e-9
+
+
+def sketch(words: np.ndarray, sketches: int = SKETCHES) -> np.ndarray:
     """One value per hash function (none for a text without words)."""
-    x = labelled(shingle_hashes(word_hashes(text)))
+    x = labelled(shingle_hashes(words))
     n = len(x)
     if not n:
         return np.zeros(0, dtype=np.int64)
@@ -136,10 +155,15 @@ def _sketches(sketches: int):
             for part in pieces(batch):
                 texts = part.column(1).to_pylist()
                 digest = np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in texts), dtype=np.int64).reshape(-1, 2)
-                found = [sketch(t.decode("utf-8", "replace"), sketches) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "a", "b", "sketch"]
-                )
+                words = [word_hashes(t.decode("utf-8", "replace")) for t in texts]
+                columns = [
+                    part.column(0),
+                    pa.array(digest[:, 0]),
+                    pa.array(digest[:, 1]),
+                    pa.array([sketch(w, sketches) for w in words], pa.list_(pa.int64())),
+                    pa.array([profile(w) for w in words], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a", "b", "sketch", "profile"])
 
     return run
 
@@ -165,88 +189,123 @@ def _verify(least: float):
     return run
 
 
-def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """(x, y, similarity) of the pairs that reach ``least``."""
+def _screen(least: float):
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch):
+                ok = [may_reach(p, q, least) for p, q in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                yield part.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
+def verify(pairs: DataFrame, profiles: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """(x, y, similarity) of the pairs that reach ``least``. The word profiles
+    rule out most pairs that cannot, so few texts meet."""
+    p = profiles.select(F.col("node").alias("x"), F.col("profile").alias("p"))
+    q = profiles.select(F.col("node").alias("y"), F.col("profile").alias("q"))
+    likely = p.join(checked(pairs, 24), "x").join(q, "y").select("x", "y", "p", "q").mapInArrow(_screen(least), "x long, y long")
+    likely = freeze(likely, "likely")
     left = texts.select(F.col("node").alias("x"), F.col("text").alias("s"))
     right = texts.select(F.col("node").alias("y"), F.col("text").alias("t"))
-    both = pairs.join(left, "x").join(right, "y").select("x", "y", "s", "t")
+    right = right.join(checked(likely.select("y").distinct(), 16), "y", "left_semi")
+    both = left.join(checked(likely, 24), "x").join(right, "y").select("x", "y", "s", "t")
     return both.mapInArrow(_verify(least), "x long, y long, similarity double").where(F.col("similarity") > 0)
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, label): the smallest node of each node's component.
+def components(links: DataFrame) -> DataFrame:
+    """(node, label): the smallest node of the component of every node that
+    ``links`` (x, y) holds.
 
     Every node takes the smallest label next to it and then its label's label,
     until nothing changes; each round is stored, so its lineage is short.
     """
-    both = freeze(links.select("x", "y").union(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).where("x <> y").distinct(), "links")
-    labels = freeze(nodes.select("node", F.col("node").alias("label")), "labels")
+    both = freeze(links.select(F.col("x").alias("a"), F.col("y").alias("b")).union(links.select("y", "x")).distinct(), "both")
+    labels = freeze(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
     while True:
-        near = both.join(labels, both["y"] == labels["node"]).groupBy("x").agg(F.min("label").alias("next"))
-        step = labels.join(near, labels["node"] == near["x"], "left").select("node", "label", F.least("label", F.coalesce("next", "label")).alias("next"))
+        near = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("was"))
+        own = labels.select("node", "label", F.col("label").alias("was"))
+        step = near.union(own).groupBy("node").agg(F.min("label").alias("next"), F.max("was").alias("was"))
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("further"))
-        done = freeze(step.join(jump, "next", "left").select("node", "label", F.least("next", "further").alias("to")), "labels")
-        changed = done.where("to <> label").limit(1).count()
-        labels = done.select("node", F.col("to").alias("label"))
-        if not changed:
+        done = freeze(step.join(jump, "next", "left").select("node", F.least("next", "further").alias("label"), "was"), "labels")
+        labels = done.select("node", "label")
+        if not done.where("label <> was").limit(1).count():
             return labels
 
 
+def _unordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_similarity: float = MIN_SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
-    """One row per document: doc_id, class_id, copy_of (the node of equal texts)
-    and n_links (the verified links of that node)."""
+    """One row per document: doc_id, class_id and copy_of (the smallest doc_id
+    of its equal texts)."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
-    sketched = freeze(own.mapInArrow(_sketches(sketches), "doc_id long, a long, b long, sketch array<long>"), "sketches")
+    sketched = freeze(own.mapInArrow(_sketches(sketches), "doc_id long, a long, b long, sketch array<long>, profile binary"), "sketches")
     same = freeze(
-        sketched.where("doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")),
+        sketched.where("doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("profile").alias("profile")),
         "texts",
     )
-    cells = freeze(
-        same.select("node", F.explode("sketch").alias("cell")), "cells"
-    )
-    # cells that two or more texts share
-    shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("pivot")).where("n > 1")
-    members = freeze(cells.join(shared.select("cell", F.col("pivot.node").alias("pivot")), "cell").select("cell", "node", "pivot"), "members")
-    involved = members.select("node").distinct()
-    texts = freeze(own.join(involved, own["doc_id"] == involved["node"]).select("node", "text").dropDuplicates(["node"]), "involved")
-    pairs = members.where("node <> pivot").select(F.least("node", "pivot").alias("x"), F.greatest("node", "pivot").alias("y")).distinct()
-    tested = freeze(pairs, "pairs")
-    links = freeze(verify(tested, texts, min_similarity), "links")
-    nodes = freeze(involved, "nodes")
-    labels = components(nodes, links)
+    cells = same.select("node", F.explode("sketch").alias("cell"))
+    shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = freeze(cells.join(shared, "cell"), "members")
+    # the text that agrees most with others is the likely source of its copies
+    reach = members.groupBy("node").agg(F.sum("n").alias("reach"))
+    members = freeze(members.join(reach, "node").select("cell", "node", "reach"), "reach")
+    rank = F.struct("reach", F.xxhash64("node").alias("h"), "node")
+    pivots = members.groupBy("cell").agg(F.max(rank).alias("pivot"))
+    # a node meets the first of its pivots; the rounds below meet the others
+    first = members.join(pivots, "cell").groupBy("node").agg(F.max("pivot").alias("pivot")).select("node", F.col("pivot.node").alias("pivot"))
+    first = freeze(first, "first")
+    texts = own.join(checked(first.select("node"), 16), own["doc_id"] == first["node"]).select("node", "text").dropDuplicates(["node"])
+    texts = freeze(texts, "involved")
+    pairs = first.where("node <> pivot").select(F.col("node").alias("x"), F.col("pivot").alias("y"))
+    tested = _unordered(pairs)
+    profiles = freeze(same.join(checked(first.select("node"), 16), "node", "left_semi").select("node", "profile"), "profiles")
+    links = freeze(verify(pairs, profiles, texts, min_similarity), "links")
+    # a node goes by its pivot's name while buckets are compared; the classes
+    # themselves are put together from all links at the end
+    names = links.select(F.col("x").alias("node"), F.col("y").alias("name"))
     turn = 0
     while True:
-        turn += 1
-        named = members.select("cell", "node").join(labels, "node")
-        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("node"))
-        heads = named.groupBy("cell", "label").agg(F.min(order).alias("head"))
-        heads = freeze(heads.select("cell", "label", "head.h", F.col("head.node").alias("node")), "heads")
-        pivots = heads.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("h", "node")).alias("p")).where("n > 1")
-        fresh = (
-            heads.join(pivots.select("cell", F.col("p.node").alias("pivot")), "cell")
-            .where("node <> pivot")
-            .select(F.least("node", "pivot").alias("x"), F.greatest("node", "pivot").alias("y"))
-            .distinct()
-            .join(tested, ["x", "y"], "left_anti")
-        )
-        fresh = freeze(fresh, "pairs")
-        found = freeze(verify(fresh, texts, min_similarity), "links")
+        # buckets that still hold several names, dealt by bucket once
+        named = members.join(checked(names, 24), "node", "left").withColumn("name", F.coalesce("name", "node")).repartition("cell")
+        mixed = named.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("p"), F.max("name").alias("q")).where("p <> q")
+        members = freeze(named.join(mixed.select("cell", "n"), "cell").select("cell", "node", "reach", "name", "n"), "mixed")
+        # the nodes of a small bucket all meet, once; in a large one a node of
+        # each name meets a pivot, which goes by reach at first, then by chance
+        large = members.where(F.col("n") > SMALL).repartition("cell")
+        order = F.struct((F.xxhash64("node", F.lit(turn)) if turn else -F.col("reach")).alias("h"), F.col("node").alias("node"))
+        heads = large.groupBy("cell", "name").agg(F.min(order).alias("head"))
+        pivots = heads.groupBy("cell").agg(F.min("head").alias("pivot"))
+        met = heads.join(pivots, "cell").select(F.col("head.node").alias("x"), F.col("pivot.node").alias("y"))
+        if not turn:
+            small = members.where(F.col("n") <= SMALL)
+            other = small.select("cell", F.col("node").alias("y"), F.col("name").alias("other"))
+            met = met.union(small.join(other, "cell").where("node < y and name <> other").select(F.col("node").alias("x"), "y"))
+        fresh = met.where("x <> y").withColumns({"u": F.least("x", "y"), "v": F.greatest("x", "y")})
+        fresh = fresh.groupBy("u", "v").agg(F.min(F.struct("x", "y")).alias("m"))
+        fresh = freeze(fresh.join(checked(tested, 24), ["u", "v"], "left_anti").select("m.x", "m.y"), "pairs")
+        found = freeze(verify(fresh, profiles, texts, min_similarity), "links")
         if not found.limit(1).count():
             break
-        tested, links = tested.union(fresh), links.union(found)
-        labels = components(nodes, links)
-    ends = links.select(F.col("x").alias("node")).union(links.select(F.col("y").alias("node")))
-    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = labels.join(degree, "node", "left").select(F.col("node").alias("__n"), "label", "n_links")
+        tested, links = tested.union(_unordered(fresh)), links.union(found)
+        # every node of the first one's name takes the other one's name
+        of = checked(names, 24).select(F.col("node").alias("n"), "name")
+        ends = found.join(of, F.col("x") == F.col("n"), "left").select(F.coalesce("name", "x").alias("x"), "y")
+        ends = ends.join(of, F.col("y") == F.col("n"), "left").select("x", F.coalesce("name", "y").alias("y"))
+        renamed = freeze(ends.where("x <> y").groupBy(F.col("x").alias("old")).agg(F.min("y").alias("new")), "renamed")
+        alone = renamed.select(F.col("old").alias("node"), F.col("old").alias("name")).join(checked(names.select("node"), 16), "node", "left_anti")
+        names = names.union(alone).join(checked(renamed, 24), F.col("name") == F.col("old"), "left")
+        names = freeze(names.select("node", F.coalesce("new", "name").alias("name")), "names")
+        members = members.where(F.col("n") > SMALL).select("cell", "node", "reach")
+        turn += 1
+    labels = components(links)
+    classes = labels.select(F.col("node").alias("__n"), "label")
     text_of = same.select("a", "b", "node")
     rows = sketched.select("doc_id", "a", "b").join(text_of, ["a", "b"], "left").join(classes, F.col("node") == F.col("__n"), "left")
     known = F.col("doc_id").isNotNull()
-    return rows.select(
-        "doc_id",
-        F.when(known, F.coalesce("label", "node")).alias("class_id"),
-        F.when(known, F.col("node")).alias("copy_of"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+    return rows.select("doc_id", F.when(known, F.coalesce("label", "node")).alias("class_id"), F.when(known, F.col("node")).alias("copy_of"))
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

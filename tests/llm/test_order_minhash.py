@@ -78,10 +78,22 @@ def test_alignment_matches_brute_force(monkeypatch):
             assert (O.similarity(a, c) >= 0.8) == (sim >= 0.8)
 
 
+def test_profiles_never_rule_out_a_link():
+    r = random.Random(9)
+    for n in (5, 80, 3000):
+        base = " ".join("abcdefghij"[r.randint(0, 9)] + str(int(r.paretovariate(0.7))) for _ in range(n))
+        for share in (0.02, 0.05, 0.1):
+            a, b = word_hashes(base), word_hashes(edited(r, base, share))
+            if O.similarity(a, b) >= 0.8:
+                assert O.may_reach(O.profile(a), O.profile(b), 0.8)
+    assert len(O.profile(np.zeros(300, dtype=np.uint64))) == 4 * O.BINS
+    assert not O.may_reach(O.profile(word_hashes("a b c d e")), O.profile(word_hashes("f g h i j")), 0.8)
+
+
 def test_order_counts():
     base = " ".join(f"w{i}" for i in range(200))
     turned = " ".join(f"w{i}" for i in [*range(100, 200), *range(100)])
-    same = lambda x, y: int((O.sketch(x) == O.sketch(y)).sum())
+    same = lambda x, y: int((O.sketch(word_hashes(x)) == O.sketch(word_hashes(y))).sum())
     assert same(base, edited(random.Random(1), base, 0.01)) > same(base, turned) > 0
 
 
