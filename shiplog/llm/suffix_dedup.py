@@ -99,75 +99,67 @@ def live_starts(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def survivors(raw: np.ndarray, alive: list[list[int]], grams: tuple[int, ...], length: int) -> np.ndarray:
-    """Which starts are left after the rounds at ``grams``, given the places
-    of the anchors that each round kept."""
-    n = max(0, len(raw) - length + 1)
+def survivors(n: int, ranges: list[list[int]]) -> np.ndarray:
+    """Which of n starts every round kept; ``ranges`` holds the first and the
+    last starts of the kept anchors, round by round."""
     left = np.ones(n, dtype=bool)
-    for places, gram in zip(alive, grams, strict=False):
-        p, _, lo, hi = anchors(raw, length, gram)
-        kept = np.isin(p, places)
-        left &= live_starts(n, lo[kept], hi[kept])
+    for lo, hi in zip(ranges[::2], ranges[1::2], strict=True):
+        left &= live_starts(n, np.array(lo, dtype=np.int64), np.array(hi, dtype=np.int64))
     return left
 
 
+def _anchor_batch(owner: str, rows: list[tuple]) -> pa.RecordBatch:
+    """(owner, lo, hi, rank) of the anchors of some texts."""
+    name = np.concatenate([np.full(len(p), x, dtype=np.int64) for x, p, *_ in rows])
+    rank, lo, hi = (np.concatenate([r[i] for r in rows]) for i in range(2, 5))
+    columns = [pa.array(name), *[pa.array(c.astype(np.int32)) for c in (lo, hi)], pa.array(rank.view(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, [owner, "lo", "hi", "rank"])
+
+
 def _first_round(length: int, gram: int):
     def run(batches):
         for batch in batches:
             for part in pieces(batch):
-                a, at, rank = [], [], []
-                for x, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    p, r, _, _ = anchors(np.frombuffer(t, dtype=np.uint8), length, gram)
-                    fresh = np.concatenate([[True], p[1:] != p[:-1]])  # a chunk's end may repeat one
-                    a.append(np.full(int(fresh.sum()), x, dtype=np.int64))
-                    at.append(p[fresh])
-                    rank.append(r[fresh].view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (a, at, rank)], ["a", "at", "rank"])
+                texts = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
+                yield _anchor_batch("a", [(x, *anchors(np.frombuffer(t, dtype=np.uint8), length, gram)) for x, t in texts])
 
     return run
 
 
-def _next_round(length: int, grams: tuple[int, ...]):
+def _next_round(length: int, gram: int):
     def run(batches):
         for batch in batches:
             for part in pieces(batch, 64):
-                key, at, rank = [], [], []
-                for x, t, *alive in zip(*[c.to_pylist() for c in part.columns], strict=True):
-                    raw = np.frombuffer(t, dtype=np.uint8)
-                    left = np.concatenate([[0], np.cumsum(survivors(raw, alive, grams, length))])
-                    p, r, lo, hi = anchors(raw, length, grams[-1])
-                    use = left[hi + 1] > left[lo]
-                    use[1:] &= ~((p[1:] == p[:-1]) & use[:-1])
-                    key.append(np.full(int(use.sum()), x, dtype=np.int64))
-                    at.append(p[use])
-                    rank.append(r[use].view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (key, at, rank)], ["key", "at", "rank"])
+                rows = []
+                for x, t, *ranges in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                    left = np.concatenate([[0], np.cumsum(survivors(len(t) - length + 1, ranges))])
+                    found = anchors(np.frombuffer(t, dtype=np.uint8), length, gram)
+                    use = left[found[3] + 1] > left[found[2]]
+                    rows.append((x, *[c[use] for c in found]))
+                yield _anchor_batch("key", rows)
 
     return run
 
 
-def runs(raw: np.ndarray, left: np.ndarray, length: int, gram: int) -> list[tuple[int, int]]:
+def runs(n: int, ranges: list[list[int]]) -> list[tuple[int, int]]:
     """(first, last) of the runs of surviving starts, cut where the first
     round's anchor changes."""
-    if not len(left):
-        return []
-    edge = np.zeros(len(left) + 1, dtype=bool)
+    left = survivors(n, ranges)
+    edge = np.zeros(n + 1, dtype=bool)
     edge[0] = edge[-1] = True
     edge[1:-1] = left[1:] != left[:-1]
-    edge[anchors(raw, length, gram)[2]] = True
+    edge[np.array(ranges[0], dtype=np.int64)] = True
     cut = np.flatnonzero(edge)
     return [(a, b - 1) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) if left[a]]
 
 
-def _run_rows(length: int, grams: tuple[int, ...]):
+def _run_rows(length: int):
     def run(batches):
         for batch in batches:
             for part in pieces(batch, 64):
                 rows = []
-                for x, t, *alive in zip(*[c.to_pylist() for c in part.columns], strict=True):
-                    raw = np.frombuffer(t, dtype=np.uint8)
-                    for lo, hi in runs(raw, survivors(raw, alive, grams, length), length, grams[0]):
-                        rows.append((x, lo, hi, *_digest(t[lo : hi + length])))
+                for x, t, *ranges in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                    rows += [(x, lo, hi, *_digest(t[lo : hi + length])) for lo, hi in runs(len(t) - length + 1, ranges)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["key", "lo", "hi", "r1", "r2"])
 
@@ -223,10 +215,14 @@ def _removal_rows(length: int):
 
 
 def _repeated(ranked: DataFrame, owner: str) -> DataFrame:
-    """(owner, alive): the places whose rank stands at two places or more."""
-    where = F.xxhash64(owner, "at")
+    """(owner, alive): the ranges of starts whose anchor's rank stands at two
+    places or more (a place that a chunk's end cuts counts as two, which only
+    keeps more starts in play). The repeated ranks are stored before the join, so that Spark
+    can split the partition of a rank that very many places share."""
+    where = F.xxhash64(owner, "lo")
     twice = ranked.groupBy("rank").agg(F.min(where).alias("p"), F.max(where).alias("q")).where("p <> q").select("rank")
-    return ranked.join(twice, "rank", "left_semi").groupBy(owner).agg(F.collect_list("at").alias("alive"))
+    kept = ranked.join(freeze(twice, "ranks"), "rank", "left_semi")
+    return kept.groupBy(owner).agg(F.collect_set(F.struct("lo", "hi")).alias("alive"))
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, grams: tuple[int, ...] = GRAMS) -> DataFrame:
@@ -237,20 +233,20 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     long_enough = own.where(F.octet_length("text") >= length)
     # the first round ranks all texts; a text is named by 64 bits here, and two
     # texts of one name would only keep more starts in play
-    ranked = freeze(long_enough.select("a", "text").mapInArrow(_first_round(length, grams[0]), "a long, at long, rank long"), "anchors")
+    ranked = freeze(long_enough.select("a", "text").mapInArrow(_first_round(length, grams[0]), "a long, lo int, hi int, rank long"), "anchors")
     alive = freeze(_repeated(ranked, "a").withColumnsRenamed({"alive": "alive0"}), "alive")
     some = long_enough.select("a", "b", "text").join(checked(alive.select("a"), 16), "a", "left_semi").dropDuplicates(["a", "b"])
     texts = some.join(alive, "a").withColumn("key", F.monotonically_increasing_id())
     texts = freeze(texts.select("key", "a", "b", "text", "alive0"), "texts")
     # further rounds rank what is left
-    lists = ["alive0"]
+    ranges = [F.col("alive0.lo").alias("lo0"), F.col("alive0.hi").alias("hi0")]
     for k in range(1, len(grams)):
-        ranked = texts.select("key", "text", *lists).mapInArrow(_next_round(length, grams[: k + 1]), "key long, at long, rank long")
+        ranked = texts.select("key", "text", *ranges).mapInArrow(_next_round(length, grams[k]), "key long, lo int, hi int, rank long")
         alive = _repeated(freeze(ranked, "anchors"), "key").withColumnsRenamed({"alive": f"alive{k}"})
-        lists.append(f"alive{k}")
+        ranges += [F.col(f"alive{k}.lo").alias(f"lo{k}"), F.col(f"alive{k}.hi").alias(f"hi{k}")]
         texts = freeze(texts.join(alive, "key"), "texts")
     # runs of surviving starts
-    spans = freeze(texts.select("key", "text", *lists).mapInArrow(_run_rows(length, grams), "key long, lo long, hi long, r1 long, r2 long"), "runs")
+    spans = freeze(texts.select("key", "text", *ranges).mapInArrow(_run_rows(length), "key long, lo long, hi long, r1 long, r2 long"), "runs")
     place = F.struct("key", "lo")
     counted = spans.groupBy("r1", "r2").agg(F.min(place).alias("p"), F.max(place).alias("q"))
     counted = counted.select("r1", "r2", (F.col("p") != F.col("q")).alias("settled"), "p")
