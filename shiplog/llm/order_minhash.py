@@ -15,9 +15,13 @@ Large groups: equal texts are one node. Every bucket of equal sketches has a
 pivot, the node that shares sketches with most others (in a group of copies the
 likely source), and a node is compared with the first of its pivots only, so
 pairs grow with the bucket, not with its square. Then the nodes of different
-classes that share a bucket of up to ``SMALL`` nodes all meet; while a larger
-bucket still holds several classes, one node of each is compared with a new
-pivot, until a round brings no new link.
+classes that share a bucket of up to ``SMALL`` nodes all meet; in a larger
+bucket one node of each class is compared with a new pivot, ``PIVOTS`` times.
+These rounds only save work. What they leave is settled in full: every large
+bucket that still holds several classes is dealt as pairs of blocks of about
+``BLOCK`` nodes, and all nodes of different classes meet, word profiles first;
+only pairs that the profiles cannot rule out leave their task to be aligned.
+So any two nodes that share a bucket are in one class or have been compared.
 
 Defined results: equal texts are one class, null counts as empty, a text of
 under five words is one shingle, a text without words only equals its copies,
@@ -41,6 +45,11 @@ KEEP = 2
 CHUNK = 512
 BINS = 256
 SMALL = 8
+PIVOTS = 2
+BLOCK = 2048
+#: Nodes that a node tries of every other class and block before all the rest.
+TRIES = 4
+LEVELS = 4
 
 
 def labelled(shingles: np.ndarray) -> np.ndarray:
@@ -233,6 +242,100 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _likely(nodes: np.ndarray, names: np.ndarray, seeks: np.ndarray, rest: np.ndarray, profiles: list[bytes], least: float, tries: int | None):
+    """Pairs (x, y) of a seeking node and another one of a different name that
+    may reach ``least``; at most ``tries`` of a seeker with each name. Two
+    nodes of the rest meet once, the smaller one as x.
+
+    With a column per bin and level (count >= level) the words that two
+    profiles have in common are a product, up to counts over ``LEVELS``."""
+    counts = np.stack([np.frombuffer(p, dtype=np.uint8 if len(p) == BINS else np.uint32).astype(np.int32) for p in profiles])
+    levels = np.concatenate([counts >= k for k in range(1, LEVELS + 1)], axis=1).astype(np.float32)
+    over = np.maximum(counts - LEVELS, 0).sum(axis=1)
+    need = least / (1 + least) * counts.sum(axis=1)
+    s, t = np.flatnonzero(seeks), np.flatnonzero(~seeks)
+    columns = levels[t].T
+    for at in range(0, len(s), 256):
+        own = s[at : at + 256]
+        bound = levels[own] @ columns + np.minimum(over[own][:, None], over[t])
+        ok = (bound >= need[own][:, None] + need[t] - 1e-3) & (names[own][:, None] != names[t])
+        ok &= (nodes[own][:, None] < nodes[t]) | ~rest[t]
+        i, j = np.nonzero(ok)
+        i, j = own[i], t[j]
+        for k in range(0, len(i), 4096):
+            x, y = i[k : k + 4096], j[k : k + 4096]
+            fine = np.minimum(counts[x], counts[y]).sum(axis=1) >= need[x] + need[y] - 1e-6
+            ok_x, ok_y = x[fine], y[fine]
+            if tries is not None and len(ok_x):
+                order = np.lexsort((names[ok_y], ok_x))
+                ok_x, ok_y = ok_x[order], ok_y[order]
+                edge = np.concatenate([[True], (ok_x[1:] != ok_x[:-1]) | (names[ok_y[1:]] != names[ok_y[:-1]])])
+                place = np.arange(len(ok_x))
+                first = place - np.maximum.accumulate(np.where(edge, place, 0)) < tries
+                ok_x, ok_y = ok_x[first], ok_y[first]
+            if len(ok_x):
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[ok_x]), pa.array(nodes[ok_y])], ["x", "y"])
+
+
+def _blocks(least: float, tries: int | None):
+    """Over rows sorted by (cell, k, j): the likely pairs of every such block."""
+
+    def settle(table: pa.Table):
+        column = lambda name: table.column(name).to_numpy()
+        yield from _likely(column("node"), column("name"), column("seeks"), column("rest"), table.column("profile").to_pylist(), least, tries)
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in range(3)])
+            edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
+                key = tuple(keys[:, a].tolist())
+                if held and key != last:
+                    yield from settle(pa.Table.from_batches(held))
+                    held = []
+                last = key
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from settle(pa.Table.from_batches(held))
+
+    return run
+
+
+def block_pairs(members: DataFrame, profiles: DataFrame, least: float, tries: int | None) -> DataFrame:
+    """(x, y): the pairs of different names in the buckets of ``members``
+    (cell, node, name) that their profiles do not rule out.
+
+    The nodes outside a bucket's largest name are its rest; each block of the
+    rest meets each block of the whole bucket in a task of its own."""
+    kinds = members.groupBy("cell", "name").agg(F.count(F.lit(1)).alias("c"))
+    cells = kinds.groupBy("cell").agg(F.sum("c").alias("n"), F.max(F.struct("c", "name")).alias("most")).where("n > most.c")
+    parts = lambda n: F.ceil(n / F.lit(BLOCK)).cast("long")
+    cells = cells.select("cell", F.col("most.name").alias("largest"), parts(F.col("n")).alias("all_j"), parts(F.col("n") - F.col("most.c")).alias("all_k"))
+    rows = members.join(cells, "cell").join(profiles, "node").withColumn("rest", F.col("name") != F.col("largest"))
+    place = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    out = ["node", "name", "rest", "profile"]
+    seekers = rows.where("rest").withColumn("k", place(1, "all_k")).select("cell", "k", every("all_j").alias("j"), F.lit(True).alias("seeks"), *out)
+    others = rows.withColumn("j", place(2, "all_j")).select("cell", every("all_k").alias("k"), "j", F.lit(False).alias("seeks"), *out)
+    dealt = seekers.unionByName(others).repartition("cell", "k", "j").sortWithinPartitions("cell", "k", "j")
+    return dealt.mapInArrow(_blocks(least, tries), "x long, y long")
+
+
+def renamed(names: DataFrame, found: DataFrame) -> DataFrame:
+    """``names`` after the links ``found``: linked names become one."""
+    of = checked(names, 24).select(F.col("node").alias("n"), "name")
+    ends = found.join(of, F.col("x") == F.col("n"), "left").select(F.coalesce("name", "x").alias("x"), "y")
+    ends = ends.join(of, F.col("y") == F.col("n"), "left").select("x", F.coalesce("name", "y").alias("y"))
+    new = components(freeze(ends.where("x <> y").distinct(), "ends")).select(F.col("node").alias("old"), F.col("label").alias("new"))
+    alone = new.select(F.col("old").alias("node"), F.col("old").alias("name")).join(checked(names.select("node"), 16), "node", "left_anti")
+    both = names.union(alone).join(checked(new, 24), F.col("name") == F.col("old"), "left")
+    return freeze(both.select("node", F.coalesce("new", "name").alias("name")), "names")
+
+
 def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
 
@@ -266,8 +369,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # a node goes by its pivot's name while buckets are compared; the classes
     # themselves are put together from all links at the end
     names = links.select(F.col("x").alias("node"), F.col("y").alias("name"))
-    turn = 0
-    while True:
+    for turn in range(PIVOTS):
         # buckets that still hold several names, dealt by bucket once
         named = members.join(checked(names, 24), "node", "left").withColumn("name", F.coalesce("name", "node")).repartition("cell")
         mixed = named.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("p"), F.max("name").alias("q")).where("p <> q")
@@ -287,19 +389,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         fresh = fresh.groupBy("u", "v").agg(F.min(F.struct("x", "y")).alias("m"))
         fresh = freeze(fresh.join(checked(tested, 24), ["u", "v"], "left_anti").select("m.x", "m.y"), "pairs")
         found = freeze(verify(fresh, profiles, texts, min_similarity), "links")
+        members = members.where(F.col("n") > SMALL).select("cell", "node", "reach")
+        tested, links = tested.union(_unordered(fresh)), links.union(found)
         if not found.limit(1).count():
             break
+        names = renamed(names, found)
+    # what the pivots leave: a few nodes of each name first, since most that
+    # have a link find one there, then all
+    for tries in (TRIES, None):
+        named = members.join(checked(names, 24), "node", "left").select("cell", "node", F.coalesce("name", "node").alias("name"))
+        met = block_pairs(named, profiles, min_similarity, tries)
+        fresh = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        fresh = freeze(fresh.join(checked(tested, 24).select(F.col("u").alias("x"), F.col("v").alias("y")), ["x", "y"], "left_anti"), "pairs")
+        found = freeze(verify(fresh, profiles, texts, min_similarity), "links")
+        if found.limit(1).count():
+            names = renamed(names, found)
         tested, links = tested.union(_unordered(fresh)), links.union(found)
-        # every node of the first one's name takes the other one's name
-        of = checked(names, 24).select(F.col("node").alias("n"), "name")
-        ends = found.join(of, F.col("x") == F.col("n"), "left").select(F.coalesce("name", "x").alias("x"), "y")
-        ends = ends.join(of, F.col("y") == F.col("n"), "left").select("x", F.coalesce("name", "y").alias("y"))
-        renamed = freeze(ends.where("x <> y").groupBy(F.col("x").alias("old")).agg(F.min("y").alias("new")), "renamed")
-        alone = renamed.select(F.col("old").alias("node"), F.col("old").alias("name")).join(checked(names.select("node"), 16), "node", "left_anti")
-        names = names.union(alone).join(checked(renamed, 24), F.col("name") == F.col("old"), "left")
-        names = freeze(names.select("node", F.coalesce("new", "name").alias("name")), "names")
-        members = members.where(F.col("n") > SMALL).select("cell", "node", "reach")
-        turn += 1
     labels = components(links)
     classes = labels.select(F.col("node").alias("__n"), "label")
     text_of = same.select("a", "b", "node")

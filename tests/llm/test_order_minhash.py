@@ -105,3 +105,55 @@ def test_odd_rows(odd, empty):
     assert kept.columns == odd.columns
     assert sorted((x.doc_id for x in kept.collect()), key=str) == [1, 3, 4, 5, 6, None]
     assert O.near_duplicates(empty).count() == 0 and O.drop_near_duplicates(empty).count() == 0
+
+
+def test_variants_of_an_absent_source(spark, monkeypatch):
+    """Families whose buckets all hold over eight nodes, around the threshold:
+    every linked pair that shares a sketch is in one class."""
+    monkeypatch.setattr(O, "BLOCK", 16)  # several blocks a bucket
+    r = random.Random(11)
+    texts = []
+    for _ in range(5):
+        source = [f"w{r.randint(0, 999)}" for _ in range(100)]
+        for _ in range(40):
+            own = list(source)
+            for at in r.sample(range(100), r.randint(4, 8)):
+                own[at] = f"x{r.randint(0, 9999)}"
+            texts.append(" ".join(own))
+    docs = list(enumerate(texts))
+    words = [word_hashes(t) for t in texts]
+    sketches = [O.sketch(w) for w in words]
+    label = list(range(len(docs)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if (sketches[i] == sketches[j]).any() and O.similarity(words[i], words[j]) >= 0.8:
+                x, y = sorted((root(i), root(j)))
+                label[y] = x
+    got = {x.doc_id: x.class_id for x in O.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: root(i) for i in range(len(docs))}
+
+
+def test_block_screen_matches_profiles():
+    r = random.Random(12)
+    base = " ".join("w" + str(int(r.paretovariate(0.7))) for _ in range(300))
+    words = [word_hashes(edited(r, base, share)) for share in (0.02, 0.05, 0.08, 0.15) for _ in range(10)]
+    profiles = [O.profile(w) for w in words] * 2
+    n = len(words)
+    nodes = np.arange(n).repeat(1).tolist() * 2
+    nodes, seeks = np.array(nodes), np.arange(2 * n) < n
+    names = nodes % 7
+    rest = names != 0
+    got = {(int(x), int(y)) for b in O._likely(nodes, names, seeks & rest, rest, profiles, 0.8, None) for x, y in zip(*[c.to_pylist() for c in b.columns], strict=True)}
+    want = {
+        (x, y)
+        for x in range(n)
+        for y in range(n)
+        if x % 7 and x % 7 != y % 7 and (y % 7 == 0 or x < y) and O.may_reach(profiles[x], profiles[y], 0.8)
+    }
+    assert want <= got
