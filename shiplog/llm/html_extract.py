@@ -6,11 +6,11 @@ punctuation and the number of nodes are summed; the ratios text per node and
 punctuation per node are smoothed over the paths in page order (Gaussian), and
 fused by their product weighted with the share of characters outside links.
 Paths whose fused ratio reaches the threshold (:func:`content_nodes`) are
-content. The main element is the deepest one
-that holds nearly all content characters (an ``article`` or ``main`` element
-that holds most of them is preferred); its text without menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles and comments is
-the result.
+content, as are the headings before the first of them with the text that
+follows them, back to the last link. The main element is the smallest one that
+holds all content (or the ``article`` or ``main`` element around it); its text
+without menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+styles and comments is the result.
 
 Defined results: null, empty or text-free pages give an empty text; broken
 markup (unclosed or stray tags, tags inside scripts, comments without an end)
@@ -59,7 +59,8 @@ MAIN = re.compile(r"(?:article\w*|content|main|posts?|entry|story|body|text)")
 MODIFIERS = frozenset("has with no without is not js".split())
 SMOOTH = 1.0
 THRESHOLD = 0.5
-COVER = 0.9
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+INNER = HEADINGS | {"p", "li", "td", "tr", "blockquote"}
 _TOKEN = re.compile(r"<!--(.*?)(?:-->|--!>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _SPACE = re.compile(r"\s+")
@@ -200,37 +201,50 @@ def content_nodes(nodes: list[tuple[Node, str]]) -> list[bool]:
     return [bool(good[order[node.path]]) for node, _ in nodes]
 
 
+def with_headings(nodes: list[tuple[Node, str]], good: list[bool]) -> list[bool]:
+    """``good`` and the headings before the first content, with the text from
+    there on, as far as no link comes between."""
+    first = start = next((i for i, ok in enumerate(good) if ok), 0)
+    for i in range(first - 1, -1, -1):
+        node: Node | None = nodes[i][0]
+        if node.link:
+            break
+        while node is not None and node.tag not in HEADINGS:
+            node = node.parent
+        if node is not None:
+            start = i
+    return [ok or start <= i < first for i, ok in enumerate(good)]
+
+
 def main_element(nodes: list[tuple[Node, str]], good: list[bool]) -> Node | None:
-    """The deepest element with nearly all content characters; an article or
-    main element that has most of them comes first."""
-    weight: dict[int, int] = {}
-    by_id: dict[int, Node] = {}
-    depth: dict[int, int] = {}
-    total = 0
-    for (node, text), ok in zip(nodes, good, strict=True):
+    """The smallest block that holds all content nodes, or the outermost
+    article or main element around it."""
+    shared: list[Node] | None = None
+    for (node, _), ok in zip(nodes, good, strict=True):
         if not ok:
             continue
-        total += len(text)
+        if shared is not None and node is shared[-1]:
+            continue
+        chain: list[Node] = []
         x: Node | None = node
-        chain = []
         while x is not None:
             chain.append(x)
             x = x.parent
-        for d, x in enumerate(reversed(chain)):
-            weight[id(x)] = weight.get(id(x), 0) + len(text)
-            by_id[id(x)], depth[id(x)] = x, d
-    if not total:
+        chain.reverse()
+        if shared is not None:
+            same = 0
+            while same < min(len(chain), len(shared)) and chain[same] is shared[same]:
+                same += 1
+            chain = chain[:same]
+        shared = chain
+    if shared is None:
         return None
-    named = [i for i, x in by_id.items() if x.tag in ("article", "main") and weight[i] >= 0.5 * total]
-    if named:
-        return by_id[max(named, key=lambda i: (weight[i], depth[i]))]
-    wide = [i for i in by_id if weight[i] >= COVER * total and by_id[i].tag in BLOCKS]
-    if not wide:
-        return next(x for x in by_id.values() if x.parent is None)
-    best = by_id[max(wide, key=lambda i: depth[i])]
-    while best.tag in ("p", "li", "td", "tr", "h1", "h2", "h3", "blockquote") and best.parent is not None:
-        best = best.parent
-    return best
+    named = next((x for x in shared if x.tag in ("article", "main")), None)
+    if named is not None:
+        return named
+    while len(shared) > 1 and (shared[-1].tag not in BLOCKS or shared[-1].tag in INNER):
+        shared.pop()
+    return shared[-1]
 
 
 def extract(page: str | None) -> str:
@@ -239,7 +253,7 @@ def extract(page: str | None) -> str:
     nodes = [(node, _SPACE.sub(" ", text)) for node, text in nodes]
     if not nodes:
         return ""
-    main = main_element(nodes, content_nodes(nodes))
+    main = main_element(nodes, with_headings(nodes, content_nodes(nodes)))
     if main is None:
         return ""
     inside: dict[int, bool] = {}

@@ -37,6 +37,18 @@ def test_names():
         assert not H.is_side(names), names
 
 
+@pytest.mark.parametrize("paragraphs", [6, 60])
+def test_nothing_but_side_text_is_dropped(paragraphs):
+    body = BODY * (paragraphs // 6)
+    text = " ".join([TEXT] * (paragraphs // 6))
+    lead = "The lead says, in short, what all of this is about."
+    page = f"<body>{NAV}<div id='content'><h1>A title</h1><p class='lead'>{lead}</p><div class='body'>{body}</div></div>{COMMENTS}</body>"
+    assert H.extract(page) == f"A title {lead} {text}"
+    halves = f"<article>{body}</article><article><h2>Part two</h2>{BODY[: len(BODY) // 6 * 5 - 5]}</article>"
+    second = H.extract(f"<body>{BODY[: len(BODY) // 6 * 5 - 5]}</body>")
+    assert H.extract(f"<body>{NAV}<div>{halves}</div></body>") == f"{text} Part two {second}"
+
+
 def test_text_rules():
     page = "<article><h1>A&amp;B&nbsp;&#8212; x</h1><p>one\n\n two<b>three</b> <br>four<p>five <i>six</i>, seven. And eight, and nine.</article>"
     assert H.extract(page) == "A&B — x one twothree four five six, seven. And eight, and nine."
