@@ -9,11 +9,13 @@ so the probabilities of all tokens add up to one.
 Model (numpy): embedding, one gated recurrent layer, and a softmax factored by
 class (a token's class, then the token within its class; classes by frequency
 rank). Output biases start at the corpus counts. Training is data-parallel: in
-every round each shard of the training sample (``share`` of the training
-documents, by id hash, so it grows with the corpus) starts from the common
-parameters, runs truncated backpropagation over windows of ``WINDOW`` tokens
-with the state carried from window to window, and the parameters are averaged,
-weighted by tokens, in a Spark aggregation.
+every round another slice of the training documents is dealt to
+shards of about ``SHARD_DOCS`` documents, so that every document takes part
+once. A shard starts from the common parameters and runs truncated
+backpropagation over windows of ``WINDOW`` tokens with the state carried from
+window to window; then the parameters are averaged, weighted by tokens, in a
+Spark aggregation. There is a round more for each doubling of the shards, so a
+longer corpus also trains longer.
 
 Scoring reads every document whole: documents run side by side, sorted by
 length, with the state carried across windows. Counts of at most ``frequent``
@@ -42,7 +44,7 @@ from shiplog.llm.common import crc_remainder, freeze, pieces, text_bytes
 MODULUS, HELD_OUT = 7, 2
 VOCABULARY = 4096
 FREQUENT = 131_072
-SHARE = 0.04
+SHARE = 1.0
 SHARD_DOCS = 400
 ROUNDS = 2
 EMBED, HIDDEN, WINDOW = 16, 24, 32
@@ -383,6 +385,19 @@ def frequent_tokens(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarr
     return [w for _, w in top], np.array([-n for n, _ in top], dtype=np.int64)
 
 
+def deal(training: DataFrame, n_docs: int, share: float = SHARE, rounds: int = ROUNDS) -> tuple[DataFrame, int]:
+    """(text, turn, shard) of the training documents, stored, and the number
+    of turns."""
+    shards = max(1, -(-int(n_docs * share) // SHARD_DOCS))
+    turns = max(rounds, math.ceil(math.log2(shards))) if n_docs else 0
+    rows = training
+    if share < 1:
+        rows = rows.where(F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(10_000)) < int(share * 10_000))
+    salted = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "text"), F.lit(n)).cast("int")
+    dealt = rows.select("text", salted(11, max(1, turns)).alias("turn"), salted(12, max(1, -(-shards // max(1, turns)))).alias("shard"))
+    return freeze(dealt, "dealt"), turns
+
+
 def fit(training: DataFrame, counts: DataFrame, vocabulary: int = VOCABULARY, frequent: int = FREQUENT, share: float = SHARE, rounds: int = ROUNDS) -> dict:
     """Counts, tables and trained parameters that scoring needs."""
     whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.octet_length("token") == 0, F.col("c"))).alias("e")).first()
@@ -393,12 +408,9 @@ def fit(training: DataFrame, counts: DataFrame, vocabulary: int = VOCABULARY, fr
     weights = np.concatenate([[n_out + 1, n_end], c[:own]]).astype(float)
     v = len(weights)
     flat = pack(initial(weights))
-    sample = training.where(F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(10_000)) < int(share * 10_000)).select("text")
-    sample = freeze(sample, "sample")
-    shards = max(1, -(-sample.count() // SHARD_DOCS))
+    dealt, rounds = deal(training, n_end, share, rounds)
     for turn in range(rounds):
-        dealt = sample.withColumn("shard", F.pmod(F.xxhash64(F.lit(turn), "text"), F.lit(shards)))
-        trained = dealt.groupBy("shard").applyInArrow(_train_shard(v, flat, words[:own], c[:own], vocabulary), "at long, value double, weight double")
+        trained = dealt.where(F.col("turn") == turn).select("shard", "text").groupBy("shard").applyInArrow(_train_shard(v, flat, words[:own], c[:own], vocabulary), "at long, value double, weight double")
         mean = trained.groupBy("at").agg((F.sum("value") / F.sum("weight")).alias("x")).collect()
         if len(mean) == len(flat):
             flat = np.empty(len(flat))

@@ -71,6 +71,17 @@ def test_counts_and_gain(spark):
     assert sum(got[i].score for i in out) > sum(got[i].base_score for i in out)
 
 
+def test_gain_with_production_parameters(spark):
+    """Each word follows from the last, which counts alone cannot show."""
+    r = random.Random(8)
+    rows = []
+    for i in range(1500):
+        a = r.randint(0, 9)
+        rows.append((i, " ".join(f"w{(a + k) % 10}" for k in range(150))))
+    held = [x for x in L.score(spark.createDataFrame(rows, "doc_id long, text string")).collect() if x.held_out]
+    assert sum(x.score for x in held) > 0.6 * sum(x.base_score for x in held)
+
+
 def test_odd_rows(odd, empty):
     rows = L.score(odd).collect()
     assert len(rows) == 8 and all(x.score <= 0 for x in rows)
