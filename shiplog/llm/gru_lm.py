@@ -9,7 +9,7 @@ so the probabilities of all tokens add up to one.
 Model (numpy): embedding, one gated recurrent layer, and a softmax factored by
 class (a token's class, then the token within its class; classes by frequency
 rank). Output biases start at the corpus counts. Training is data-parallel: in
-every round another slice of the training documents is dealt to
+every round another slice of the training documents is dealt, row by row, to
 shards of about ``SHARD_DOCS`` documents, so that every document takes part
 once. A shard starts from the common parameters and runs truncated
 backpropagation over windows of ``WINDOW`` tokens with the state carried from
@@ -387,13 +387,13 @@ def frequent_tokens(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarr
 
 def deal(training: DataFrame, n_docs: int, share: float = SHARE, rounds: int = ROUNDS) -> tuple[DataFrame, int]:
     """(text, turn, shard) of the training documents, stored, and the number
-    of turns."""
+    of turns. The row number keeps copies of a row or text apart."""
     shards = max(1, -(-int(n_docs * share) // SHARD_DOCS))
     turns = max(rounds, math.ceil(math.log2(shards))) if n_docs else 0
-    rows = training
+    rows = training.withColumn("row", F.monotonically_increasing_id())
     if share < 1:
         rows = rows.where(F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(10_000)) < int(share * 10_000))
-    salted = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "text"), F.lit(n)).cast("int")
+    salted = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "doc_id", "text", "row"), F.lit(n)).cast("int")
     dealt = rows.select("text", salted(11, max(1, turns)).alias("turn"), salted(12, max(1, -(-shards // max(1, turns)))).alias("shard"))
     return freeze(dealt, "dealt"), turns
 

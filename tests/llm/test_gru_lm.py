@@ -71,6 +71,17 @@ def test_counts_and_gain(spark):
     assert sum(got[i].score for i in out) > sum(got[i].base_score for i in out)
 
 
+def test_every_document_trains_in_one_small_shard(spark):
+    texts = ["the same text"] * 4000 + [f"text {i}" for i in range(8000)]
+    df = spark.createDataFrame([(7 if i < 2000 else i, t.encode()) for i, t in enumerate(texts)], "doc_id long, text binary").repartition(4)
+    dealt, turns = L.deal(df, len(texts))
+    rows = dealt.collect()
+    assert Counter(bytes(r.text).decode() for r in rows) == Counter(texts)
+    assert {r.turn for r in rows} == set(range(turns)) and turns >= L.ROUNDS
+    sizes = Counter((r.turn, r.shard) for r in rows)
+    assert 0.7 * L.SHARD_DOCS < min(sizes.values()) and max(sizes.values()) < 1.5 * L.SHARD_DOCS
+
+
 def test_gain_with_production_parameters(spark):
     """Each word follows from the last, which counts alone cannot show."""
     r = random.Random(8)
