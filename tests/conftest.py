@@ -7,9 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from shiplog.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -17,8 +14,3 @@ def spark():
     yield s
     s.stop()
 
-
-def rows(df, *cols):
-    """Sorted list of tuples of the given columns (all when none given)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

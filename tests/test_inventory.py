@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from helpers import rows
 
 from shiplog.operators import inventory as inv
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from shiplog.operators import config as cfg
 from shiplog.operators import ledger as led
 from shiplog.plans import derived

@@ -4,7 +4,7 @@ import contextlib
 import io
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from shiplog.session import scratch_path
 from shiplog.sources import ledger_store
 
