@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplog.llm import cover_tree, decontaminate, gru_lm, html_extract, line_dedup, order_minhash, packing, secret_scan, suffix_dedup, toxicity
+from shiplog.llm import cover_tree, decontaminate, gru_lm, html_extract, line_dedup, order_minhash, packing, secret_scan, suffix_dedup, token_alignment, toxicity
 from shiplog.llm.common import read_table, share_package
 
 
@@ -59,6 +59,11 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return token_alignment.alignment_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_cover_tree": op2_cover_tree,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_html_extract": op10_html_extract,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
