@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiplog.llm import cover_tree, decontaminate, gru_lm, html_extract, line_dedup, order_minhash, packing, secret_scan, suffix_dedup, token_alignment, toxicity
+from shiplog.llm import cover_tree, decontaminate, gru_lm, hard_negatives, html_extract, line_dedup, order_minhash, packing, secret_scan, segment_simhash, suffix_dedup, token_alignment, toxicity
 from shiplog.llm.common import read_table, share_package
 
 
@@ -64,6 +65,20 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment_report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return hard_negatives.hard_negatives(
+        read_table(spark, sf_dir, "embeddings"),
+        lambda vec_id: vec_id % 50 == 0,
+        lambda vec_id, label: F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
+
+
+def op13_segment_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
+    return segment_simhash.simhash_classes(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_cover_tree": op2_cover_tree,
@@ -76,10 +91,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_html_extract": op10_html_extract,
     "op11_token_alignment": op11_token_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_segment_simhash": op13_segment_simhash,
 }
 
 ORACLE: dict[str, str] = {
     "op2_cover_tree": cover_tree.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
