@@ -155,30 +155,40 @@ def _staged(spark: SparkSession, path: str, schema: T.StructType, skip: int) ->
     raw = spark.read.option("lineSep", RECORD_END).text(path)
     if skip:
         raw = skip_records(raw, skip)
+    return _staged_records(raw, schema).select("_record", *[f.name for f in schema.fields], "_failed", "_blank")
+
+
+def _staged_records(raw: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """As ``_staged`` from the records ``raw`` (value), with the columns
+    ``keep`` and, per field, whether it did not convert (``_w<i>``)."""
     n = len(schema.fields)
     # One regex pass per record, then one pass to unwrap the fields. Each
     # one-element explode is a barrier: the good/bad filters below cannot be
     # pushed under it, so no expression is re-evaluated per reference (that
     # would also blow up the generated code for wide tables).
     parts = raw.select(
+        *keep,
         F.col("value").alias("_record"),
         F.explode(F.array(enclosed_parts(F.col("value")))).alias("_parts"),
     )
     unwrapped = F.struct(*[field_at(F.col("_parts"), i).alias(f"_f{i}") for i in range(n)])
-    fields = parts.select("_record", F.explode(F.array(unwrapped)).alias("_fs")).select("_record", "_fs.*")
+    fields = parts.select(*keep, "_record", F.explode(F.array(unwrapped)).alias("_fs")).select(*keep, "_record", "_fs.*")
     typed = fields.select(
         "*", *[_typed(F.col(f"_f{i}"), fld.dataType).alias(f"_t{i}") for i, fld in enumerate(schema.fields)]
     )
+    wrong = [F.col(f"_f{i}").isNotNull() & F.col(f"_t{i}").isNull() for i in range(n)]
     failed = F.lit(False)
     blank = F.lit(True)
     for i in range(n):
-        failed = failed | (F.col(f"_f{i}").isNotNull() & F.col(f"_t{i}").isNull())
+        failed = failed | wrong[i]
         blank = blank & F.col(f"_f{i}").isNull()
     return typed.select(
+        *keep,
         "_record",
         *[F.col(f"_t{i}").alias(fld.name) for i, fld in enumerate(schema.fields)],
         failed.alias("_failed"),
         blank.alias("_blank"),
+        *[w.alias(f"_w{i}") for i, w in enumerate(wrong)],
     )
 
 
