@@ -35,7 +35,7 @@ RUN_ID_SCALE = 1 << 40
 
 # Configuration keys read by the run loop.
 NO_RUN_KEY = "cfg_target_no_run"
-TECH_KEY_PATTERN = r"^dpltgt_(.+)_tech\z"
+TECH_KEY_PATTERN = r"(?i)^dpltgt_(.+)_tech\z"
 
 # Execution states.
 OPEN, RUNNING, OK, FAILED, NOT_REACHED = "open", "running", "ok", "failed", "not_reached"
@@ -204,8 +204,9 @@ def status_of(rc: Column) -> Column:
 def mark_started(executions: DataFrame, started: DataFrame) -> DataFrame:
     """L4 pre phase: ``started(app_id, id_script_execution, started_at)``
     stamps executions a runner has picked up; ``status_started`` reports
-    them as running until a return code arrives."""
-    s = started.select("app_id", "id_script_execution", F.col("started_at").alias("_started_new"))
+    them as running until a return code arrives. Of several stamps of one
+    execution (a retry) the last counts."""
+    s = started.groupBy("app_id", "id_script_execution").agg(F.max("started_at").alias("_started_new"))
     cols = executions.columns
     base = executions if "started_at" in cols else executions.withColumn("started_at", F.lit(None).cast("timestamp_ntz"))
     return (
@@ -223,10 +224,21 @@ def status_started(executions: DataFrame) -> DataFrame:
     )
 
 
+def one_report(returns: DataFrame) -> DataFrame:
+    """One row per execution of ``returns(app_id, id_script_execution, rc)``, as
+    a runner may report twice. With a column ``reported_at`` the last report
+    counts (one without a time before any other); of reports of the same time,
+    or without that column, the highest code counts, so a failure beats a
+    success. Reports without a code are none."""
+    given = returns.where(F.col("rc").isNotNull())
+    last = F.max_by("rc", F.struct("reported_at", "rc")) if "reported_at" in returns.columns else F.max("rc")
+    return given.groupBy("app_id", "id_script_execution").agg(last.alias("rc"))
+
+
 def apply_outcomes(executions: DataFrame, returns: DataFrame) -> DataFrame:
-    """Store reported return codes; executions without a report keep
-    their current code."""
-    r = returns.select("app_id", "id_script_execution", F.col("rc").alias("_rc_new"))
+    """Store reported return codes (:func:`one_report` of each execution);
+    executions without a report keep their current code."""
+    r = one_report(returns).withColumnRenamed("rc", "_rc_new")
     return (
         executions.join(r, ["app_id", "id_script_execution"], "left")
         .withColumn("rc", F.coalesce(F.col("_rc_new"), F.col("rc")))

@@ -78,14 +78,15 @@ def prepare(
 
 
 def record(ledger: dict[str, DataFrame], returns: DataFrame) -> dict[str, DataFrame]:
-    """Store return codes ``DF(app_id, id_script_execution, rc)``.
+    """Store return codes ``DF(app_id, id_script_execution, rc)``, which may
+    repeat (``led.one_report``).
 
     Only the runs that reported are touched: executions after a failure in the
     same run stay open and are reported as ``not_reached``. An increment all of
     whose scripts have now succeeded is finished.
     """
     key = ["app_id", "id_script_execution"]
-    reported = stored(returns.select(*key, "rc"))
+    reported = stored(led.one_report(returns))
     hit = stored(ledger["executions"].join(reported.select(*key), key, "left_semi").select("app_id", "id_run").distinct())
     touched = ledger["executions"].join(hit, ["app_id", "id_run"], "left_semi")
     status = led.halt_status(led.apply_outcomes(touched, reported))
@@ -114,10 +115,12 @@ def start(ledger: dict[str, DataFrame], started: DataFrame) -> dict[str, DataFra
     return {**ledger, "executions": marked, "changes": {"executions": changed}}
 
 
-def commit(spark: SparkSession, root: str, result: dict) -> int:
+def commit(spark: SparkSession, root: str, result: dict, read_version: int | None = None) -> int:
     """Append the changes of a ``prepare`` / ``record`` / ``merge_only``
-    result to the ledger as its next version."""
-    return ledger_store.write_ledger(spark, root, result["changes"])
+    result to the ledger as its next version. ``read_version`` is the version
+    the result is based on; if another writer has changed the same tenants
+    since, ``ledger_store.Conflict`` is raised."""
+    return ledger_store.write_ledger(spark, root, result["changes"], read_version=read_version)
 
 
 def merge_only(ledger: dict[str, DataFrame], inventory: DataFrame) -> dict[str, DataFrame]:

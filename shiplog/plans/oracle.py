@@ -667,7 +667,7 @@ FROM ordered o, (SELECT r_name FROM region WHERE r_regionkey = 1) g
 
 # returns of the runs below 8; the others are not touched
 _RECORDED = f"""{_FULL},
-reported AS (SELECT * FROM executions WHERE id_run < 8),
+reported AS (SELECT * FROM executions),
 halted AS (
   SELECT *, coalesce(bool_or(rc > 0) OVER (PARTITION BY app_id, id_run ORDER BY num_order
                                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS halted
@@ -723,3 +723,70 @@ SELECT app_id, id_script_execution, rc,
        CASE WHEN rc = 0 THEN 'ok' WHEN rc IS NOT NULL THEN 'failed' WHEN num_order % 2 = 0 THEN 'running' ELSE 'open' END AS status
 FROM executions
 """
+
+_EXPORT = ORACLE["enclosed_export"].strip()
+ORACLE["loader_file"] = f"""
+WITH head AS (SELECT sum(octet_length(encode(line)) + 1) AS n FROM ({_SPEC}) WHERE table_name = 'LINEITEM'),
+rec AS (SELECT seq, line, octet_length(encode(line)) + 1 AS n FROM ({_EXPORT}) WHERE table_name = 'LINEITEM')
+SELECT seq AS record_no,
+  CAST((SELECT n FROM head) + coalesce(sum(n) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS byte_offset,
+  md5(line) AS record_md5
+FROM rec
+"""
+
+
+def _faulty(name: str, i: str, a: str, n: str, t: str) -> str:
+    own = f"SELECT {i} AS id, {a} AS a, {n} AS n, CAST({t} AS TIMESTAMP) AS t FROM {name}"
+    field = lambda x: f"'@..' || coalesce({x}, '') || '..@' || chr(9)"
+    head = f"{field('CAST(id AS VARCHAR)')} || {field('a')}"
+    number = "CASE WHEN id % 11 = 1 THEN 'n' ELSE '' END || CAST(n AS VARCHAR)"
+    time = "CASE WHEN id % 19 = 4 THEN 'never' ELSE strftime(t, '%Y-%m-%d %H:%M:%S.%n') END"
+    return f"""
+SELECT '{name}' AS name, id, a, n, t, row_number() OVER (ORDER BY id, a, n, t) AS record_no,
+  id % 13 = 2 AS blank, id % 13 <> 2 AND id % 17 = 3 AS short,
+  CASE WHEN id % 13 = 2 THEN {" || ".join([field("''")] * 4)} WHEN id % 17 = 3 THEN {head} ELSE {head} || {field(number)} || {field(time)} END AS line
+FROM ({own})"""
+
+
+ORACLE["loader_rejects"] = f"""
+WITH rec AS (
+{_faulty("orders", "o_orderkey", "o_orderpriority", "o_custkey", "o_orderdate")}
+UNION ALL
+{_faulty("events", "event_id", "event_type", "user_id", "ts")}
+),
+placed AS (
+  SELECT *, CAST(10 + coalesce(sum(octet_length(encode(line)) + 6) OVER (PARTITION BY name ORDER BY record_no
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+    NOT blank AND NOT short AND id % 11 = 1 AS bad_n, NOT blank AND NOT short AND id % 19 = 4 AS bad_t
+  FROM rec
+)
+SELECT name, CAST(record_no AS BIGINT) AS record_no, start,
+  CASE WHEN bad_n OR bad_t THEN 'bad' WHEN blank THEN 'discard' ELSE 'good' END AS side,
+  CASE WHEN bad_n THEN 'n: not bigint' WHEN bad_t THEN 't: not timestamp_ntz' WHEN blank THEN 'no field is filled' END AS reason,
+  CASE WHEN NOT blank THEN id END AS id, CASE WHEN NOT blank THEN a END AS a,
+  CASE WHEN NOT blank AND NOT short AND NOT bad_n THEN n END AS n, CASE WHEN NOT blank AND NOT short AND NOT bad_t THEN t END AS t
+FROM placed WHERE record_no > 5
+"""
+
+ORACLE["ledger_changes"] = f"""
+WITH {_FULL},
+half AS (SELECT app_id, id_script, CASE WHEN day(package_ts) <= 15 THEN 1 ELSE 2 END AS half FROM scripts)
+SELECT e.app_id, e.id_script_execution, e.id_script, e.rc, CAST(NULL AS BIGINT) AS old_rc,
+  CASE WHEN h.half = 2 OR e.id_script % 5 < 3 THEN 'update' ELSE 'insert' END AS change,
+  CAST(CASE WHEN h.half = 2 THEN 4 ELSE 2 END AS BIGINT) AS v
+FROM executions e JOIN half h ON h.app_id = e.app_id AND h.id_script = e.id_script
+"""
+
+_PENDING = ORACLE["pending_in_order"].strip()
+ORACLE["pending_maintained"] = f"""
+WITH {_FULL},
+touched AS (
+  SELECT s.app_id, CAST(s.package_ts AS DATE) AS d,
+    max(CASE WHEN day(s.package_ts) > 15 THEN CASE WHEN e.rc = 0 THEN 4 ELSE 1 END
+             WHEN e.rc = 0 OR s.id_script % 5 >= 3 THEN 2 ELSE 1 END) AS written
+  FROM scripts s LEFT JOIN executions e ON e.app_id = s.app_id AND e.id_script = s.id_script
+  GROUP BY 1, 2
+)
+SELECT p.*, CAST(t.written AS BIGINT) AS written
+FROM ({_PENDING}) p JOIN touched t ON t.app_id = p.app_id AND t.d = CAST(p.package_ts AS DATE)
+"""

@@ -13,15 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplog.functions.predicates import valid_app_id
+from shiplog.functions.text import FIELD_SEP, RECORD_END, enclose, render_text
 from shiplog.operators import catalog as cat_ops
 from shiplog.operators import config as cfg_ops
 from shiplog.operators import inventory as inv_ops
 from shiplog.operators import ledger as led
 from shiplog.operators import ordering as ord_ops
 from shiplog.operators.numbering import number_within
-from shiplog.plans import deploy, derived
-from shiplog.session import TABLES, read_table, scratch_path
-from shiplog.sources import config_files, enclosed, ledger_store
+from shiplog.plans import deploy, derived, pending_view
+from shiplog.session import TABLES, freeze, read_table, scratch_path
+from shiplog.sources import config_files, enclosed, ledger_store, loader_file
 from shiplog.sources import execution_list as xl
 from shiplog.sources.catalog import value_counts
 
@@ -100,7 +101,7 @@ def run_outcome_halt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J6 + W2 + L4: reported codes applied to open executions, then halt."""
     lg = derived.ledger_from_events(spark, sf_dir)
     open_execs = lg["executions"].withColumn("rc", F.lit(None).cast("bigint"))
-    done = led.halt_status(led.apply_outcomes(open_execs, lg["returns"]))
+    done = led.halt_status(led.apply_outcomes(open_execs, _repeated(lg["returns"])))
     return done.select("app_id", "id_run", "id_script_execution", "num_order", "rc", "status")
 
 
@@ -345,14 +346,18 @@ def deploy_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _recorded(spark: SparkSession, sf_dir: str) -> dict:
     ledger = derived.ledger_from_events(spark, sf_dir)
     still_open = ledger["executions"].withColumn("rc", F.lit(None).cast("bigint"))
-    ids = ledger["executions"].where("id_run < 8").select("app_id", "id_script_execution")
-    returns = ledger["returns"].join(ids, ["app_id", "id_script_execution"], "left_semi")
-    return deploy.record({**ledger, "executions": still_open}, returns)
+    return deploy.record({**ledger, "executions": still_open}, _repeated(ledger["returns"]))
+
+
+def _repeated(returns: DataFrame) -> DataFrame:
+    """Every return code reported twice, a failure also as a success."""
+    again = returns.withColumn("rc", F.when(F.col("rc") > 0, F.lit(0)).otherwise(F.col("rc")).cast("bigint"))
+    return returns.unionByName(returns).unionByName(again)
 
 
 @register("deploy_record")
 def deploy_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J6 + W2 + L4: the runs that reported, after their return codes."""
+    """J6 + W2 + L4: all runs after the return codes, reported twice each."""
     out = _recorded(spark, sf_dir)
     reached = F.when(F.col("status") != led.NOT_REACHED, F.col("rc")).alias("rc")
     return out["status"].select("app_id", "id_run", "id_script_execution", "num_order", reached, "status")
@@ -379,6 +384,49 @@ def ledger_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("app_id", "id_script_execution", "id_script", "num_order", "target_id", "rc")
 
 
+def _written_in_turns(spark: SparkSession, sf_dir: str, after) -> str:
+    """A ledger written in turns: open executions (of the first half of each
+    month's packages three scripts in five); the rest and the return codes of
+    the first half; a compaction; the return codes of the second half.
+    ``after`` is called with the ledger's folder after every commit."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    scripts = lg["scripts"].withColumn("half", F.when(F.dayofmonth("package_ts") <= 15, 1).otherwise(2))
+    execs = freeze(lg["executions"].join(scripts.select("app_id", "id_script", "half"), ["app_id", "id_script"]), "halves")
+    unset = F.lit(None).cast("bigint")
+    at_first = (F.col("half") == 2) | (F.col("id_script") % 5 < 3)
+    root = scratch_path(spark, "ledger")
+    turns = (
+        {"scripts": scripts.where(at_first), "runs": lg["runs"], "executions": execs.where(at_first).withColumn("rc", unset)},
+        {"scripts": scripts.where(~at_first), "executions": execs.where("half = 1")},
+        None,
+        {"executions": execs.where("half = 2")},
+    )
+    for rows in turns:
+        if rows is None:
+            ledger_store.compact(spark, root)
+        else:
+            ledger_store.write_ledger(spark, root, rows)
+        after(root)
+    return root
+
+
+@register("ledger_changes")
+def ledger_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The executions that versions two to four inserted or updated."""
+    root = _written_in_turns(spark, sf_dir, lambda _: None)
+    feed = ledger_store.changes(spark, root, "executions", since=1)
+    return feed.select("app_id", "id_script_execution", "id_script", "rc", F.col("old.rc").alias("old_rc"), "change", F.col("v").cast("bigint").alias("v"))
+
+
+@register("pending_maintained")
+def pending_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + W3: the pending list as the view holds it, refreshed after every
+    commit, and the version at which each row's range was last written."""
+    view = scratch_path(spark, "pending_view")
+    root = _written_in_turns(spark, sf_dir, lambda ledger: pending_view.refresh(spark, ledger, view))
+    return pending_view.pending_list(spark, view, ledger_store.read_ledger(spark, root)["runs"])
+
+
 @register("config_files")
 def config_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One configuration file per environment, written and read back."""
@@ -399,6 +447,52 @@ def loader_spec_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select("table_name", F.md5("value").alias("file_md5"))
 
 
+@register("loader_file")
+def loader_file_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + S5 + S6: lineitem as one self-contained loader file, its records
+    read back by byte ranges: number, byte offset and digest of each."""
+    cat = derived.catalog_fixture(spark, sf_dir, measure_lengths=True)
+    name, order = EXPORTS["LINEITEM"]
+    df = read_table(spark, sf_dir, name)
+    cols = [c for c, _ in enclosed.export_columns(df, cat, "LINEITEM")]
+    path = scratch_path(spark, "loader") + ".ctl"
+    loader_file.write_loader_file(df, [*order, *[c for c in cols if c not in order]], path, "LINEITEM", cat)
+    records = loader_file.numbered(loader_file.read_loader_file(spark, path, split_bytes=4 << 20))
+    return records.select("record_no", F.col("start").alias("byte_offset"), F.md5(F.concat("record", F.lit("<eor>"))).alias("record_md5"))
+
+
+def _faulty_lines(df: DataFrame) -> DataFrame:
+    """Records of (id, a, n, t); some hold a value that does not convert, are
+    blank, or end after two fields."""
+    i = F.col("id")
+    n = F.concat(F.when(i % 11 == 1, F.lit("n")).otherwise(F.lit("")), F.col("n").cast("string"))
+    t = F.when(i % 19 == 4, F.lit("never")).otherwise(render_text(F.col("t"), df.schema["t"].dataType))
+    head, tail = [i.cast("string"), F.col("a")], [n, t]
+    none = [F.lit(None).cast("string")] * 4
+    line = lambda fields: F.concat(F.concat_ws(FIELD_SEP, *[enclose(f) for f in fields]), F.lit(FIELD_SEP))
+    value = F.when(i % 13 == 2, line(none)).when(i % 17 == 3, line(head)).otherwise(line([*head, *tail]))
+    return df.orderBy("id", "a", "n", "t").select(value.alias("value"))
+
+
+@register("loader_rejects")
+def loader_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of orders and events with planted faults, loaded with the
+    first five skipped: the side, byte offset and reason of each."""
+    kinds = {"orders": ("o_orderkey", "o_orderpriority", "o_custkey", "o_orderdate"), "events": ("event_id", "event_type", "user_id", "ts")}
+    out = None
+    for name, cols in kinds.items():
+        own = [F.col(c).alias(a) for c, a in zip(cols, "iant", strict=True)]
+        df = read_table(spark, sf_dir, name).select(own[0].alias("id"), *own[1:3], own[3].cast("timestamp_ntz").alias("t"))
+        parts = scratch_path(spark, "rejects", name)
+        _faulty_lines(df).write.option("lineSep", RECORD_END).text(parts)
+        loader_file.concatenate(spark, b"begindata\n", parts, f"{parts}.dat")
+        records = loader_file.read_loader_file(spark, f"{parts}.dat", split_bytes=1 << 20)
+        sides = loader_file.load_records(records, df.schema, skip=5)
+        sides = sides.select(F.lit(name).alias("name"), "record_no", "start", "side", "reason", "id", "a", "n", "t")
+        out = sides if out is None else out.unionByName(sides)
+    return out
+
+
 @register("split_no_run")
 def split_no_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Executions on targets that their environment runs, and the others."""

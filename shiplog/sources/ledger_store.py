@@ -5,23 +5,37 @@ not available here), and rewriting the whole ledger for every deployment
 would copy all history each time. The ledger changes in a way that suits
 appends: merging and opening a run only insert rows, and recording outcomes
 changes the return code of some executions. So every commit appends only the
-changed rows as a new version::
+changed rows, in a folder of its own transaction::
 
-    <root>/<table>/v=<n>/app_id=<tenant>/part-*.parquet
-    <root>/_committed/v=<n>          (empty marker, written last)
+    <root>/<table>/v=<transaction>/app_id=<tenant>/part-*.parquet
+    <root>/_committed/v=<n>          (written last: the transaction's name, the
+                                      version it had read, its tenants)
 
-Readers take the committed versions only (partition pruning on ``v``), so a
+Several writers may work on one ledger. A version is the commit marker, which
+is put if absent, whole and at once: of two writers that want version n one
+gets it. The other looks at what was committed since the version it had read;
+if that touches none of its tenants it tries n + 1, else its rows are based on
+a state that is gone and :class:`Conflict` is raised (:func:`update_ledger`
+reads again and retries). A compaction conflicts with any commit it has not
+read. A commit is one marker for all its tables, so versions are never mixed.
+
+Readers take the committed transactions only (partition pruning on ``v``), so a
 failed or running commit is invisible. ``runs`` are the
 union of their versions; ``executions`` and ``scripts`` keep the newest row
 per key, a grouped aggregate on a unique key (it shuffles evenly). A tenant-scoped read prunes ``app_id`` directories too.
-``compact`` writes the current state as a base version (marked in
-``<root>/_base``); readers start from the newest base, so history does not
-have to be re-read forever. One writer per ledger root at a time.
+``compact`` writes the current state as a base version (its marker says
+so); readers start from the newest base, so history does not
+have to be re-read forever. :func:`changed_rows` and :func:`changes` are the
+feed of what was written between two versions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+import os
+import uuid
+from collections.abc import Callable, Mapping
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +56,16 @@ EXECUTIONS_DDL = (
 DDL = {"scripts": SCRIPTS_DDL, "runs": RUNS_DDL, "executions": EXECUTIONS_DDL}
 #: Tables whose rows can change, with their key.
 KEYS = {"scripts": ["app_id", "id_script"], "executions": ["app_id", "id_script_execution"]}
+#: The key of every table, for the change feed.
+ROW_KEYS = {**KEYS, "runs": ["app_id", "id_run"]}
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed rows of the same tenants."""
+
+    def __init__(self, version: int, tenants: list[str]):
+        super().__init__(f"version {version} changed {', '.join(map(str, tenants[:5])) or 'the ledger'} since it was read")
+        self.version, self.tenants = version, tenants
 
 
 def _columns(table: str) -> list[str]:
@@ -54,12 +78,81 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _versions_in(spark: SparkSession, path: str) -> list[int]:
+def names_in(spark: SparkSession, path: str, prefix: str) -> list[str]:
     fs, p, _ = _fs(spark, path)
     if not fs.exists(p):
         return []
     names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(int(n[2:]) for n in names if n.startswith("v="))
+    return [n[len(prefix) :] for n in names if n.startswith(prefix)]
+
+
+def _versions_in(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n) for n in names_in(spark, path, "v=") if n.isdigit())
+
+
+def put_if_absent(spark: SparkSession, path: str, body: bytes) -> bool:
+    """Create ``path`` with its whole content at once; False if it exists."""
+    parts = urlparse(path)
+    folder, name = path.rsplit("/", 1)
+    staged = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    if parts.scheme in ("", "file"):  # a link is made only where none is
+        local = lambda x: unquote(urlparse(x).path) if parts.scheme else x
+        os.makedirs(local(folder), exist_ok=True)
+        with open(local(staged), "wb") as f:
+            f.write(body)
+            f.flush()
+            os.fsync(f.fileno())
+        try:
+            os.link(local(staged), local(path))
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(local(staged))
+    fs, target, jvm = _fs(spark, path)
+    source = jvm.org.apache.hadoop.fs.Path(staged)
+    fs.mkdirs(target.getParent())
+    out = fs.create(source, True)
+    try:
+        out.write(bytearray(body))
+    finally:
+        out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    never_over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:  # a rename without overwriting is atomic in the store
+        context.rename(source, target, never_over)
+        return True
+    except Exception:
+        if not fs.exists(target):
+            raise
+        fs.delete(source, False)
+        return False
+
+
+def _entry(spark: SparkSession, root: str, v: int) -> dict:
+    """A commit marker: transaction, version read, tenants (None: all), whether
+    it is a base. An empty marker is one of a ledger written by number."""
+    fs, p, jvm = _fs(spark, f"{root}/{COMMITTED}/v={v}")
+    stream = fs.open(p)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text) if text else {"txn": str(v), "read": v - 1, "tenants": None, "base": v in _versions_in(spark, f"{root}/{BASE}")}
+
+
+def _log(spark: SparkSession, root: str, versions: list[int]) -> dict[int, dict]:
+    return {v: _entry(spark, root, v) for v in versions}
+
+
+def _since_base(spark: SparkSession, root: str, versions: list[int]) -> dict[int, dict]:
+    """The markers of the newest base among ``versions`` and what follows."""
+    out: dict[int, dict] = {}
+    for v in sorted(versions, reverse=True):
+        out[v] = _entry(spark, root, v)
+        if out[v]["base"]:
+            break
+    return out
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
@@ -73,19 +166,20 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return done[-1] if done else None
 
 
-def _table(spark: SparkSession, root: str, table: str, versions: list[int]) -> DataFrame:
-    fs, p, _ = _fs(spark, f"{root}/{table}")
-    if not fs.exists(p):
-        return spark.createDataFrame([], DDL[table]).withColumn("v", F.lit(None).cast("int"))
+def _table(spark: SparkSession, root: str, table: str, log: dict[int, dict]) -> DataFrame:
+    """The rows that the versions of ``log`` wrote, with their version ``v``."""
+    empty = spark.createDataFrame([], DDL[table]).withColumn("v", F.lit(None).cast("int"))
     # only the folders of the wanted versions are listed and read; a version
     # that did not touch the table has no folder
-    have = set(_versions_in(spark, f"{root}/{table}"))
-    paths = [f"{root}/{table}/v={v}" for v in versions if v in have]
-    if not paths:
-        return spark.createDataFrame([], DDL[table]).withColumn("v", F.lit(None).cast("int"))
+    have = set(names_in(spark, f"{root}/{table}", "v="))
+    of = {entry["txn"]: v for v, entry in log.items() if entry["txn"] in have}
+    if not of:
+        return empty
     # explicit schema: a version with no rows has no files to infer from
-    df = spark.read.schema(f"{DDL[table]}, v int").option("basePath", f"{root}/{table}").parquet(*paths)
-    return df.select(*_columns(table), "v")
+    reader = spark.read.schema(f"{DDL[table]}, v string").option("basePath", f"{root}/{table}")
+    df = reader.parquet(*[f"{root}/{table}/v={t}" for t in of]).withColumnRenamed("v", "_txn")
+    numbers = spark.createDataFrame(list(of.items()), "_txn string, v int")  # a row per version
+    return df.join(numbers, "_txn").select(*_columns(table), "v")
 
 
 def read_ledger(
@@ -97,12 +191,10 @@ def read_ledger(
     if not versions:
         raise FileNotFoundError(f"no committed ledger version below {root}")
     # start from the newest compacted base at or before the wanted version
-    bases = [b for b in _versions_in(spark, f"{root}/{BASE}") if b <= versions[-1] and b in versions]
-    if bases:
-        versions = [v for v in versions if v >= bases[-1]]
+    log = _since_base(spark, root, versions)
     out = {}
     for t in LEDGER_TABLES:
-        df = _table(spark, root, t, versions)
+        df = _table(spark, root, t, log)
         if isinstance(app_id, str):
             df = df.where(F.col("app_id") == app_id)
         elif app_id is not None:
@@ -116,18 +208,23 @@ def read_ledger(
     return out
 
 
-def write_ledger(spark: SparkSession, root: str, changes: Mapping[str, DataFrame], base: bool = False) -> int:
+def write_ledger(
+    spark: SparkSession, root: str, changes: Mapping[str, DataFrame], base: bool = False, read_version: int | None = None
+) -> int:
     """Append the given rows (new or changed) as the next version; returns it.
     With ``base`` the version holds the whole state, and readers start from it.
 
-    Tables that are not given add nothing. The marker is written after all
-    tables, so readers never see half a commit; the version number also
-    skips numbers left behind by failed commits.
+    ``read_version`` is the version that the rows are based on (the newest one
+    unless given; 0 for none). :class:`Conflict` is raised, and nothing is
+    visible, if a later version holds rows of the same tenants. Tables that are
+    not given add nothing. The version number also skips numbers left behind
+    by failed commits.
     """
-    taken = set(committed_versions(spark, root))
-    for t in LEDGER_TABLES:
-        taken |= set(_versions_in(spark, f"{root}/{t}"))
-    v = max(taken) + 1 if taken else 1
+    if read_version is None:
+        read_version = latest_version(spark, root) or 0
+    txn = uuid.uuid4().hex
+    tenants: set[str] = set()
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     for t, df in changes.items():
         if t not in DDL:
             continue
@@ -138,17 +235,91 @@ def write_ledger(spark: SparkSession, root: str, changes: Mapping[str, DataFrame
         ]
         (
             df.select(*cols)
-            .withColumn("v", F.lit(v))
             .hint("rebalance", "app_id")  # few files a tenant; a large tenant is split
-            .write.mode("append")
-            .partitionBy("v", "app_id")
-            .parquet(f"{root}/{t}")
+            .write.mode("errorifexists")
+            .partitionBy("app_id")
+            .parquet(f"{root}/{t}/v={txn}")  # a folder of its own: writers share no temporary files
         )
-    fs, _, jvm = _fs(spark, root)
-    if base:  # first: a base that is not committed counts for nothing
-        fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/{BASE}/v={v}")).close()
-    fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/{COMMITTED}/v={v}")).close()
-    return v
+        tenants |= {unescape(n) for n in names_in(spark, f"{root}/{t}/v={txn}", "app_id=")}
+    return _commit(spark, root, {"txn": txn, "read": read_version, "tenants": sorted(tenants), "base": base})
+
+
+def _commit(spark: SparkSession, root: str, entry: dict) -> int:
+    """Put the marker of the next version, unless a version since the one read
+    conflicts."""
+    seen = entry["read"]
+    while True:
+        done = committed_versions(spark, root)
+        later = [v for v in done if v > seen]
+        for v, other in sorted(_log(spark, root, later).items()):
+            if entry["base"]:
+                raise Conflict(v, other["tenants"] or [])
+            if other["base"]:  # the same state, written anew
+                continue
+            own = set(entry["tenants"])
+            both = own if other["tenants"] is None else own & set(other["tenants"])
+            if both:
+                raise Conflict(v, sorted(both))
+        seen = max([seen, *later])
+        taken = {*done, seen}
+        for t in LEDGER_TABLES:
+            taken |= set(_versions_in(spark, f"{root}/{t}"))
+        v = max(taken) + 1
+        if put_if_absent(spark, f"{root}/{COMMITTED}/v={v}", json.dumps(entry).encode()):
+            return v
+
+
+def update_ledger(
+    spark: SparkSession,
+    root: str,
+    change: Callable[[dict[str, DataFrame]], Mapping[str, DataFrame]],
+    app_id: str | list[str] | None = None,
+    attempts: int = 20,
+) -> int:
+    """Commit ``change(state)``; when another writer was faster, on the state
+    that it left, up to ``attempts`` times."""
+    for left in range(attempts, 0, -1):
+        at = latest_version(spark, root) or 0
+        state = read_ledger(spark, root, app_id, as_of=at) if at else empty_ledger(spark)
+        try:
+            return write_ledger(spark, root, change(state), read_version=at)
+        except Conflict:
+            if left == 1:
+                raise
+    raise ValueError("attempts must be positive")
+
+
+def _written(spark: SparkSession, root: str, since: int, until: int | None) -> dict[int, dict]:
+    """The markers of the versions in (since, until] that changed rows."""
+    versions = [v for v in committed_versions(spark, root) if v > since and (until is None or v <= until)]
+    return {v: e for v, e in _log(spark, root, versions).items() if not e["base"]}
+
+
+def changed_rows(spark: SparkSession, root: str, table: str, since: int, until: int | None = None) -> DataFrame:
+    """The newest row of every key written after version ``since`` (up to
+    ``until``), with the version ``v`` that wrote it. Reads the folders of these
+    versions only; a compaction changes nothing."""
+    rows = _table(spark, root, table, _written(spark, root, since, until))
+    key = ROW_KEYS[table]
+    values = [c for c in _columns(table) if c not in key]
+    newest = rows.groupBy(*key).agg(F.max("v").alias("v"), F.max_by(F.struct(*values), F.col("v")).alias("_s"))
+    return newest.select(*key, "_s.*", "v").select(*_columns(table), "v")
+
+
+def changes(spark: SparkSession, root: str, table: str, since: int, until: int | None = None) -> DataFrame:
+    """The change feed: :func:`changed_rows` with ``change`` (``insert``, or
+    ``update`` for keys that version ``since`` held) and ``old``, the row at
+    that version. Of the older state only the tenants that changed are read."""
+    rows = changed_rows(spark, root, table, since, until)
+    key = ROW_KEYS[table]
+    values = [c for c in _columns(table) if c not in key]
+    known = [e["tenants"] for e in _written(spark, root, since, until).values()]
+    tenants = None if None in known else sorted({t for k in known for t in k})
+    done = any(v <= since for v in committed_versions(spark, root))
+    before = (read_ledger(spark, root, tenants, as_of=since) if done else empty_ledger(spark))[table]
+    old = before.select(*key, F.struct(*values).alias("old"))
+    joined = rows.join(old, key, "left")
+    return joined.withColumn("change", F.when(F.col("old").isNull(), "insert").otherwise("update"))
 
 
 def compact(spark: SparkSession, root: str, prune: bool = False) -> int:
@@ -157,14 +328,15 @@ def compact(spark: SparkSession, root: str, prune: bool = False) -> int:
     With ``prune`` the version folders older than the base are deleted
     afterwards (only do that when no reader needs ``as_of`` older states).
     """
-    state = read_ledger(spark, root)
-    v = write_ledger(spark, root, state, base=True)
+    at = latest_version(spark, root)
+    state = read_ledger(spark, root, as_of=at)
+    v = write_ledger(spark, root, state, base=True, read_version=at)
     fs, _, jvm = _fs(spark, root)
     if prune:
+        older = {e["txn"] for e in _log(spark, root, [n for n in committed_versions(spark, root) if n < v]).values()}
         for t in LEDGER_TABLES:
-            for old in _versions_in(spark, f"{root}/{t}"):
-                if old < v:
-                    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{t}/v={old}"), True)
+            for name in older.intersection(names_in(spark, f"{root}/{t}", "v=")):
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{t}/v={name}"), True)
     return v
 
 

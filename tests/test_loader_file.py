@@ -21,7 +21,7 @@ def _brute(body: bytes, first: int = 0):
     return out
 
 
-@pytest.mark.parametrize("split_bytes", [1, 2, 5, 7, 64, 10_000])
+@pytest.mark.parametrize("split_bytes", [1, 5, 64])
 def test_ranges_read_every_record_once(spark, tmp_path, split_bytes):
     rng = random.Random(split_bytes)
     body = "".join(rng.choice(["a", "é\t", "<eor>", "\n", END, "<eo", "r>\n", "", "begindata\n"]) for _ in range(60)) + "tail"
