@@ -157,17 +157,38 @@ def ledger_from_events(spark: SparkSession, sf_dir: str, inv: DataFrame | None =
 
 
 def config_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B2: layered configuration ``(env, layer, ord, key, value)``.
+    """B2: layered configuration ``(env, layer, ord, key, value)``: a target per
+    nation, an environment per region.
 
     Layer 0 is the environment file, layer 1 the command-line overrides;
     ``ord`` is the position inside the layer.
     """
     region = read_table(spark, sf_dir, "region")
-    nation = read_table(spark, sf_dir, "nation")
-    n = F.col("n_nationkey")
-    nm = F.translate(F.lower("n_name"), "0123456789", "abcdefghij")
+    nation = read_table(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    targets = nation.select(F.col("r_name").alias("env"), F.col("n_nationkey").alias("n"), F.col("n_name").alias("name"))
+    return _config(targets, region.select(F.col("r_name").alias("env"), F.col("r_regionkey").alias("r")))
+
+
+def customer_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(env, n, name, r)``: a target per customer. One environment holds a third
+    of them, every other one those of five neighbouring keys."""
+    n = F.col("c_custkey")
+    r = F.when(n % 3 == 0, F.lit(0)).otherwise((n - n % 5) / 5).cast("long")
+    env = F.when(n % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("e"), r.cast("string")))
+    return read_table(spark, sf_dir, "customer").select(env.alias("env"), n.alias("n"), F.col("c_name").alias("name"), r.alias("r"))
+
+
+def config_from_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 at size: the same rules over the customers' environments."""
+    targets = customer_targets(spark, sf_dir)
+    return _config(targets.drop("r"), targets.select("env", "r").distinct())
+
+
+def _config(targets: DataFrame, envs: DataFrame) -> DataFrame:
+    """The rows of targets (env, n, name) and of environments (env, r)."""
+    n = F.col("n")
+    nm = F.translate(F.lower("name"), "0123456789#", "abcdefghij_")
     tech_by_n = lambda k: F.element_at(F.array(F.lit("oracle-sqlplus"), F.lit("spark-sql"), F.lit("")), (k % 3 + 1).cast("int"))
-    per_nation = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     def row(layer, ord_, key, value, keep):
         return F.struct(
             F.lit(layer).cast("int").alias("layer"),
@@ -186,16 +207,16 @@ def config_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
         row(1, n, target("_db"), F.concat(F.lit("ovr"), n.cast("string")), n % 2 == 0),
         row(1, n + 100, target("_db"), F.concat(F.lit("last"), n.cast("string")), n % 6 == 0),
     )
-    nation_rows = (
-        per_nation.select(F.col("r_name").alias("env"), F.explode(rows).alias("r"))
-        .where("r.keep")
-        .select("env", "r.layer", "r.ord", "r.key", "r.value")
+    target_rows = (
+        targets.select("env", F.explode(rows).alias("x"))
+        .where("x.keep")
+        .select("env", "x.layer", "x.ord", "x.key", "x.value")
     )
-    # every region: dpltgt_t<n>_tech for n < 6, the no-run list, the repository's
+    # every environment: dpltgt_t<n>_tech for n < 6, the no-run list, the repository's
     # technology and a technology key in upper case
     k = F.col("k")
-    region_rows = (
-        region.select(F.col("r_name").alias("env"), "r_regionkey", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("k"))
+    env_rows = (
+        envs.select("env", "r", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("k"))
         .select(
             "env",
             F.lit(0).alias("layer"),
@@ -207,12 +228,12 @@ def config_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("key"),
             F.when(k < 6, tech_by_n(k))
             .when(k == 6, F.lit("t1,t3"))
-            .when(k == 7, F.when(F.col("r_regionkey") % 2 == 0, F.lit("postgres")).otherwise(F.lit(" ")))
-            .otherwise(F.concat(F.lit("tech"), F.col("r_regionkey").cast("string")))
+            .when(k == 7, F.when(F.col("r") % 2 == 0, F.lit("postgres")).otherwise(F.lit(" ")))
+            .otherwise(F.concat(F.lit("tech"), F.col("r").cast("string")))
             .alias("value"),
         )
     )
-    return nation_rows.unionByName(region_rows).select(
+    return target_rows.unionByName(env_rows).select(
         "env", F.col("layer").cast("int"), F.col("ord").cast("int"), "key", "value"
     )
 
@@ -232,6 +253,13 @@ def override_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+def override_lines_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Override texts at size: layer-1 lines, and one invalid line per customer."""
+    good = config_from_customers(spark, sf_dir).where("layer = 1").select("env", "ord", F.concat("key", F.lit("="), "value").alias("text"))
+    bad = customer_targets(spark, sf_dir).select("env", (F.col("n") + 1000).cast("int").alias("ord"), F.concat(F.lit("dpltgt_"), "name", F.lit("_db=x")).alias("text"))
+    return good.unionByName(bad)
+
+
 # ---------------------------------------------------------------- B5 catalog
 
 

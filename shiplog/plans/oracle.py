@@ -698,8 +698,27 @@ SELECT app_id, id_script_execution, id_script, num_order, target_id,
 FROM executions
 """
 
+# the same rules over the customers' environments
+_NATIONS = _CONFIG[: _CONFIG.index("config AS (")]
+_CUSTOMERS = r"""
+nat AS (
+  SELECT CASE WHEN c_custkey % 3 = 0 THEN 'hot' ELSE 'e' || CAST(c_custkey // 5 AS VARCHAR) END AS env,
+         c_custkey AS n, c_name AS name, translate(lower(c_name), '0123456789#', 'abcdefghij_') AS nm
+  FROM customer
+),
+envs AS (SELECT DISTINCT env AS r_name, CASE WHEN n % 3 = 0 THEN 0 ELSE n // 5 END AS r_regionkey FROM nat),
+"""
+_CONFIG_AT_SIZE = _CONFIG.replace(_NATIONS, _CUSTOMERS).replace("FROM region", "FROM envs")
+for _key in ("override_parse", "config_effective", "techs_in_use", "target_list"):
+    ORACLE[f"{_key}_at_size"] = ORACLE[_key].replace(_CONFIG, _CONFIG_AT_SIZE)
+ORACLE["override_parse_at_size"] = ORACLE["override_parse_at_size"].replace(
+    """SELECT r.r_name, CAST(n.n_nationkey + 1000 AS INTEGER), 'dpltgt_' || n.n_name || '_db=x'
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "SELECT env, CAST(n + 1000 AS INTEGER), 'dpltgt_' || name || '_db=x' FROM nat",
+)
+
 ORACLE["config_files"] = f"""
-WITH {_CONFIG}
+WITH {_CONFIG_AT_SIZE}
 SELECT env, CAST(0 AS INTEGER) AS layer,
        CAST(row_number() OVER (PARTITION BY env ORDER BY ord, key) AS INTEGER) AS ord, key, trim(value) AS value
 FROM config WHERE layer = 0

@@ -429,14 +429,36 @@ def pending_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("config_files")
 def config_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One configuration file per environment, written and read back."""
-    base = derived.config_from_nations(spark, sf_dir).where("layer = 0")
-    line = F.struct("ord", "key", F.concat("key", F.lit("='"), "value", F.lit("'")).alias("text"))
-    files = base.groupBy("env").agg(F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["text"]), "\n").alias("body"))
+    """The configuration of the customers' environments, written by tasks
+    and read back with its line numbers."""
     root = scratch_path(spark, "config")
-    for r in files.collect():  # one small file per environment
-        config_files.write_config(spark, f"{root}/{r['env']}.cfg", r["body"])
-    return config_files.read_config(spark, f"{root}/*.cfg").withColumn("value", F.trim("value"))
+    config_files.write_config_folders(derived.config_from_customers(spark, sf_dir), root)
+    return config_files.read_config_folders(spark, root).withColumn("value", F.trim("value"))
+
+
+@register("override_parse_at_size")
+def override_parse_at_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 + P8 over the override texts of the customers' environments."""
+    return cfg_ops.parse_overrides(derived.override_lines_of_customers(spark, sf_dir)).select("env", "ord", "text", "is_valid", "key", "value")
+
+
+@register("config_effective_at_size")
+def config_effective_at_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 + A4 + P9 + A5 over the customers' environments."""
+    return cfg_ops.change_report(derived.config_from_customers(spark, sf_dir))
+
+
+@register("techs_in_use_at_size")
+def techs_in_use_at_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P21 + A2 + U2 + O5 over the customers' environments."""
+    return cfg_ops.techs_in_use(cfg_ops.effective_config(derived.config_from_customers(spark, sf_dir)))
+
+
+@register("target_list_at_size")
+def target_list_at_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P22 + A3 + O6 over the customers' environments."""
+    eff = cfg_ops.effective_config(derived.config_from_customers(spark, sf_dir))
+    return cfg_ops.target_list(eff).select("env", "target", "kind", "label", "target_no")
 
 
 @register("loader_spec_files")

@@ -6,14 +6,22 @@ data, never evaluated: no expansion, no command substitution. Surrounding
 single or double quotes of a value are removed, blank lines and ``#``
 comments are skipped, an ``export`` keyword is ignored. ``ord`` is the line
 number, so later lines win under ``last_wins``.
+
+Large numbers of environments, or large ones, are written by tasks as a folder
+per environment (``env=<env>/part-*``), whose part files hold its lines in
+order; one environment may be many part files. Either way files are read in
+splits: a line's number is its place in its split plus the lines of the splits
+before it, from one row per split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shiplog.operators.config import overrides_as_layer, parse_overrides
+from shiplog.operators.numbering import stored
+from shiplog.session import freeze
 
 # Assignment line syntax, and the file name (without .cfg)
 # that holds the "as-set" environment.
@@ -22,24 +30,48 @@ AS_SET_FILE = "run_deploy"
 
 
 def read_config(spark: SparkSession, pattern: str) -> DataFrame:
-    """``DF(env, layer=0, ord, key, value)`` from config files.
-
-    Files are read whole (one small file per environment), split into lines
-    and exploded with their position.
-    """
+    """``DF(env, layer=0, ord, key, value)`` from ``<env>.cfg`` files."""
     # the name comes as part of a URI; a plus sign there is itself
     name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
-    files = spark.read.text(pattern, wholetext=True).select(
-        F.regexp_extract(name, r"([^/]*)\.cfg\z", 1).alias("env"), "value"
-    )
-    lines = files.select(
-        F.when(F.col("env") == AS_SET_FILE, F.lit("as-set")).otherwise(F.col("env")).alias("env"),
-        F.posexplode(F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n")).alias("pos", "line"),
+    env = F.regexp_extract(name, r"([^/]*)\.cfg\z", 1)
+    return _assignments(_numbered_lines(spark.read.text(pattern), env, F.lit(0)))
+
+
+def read_config_folders(spark: SparkSession, root: str) -> DataFrame:
+    """``DF(env, layer=0, ord, key, value)`` from the folders that
+    :func:`write_config_folders` writes."""
+    lines = spark.read.schema("value string, env string").text(root)
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    return _assignments(_numbered_lines(lines, F.col("env"), part))
+
+
+def _numbered_lines(lines: DataFrame, env: Column, part: Column) -> DataFrame:
+    """``DF(env, ord, line)``: the lines with their number in the environment."""
+    # places are taken at the scan, where a split's lines are in order
+    kept = freeze(
+        lines.select(
+            env.alias("env"),
+            part.alias("part"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+            F.col("value").alias("line"),
+        ),
+        "config_lines",
     )
+    split = ["env", "part", "file", "block"]
+    splits = kept.groupBy(*split).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("env").orderBy("part", "file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = stored(splits.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+    number = (F.col("place") - F.col("first") + F.col("before") + 1).cast("int")
+    return kept.join(splits, ["file", "block"]).select("env", number.alias("ord"), "line")
+
+
+def _assignments(lines: DataFrame) -> DataFrame:
     kv = lines.where(F.col("line").rlike(_ASSIGNMENT)).select(
-        "env",
+        F.when(F.col("env") == AS_SET_FILE, F.lit("as-set")).otherwise(F.col("env")).alias("env"),
         F.lit(0).alias("layer"),
-        (F.col("pos") + 1).cast("int").alias("ord"),
+        "ord",
         F.regexp_extract("line", _ASSIGNMENT, 1).alias("key"),
         F.regexp_extract("line", _ASSIGNMENT, 2).alias("raw"),
     )
@@ -47,6 +79,17 @@ def read_config(spark: SparkSession, pattern: str) -> DataFrame:
     return kv.select("env", "layer", "ord", "key", unquoted.alias("value"))
 
 
+def write_config_folders(config: DataFrame, root: str) -> None:
+    """Write layer 0 of ``config(env, layer, ord, key, value)`` below ``root``,
+    a folder per environment, in ``(ord, key)`` order. Ranges of (env, ord) are
+    written by tasks, so a large environment is several part files. Values are
+    put in single quotes; they must hold no line end."""
+    line = F.concat("key", F.lit("='"), "value", F.lit("'"))
+    ranged = config.where("layer = 0").select("env", "ord", "key", line.alias("value"))
+    ranged = ranged.repartitionByRange("env", "ord", "key").sortWithinPartitions("env", "ord", "key")
+    ranged.select("env", "value").write.mode("errorifexists").partitionBy("env").text(root)
+
+
 def write_config(spark: SparkSession, path: str, body: str) -> None:
     """One configuration file (a driver-side write of a small text)."""
     jvm = spark.sparkContext._jvm

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from shiplog.functions.predicates import valid_app_id
 from shiplog.operators import config as cfg
-from shiplog.sources.config_files import read_config, with_overrides
+from shiplog.sources.config_files import read_config, read_config_folders, with_overrides, write_config_folders
 
 
 def test_app_id(spark):
@@ -82,3 +82,32 @@ def test_split_override_struct(spark):
     df = spark.createDataFrame([("cfg_a=b=c",)], "t string")
     r = df.select(split_override("t").alias("kv")).collect()[0]["kv"]
     assert (r["key"], r["value"]) == ("cfg_a", "b=c")
+
+
+def test_config_folders_in_many_parts(spark, tmp_path):
+    """One environment over several part files and splits keeps its order."""
+    rows = [("hot", 0, 2 * i, f"k{i % 50}", f"v{i}") for i in range(3000)] + [("5", 0, 1, "a", "x"), ("5", 1, 2, "a", "no"), ("as-set", 0, 1, "b", "'q'")]
+    config = spark.createDataFrame(rows, "env string, layer int, ord int, key string, value string")
+    root = str(tmp_path / "conf")
+    write_config_folders(config.repartition(6), root)
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = read_config_folders(spark, root).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    hot = sorted((r["ord"], r["key"], r["value"]) for r in got if r["env"] == "hot")
+    assert hot == [(i + 1, f"k{i % 50}", f"v{i}") for i in range(3000)]
+    assert sorted((r["env"], r["ord"], r["key"], r["value"]) for r in got if r["env"] != "hot") == [("5", 1, "a", "x"), ("as-set", 1, "b", "'q'")]
+
+
+def test_line_numbers_of_split_files(spark, tmp_path):
+    text = "# head\r\n" + "".join(f"k{i}=v{i}\n\n" for i in range(500)) + "last=1"
+    (tmp_path / "big.cfg").write_text(text, newline="")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        got = sorted((r["ord"], r["key"]) for r in read_config(spark, str(tmp_path / "*.cfg")).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert got == [(2 * i + 2, f"k{i}") for i in range(500)] + [(1002, "last")]
