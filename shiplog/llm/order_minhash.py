@@ -20,13 +20,16 @@ bucket one node of each class is compared with a new pivot, ``PIVOTS`` times.
 These rounds only save work. What they leave is settled in full: every large
 bucket that still holds several classes is dealt as pairs of blocks of about
 ``BLOCK`` nodes, and all nodes of different classes meet, word profiles first;
-only pairs that the profiles cannot rule out leave their task to be aligned.
-So any two nodes that share a bucket are in one class or have been compared.
+pairs that the profiles cannot rule out are aligned in the same task, unless
+links found there already join their classes. A task returns links that join
+classes, never pairs. So any two nodes that share a bucket are in one class or
+have been compared.
 
 Defined results: equal texts are one class, null counts as empty, a text of
 under five words is one shingle, a text without words only equals its copies,
-repeated rows fall into one class, a null doc_id has a null class, other
-columns play no part.
+repeated rows fall into one class, different texts under one doc_id are
+documents of their own (and both stay if their classes differ), a null doc_id
+has a null class, other columns play no part.
 """
 
 from __future__ import annotations
@@ -167,12 +170,13 @@ def _sketches(sketches: int):
                 words = [word_hashes(t.decode("utf-8", "replace")) for t in texts]
                 columns = [
                     part.column(0),
+                    part.column(2),
                     pa.array(digest[:, 0]),
                     pa.array(digest[:, 1]),
                     pa.array([sketch(w, sketches) for w in words], pa.list_(pa.int64())),
                     pa.array([profile(w) for w in words], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a", "b", "sketch", "profile"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "a", "b", "sketch", "profile"])
 
     return run
 
@@ -274,15 +278,47 @@ def _likely(nodes: np.ndarray, names: np.ndarray, seeks: np.ndarray, rest: np.nd
                 first = place - np.maximum.accumulate(np.where(edge, place, 0)) < tries
                 ok_x, ok_y = ok_x[first], ok_y[first]
             if len(ok_x):
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[ok_x]), pa.array(nodes[ok_y])], ["x", "y"])
+                yield nodes[ok_x], nodes[ok_y]
+
+
+def linked(table: pa.Table, least: float, tries: int | None) -> list[tuple[int, int, float]]:
+    """A spanning forest of the links in a block, over its names: likely pairs
+    are aligned unless links of the block already join their names."""
+    column = lambda name: table.column(name).to_numpy()
+    nodes, texts = column("node"), table.column("words")
+    name = dict(zip(nodes.tolist(), column("name").tolist(), strict=True))
+    above: dict[int, int] = {}
+    words: dict[int, np.ndarray] = {}
+    row = dict(zip(nodes.tolist(), range(len(nodes)), strict=True))
+
+    def root(x: int) -> int:
+        while x in above:
+            above[x] = x = above.get(above[x], above[x])
+        return x
+
+    def of(x: int) -> np.ndarray:
+        if x not in words:
+            words[x] = np.frombuffer(texts[row[x]].as_py(), dtype=U64)
+        return words[x]
+
+    found = []
+    for xs, ys in _likely(nodes, column("name"), column("seeks"), column("rest"), table.column("profile").to_pylist(), least, tries):
+        for x, y in zip(xs.tolist(), ys.tolist(), strict=True):
+            p, q = root(name[x]), root(name[y])
+            if p != q and (s := similarity(of(x), of(y), least)) > 0:
+                above[max(p, q)] = min(p, q)
+                found.append((x, y, s))
+    return found
 
 
 def _blocks(least: float, tries: int | None):
-    """Over rows sorted by (cell, k, j): the likely pairs of every such block."""
+    """Over rows sorted by (cell, k, j): the links of every such block."""
 
-    def settle(table: pa.Table):
-        column = lambda name: table.column(name).to_numpy()
-        yield from _likely(column("node"), column("name"), column("seeks"), column("rest"), table.column("profile").to_pylist(), least, tries)
+    def settle(held: list[pa.RecordBatch]):
+        rows = linked(pa.Table.from_batches(held), least, tries)
+        if rows:
+            x, y, s = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(s, pa.float64())], ["x", "y", "similarity"])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -295,34 +331,46 @@ def _blocks(least: float, tries: int | None):
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
                 key = tuple(keys[:, a].tolist())
                 if held and key != last:
-                    yield from settle(pa.Table.from_batches(held))
+                    yield from settle(held)
                     held = []
                 last = key
                 held.append(batch.slice(a, b - a))
         if held:
-            yield from settle(pa.Table.from_batches(held))
+            yield from settle(held)
 
     return run
 
 
-def block_pairs(members: DataFrame, profiles: DataFrame, least: float, tries: int | None) -> DataFrame:
-    """(x, y): the pairs of different names in the buckets of ``members``
-    (cell, node, name) that their profiles do not rule out.
+def _words(batches):
+    for batch in batches:
+        for part in pieces(batch):
+            words = [word_hashes(t.decode("utf-8", "replace")).tobytes() for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.binary())], ["node", "words"])
+
+
+def block_links(members: DataFrame, profiles: DataFrame, texts: DataFrame, least: float, tries: int | None) -> DataFrame:
+    """(x, y, similarity): links that join the different names in the buckets of
+    ``members`` (cell, node, name), where any exist.
 
     The nodes outside a bucket's largest name are its rest; each block of the
-    rest meets each block of the whole bucket in a task of its own."""
+    rest meets each block of the whole bucket in a task of its own, which
+    aligns what the word profiles do not rule out and returns at most one link
+    less than it has names."""
     kinds = members.groupBy("cell", "name").agg(F.count(F.lit(1)).alias("c"))
     cells = kinds.groupBy("cell").agg(F.sum("c").alias("n"), F.max(F.struct("c", "name")).alias("most")).where("n > most.c")
     parts = lambda n: F.ceil(n / F.lit(BLOCK)).cast("long")
     cells = cells.select("cell", F.col("most.name").alias("largest"), parts(F.col("n")).alias("all_j"), parts(F.col("n") - F.col("most.c")).alias("all_k"))
-    rows = members.join(cells, "cell").join(profiles, "node").withColumn("rest", F.col("name") != F.col("largest"))
+    mixed = freeze(members.join(cells, "cell"), "cells")
+    involved = checked(freeze(mixed.select("node").distinct(), "involved"), 16)
+    words = freeze(texts.join(involved, "node", "left_semi").select("node", "text").mapInArrow(_words, "node long, words binary"), "words")
+    rows = mixed.join(profiles, "node").join(words, "node").withColumn("rest", F.col("name") != F.col("largest"))
     place = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    out = ["node", "name", "rest", "profile"]
+    out = ["node", "name", "rest", "profile", "words"]
     seekers = rows.where("rest").withColumn("k", place(1, "all_k")).select("cell", "k", every("all_j").alias("j"), F.lit(True).alias("seeks"), *out)
     others = rows.withColumn("j", place(2, "all_j")).select("cell", every("all_k").alias("k"), "j", F.lit(False).alias("seeks"), *out)
     dealt = seekers.unionByName(others).repartition("cell", "k", "j").sortWithinPartitions("cell", "k", "j")
-    return dealt.mapInArrow(_blocks(least, tries), "x long, y long")
+    return dealt.mapInArrow(_blocks(least, tries), "x long, y long, similarity double")
 
 
 def renamed(names: DataFrame, found: DataFrame) -> DataFrame:
@@ -340,15 +388,18 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_similarity: float = MIN_SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
-    """One row per document: doc_id, class_id and copy_of (the smallest doc_id
-    of its equal texts)."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
-    sketched = freeze(own.mapInArrow(_sketches(sketches), "doc_id long, a long, b long, sketch array<long>, profile binary"), "sketches")
-    same = freeze(
-        sketched.where("doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("profile").alias("profile")),
-        "texts",
-    )
+def _classes(docs: DataFrame, doc_id: str, text: str, min_similarity: float, sketches: int) -> tuple[DataFrame, DataFrame]:
+    """(documents with the hash pair of their text, texts with their class)."""
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text")).withColumn("t", F.xxhash64("text"))
+    sketched = freeze(own.mapInArrow(_sketches(sketches), "doc_id long, t long, a long, b long, sketch array<long>, profile binary"), "sketches")
+    same = sketched.where("doc_id is not null").groupBy("a", "b")
+    same = freeze(same.agg(F.min(F.struct("doc_id", "t")).alias("first"), F.first("sketch").alias("sketch"), F.first("profile").alias("profile")), "texts")
+    # a text goes by its smallest doc_id; of several texts that share it, all
+    # but one go by their hash
+    holder = same.groupBy(F.col("first.doc_id").alias("id")).agg(F.min(F.struct("a", "b")).alias("h"))
+    holds = F.col("h") == F.struct("a", "b")
+    same = same.join(holder, F.col("first.doc_id") == F.col("id")).withColumn("node", F.when(holds, F.col("id")).otherwise(F.col("a"))).drop("id", "h")
+    same = freeze(same, "nodes")
     cells = same.select("node", F.explode("sketch").alias("cell"))
     shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = freeze(cells.join(shared, "cell"), "members")
@@ -360,8 +411,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # a node meets the first of its pivots; the rounds below meet the others
     first = members.join(pivots, "cell").groupBy("node").agg(F.max("pivot").alias("pivot")).select("node", F.col("pivot.node").alias("pivot"))
     first = freeze(first, "first")
-    texts = own.join(checked(first.select("node"), 16), own["doc_id"] == first["node"]).select("node", "text").dropDuplicates(["node"])
-    texts = freeze(texts, "involved")
+    wanted = same.join(checked(first.select("node"), 16), "node", "left_semi").select("node", "first.doc_id", "first.t")
+    wanted = checked(freeze(wanted, "wanted"), 32)
+    texts = freeze(own.join(wanted, ["doc_id", "t"]).select("node", "text").dropDuplicates(["node"]), "involved")
     pairs = first.where("node <> pivot").select(F.col("node").alias("x"), F.col("pivot").alias("y"))
     tested = _unordered(pairs)
     profiles = freeze(same.join(checked(first.select("node"), 16), "node", "left_semi").select("node", "profile"), "profiles")
@@ -398,24 +450,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # have a link find one there, then all
     for tries in (TRIES, None):
         named = members.join(checked(names, 24), "node", "left").select("cell", "node", F.coalesce("name", "node").alias("name"))
-        met = block_pairs(named, profiles, min_similarity, tries)
-        fresh = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        fresh = freeze(fresh.join(checked(tested, 24).select(F.col("u").alias("x"), F.col("v").alias("y")), ["x", "y"], "left_anti"), "pairs")
-        found = freeze(verify(fresh, profiles, texts, min_similarity), "links")
+        found = freeze(block_links(named, profiles, texts, min_similarity, tries), "links")
         if found.limit(1).count():
             names = renamed(names, found)
-        tested, links = tested.union(_unordered(fresh)), links.union(found)
-    labels = components(links)
-    classes = labels.select(F.col("node").alias("__n"), "label")
-    text_of = same.select("a", "b", "node")
-    rows = sketched.select("doc_id", "a", "b").join(text_of, ["a", "b"], "left").join(classes, F.col("node") == F.col("__n"), "left")
+        links = links.union(found)
+    labels = components(links).select(F.col("node").alias("__n"), "label")
+    named = same.join(labels, F.col("node") == F.col("__n"), "left")
+    return sketched.select("doc_id", "a", "b"), freeze(named.select("a", "b", "first", F.coalesce("label", "node").alias("label")), "classes")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_similarity: float = MIN_SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
+    """One row per document: doc_id, class_id and copy_of (the smallest doc_id
+    of its equal texts)."""
+    rows, classes = _classes(docs, doc_id, text, min_similarity, sketches)
+    names = classes.groupBy("label").agg(F.min("first.doc_id").alias("class_id"))
+    out = classes.join(names, "label").select("a", "b", "class_id", F.col("first.doc_id").alias("copy_of"))
     known = F.col("doc_id").isNotNull()
-    return rows.select("doc_id", F.when(known, F.coalesce("label", "node")).alias("class_id"), F.when(known, F.col("node")).alias("copy_of"))
+    joined = rows.join(out, ["a", "b"], "left")
+    return joined.select("doc_id", F.when(known, F.col("class_id")).alias("class_id"), F.when(known, F.col("copy_of")).alias("copy_of"))
 
 
-def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_similarity: float = MIN_SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
     """One document of each class (its smallest doc_id; one row of repeated
     rows). Documents without a doc_id stay."""
-    found = near_duplicates(docs, doc_id, text, **options).where("doc_id = class_id").select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(freeze(found, "kept"), docs[doc_id].cast("long") == F.col("__keep"), "left_semi")
-    return kept.dropDuplicates([doc_id]).unionByName(docs.where(F.col(doc_id).isNull()))
+    _, classes = _classes(docs, doc_id, text, min_similarity, sketches)
+    kept = classes.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__keep_id"), F.col("first.t").alias("__keep_t"))
+    marked = docs.withColumn("__t", F.xxhash64(text_bytes(docs[text])))
+    same = (docs[doc_id].cast("long") == F.col("__keep_id")) & (F.col("__t") == F.col("__keep_t"))
+    rows = marked.join(freeze(kept, "kept"), same, "left_semi").dropDuplicates([doc_id, "__t"])
+    return rows.drop("__t").unionByName(docs.where(F.col(doc_id).isNull()))

@@ -149,7 +149,7 @@ def test_block_screen_matches_profiles():
     nodes, seeks = np.array(nodes), np.arange(2 * n) < n
     names = nodes % 7
     rest = names != 0
-    got = {(int(x), int(y)) for b in O._likely(nodes, names, seeks & rest, rest, profiles, 0.8, None) for x, y in zip(*[c.to_pylist() for c in b.columns], strict=True)}
+    got = {(int(x), int(y)) for b in O._likely(nodes, names, seeks & rest, rest, profiles, 0.8, None) for x, y in zip(*[c.tolist() for c in b], strict=True)}
     want = {
         (x, y)
         for x in range(n)
@@ -157,3 +157,27 @@ def test_block_screen_matches_profiles():
         if x % 7 and x % 7 != y % 7 and (y % 7 == 0 or x < y) and O.may_reach(profiles[x], profiles[y], 0.8)
     }
     assert want <= got
+
+
+def test_blocks_return_a_forest():
+    """All variants of one text in one block: one link less than names, and no
+    alignment inside what the links already join."""
+    r = random.Random(13)
+    base = " ".join(f"w{i}" for i in range(100))
+    texts = [edited(r, base, 0.01) for _ in range(60)]
+    words = [word_hashes(t) for t in texts]
+    n = len(words)
+    columns = {
+        "node": list(range(n)) * 2, "name": list(range(n)) * 2, "seeks": [True] * n + [False] * n, "rest": [True] * 2 * n,
+        "profile": [O.profile(w) for w in words] * 2, "words": [w.tobytes() for w in words] * 2,
+    }
+    found = O.linked(O.pa.table(columns), 0.8, None)
+    assert len(found) == n - 1 and all(O.similarity(words[x], words[y]) == s >= 0.8 for x, y, s in found)
+
+
+def test_several_texts_under_one_id(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, a), (1, b), (1, b), (2, a + " end"), (3, b + " end"), (4, "c")], "doc_id long, text string")
+    got = sorted((x.doc_id, x.class_id, x.copy_of) for x in O.near_duplicates(docs).collect())
+    assert got == [(1, 1, 1)] * 3 + [(2, 1, 2), (3, 1, 3), (4, 4, 4)]
+    assert sorted((x.doc_id, x.text) for x in O.drop_near_duplicates(docs).collect()) == [(1, a), (1, b), (4, "c")]
