@@ -247,7 +247,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _likely(nodes: np.ndarray, names: np.ndarray, seeks: np.ndarray, rest: np.ndarray, profiles: list[bytes], least: float, tries: int | None):
-    """Pairs (x, y) of a seeking node and another one of a different name that
+    """Row pairs (x, y) of a seeking node and another one of a different name that
     may reach ``least``; at most ``tries`` of a seeker with each name. Two
     nodes of the rest meet once, the smaller one as x.
 
@@ -278,18 +278,22 @@ def _likely(nodes: np.ndarray, names: np.ndarray, seeks: np.ndarray, rest: np.nd
                 first = place - np.maximum.accumulate(np.where(edge, place, 0)) < tries
                 ok_x, ok_y = ok_x[first], ok_y[first]
             if len(ok_x):
-                yield nodes[ok_x], nodes[ok_y]
+                yield ok_x, ok_y
 
 
 def linked(table: pa.Table, least: float, tries: int | None) -> list[tuple[int, int, float]]:
     """A spanning forest of the links in a block, over its names: likely pairs
-    are aligned unless links of the block already join their names."""
+    are aligned unless links of the block already join their names. A pair that
+    shares several sketches belongs to the bucket of the first of them."""
     column = lambda name: table.column(name).to_numpy()
     nodes, texts = column("node"), table.column("words")
     name = dict(zip(nodes.tolist(), column("name").tolist(), strict=True))
     above: dict[int, int] = {}
     words: dict[int, np.ndarray] = {}
     row = dict(zip(nodes.tolist(), range(len(nodes)), strict=True))
+    sketches = table.column("sketch").combine_chunks()
+    sketches = sketches.flatten().to_numpy().reshape(len(nodes), -1)
+    cell = int(table.column("cell")[0].as_py())
 
     def root(x: int) -> int:
         while x in above:
@@ -302,8 +306,10 @@ def linked(table: pa.Table, least: float, tries: int | None) -> list[tuple[int,
         return words[x]
 
     found = []
-    for xs, ys in _likely(nodes, column("name"), column("seeks"), column("rest"), table.column("profile").to_pylist(), least, tries):
-        for x, y in zip(xs.tolist(), ys.tolist(), strict=True):
+    for i, j in _likely(nodes, column("name"), column("seeks"), column("rest"), table.column("profile").to_pylist(), least, tries):
+        same = sketches[i] == sketches[j]
+        own = sketches[i, same.argmax(axis=1)] == cell
+        for x, y in zip(nodes[i[own]].tolist(), nodes[j[own]].tolist(), strict=True):
             p, q = root(name[x]), root(name[y])
             if p != q and (s := similarity(of(x), of(y), least)) > 0:
                 above[max(p, q)] = min(p, q)
@@ -355,7 +361,9 @@ def block_links(members: DataFrame, profiles: DataFrame, texts: DataFrame, least
     The nodes outside a bucket's largest name are its rest; each block of the
     rest meets each block of the whole bucket in a task of its own, which
     aligns what the word profiles do not rule out and returns at most one link
-    less than it has names."""
+    less than it has names. Buckets that are not in ``members`` any more hold no
+    two names or have been compared in full, so a pair may be left to the
+    bucket of its first common sketch."""
     kinds = members.groupBy("cell", "name").agg(F.count(F.lit(1)).alias("c"))
     cells = kinds.groupBy("cell").agg(F.sum("c").alias("n"), F.max(F.struct("c", "name")).alias("most")).where("n > most.c")
     parts = lambda n: F.ceil(n / F.lit(BLOCK)).cast("long")
@@ -366,7 +374,7 @@ def block_links(members: DataFrame, profiles: DataFrame, texts: DataFrame, least
     rows = mixed.join(profiles, "node").join(words, "node").withColumn("rest", F.col("name") != F.col("largest"))
     place = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    out = ["node", "name", "rest", "profile", "words"]
+    out = ["node", "name", "rest", "profile", "words", "sketch"]
     seekers = rows.where("rest").withColumn("k", place(1, "all_k")).select("cell", "k", every("all_j").alias("j"), F.lit(True).alias("seeks"), *out)
     others = rows.withColumn("j", place(2, "all_j")).select("cell", every("all_k").alias("k"), "j", F.lit(False).alias("seeks"), *out)
     dealt = seekers.unionByName(others).repartition("cell", "k", "j").sortWithinPartitions("cell", "k", "j")
@@ -416,7 +424,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str, min_similarity: float, ske
     texts = freeze(own.join(wanted, ["doc_id", "t"]).select("node", "text").dropDuplicates(["node"]), "involved")
     pairs = first.where("node <> pivot").select(F.col("node").alias("x"), F.col("pivot").alias("y"))
     tested = _unordered(pairs)
-    profiles = freeze(same.join(checked(first.select("node"), 16), "node", "left_semi").select("node", "profile"), "profiles")
+    profiles = freeze(same.join(checked(first.select("node"), 16), "node", "left_semi").select("node", "profile", "sketch"), "profiles")
     links = freeze(verify(pairs, profiles, texts, min_similarity), "links")
     # a node goes by its pivot's name while buckets are compared; the classes
     # themselves are put together from all links at the end

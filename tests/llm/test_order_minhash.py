@@ -149,7 +149,7 @@ def test_block_screen_matches_profiles():
     nodes, seeks = np.array(nodes), np.arange(2 * n) < n
     names = nodes % 7
     rest = names != 0
-    got = {(int(x), int(y)) for b in O._likely(nodes, names, seeks & rest, rest, profiles, 0.8, None) for x, y in zip(*[c.tolist() for c in b], strict=True)}
+    got = {(int(nodes[x]), int(nodes[y])) for b in O._likely(nodes, names, seeks & rest, rest, profiles, 0.8, None) for x, y in zip(*[c.tolist() for c in b], strict=True)}
     want = {
         (x, y)
         for x in range(n)
@@ -170,9 +170,12 @@ def test_blocks_return_a_forest():
     columns = {
         "node": list(range(n)) * 2, "name": list(range(n)) * 2, "seeks": [True] * n + [False] * n, "rest": [True] * 2 * n,
         "profile": [O.profile(w) for w in words] * 2, "words": [w.tobytes() for w in words] * 2,
+        "cell": [7] * 2 * n, "sketch": [[7, 9]] * 2 * n,
     }
     found = O.linked(O.pa.table(columns), 0.8, None)
     assert len(found) == n - 1 and all(O.similarity(words[x], words[y]) == s >= 0.8 for x, y, s in found)
+    # a later common sketch leaves the pair to the first one's bucket
+    assert O.linked(O.pa.table({**columns, "cell": [9] * 2 * n}), 0.8, None) == []
 
 
 def test_several_texts_under_one_id(spark):
