@@ -48,8 +48,11 @@ SHARE = 1.0
 SHARD_DOCS = 400
 ROUNDS = 2
 EMBED, HIDDEN, WINDOW = 16, 24, 32
-STREAMS = 32
-RATE = 0.01
+STREAMS = 256
+STEPS = 24
+RATE = 0.02
+#: Parameter sums that reach the driver in a round.
+SUMS = 8
 SIDE_BY_SIDE = 512
 POOL_TOKENS = 4_000_000
 UNKNOWN, END = 0, 1
@@ -125,6 +128,19 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    e = np.exp(x - x.max(axis=1, keepdims=True))
+    e /= (e @ np.ones(x.shape[1], dtype=x.dtype))[:, None]
+    return e
+
+
+def _rows_summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct places and the sum of the rows of each."""
+    order = np.argsort(at, kind="stable")
+    edges = np.flatnonzero(np.diff(at[order], prepend=-1))
+    return at[order[edges]], np.add.reduceat(rows[order], edges, axis=0)
+
+
 def _at(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-softmax of each row at its target. One shift serves all rows unless
     a row lies so low that its sum would vanish."""
@@ -192,9 +208,9 @@ def score_texts(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
 
 def train(p: dict[str, np.ndarray], stream: np.ndarray, rate: float = RATE, streams: int = STREAMS, window: int = WINDOW) -> dict[str, np.ndarray]:
     """Truncated backpropagation through time over a token stream, laid out in
-    ``streams`` rows; the state is carried between windows and starts anew
+    up to ``streams`` rows, so that there are ``STEPS`` windows; the state is carried between windows and starts anew
     after every END. Adam steps with a clipped mean gradient."""
-    rows = max(1, min(streams, len(stream) // (window + 1)))
+    rows = max(1, min(streams, len(stream) // (window * STEPS + 1)))
     length = (len(stream) - 1) // rows if len(stream) else 0
     if length < 2:
         return p
@@ -218,31 +234,32 @@ def train(p: dict[str, np.ndarray], stream: np.ndarray, rate: float = RATE, stre
         g = {k: np.zeros_like(v) for k, v in p.items()}
         kind, groups = _by_class(target, size)
         scale = np.float32(1 / len(target))
-        d = np.exp(_log_softmax(hs @ p["class_w"] + p["class_b"]))
+        d = _softmax(hs @ p["class_w"] + p["class_b"])
         d[np.arange(len(d)), kind] -= 1
         d *= scale
         g["class_w"], g["class_b"] = hs.T @ d, d.sum(axis=0)
         dh_all = d @ p["class_w"].T
         for c, own in groups:
-            d = np.exp(_log_softmax(hs[own] @ p["word_w"][c] + p["word_b"][c]))
+            d = _softmax(hs[own] @ p["word_w"][c] + p["word_b"][c])
             d[np.arange(len(own)), target[own] - c * size] -= 1
             d *= scale
             g["word_w"][c], g["word_b"][c] = hs[own].T @ d, d.sum(axis=0)
             dh_all[own] += d @ p["word_w"][c].T
         dh_all = dh_all.reshape(len(x), rows, H)
-        d_table = np.zeros_like(table)
+        d_in = np.empty((len(x), rows, 3 * H), dtype=np.float32)
         dh = np.zeros_like(h)
         for t in range(len(x) - 1, -1, -1):
             before, z, r, n, hu = trace[t]
             dh = dh + dh_all[t]
             dz, dn = dh * (before - n) * z * (1 - z), dh * (1 - z) * (1 - n * n)
             dr = dn * hu[:, 2 * H :] * r * (1 - r)
-            d_in = np.concatenate([dz, dr, dn], axis=1)
+            d_in[t, :, :H], d_in[t, :, H : 2 * H], d_in[t, :, 2 * H :] = dz, dr, dn
             d_hu = np.concatenate([dz, dr, dn * r], axis=1)
-            np.add.at(d_table, x[t], d_in)
             g["u"] += before.T @ d_hu
             dh = (dh * z + d_hu @ p["u"].T) * (x[t] != END)[:, None]
-        g["embed"], g["w"], g["b"] = d_table @ p["w"].T, p["embed"].T @ d_table, d_table.sum(axis=0)
+        # only the tokens of the window have a gradient
+        at, d_table = _rows_summed(x.ravel(), d_in.reshape(-1, 3 * H))
+        g["embed"][at], g["w"], g["b"] = d_table @ p["w"].T, p["embed"][at].T @ d_table, d_table.sum(axis=0)
         norm = math.sqrt(sum(float((v * v).sum()) for v in g.values()))
         clip = np.float32(min(1.0, 1.0 / (norm + 1e-12)))
         step += 1
@@ -305,11 +322,39 @@ def _train_shard(v: int, flat: np.ndarray, words: list[bytes], counts: np.ndarra
         stream = np.concatenate([[END], *ids]).astype(np.int32)
         p = pack(train(unpack(flat, v), stream)).astype(np.float64)
         weight = float(len(stream))
-        return pa.Table.from_arrays([pa.array(np.arange(len(p))), pa.array(p * weight), pa.array(np.full(len(p), weight))], ["at", "value", "weight"])
+        return pa.Table.from_arrays([pa.array([(p * weight).tobytes()], pa.binary()), pa.array([weight])], ["sums", "weight"])
 
     return run
 
 
+SUMMED = "sums binary, weight double"
+
+
+def _summed(batches):
+    total, weight = None, 0.0
+    for batch in batches:
+        for row, w in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            own = np.frombuffer(row.as_buffer(), dtype=np.float64)
+            total = own.copy() if total is None else total + own
+            weight += w
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([weight])], ["sums", "weight"])
+
+
+def mean_parameters(trained: DataFrame, shards: int) -> np.ndarray | None:
+    """The mean of the shards' parameters by their tokens: summed in every task,
+    then over ever fewer tasks; ``SUMS`` sums come to the driver."""
+    sums = trained.mapInArrow(_summed, SUMMED)
+    parts = math.ceil(math.sqrt(shards))
+    while parts > SUMS:
+        sums = sums.repartition(parts).mapInArrow(_summed, SUMMED)
+        parts = math.ceil(parts / SUMS)
+    rows = sums.repartition(SUMS).mapInArrow(_summed, SUMMED).collect()
+    if not rows:
+        return None
+    return sum(np.frombuffer(r["sums"], dtype=np.float64) for r in rows) / sum(r["weight"] for r in rows)
+
+
 def _score_rows(model: dict):
     v, words, counts, vocabulary = model["v"], model["words"], model["counts"], model["vocabulary"]
     base_log, rest_log, n_end = model["base_log"], model["rest_log"], model["n_end"]
@@ -410,12 +455,11 @@ def fit(training: DataFrame, counts: DataFrame, vocabulary: int = VOCABULARY, fr
     flat = pack(initial(weights))
     dealt, rounds = deal(training, n_end, share, rounds)
     for turn in range(rounds):
-        trained = dealt.where(F.col("turn") == turn).select("shard", "text").groupBy("shard").applyInArrow(_train_shard(v, flat, words[:own], c[:own], vocabulary), "at long, value double, weight double")
-        mean = trained.groupBy("at").agg((F.sum("value") / F.sum("weight")).alias("x")).collect()
-        if len(mean) == len(flat):
-            flat = np.empty(len(flat))
-            for r in mean:
-                flat[r["at"]] = r["x"]
+        own_turn = dealt.where(F.col("turn") == turn).select("shard", "text")
+        trained = own_turn.groupBy("shard").applyInArrow(_train_shard(v, flat, words[:own], c[:own], vocabulary), SUMMED)
+        mean = mean_parameters(trained, max(1, n_end // SHARD_DOCS // max(1, rounds)))
+        if mean is not None:  # no document fell into this turn
+            flat = mean
     return {
         "v": v, "flat": flat.astype(np.float32), "words": words, "counts": c, "vocabulary": vocabulary, "n": n, "n_end": n_end,
         "base_log": math.log10(n + kinds + 1), "rest_log": math.log10(n_out + kinds_out + 1),
