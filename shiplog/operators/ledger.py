@@ -53,6 +53,9 @@ SCRIPT_COLUMNS = [
 ]
 
 
+SCRIPT_KEY = ["app_id", "folder", "file"]
+
+
 def script_path(folder: str = "folder", file: str = "file") -> Column:
     return F.concat_ws("/", F.nullif(F.col(folder), F.lit("")), F.col(file))
 
@@ -72,20 +75,33 @@ def merge_increments(scripts: DataFrame, inventory: DataFrame) -> tuple[DataFram
     in execution order. Returns ``(merged ledger, new rows)``; merging the
     same inventory twice adds nothing the second time.
     """
-    keys = ["app_id", "folder", "file"]
-    # an inventory may list a script twice (several listings combined); the
-    # de-duplication shuffles on the join keys, so the anti join reuses it
-    candidates = inventory.select(
-        "app_id", "folder", "file", "package_ts", "package_comment", "script_no", "target_id"
-    ).dropDuplicates(keys)
-    unknown = candidates.join(scripts.select(*keys), keys, "left_anti")
+    last_id = scripts.groupBy("app_id").agg(F.max("id_script").alias("_last_id"))
+    new_rows = new_scripts(candidate_scripts(inventory), scripts, scripts, last_id)
+    merged = scripts.select(*SCRIPT_COLUMNS).unionByName(new_rows)
+    return merged, new_rows
+
+
+def candidate_scripts(inventory: DataFrame) -> DataFrame:
+    """Each script of the inventory once (several listings may be combined)."""
+    columns = ["app_id", "folder", "file", "package_ts", "package_comment", "script_no", "target_id"]
+    return inventory.select(*columns).dropDuplicates(SCRIPT_KEY)
+
+
+def new_scripts(candidates: DataFrame, known: DataFrame, flagged: DataFrame, last_id: DataFrame) -> DataFrame:
+    """The candidates that the ledger does not know, as rows with new ids.
+
+    ``known`` holds every known script that is a candidate, ``flagged`` every
+    finished script in a folder of a candidate (both may hold others),
+    ``last_id(app_id, _last_id)`` each tenant's highest id."""
+    # the de-duplication of the candidates shuffles on the join keys, so the
+    # anti join reuses it
+    unknown = candidates.join(known.select(*SCRIPT_KEY), SCRIPT_KEY, "left_anti")
     # one row per finished package folder (a folder can be hot)
-    finished = stored(scripts.where(F.col("is_finished")).select("app_id", "folder").distinct())
+    finished = stored(flagged.where(F.col("is_finished")).select("app_id", "folder").distinct())
     fresh = unknown.join(finished, ["app_id", "folder"], "left_anti")
     numbered = number_within(fresh.withColumn("path", script_path()), ["app_id"], EXECUTION_ORDER, "_new_no")
-    last_id = scripts.groupBy("app_id").agg(F.max("id_script").alias("_last_id"))
     # one row per tenant (tenant keys are hot)
-    new_rows = numbered.join(stored(last_id), "app_id", "left").select(
+    return numbered.join(stored(last_id), "app_id", "left").select(
         "app_id",
         (F.coalesce(F.col("_last_id"), F.lit(0)) + F.col("_new_no")).alias("id_script"),
         "folder",
@@ -96,8 +112,6 @@ def merge_increments(scripts: DataFrame, inventory: DataFrame) -> tuple[DataFram
         "target_id",
         F.lit(False).alias("is_finished"),
     )
-    merged = scripts.select(*SCRIPT_COLUMNS).unionByName(new_rows)
-    return merged, new_rows
 
 
 # ---------------------------------------------------------------- J3 / W3 / L2 / L3

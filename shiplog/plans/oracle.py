@@ -809,3 +809,14 @@ touched AS (
 SELECT p.*, CAST(t.written AS BIGINT) AS written
 FROM ({_PENDING}) p JOIN touched t ON t.app_id = p.app_id AND t.d = CAST(p.package_ts AS DATE)
 """
+
+ORACLE["tree_listing"] = f"""
+WITH {_INVENTORY}
+SELECT DISTINCT path, CAST(len(string_split(path, '/')) AS BIGINT) AS depth FROM normalised WHERE NOT regexp_matches(path, '^\\.[^/]*/')
+"""
+
+_NEW_OF_LAST_DAYS = _NEW_SCRIPTS.replace("FROM inv i", "FROM (SELECT * FROM inv WHERE day(package_ts) > 20 AND event_id % 6 <> 5) i")
+ORACLE["merge_skipping"] = f"""
+WITH {_LEDGER}{_NEW_OF_LAST_DAYS}
+SELECT * EXCLUDE (is_new), true AS skipped FROM new_rows
+"""

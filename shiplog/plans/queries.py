@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiplog.functions.paths import normalise_path
 from shiplog.functions.predicates import valid_app_id
 from shiplog.functions.text import FIELD_SEP, RECORD_END, enclose, render_text
 from shiplog.operators import catalog as cat_ops
@@ -20,9 +21,9 @@ from shiplog.operators import inventory as inv_ops
 from shiplog.operators import ledger as led
 from shiplog.operators import ordering as ord_ops
 from shiplog.operators.numbering import number_within
-from shiplog.plans import deploy, derived, pending_view
+from shiplog.plans import deploy, derived, merge_skipping, pending_view
 from shiplog.session import TABLES, freeze, read_table, scratch_path
-from shiplog.sources import config_files, enclosed, ledger_store, loader_file
+from shiplog.sources import config_files, enclosed, ledger_store, loader_file, tree
 from shiplog.sources import execution_list as xl
 from shiplog.sources.catalog import value_counts
 
@@ -64,6 +65,15 @@ def inventory_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("tree_listing")
+def tree_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scripts' tree, written by tasks and listed back."""
+    raw = derived.inventory_from_events(read_table(spark, sf_dir, "events"))
+    root = scratch_path(spark, "tree")
+    tree.make_tree(raw.select(normalise_path(F.col("path")).alias("path")), root)
+    return tree.tree_inventory(spark, root).withColumn("depth", F.size(F.split("path", "/")).cast("bigint"))
+
+
 # ---------------------------------------------------------------- ledger
 
 
@@ -78,6 +88,21 @@ def merge_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.unionByName(new_rows.select(*led.SCRIPT_COLUMNS, F.lit(True).alias("is_new")))
 
 
+@register("merge_skipping")
+def merge_skipping_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 with data skipping: a ledger written in four turns (ten days of each
+    month's packages a turn, then the last ten again), and an inventory of the
+    last ten days. ``skipped`` tells that files of the ledger were not read."""
+    inv = freeze(derived.parsed_inventory(spark, sf_dir).withColumn("third", F.least(F.floor((F.dayofmonth("package_ts") - 1) / 10), F.lit(2))), "thirds")
+    known = derived.known_part(inv)
+    root = scratch_path(spark, "ledger")
+    for turn in (known.where("third = 0"), known.where("third = 1"), known.where("third = 2 and event_id % 2 = 0"), known.where("third = 2 and event_id % 2 = 1")):
+        ledger_store.write_ledger(spark, root, {"scripts": derived.scripts_of(turn)})
+    merge_skipping.index(spark, root)
+    new_rows, files = merge_skipping.merge(spark, root, inv.where("third = 2 and event_id % 6 <> 5"))
+    return new_rows.select(*led.SCRIPT_COLUMNS, F.lit(files["read"] < files["all"] or files["all"] == 0).alias("skipped"))
+
+
 @register("pending_in_order")
 def pending_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + W3: pending scripts numbered for each tenant's next run."""
@@ -319,11 +344,12 @@ def enclosed_roundtrip_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tenant_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw script paths of tenants; every fifth under a customer's name, which
-    is no valid tenant id."""
+    """Raw script paths of tenants; every fifth under the name of one of the
+    customers, which is no valid tenant id."""
     raw = derived.inventory_from_events(read_table(spark, sf_dir, "events"))
-    names = read_table(spark, sf_dir, "customer").select("c_name", (F.col("c_custkey") - 1).alias("k")).where("k < 10")
-    named = raw.join(names, F.col("event_id") % 10 == F.col("k"), "left")
+    customers = read_table(spark, sf_dir, "customer")
+    names = customers.select("c_name", (F.col("c_custkey") - 1).alias("k"))
+    named = raw.join(names, F.col("event_id") % max(1, customers.count()) == F.col("k"), "left")
     app = F.concat(F.lit("app"), (F.col("event_id") % 2).cast("string"))
     return named.select(F.when(F.col("event_id") % 5 == 0, F.coalesce("c_name", F.lit("9#"))).otherwise(app).alias("app_id"), "path")
 

@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +81,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 _SCOPES: list[list[str]] = []
 
 
+def mounted_path(path: str) -> str | None:
+    """The path on the mounted file system, None for a URI of another store."""
+    parts = urlparse(path)
+    if not parts.scheme:
+        return path
+    return unquote(parts.path) if parts.scheme == "file" else None
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique location below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

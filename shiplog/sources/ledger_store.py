@@ -166,6 +166,12 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return done[-1] if done else None
 
 
+def transactions(spark: SparkSession, root: str) -> list[str]:
+    """The transactions that make up the current state, oldest first."""
+    log = _since_base(spark, root, committed_versions(spark, root))
+    return [log[v]["txn"] for v in sorted(log)]
+
+
 def _table(spark: SparkSession, root: str, table: str, log: dict[int, dict]) -> DataFrame:
     """The rows that the versions of ``log`` wrote, with their version ``v``."""
     empty = spark.createDataFrame([], DDL[table]).withColumn("v", F.lit(None).cast("int"))

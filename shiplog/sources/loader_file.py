@@ -16,7 +16,6 @@ import os
 import uuid
 from collections.abc import Sequence
 from itertools import accumulate
-from urllib.parse import unquote, urlparse
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiplog.operators.catalog import columns_of, loader_spec
-from shiplog.session import freeze, scratch_path
+from shiplog.session import freeze, mounted_path, scratch_path
 from shiplog.sources.catalog import column_catalog
 from shiplog.sources.enclosed import _sides, _staged_records, export_columns, export_enclosed
 from shiplog.sources.records import numbered, read_records
@@ -33,14 +32,6 @@ SLICE_BYTES = 128 << 20
 COPY_BYTES = 4 << 20
 
 
-def _mounted(path: str) -> str | None:
-    """The path on the mounted file system, None for another store."""
-    parts = urlparse(path)
-    if not parts.scheme:
-        return path
-    return unquote(parts.path) if parts.scheme == "file" else None
-
-
 def _parts(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     """(path, bytes) of the part files in row order: one entry per file."""
     jvm = spark.sparkContext._jvm
@@ -79,7 +70,7 @@ def concatenate(spark: SparkSession, head: bytes, folder: str, path: str) -> int
     its size in bytes."""
     parts = [(p, n) for p, n in _parts(spark, folder) if n]
     places = list(accumulate((n for _, n in parts), initial=len(head)))
-    target = _mounted(path)
+    target = mounted_path(path)
     if target is None:
         return _concatenate_in_store(spark, head, [p for p, _ in parts], path, places[-1])
     os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
@@ -88,7 +79,7 @@ def concatenate(spark: SparkSession, head: bytes, folder: str, path: str) -> int
         f.write(head)
         f.truncate(places[-1])
     slices = [
-        (_mounted(p), lo, at + lo, min(SLICE_BYTES, n - lo)) for (p, n), at in zip(parts, places, strict=False) for lo in range(0, n, SLICE_BYTES)
+        (mounted_path(p), lo, at + lo, min(SLICE_BYTES, n - lo)) for (p, n), at in zip(parts, places, strict=False) for lo in range(0, n, SLICE_BYTES)
     ]
     if slices:
         plan = spark.createDataFrame(slices, "source string, lo long, at long, n long").repartition(len(slices))

@@ -122,3 +122,17 @@ def test_tree_with_a_hot_folder(spark, tmp_path):
     (tmp_path / "link").symlink_to(tmp_path / "hot")
     got = [r["path"] for r in tree_inventory(spark, str(tmp_path), parallelism=4).collect()]
     assert len(got) == len(set(got)) and set(got) == want | {"top.txt"}
+
+
+def test_tree_made_by_tasks_and_listed_by_uri(spark, tmp_path, monkeypatch):
+    """The listing of another store's kind finds what the mounted one finds."""
+    from shiplog.sources import tree
+
+    paths = [f"d{i % 7}/s{i % 3}/_{i};t.sql" for i in range(200)] + [".git/x.sql", "top;1.sql", "a b/é%20.sql"]
+    df = spark.createDataFrame([(p,) for p in paths * 2], "path string")
+    root = f"file://{tmp_path}/tree"
+    assert tree.make_tree(df, root) == 2 * len(paths)
+    want = sorted(set(paths) - {".git/x.sql"})
+    assert sorted(r["path"] for r in tree.tree_inventory(spark, root).collect()) == want
+    monkeypatch.setattr(tree, "mounted_path", lambda _: None)
+    assert sorted(r["path"] for r in tree.tree_inventory(spark, root).collect()) == want
