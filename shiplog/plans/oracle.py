@@ -224,6 +224,9 @@ SELECT app_id, id_run, id_script_execution, num_order, rc,
 FROM halted
 """
 
+# the same executions and codes, whatever the order the reports come in
+ORACLE["outcome_feed"] = ORACLE["run_outcome_halt"]
+
 # ---------------------------------------------------------------- B2 config
 _CONFIG = r"""
 nat AS (

@@ -25,7 +25,8 @@ from shiplog.plans import deploy, derived, merge_skipping, pending_view
 from shiplog.session import TABLES, freeze, read_table, scratch_path
 from shiplog.sources import config_files, enclosed, ledger_store, loader_file, tree
 from shiplog.sources import execution_list as xl
-from shiplog.sources.catalog import value_counts
+from shiplog.sources.catalog import footer_value_counts
+from shiplog.streaming import outcome_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,6 +131,26 @@ def run_outcome_halt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("app_id", "id_run", "id_script_execution", "num_order", "rc", "status")
 
 
+@register("outcome_feed")
+def outcome_feed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 + L4 on a live feed: the reports in three drops, each failure first
+    reported as a success by a retry, every code withdrawn and given again late."""
+    lg = derived.ledger_from_events(spark, sf_dir)
+    execs = lg["executions"].withColumn("rc", F.lit(None).cast("bigint"))
+    codes = lg["returns"].join(lg["executions"].select("app_id", "id_run", "id_script_execution", "num_order"), ["app_id", "id_script_execution"])
+    opposite = F.when(F.col("rc") > 0, F.lit(0)).otherwise(F.lit(7)).cast("bigint")
+    drops = [(opposite, 2), (F.col("rc"), 3), (opposite, 1)]  # code, minute of the report: the last drop comes late
+    root = scratch_path(spark, "feed")
+    for code, minute in drops:
+        at = F.lit(f"2024-01-01 00:0{minute}:00").cast("timestamp_ntz")
+        sent = codes.withColumn("rc", code).withColumn("reported_at", at)
+        sent.unionByName(sent.where("num_order % 3 = 0")).write.mode("append").parquet(f"{root}/in")
+        feed = outcome_feed.start_outcome_feed(spark, f"{root}/in", f"{root}/out", f"{root}/state", available_now=True)
+        feed.awaitTermination()
+    done = outcome_feed.live_status(execs, spark.read.parquet(f"{root}/out"))
+    return done.select("app_id", "id_run", "id_script_execution", "num_order", "rc", "status")
+
+
 @register("run_classify")
 def run_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 + P19 + P20 + L5: real / fake split and technology per execution."""
@@ -219,9 +240,9 @@ def precedence_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("visible_columns")
 def visible_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 + P10 + P11 (+ O3 via column_id), with each column's values."""
+    """S4 + P10 + P11 (+ O3 via column_id), with each column's values from the file footers."""
     cat = cat_ops.visible_columns(derived.catalog_fixture(spark, sf_dir))
-    counts = value_counts({t: read_table(spark, sf_dir, t) for t in TABLES})
+    counts = footer_value_counts(spark, {t: f"{sf_dir}/{t}.parquet" for t in TABLES})
     return cat.join(counts, ["table_name", "column_name"]).select("table_name", "column_name", "column_id", "data_type", "n_values")
 
 

@@ -89,6 +89,65 @@ def value_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _per_column(tables, F.count, lambda f: True, "n_values")
 
 
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` in which counts come from Parquet footers
+    (settings of the given session stay as they are)."""
+    beside = spark.newSession()
+    beside.conf.set("spark.sql.sources.useV1SourceList", "")
+    beside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return beside
+
+
+def _flat(dt: T.DataType) -> bool:
+    return not isinstance(dt, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+
+
+def _one_leaf(dt: T.DataType) -> bool:
+    return _flat(dt) or (isinstance(dt, T.ArrayType) and _one_leaf(dt.elementType))
+
+
+def footer_plan(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """(table_name, column_name, n_values) of the flat columns of Parquet
+    tables, summed from row counts and null counts in the files' footers."""
+    beside = _footer_session(spark)
+    tables = {}
+    for table, path in paths.items():
+        df = beside.read.option("recursiveFileLookup", "true").parquet(path)  # without partition columns
+        # footers count by leaf: a column behind a struct or a map is not at its own place
+        names = []
+        for f in df.schema.fields:
+            if not _one_leaf(f.dataType):
+                break
+            if _flat(f.dataType):
+                names.append(f.name)
+        tables[table] = df.select(*[F.col(f"`{c}`") for c in names])
+    return value_counts(tables)
+
+
+def footer_value_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Values that are not null in every column of Parquet tables.
+
+    Flat columns take part without a column being read: tasks read footers and
+    Spark sums their row counts less their null counts. Footers say nothing of
+    nulls of an array, a map or a struct as a whole, so these columns (and
+    columns behind a map or struct, and partition columns) are counted by a scan
+    of themselves alone. A file without null counts in its footer fails the job: count
+    such tables by :func:`value_counts`. The result is metadata, a row per column.
+    """
+    if not paths:
+        return spark.createDataFrame([], "table_name string, column_name string, n_values bigint")
+    # a table without any row group sums to no value, which is read as null or -1
+    footers = [(t, c, max(n or 0, 0)) for t, c, n in footer_plan(spark, paths).collect()]
+    known = {(t, c) for t, c, _ in footers}
+    rest = {}
+    for table, path in paths.items():
+        df = spark.read.parquet(path)
+        left = [c for c in df.columns if (table.upper(), c.upper()) not in known]
+        rest[table] = df.select(*[F.col(f"`{c}`") for c in left])
+    out = spark.createDataFrame(footers, "table_name string, column_name string, n_values bigint")
+    return out.unionByName(value_counts({t: df for t, df in rest.items() if df.columns} or {"": spark.range(0).select()}))
+
+
 def column_catalog(
     spark: SparkSession, tables: Mapping[str, DataFrame], measure_lengths: bool = False
 ) -> DataFrame:
