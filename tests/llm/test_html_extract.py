@@ -49,6 +49,57 @@ def test_nothing_but_side_text_is_dropped(paragraphs):
     assert H.extract(f"<body>{NAV}<div>{halves}</div></body>") == f"{text} Part two {second}"
 
 
+@pytest.mark.parametrize(
+    "inner",
+    [
+        "<p>As <math><mi>x</mi></math> says.</p>",
+        "<p>A <label>labelled</label> word.</p>",
+        '<div class="share-price"><p>The price rose, and rose, and then it fell; nobody knew why.</p></div>',
+        '<p class="tags">Of tags, of labels and of names, one may say a number of things at some length.</p>',
+        'Some <span class="hidden-gem">hidden gem</span> is here.',
+        'One <span class="search-term">term of search</span> is here.',
+        '<div class="reviews"><p>This is what the papers said, at length, and in their own words; it goes on, and on.</p></div>',
+    ],
+)
+def test_names_do_not_overrule_high_ratios(inner):
+    said = re.sub(r"<[^>]+>", "", inner)
+    assert H.extract(f"<body>{NAV}<article>{BODY}{inner}</article></body>") == f"{TEXT} {said}"
+
+
+def test_weak_names_of_low_ratio_are_dropped():
+    links = "".join(f"<a href='/{i}'>Tag {i}</a> " for i in range(5))
+    for inner in (f"<p class='tags'>{links}</p>", f"<div class='share'>{links}</div>", "<div class='share-buttons'>Share it, please, with all.</div>"):
+        assert H.extract(f"<body>{NAV}<article>{BODY}{inner}</article></body>") == TEXT
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<b>" * 5000 + "deep words, here", "deep words, here"),
+        ("<b>x " * 50000, None),
+        ('<a "' * 250000, None),
+        ('<a "' * 250000 + ">", None),
+        ("<a " * 250000 + '">"', None),
+        ("<script>" + "</script" * 60000, ""),
+        ("<!x" * 300000, None),
+        ("<div>" * 20000 + "<p>a" * 20000 + "</b>" * 20000, None),
+        ("<p>a &#" + "9" * 5000 + "; b &#x" + "0" * 5000 + "41; c</p>", "a \ufffd b A c"),
+    ],
+)
+def test_broken_pages_take_linear_time(page, text):
+    import time
+
+    start = time.monotonic()
+    got = H.extract(page)
+    assert time.monotonic() - start < 10
+    assert text is None or got == text
+
+
+def test_unclosed_quote_is_text():
+    assert H.extract('<p>one <a "two</p>') == 'one <a "two'
+    assert H.extract("<p>it's < 3, and <b title='x>y'>four</b></p>") == "it's < 3, and four"
+
+
 def test_text_rules():
     page = "<article><h1>A&amp;B&nbsp;&#8212; x</h1><p>one\n\n two<b>three</b> <br>four<p>five <i>six</i>, seven. And eight, and nine.</article>"
     assert H.extract(page) == "A&B — x one twothree four five six, seven. And eight, and nine."
