@@ -15,9 +15,9 @@ summed lambda S - ln K of its significant segments; a logistic curve fitted to
 the labels turns them into a probability.
 
 Bounds: the model is fitted on ``max_labelled`` labelled documents or all, if
-fewer (smallest id hashes, so about as many), and keeps at most ``max_words`` weights (largest
-standardised difference); both are parameters. Scoring covers every word of
-every document.
+fewer (smallest id hashes, so about as many), a parameter. Every significant
+weight is kept; they are words of toxic documents of that sample alone. Scoring
+covers every word of every document.
 
 Defined results: null and empty texts have no segment and get the curve's
 value for no evidence; null labels are not learnt from; with no label of one
@@ -39,7 +39,6 @@ from pyspark.sql import functions as F
 from shiplog.llm.common import checked, crc_remainder, freeze, pieces
 
 MAX_LABELLED = 20_000
-MAX_WORDS = 20_000
 MIN_Z = 4.0
 MIN_WEIGHT = 1.0
 OPENINGS = (6, 5, 4)
@@ -212,7 +211,7 @@ def labelled_part(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
     return freeze(texts, "labelled_texts")
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_labelled: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_labelled: int = MAX_LABELLED) -> dict:
     """The model: word weights, Karlin-Altschul parameters, logistic curve."""
     part = labelled_part(docs, labels, doc_id, text, label, max_labelled)
     counts = part.mapInArrow(_counts, "word string, toxic int, n long")
@@ -238,7 +237,6 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         table.select("word", "c", delta.alias("weight"), (delta / error).alias("z"))
         .where((F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_WEIGHT))
         .orderBy(F.col("z").desc(), "word")
-        .limit(max_words)
         .collect()
     )
     if not kept:
