@@ -185,7 +185,8 @@ def _table(spark: SparkSession, root: str, table: str, log: dict[int, dict]) ->
     reader = spark.read.schema(f"{DDL[table]}, v string").option("basePath", f"{root}/{table}")
     df = reader.parquet(*[f"{root}/{table}/v={t}" for t in of]).withColumnRenamed("v", "_txn")
     numbers = spark.createDataFrame(list(of.items()), "_txn string, v int")  # a row per version
-    return df.join(numbers, "_txn").select(*_columns(table), "v")
+    # broadcast: a shuffle by transaction would put all rows of a version into one task
+    return df.join(F.broadcast(numbers), "_txn").select(*_columns(table), "v")
 
 
 def read_ledger(
@@ -206,9 +207,10 @@ def read_ledger(
         elif app_id is not None:
             df = df.where(F.col("app_id").isin(list(app_id)))
         if t in KEYS:
-            # newest row per key: max_by over the version number
+            # newest row per key: max_by over the version number. Dealt by key first, so
+            # that a task sorts one shuffle partition, not whatever a scan split holds
             value_cols = [c for c in _columns(t) if c not in KEYS[t]]
-            latest = df.groupBy(*KEYS[t]).agg(F.max_by(F.struct(*value_cols), F.col("v")).alias("_s"))
+            latest = df.repartition(*KEYS[t]).groupBy(*KEYS[t]).agg(F.max_by(F.struct(*value_cols), F.col("v")).alias("_s"))
             df = latest.select(*KEYS[t], "_s.*")
         out[t] = df.select(*_columns(t))
     return out
@@ -308,7 +310,7 @@ def changed_rows(spark: SparkSession, root: str, table: str, since: int, until:
     rows = _table(spark, root, table, _written(spark, root, since, until))
     key = ROW_KEYS[table]
     values = [c for c in _columns(table) if c not in key]
-    newest = rows.groupBy(*key).agg(F.max("v").alias("v"), F.max_by(F.struct(*values), F.col("v")).alias("_s"))
+    newest = rows.repartition(*key).groupBy(*key).agg(F.max("v").alias("v"), F.max_by(F.struct(*values), F.col("v")).alias("_s"))
     return newest.select(*key, "_s.*", "v").select(*_columns(table), "v")
 
 

@@ -157,3 +157,14 @@ def test_repeated_reports(spark):
     started = spark.createDataFrame([("a", 1, "2024-01-01"), ("a", 1, "2024-01-05")], "app_id string, id_script_execution long, s string")
     marked = led.mark_started(execs, started.select("app_id", "id_script_execution", F.col("s").cast("timestamp_ntz").alias("started_at")))
     assert marked.count() == 4 and str(marked.where("id_script_execution = 1").first()["started_at"]) == "2024-01-05 00:00:00"
+
+
+def test_a_version_is_not_read_into_one_task(spark, tmp_path):
+    """Rows are not dealt by transaction: a version's rows stay spread."""
+    root = str(tmp_path / "led")
+    store.write_ledger(spark, root, {"executions": _execs(spark, "a", {i: None for i in range(50)})})
+    store.write_ledger(spark, root, {"executions": _execs(spark, "a", {i: 0 for i in range(0, 50, 2)})})
+    for df in (store.read_ledger(spark, root)["executions"], store.changed_rows(spark, root, "executions", 0)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_txn" not in plan and "hashpartitioning(app_id" in plan
+        assert sum(r["rc"] is None for r in df.collect()) == 25
