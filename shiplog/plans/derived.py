@@ -56,6 +56,13 @@ def inventory_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' columns that an inventory needs, dealt over all tasks: the
+    table may be few row groups, and its paths cost far more than its reading."""
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return events.repartition(2 * spark.sparkContext.defaultParallelism, "event_id", "ts")
+
+
 def valid_inventory(events: DataFrame) -> DataFrame:
     """``inv``: valid parsed scripts plus a tenant ``app_id``."""
     good, _ = scan(inventory_from_events(events))
@@ -81,7 +88,7 @@ def _scripts(inv: DataFrame) -> DataFrame:
 
 def parsed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``inv``, parsed once and stored: ledger jobs read it several times."""
-    return freeze(valid_inventory(read_table(spark, sf_dir, "events")), "inventory")
+    return freeze(valid_inventory(spread_events(spark, sf_dir)), "inventory")
 
 
 def known_part(inv: DataFrame) -> DataFrame:

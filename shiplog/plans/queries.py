@@ -69,7 +69,7 @@ def inventory_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("tree_listing")
 def tree_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scripts' tree, written by tasks and listed back."""
-    raw = derived.inventory_from_events(read_table(spark, sf_dir, "events"))
+    raw = derived.inventory_from_events(derived.spread_events(spark, sf_dir))
     root = scratch_path(spark, "tree")
     tree.make_tree(raw.select(normalise_path(F.col("path")).alias("path")), root)
     return tree.tree_inventory(spark, root).withColumn("depth", F.size(F.split("path", "/")).cast("bigint"))
@@ -137,7 +137,7 @@ def outcome_feed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     reported as a success by a retry, every code withdrawn and given again late."""
     lg = derived.ledger_from_events(spark, sf_dir)
     execs = lg["executions"].withColumn("rc", F.lit(None).cast("bigint"))
-    codes = lg["returns"].join(lg["executions"].select("app_id", "id_run", "id_script_execution", "num_order"), ["app_id", "id_script_execution"])
+    codes = freeze(lg["returns"].join(lg["executions"].select("app_id", "id_run", "id_script_execution", "num_order"), ["app_id", "id_script_execution"]), "codes")
     opposite = F.when(F.col("rc") > 0, F.lit(0)).otherwise(F.lit(7)).cast("bigint")
     drops = [(opposite, 2), (F.col("rc"), 3), (opposite, 1)]  # code, minute of the report: the last drop comes late
     root = scratch_path(spark, "feed")

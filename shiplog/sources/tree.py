@@ -81,14 +81,19 @@ def tree_inventory(spark: SparkSession, root: str, parallelism: int | None = Non
             return files
 
 
-def _maker(root: str):
+def _maker(root: str, known_folders: int = 100_000):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made: set[str] = set()  # a folder is made once a task, not once a file
         for b in batches:
             for path in b["path"]:
                 target = os.path.join(root, path)
-                os.makedirs(os.path.dirname(target), exist_ok=True)
-                with open(target, "a"):
-                    pass
+                folder = os.path.dirname(target)
+                if folder not in made:
+                    os.makedirs(folder, exist_ok=True)
+                    if len(made) >= known_folders:
+                        made.clear()
+                    made.add(folder)
+                os.close(os.open(target, os.O_CREAT | os.O_WRONLY, 0o666))
             yield pd.DataFrame({"n": [len(b)]})
 
     return run

@@ -136,3 +136,28 @@ def test_tree_made_by_tasks_and_listed_by_uri(spark, tmp_path, monkeypatch):
     assert sorted(r["path"] for r in tree.tree_inventory(spark, root).collect()) == want
     monkeypatch.setattr(tree, "mounted_path", lambda _: None)
     assert sorted(r["path"] for r in tree.tree_inventory(spark, root).collect()) == want
+
+
+def test_tree_folders_are_made_once_a_task(spark, tmp_path, monkeypatch):
+    import os
+
+    import pandas as pd
+
+    from shiplog.sources import tree
+
+    made = []
+    monkeypatch.setattr(tree.os, "makedirs", lambda path, exist_ok: (made.append(path), os.mkdir(path)))
+    batch = pd.DataFrame({"path": [f"a/{i}" for i in range(50)] + ["b/x", "a/y", "b/x"]})
+    assert [out["n"][0] for out in tree._maker(str(tmp_path))(iter([batch, batch]))] == [53, 53]
+    assert len(made) == 2 and len(os.listdir(tmp_path / "a")) == 51
+
+
+def test_events_are_dealt_over_the_tasks(spark, tmp_path):
+    """A table of one row group is parsed by all tasks."""
+    from shiplog.plans import derived
+
+    rows = spark.range(400).selectExpr("id event_id", "timestamp_ntz '2024-01-02 03:04:05' + make_dt_interval(0, 0, 0, id) ts", "id % 7 user_id", "'click' event_type")
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    dealt = derived.spread_events(spark, str(tmp_path))
+    sizes = dealt.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == 400 and sum(n > 0 for n in sizes) >= min(4, spark.sparkContext.defaultParallelism)
