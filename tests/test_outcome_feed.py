@@ -66,3 +66,36 @@ def test_same_as_the_batch_outcomes(spark, drop):
     want = led.halt_status(led.apply_outcomes(execs, reports))
     cols = ["app_id", "id_run", "id_script_execution", "num_order", "rc", "status"]
     assert rows(feed.live_status(execs, out), *cols) == rows(want, *cols)
+
+
+def test_state_is_read_a_block_at_a_time(monkeypatch):
+    """Reports of neighbouring executions take one read and one write of state."""
+    import pandas as pd
+
+    calls = []
+
+    class State(dict):
+        exists = lambda self: bool(self)
+        get = lambda self: self["row"]
+        update = lambda self, row: self.__setitem__("row", row)
+        containsKey = dict.__contains__
+
+        def getValue(self, key):
+            calls.append("read")
+            return self[key]
+
+        def updateValue(self, key, value):
+            calls.append("write")
+            self[key] = value
+
+    shard = feed.LastReports()
+    shard.last, shard.shard = State(), State()
+
+    def send(code, minute):
+        ids = list(range(1000, 3000))
+        given = pd.DataFrame({"id_script_execution": ids, "num_order": ids, "rc": [code] * 2000, "at": [minute] * 2000})
+        return sum(len(out) for out in shard.handleInputRows(("a", 1, 0), iter([given[:700], given[700:]]), None))
+
+    assert send(0, 1) == 2000 and send(5, 2) == 2001 and send(0, 1) == 0 and send(0, 3) == 2001
+    assert len(calls) <= 2 * 4 * (2000 // feed.BLOCK + 2)
+    assert shard.shard["row"] == (3, None)
