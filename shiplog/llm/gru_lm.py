@@ -99,6 +99,15 @@ def pack(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([x.ravel() for x in p.values()])
 
 
+def _views(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The parts of a parameter vector, shaped as in ``like``."""
+    out, at = {}, 0
+    for k, x in like.items():
+        out[k] = flat[at : at + x.size].reshape(x.shape)
+        at += x.size
+    return out
+
+
 def unpack(flat: np.ndarray, v: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for k, s in shapes(v).items():
@@ -108,19 +117,32 @@ def unpack(flat: np.ndarray, v: int) -> dict[str, np.ndarray]:
     return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _gates(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The inputs of some steps, (steps, 3 * HIDDEN, rows): a gate's values lie
+    side by side, so that every step works on unbroken memory."""
+    return np.ascontiguousarray(np.take(table, ids, axis=0).transpose(0, 2, 1))
+
+
+def _advance(g: np.ndarray, ut: np.ndarray, h: np.ndarray):
+    """One step of the layer, a column per row: (new state, z and r, candidate, h times u)."""
+    hu = ut @ h
+    zr = g[: 2 * HIDDEN] + hu[: 2 * HIDDEN]
+    np.negative(zr, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
+    n = zr[HIDDEN:] * hu[2 * HIDDEN :]
+    n += g[2 * HIDDEN :]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= zr[:HIDDEN]
+    new += n
+    return new, zr, n, hu
 
 
 def _step(table: np.ndarray, u: np.ndarray, x: np.ndarray, h: np.ndarray):
-    """One step of the layer: (new state, z, r, candidate, h times u)."""
-    g = table[x]
-    hu = h @ u
-    g[:, : 2 * HIDDEN] += hu[:, : 2 * HIDDEN]
-    zr = _sigmoid(g[:, : 2 * HIDDEN])
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(g[:, 2 * HIDDEN :] + r * hu[:, 2 * HIDDEN :])
-    return n + z * (h - n), z, r, n, hu
+    """One step with a row per token: (new state, z and r, candidate, h times u)."""
+    return tuple(v.T for v in _advance(_gates(table, x[None])[0], u.T, h.T))
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -128,9 +150,19 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(axis=1, keepdims=True))
-    e /= (e @ np.ones(x.shape[1], dtype=x.dtype))[:, None]
+def _softmax_gradient(x: np.ndarray, target: np.ndarray, scale: np.float32) -> np.ndarray:
+    """``scale`` times (softmax of each row less one at its target); ``x`` is
+    used up. One shift serves all rows, as in ``_at``."""
+    x -= x.max()
+    ones = np.ones(x.shape[1], dtype=x.dtype)
+    e = np.exp(x)
+    total = e @ ones
+    if total.min() < 1e-30:
+        x -= x.max(axis=1, keepdims=True)
+        e = np.exp(x)
+        total = e @ ones
+    e *= (scale / total)[:, None]
+    e[np.arange(len(e)), target] -= scale
     return e
 
 
@@ -146,27 +178,38 @@ def _at(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     a row lies so low that its sum would vanish."""
     row = np.arange(len(x))
     top = x.max()
-    e = np.exp(x - top)
-    total = e @ np.ones(x.shape[1], dtype=x.dtype)
+    e = x - top
+    own = e[row, target]
+    total = np.exp(e, out=e) @ np.ones(x.shape[1], dtype=x.dtype)
     if total.min() < 1e-30:
         return _log_softmax(x)[row, target]
-    return x[row, target] - top - np.log(total)
+    return own - np.log(total)
 
 
 def _by_class(target: np.ndarray, size: int):
+    """Class of each target, the order of the targets by class, and (class,
+    first, end) of each class in that order."""
     kind = target // size
-    order = np.argsort(kind, kind="stable")
+    order = np.argsort(kind.astype(np.int16), kind="stable")
     edges = np.flatnonzero(np.diff(kind[order], prepend=-1))
-    return kind, [(int(kind[order[a]]), order[a:b]) for a, b in zip(edges, [*edges[1:], len(order)], strict=True)]
+    return kind, order, list(zip(kind[order[edges]].tolist(), edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True))
+
+
+def _in_class(p: dict[str, np.ndarray], h: np.ndarray, groups: list[tuple[int, int, int]]) -> np.ndarray:
+    """The inner activations of the states ``h``, sorted by class."""
+    x = np.empty((len(h), p["word_b"].shape[1]), dtype=np.float32)
+    for c, a, b in groups:
+        np.matmul(h[a:b], p["word_w"][c], out=x[a:b])
+        x[a:b] += p["word_b"][c]
+    return x
 
 
 def log_prob(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target after its state."""
     size = p["word_b"].shape[1]
-    kind, groups = _by_class(target, size)
+    kind, order, groups = _by_class(target, size)
     out = _at(h @ p["class_w"] + p["class_b"], kind)
-    for c, rows in groups:
-        out[rows] += _at(h[rows] @ p["word_w"][c] + p["word_b"][c], target[rows] - c * size)
+    out[order] += _at(_in_class(p, h[order], groups), (target - kind * size)[order])
     return out
 
 
@@ -174,7 +217,7 @@ def score_texts(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
     """Log-probability of every text (ids ending with END), state carried over
     the whole text."""
     total = np.zeros(len(texts))
-    table = p["embed"] @ p["w"] + p["b"]
+    table, ut = p["embed"] @ p["w"] + p["b"], np.ascontiguousarray(p["u"].T)
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     at = 0
     while at < len(order):
@@ -187,19 +230,21 @@ def score_texts(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
         for k, i in enumerate(own):
             ids[1 : lengths[k] + 1, k] = texts[i]
         active = np.searchsorted(-lengths, -np.arange(longest), side="left")
-        h = np.zeros((len(own), HIDDEN), dtype=np.float32)
+        h = np.zeros((HIDDEN, len(own)), dtype=np.float32)
         sums = np.zeros(len(own))
         states, targets, who = [], [], []
         held = 0
         for t in range(longest):
             a = int(active[t])
-            h = _step(table, p["u"], ids[t, :a], h[:a])[0]
+            if t % WINDOW == 0:
+                gates = _gates(table, ids[t : min(t + WINDOW, longest), :a])
+            h = _advance(gates[t % WINDOW, :, :a], ut, h[:, :a])[0]
             states.append(h)
             targets.append(ids[t + 1, :a])
             who.append(np.arange(a))
             held += a
             if held >= 16_384 or t == longest - 1:
-                lp = log_prob(p, np.concatenate(states), np.concatenate(targets))
+                lp = log_prob(p, np.ascontiguousarray(np.concatenate(states, axis=1).T), np.concatenate(targets))
                 sums += np.bincount(np.concatenate(who), weights=lp, minlength=len(own))
                 states, targets, who, held = [], [], [], 0
         total[own] = sums
@@ -216,59 +261,74 @@ def train(p: dict[str, np.ndarray], stream: np.ndarray, rate: float = RATE, stre
         return p
     x_all = stream[: rows * length].reshape(rows, length).T
     y_all = stream[1 : rows * length + 1].reshape(rows, length).T
-    p = {k: v.copy() for k, v in p.items()}
-    m1 = {k: np.zeros_like(v) for k, v in p.items()}
-    m2 = {k: np.zeros_like(v) for k, v in p.items()}
+    flat = pack(p)
+    p, m1, m2, grad, room = _views(flat, p), np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat), np.empty_like(flat)
+    g = _views(grad, p)
     size = p["word_b"].shape[1]
-    h, step, H = np.zeros((rows, HIDDEN), dtype=np.float32), 0, HIDDEN
+    h, step, H = np.zeros((HIDDEN, rows), dtype=np.float32), 0, HIDDEN
     for t0 in range(0, length, window):
         x, y = x_all[t0 : t0 + window], y_all[t0 : t0 + window]
-        table = p["embed"] @ p["w"] + p["b"]
-        trace, states = [], []
-        for t in range(len(x)):
-            before = h * (x[t] != END)[:, None]
-            h, z, r, n, hu = _step(table, p["u"], x[t], before)
-            trace.append((before, z, r, n, hu))
-            states.append(h)
-        hs, target = np.concatenate(states), y.ravel()
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        kind, groups = _by_class(target, size)
+        n_steps, going = len(x), (x != END).astype(np.float32)
+        gates, ut = _gates(p["embed"] @ p["w"] + p["b"], x), np.ascontiguousarray(p["u"].T)
+        before, states = np.empty((n_steps, H, rows), dtype=np.float32), np.empty((n_steps, H, rows), dtype=np.float32)
+        zr, n, hn = np.empty((n_steps, 2 * H, rows), dtype=np.float32), np.empty_like(before), np.empty_like(before)
+        for t in range(n_steps):
+            np.multiply(h, going[t], out=before[t])
+            h, zr[t], n[t], hu = _advance(gates[t], ut, before[t])
+            states[t], hn[t] = h, hu[2 * H :]
+        z, r = zr[:, :H], zr[:, H:]
+        hs, target = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, H), y.ravel()
+        grad[:] = 0
+        kind, order, groups = _by_class(target, size)
         scale = np.float32(1 / len(target))
-        d = _softmax(hs @ p["class_w"] + p["class_b"])
-        d[np.arange(len(d)), kind] -= 1
-        d *= scale
-        g["class_w"], g["class_b"] = hs.T @ d, d.sum(axis=0)
+        d = _softmax_gradient(hs @ p["class_w"] + p["class_b"], kind, scale)
+        g["class_w"][:], g["class_b"][:] = hs.T @ d, np.ones(len(d), dtype=np.float32) @ d
         dh_all = d @ p["class_w"].T
-        for c, own in groups:
-            d = _softmax(hs[own] @ p["word_w"][c] + p["word_b"][c])
-            d[np.arange(len(own)), target[own] - c * size] -= 1
-            d *= scale
-            g["word_w"][c], g["word_b"][c] = hs[own].T @ d, d.sum(axis=0)
-            dh_all[own] += d @ p["word_w"][c].T
-        dh_all = dh_all.reshape(len(x), rows, H)
-        d_in = np.empty((len(x), rows, 3 * H), dtype=np.float32)
+        hs = hs[order]
+        d = _softmax_gradient(_in_class(p, hs, groups), (target - kind * size)[order], scale)
+        dh_words = np.empty_like(hs)
+        for c, a, b in groups:
+            np.matmul(hs[a:b].T, d[a:b], out=g["word_w"][c])
+            np.sum(d[a:b], axis=0, out=g["word_b"][c])
+            np.matmul(d[a:b], p["word_w"][c].T, out=dh_words[a:b])
+        dh_all[order] += dh_words
+        dh_all = np.ascontiguousarray(dh_all.reshape(n_steps, rows, H).transpose(0, 2, 1))
+        # the factors of dh in the gradients of the three gates, for all steps
+        by_z, by_n, by_r = (before - n) * z * (1 - z), (1 - z) * (1 - n * n), hn * r * (1 - r)
+        d_in, d_hu = np.empty((n_steps, 3 * H, rows), dtype=np.float32), np.empty((n_steps, 3 * H, rows), dtype=np.float32)
         dh = np.zeros_like(h)
-        for t in range(len(x) - 1, -1, -1):
-            before, z, r, n, hu = trace[t]
-            dh = dh + dh_all[t]
-            dz, dn = dh * (before - n) * z * (1 - z), dh * (1 - z) * (1 - n * n)
-            dr = dn * hu[:, 2 * H :] * r * (1 - r)
-            d_in[t, :, :H], d_in[t, :, H : 2 * H], d_in[t, :, 2 * H :] = dz, dr, dn
-            d_hu = np.concatenate([dz, dr, dn * r], axis=1)
-            g["u"] += before.T @ d_hu
-            dh = (dh * z + d_hu @ p["u"].T) * (x[t] != END)[:, None]
+        for t in range(n_steps - 1, -1, -1):
+            dh += dh_all[t]
+            own = d_in[t]
+            np.multiply(dh, by_z[t], out=own[:H])
+            np.multiply(dh, by_n[t], out=own[2 * H :])
+            np.multiply(own[2 * H :], by_r[t], out=own[H : 2 * H])
+            d_hu[t, : 2 * H] = own[: 2 * H]
+            np.multiply(own[2 * H :], r[t], out=d_hu[t, 2 * H :])
+            dh *= z[t]
+            dh += p["u"] @ d_hu[t]
+            dh *= going[t]
+        g["u"][:] = np.matmul(before, d_hu.transpose(0, 2, 1)).sum(axis=0)
         # only the tokens of the window have a gradient
-        at, d_table = _rows_summed(x.ravel(), d_in.reshape(-1, 3 * H))
-        g["embed"][at], g["w"], g["b"] = d_table @ p["w"].T, p["embed"][at].T @ d_table, d_table.sum(axis=0)
-        norm = math.sqrt(sum(float((v * v).sum()) for v in g.values()))
-        clip = np.float32(min(1.0, 1.0 / (norm + 1e-12)))
+        d_in = np.ascontiguousarray(d_in.transpose(0, 2, 1)).reshape(-1, 3 * H)
+        at, d_embed = _rows_summed(x.ravel(), d_in @ p["w"].T)
+        g["embed"][at], g["w"][:], g["b"][:] = d_embed, np.take(p["embed"], x.ravel(), axis=0).T @ d_in, np.ones(len(d_in), dtype=np.float32) @ d_in
+        grad *= np.float32(min(1.0, 1.0 / (math.sqrt(float(grad @ grad)) + 1e-12)))
         step += 1
         slow = rate * min(1.0, step / 10)
-        for k, v in g.items():
-            v *= clip
-            m1[k] += 0.1 * (v - m1[k])
-            m2[k] += 0.01 * (v * v - m2[k])
-            p[k] -= (slow * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        np.multiply(grad, grad, out=room)
+        room -= m2
+        room *= np.float32(0.01)
+        m2 += room
+        grad -= m1
+        grad *= np.float32(0.1)
+        m1 += grad
+        np.multiply(m2, np.float32(1 / (1 - 0.99**step)), out=room)
+        np.sqrt(room, out=room)
+        room += np.float32(1e-8)
+        np.divide(m1, room, out=room)
+        room *= np.float32(slow / (1 - 0.9**step))
+        flat -= room
     return p
 
 
@@ -372,17 +432,19 @@ def _score_rows(model: dict):
         key = TaskContext.get().partitionId() << 33
         pool: list[np.ndarray] = []
         rows: list[tuple] = []
-        rare: list[tuple] = []
+        rare: tuple[list, list, list] = ([], [], [])
         held = 0
 
         def flush():
             scores = score_texts(p, pool) / LOG10
             out = [(*r[:5], r[5] + s, r[6], None, None) for r, s in zip(rows, scores.tolist(), strict=True)]
-            out += [(k, None, None, None, None, None, None, w, n) for k, w, n in rare]
-            for x in (pool, rows, rare):
-                x.clear()
             for i in range(0, len(out), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i : i + 50_000], strict=True), kinds, strict=True)], names)
+            for i in range(0, len(rare[0]), 50_000):
+                key_of, token, n = (pa.array(c[i : i + 50_000], t) for c, t in zip(rare, (kinds[0], *kinds[7:]), strict=True))
+                yield pa.RecordBatch.from_arrays([key_of, *[pa.nulls(len(key_of), t) for t in kinds[1:7]], token, n], names)
+            for x in (pool, rows, *rare):
+                x.clear()
 
         for batch in batches:
             for part in pieces(batch):
@@ -400,7 +462,10 @@ def _score_rows(model: dict):
                         )
                     )
                     if n_rare:
-                        rare.extend((key, w, n) for w, n in Counter([own[i] for i in np.flatnonzero(unseen).tolist()]).items())
+                        unknown = Counter([own[i] for i in np.flatnonzero(unseen).tolist()])
+                        rare[0].extend([key] * len(unknown))
+                        rare[1].extend(unknown.keys())
+                        rare[2].extend(unknown.values())
                     pool.append(np.append(known.model_ids(at), END).astype(np.int32))
                     key += 1
                     held += len(own)

@@ -32,6 +32,63 @@ def test_state_is_carried_and_order_does_not_matter(monkeypatch):
         assert abs(got - want) < 1e-2
 
 
+def test_gradients_of_rows_far_below_the_shift():
+    """A row whose sum would vanish under the common shift gets its own."""
+    x = np.array([[200.0, 199, 0], [-90, -91, -92], [1, 2, 3]], dtype=np.float32)
+    e = np.exp(x.astype(float) - x.max(axis=1, keepdims=True))
+    want = (e / e.sum(axis=1, keepdims=True) - np.eye(3)[[0, 2, 1]]) * 0.5
+    assert np.allclose(L._softmax_gradient(x, np.array([0, 2, 1]), np.float32(0.5)), want, atol=1e-6)
+
+
+def test_training_step_follows_the_gradient():
+    """The first step moves every weight against the loss's numeric slope."""
+    r = np.random.default_rng(4)
+    stream = np.append(L.END, r.integers(0, 12, 40)).astype(np.int32)
+    p = L.initial(np.arange(1, 13, dtype=float))
+    q = L.train(p, stream, streams=1, window=40)  # one window of one row
+
+    def loss(k, at, d):
+        own = {n: v.astype(float) for n, v in p.items()}
+        own[k][at] += d
+        table, h, out = own["embed"] @ own["w"] + own["b"], np.zeros((1, L.HIDDEN)), 0.0
+        for x, y in zip(stream[:-1].tolist(), stream[1:].tolist(), strict=True):
+            h = L._step(table, own["u"], np.array([x]), h * (x != L.END))[0]
+            size = own["word_b"].shape[1]
+            a, b = h @ own["class_w"] + own["class_b"], h @ own["word_w"][y // size] + own["word_b"][y // size]
+            out -= L._log_softmax(a)[0, y // size] + L._log_softmax(b)[0, y % size]
+        return out / len(stream[1:])
+
+    checked = 0
+    for k, v in p.items():
+        for _ in range(12):
+            at = tuple(int(r.integers(n)) for n in v.shape)
+            slope = (loss(k, at, 1e-4) - loss(k, at, -1e-4)) / 2e-4
+            if abs(slope) > 1e-4:
+                assert np.sign(p[k][at] - q[k][at]) == np.sign(slope), (k, at, slope)
+                checked += 1
+    assert checked > 40
+
+
+def test_rare_tokens_come_in_their_own_rows():
+    """Rows of rare tokens hold nulls for a document's columns, and none is lost."""
+    import pyarrow as pa
+
+    words = [b"a", b"b"]
+    p = L.pack(L.initial(np.array([3.0, 2, 5, 4]))).astype(np.float32)
+    model = {"v": 4, "flat": p, "words": words, "counts": np.array([5, 4]), "vocabulary": 4, "base_log": 1.0, "rest_log": 1.0, "n_end": 2}
+    texts = [b"a x x y", b"", b"b a z x"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 2]), pa.array(texts, pa.binary())], ["doc_id", "text"])
+    real, L.TaskContext = L.TaskContext, type("Task", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": staticmethod(lambda: 3)}))})
+    try:
+        rows = [r for b in L._score_rows(model)([batch]) for r in b.to_pylist()]
+    finally:
+        L.TaskContext = real
+    first = 3 << 33
+    assert [(r["key"] - first, r["doc_id"], r["n_tokens"], r["n_rare"]) for r in rows if r["token"] is None] == [(0, 1, 5, 3), (1, 2, 1, 0), (2, 2, 5, 2)]
+    rare = [(r["key"] - first, r["token"], r["n"], r["doc_id"], r["score"]) for r in rows if r["token"] is not None]
+    assert sorted(rare, key=lambda r: r[:2]) == [(0, b"x", 2, None, None), (0, b"y", 1, None, None), (2, b"x", 1, None, None), (2, b"z", 1, None, None)]
+
+
 def test_training_lowers_the_loss():
     r = random.Random(3)
     texts = []
