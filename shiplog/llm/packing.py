@@ -37,7 +37,8 @@ MIDDLE = 24
 STEP = 32
 BLOCK = 400_000
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 1_000_000
+#: Parts in one of the encoder's two tables (some 230 bytes each).
+GENERATION = 300_000
 #: Tokens that end a sentence.
 SENTENCE_ENDS = (".</w>", "!</w>", "?</w>", "...</w>", "!!</w>", "?!</w>")
 
@@ -59,8 +60,10 @@ class Encoder:
     The vocabulary's rules lower the case, drop white space and let no token
     span it or join letters to marks, so the ids of a text are those of its
     parts between ASCII white space, and the ids of letters followed by marks
-    are those of the letters and of the marks. Parts are kept in a bounded
-    table. Words of lower-case letters need no normalising and go to the
+    are those of the letters and of the marks. Parts are kept in two tables: a
+    full one becomes the older one, whose parts move to the new one when they
+    are met again, so frequent words stay and a worker holds at most twice
+    ``GENERATION`` parts and a call's own. Words of lower-case letters need no normalising and go to the
     vocabulary's merges alone.
     """
 
@@ -71,6 +74,7 @@ class Encoder:
         self.merges = Tokenizer(self.whole.model)
         self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.marks: dict[bytes, bytes] = {}
         ends = [self.whole.token_to_id(t) for t in SENTENCE_ENDS]
         self.ends = np.zeros(max(self.whole.get_vocab_size(), END_ID) + 1, dtype=bool)
@@ -116,16 +120,19 @@ class Encoder:
         known.update(zip(others, self._ids(others, False), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) + len(self.marks) > CACHE:
-            self.known.clear()
-            self.marks.clear()
-        known = self.known
+        if len(self.known) > GENERATION:
+            self.known, self.older = {}, self.known
+        if len(self.marks) > GENERATION:
+            self.marks = {}
+        known, older = self.known, self.older
         # a special token's text keeps its case, as the vocabulary reads it
         split = [t.split() if b"<|" in t else t.lower().split() for t in texts]
         out = [list(map(known.get, s)) for s in split]
         lacking = [(s, o, [k for k, x in enumerate(o) if x is None]) for s, o in zip(split, out, strict=True) if None in o]
         if lacking:
-            self.learn(list({s[k] for s, _, at in lacking for k in at}))
+            new = {s[k] for s, _, at in lacking for k in at}
+            known.update((p, older[p]) for p in new if p in older)
+            self.learn([p for p in new if p not in older])
             for s, o, at in lacking:
                 for k in at:
                     o[k] = known[s[k]]
@@ -246,6 +253,8 @@ COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 
 def _pack(path: str, size: int, id_type: pa.DataType):
     def run(batches):
+        # a worker may come from another stage: give back what that one's batches took
+        pa.default_memory_pool().release_unused()
         enc = encoder(path)
         packer = Packer(TaskContext.get().partitionId() << 40, size, enc.ends)
         end = np.array([END_ID], dtype="<u4").tobytes()
@@ -266,6 +275,7 @@ def _pack(path: str, size: int, id_type: pa.DataType):
         rows.extend(packer.solve(True))
         if rows:
             yield flush()
+        pa.default_memory_pool().release_unused()
 
     return run
 

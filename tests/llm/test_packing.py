@@ -23,6 +23,23 @@ def test_encoder_is_exact():
         assert [np.frombuffer(b, dtype="<u4").tolist() for b in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_holds_few_parts(monkeypatch):
+    """Texts of ever new words: the tables stay small, a frequent word stays
+    known, and the ids are those of a fresh encoder."""
+    monkeypatch.setattr(P, "GENERATION", 200, raising=False)
+    enc, r = P.Encoder(P.vocabulary_path()), random.Random(6)
+    learnt, learn = [], enc.learn
+    monkeypatch.setattr(enc, "learn", lambda parts: (learnt.extend(parts), learn(parts)))
+    texts = [[" ".join(["often,", *("".join(r.choices("abcdefgh", k=9)) + r.choice(["", ".", "!?"]) for _ in range(30))]).encode() for _ in range(3)] for _ in range(60)]
+    got = []
+    for own in texts:
+        got += enc.encode(own)
+        tables = [v for v in vars(enc).values() if isinstance(v, dict)]
+        assert sum(map(len, tables)) < 2 * 200 + 4 * 180 + 100
+    assert learnt.count(b"often,") == 1
+    assert got == P.Encoder(P.vocabulary_path()).encode([t for own in texts for t in own])
+
+
 def test_cuts_match_brute_force():
     r = random.Random(1)
     for _ in range(200):
