@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shiplog.llm import suffix_dedup as S
@@ -76,3 +77,28 @@ def test_odd_rows(odd, empty):
     assert (long.n_bytes, long.n_removed, long.n_spans, long.kept_sha256) == (5000, 5000, 1, EMPTY_SHA)
     assert all(x.n_removed == 0 for x in rows if x.doc_id != 5)
     assert S.repeated_passages(empty).count() == 0
+
+
+@pytest.mark.parametrize(("chunk", "most"), [(1 << 19, 1), (100, 60)])
+def test_short_runs_share_their_batches(monkeypatch, chunk, most):
+    """The strings of a piece's runs come together, and chunks change no string."""
+    monkeypatch.setattr(S, "CHUNK", chunk)
+    r = np.random.default_rng(5)
+    texts = [r.integers(97, 99, n).astype(np.uint8).tobytes() for n in (12, 300, 90, 500)]
+    lows = [[0], list(range(1, 290, 12)), [80, 3], list(range(0, 490, 7))]
+    highs = [[min(x + 4, len(t) - 10) for x in lo] for t, lo in zip(texts, lows, strict=True)]
+    known = [[x % 2 == 0 for x in lo] for lo in lows]
+    lists = [pa.array(c, pa.list_(k)) for c, k in ((lows, pa.int64()), (highs, pa.int64()), (known, pa.bool_()))]
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8, 9, 10]), pa.array(texts, pa.binary()), *lists], ["key", "text", "lo", "hi", "settled"])
+    batches = list(S._string_rows(10)([batch]))
+    assert len(batches) <= most
+    rows = [x for b in batches for x in b.to_pylist()]
+    want = [
+        (i + 7, at, k, texts[i][at : at + 10]) for i in range(4) for lo, hi, k in zip(lows[i], highs[i], known[i], strict=True) for at in range(lo, hi + 1)
+    ]
+    assert sorted((x["key"], x["at"], x["settled"]) for x in rows) == sorted(w[:3] for w in want)
+    ranks = {(x["key"], x["at"]): (x["r1"], x["r2"]) for x in rows}
+    by_string = {}
+    for key, at, _, string in want:
+        by_string.setdefault(string, set()).add(ranks[key, at])
+    assert all(len(s) == 1 for s in by_string.values()) and len(set.union(*by_string.values())) == len(by_string)
