@@ -17,8 +17,8 @@ window to window; then the parameters are averaged, weighted by tokens, in a
 Spark aggregation. There is a round more for each doubling of the shards, so a
 longer corpus also trains longer.
 
-Scoring reads every document whole: documents run side by side, sorted by
-length, with the state carried across windows. Counts of at most ``frequent``
+Scoring reads every document whole: documents run side by side in
+lanes of equal length, with the state carried over a document. Counts of at most ``frequent``
 of the most frequent tokens travel with the task; the others are joined over
 Spark.
 
@@ -30,16 +30,17 @@ columns play no part.
 
 from __future__ import annotations
 
+import heapq
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import crc_remainder, freeze, pieces, text_bytes
+from shiplog.llm.common import crc_remainder, freeze, text_bytes
 
 MODULUS, HELD_OUT = 7, 2
 VOCABULARY = 4096
@@ -55,13 +56,34 @@ RATE = 0.02
 SUMS = 8
 SIDE_BY_SIDE = 512
 POOL_TOKENS = 4_000_000
+#: Rows of a softmax worked on at once: their activations stay in the cache.
+ROWS = 1024
+#: Text that is split into words at once (a longer text has its own slice).
+SLICE_BYTES = 4 << 20
 UNKNOWN, END = 0, 1
 LOG10 = math.log(10)
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words of a text: ASCII letters lower-cased, split at ASCII white space."""
-    return text.lower().split()
+def slices(batch: pa.RecordBatch, text: int = 0):
+    """Slices of a record batch, cut by the bytes of their texts."""
+    size = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+    edges = [0, *(np.flatnonzero(np.diff(size // SLICE_BYTES)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts, one after the other, and each text's number of
+    them: ASCII letters lower-cased, split at ASCII white space. The bytes are
+    never decoded."""
+    kind = pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string()
+    plain = pa.Array.from_buffers(kind, len(texts), texts.buffers(), offset=texts.offset)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+    words, n = split.flatten().cast(pa.binary()), split.value_lengths().to_numpy(zero_copy_only=False)
+    full = pc.greater(pc.binary_length(words), 0)
+    n = np.bincount(np.repeat(np.arange(len(n)), n)[full.to_numpy(zero_copy_only=False)], minlength=len(n))
+    return words.filter(full), n
 
 
 # --- the model -------------------------------------------------------------
@@ -208,46 +230,65 @@ def log_prob(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> np.
     """Natural log-probability of each target after its state."""
     size = p["word_b"].shape[1]
     kind, order, groups = _by_class(target, size)
-    out = _at(h @ p["class_w"] + p["class_b"], kind)
-    out[order] += _at(_in_class(p, h[order], groups), (target - kind * size)[order])
+    inner, place = _in_class(p, h[order], groups), (target - kind * size)[order]
+    out, own = np.empty(len(h), dtype=np.float32), np.empty(len(h), dtype=np.float32)
+    for a in range(0, len(h), ROWS):
+        b = a + ROWS
+        out[a:b] = _at(h[a:b] @ p["class_w"] + p["class_b"], kind[a:b])
+        own[a:b] = _at(inner[a:b], place[a:b])
+    out[order] += own
     return out
 
 
+def lanes(lengths: np.ndarray, most: int) -> list[list[int]]:
+    """Texts dealt to at most ``most`` lanes that are about equally long, the
+    longest lane first: the longest text left goes to the shortest lane."""
+    heap = [(0, k) for k in range(min(most, len(lengths)))]
+    out: list[list[int]] = [[] for _ in heap]
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        held, k = heap[0]
+        out[k].append(i)
+        heapq.heapreplace(heap, (held + int(lengths[i]), k))
+    return [out[k] for _, k in sorted(heap, key=lambda x: (-x[0], x[1]))]
+
+
 def score_texts(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     """Log-probability of every text (ids ending with END), state carried over
-    the whole text."""
+    the whole text. A lane holds one text after the other; the state starts
+    anew after every END."""
     total = np.zeros(len(texts))
+    if not len(texts):
+        return total
     table, ut = p["embed"] @ p["w"] + p["b"], np.ascontiguousarray(p["u"].T)
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    at = 0
-    while at < len(order):
-        longest = len(texts[order[at]])
-        own = order[at : at + max(1, min(SIDE_BY_SIDE, 4_000_000 // max(1, longest)))]
-        at += len(own)
-        lengths = np.array([len(texts[i]) for i in own])
-        ids = np.zeros((longest + 1, len(own)), dtype=np.int32)
-        ids[0] = END
-        for k, i in enumerate(own):
-            ids[1 : lengths[k] + 1, k] = texts[i]
-        active = np.searchsorted(-lengths, -np.arange(longest), side="left")
-        h = np.zeros((HIDDEN, len(own)), dtype=np.float32)
-        sums = np.zeros(len(own))
-        states, targets, who = [], [], []
-        held = 0
-        for t in range(longest):
-            a = int(active[t])
-            if t % WINDOW == 0:
-                gates = _gates(table, ids[t : min(t + WINDOW, longest), :a])
-            h = _advance(gates[t % WINDOW, :, :a], ut, h[:, :a])[0]
-            states.append(h)
-            targets.append(ids[t + 1, :a])
-            who.append(np.arange(a))
-            held += a
-            if held >= 16_384 or t == longest - 1:
-                lp = log_prob(p, np.ascontiguousarray(np.concatenate(states, axis=1).T), np.concatenate(targets))
-                sums += np.bincount(np.concatenate(who), weights=lp, minlength=len(own))
-                states, targets, who, held = [], [], [], 0
-        total[own] = sums
+    lengths = np.array([len(t) for t in texts])
+    dealt = lanes(lengths, max(1, min(SIDE_BY_SIDE, 4_000_000 // max(1, int(lengths.max())))))
+    ends = np.array([lengths[own].sum() for own in dealt])
+    longest = int(ends[0])
+    ids, text = np.full((longest + 1, len(dealt)), END, dtype=np.int32), np.zeros((longest, len(dealt)), dtype=np.int32)
+    for k, own in enumerate(dealt):
+        ids[1 : ends[k] + 1, k] = np.concatenate([texts[i] for i in own])
+        text[: ends[k], k] = np.repeat(own, lengths[own])
+    active = np.searchsorted(-ends, -np.arange(longest), side="left").tolist()
+    h = np.zeros((HIDDEN, len(dealt)), dtype=np.float32)
+    states, targets, who, held, block = [], [], [], 0, 8
+    for t in range(longest):
+        a = active[t]
+        if t % block == 0:
+            gates = _gates(table, ids[t : min(t + block, longest), :a])
+        h = h[:, :a]
+        anew = np.flatnonzero(ids[t, :a] == END)
+        if len(anew):
+            h[:, anew] = 0
+        h = _advance(gates[t % block, :, :a], ut, h)[0]
+        # the state is changed in place where a text ends, so a copy is kept
+        states.append(h.T.copy())
+        targets.append(ids[t + 1, :a])
+        who.append(text[t, :a])
+        held += a
+        if held >= 8_192 or t == longest - 1:
+            lp = log_prob(p, np.concatenate(states), np.concatenate(targets))
+            total += np.bincount(np.concatenate(who), weights=lp, minlength=len(texts))
+            states, targets, who, held = [], [], [], 0
     return total
 
 
@@ -336,22 +377,28 @@ def train(p: dict[str, np.ndarray], stream: np.ndarray, rate: float = RATE, stre
 
 
 def _count(batches):
-    counts: Counter = Counter()
+    held: list[pa.RecordBatch] = []
+    size = 0
 
-    def out():
-        batch = pa.RecordBatch.from_arrays([pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["token", "n"])
-        counts.clear()
-        return batch
+    def summed():
+        return pa.Table.from_batches(held).group_by("token", use_threads=False).aggregate([("n", "sum")]).rename_columns(["token", "n"]).combine_chunks().to_batches()
 
     for batch in batches:
-        for part in pieces(batch):
-            for text in part.column(0).to_pylist():
-                counts.update(tokens(text))
-            counts[b""] += part.num_rows  # the end of a text
-            if len(counts) > 500_000:
-                yield out()
-    if counts:
-        yield out()
+        for part in slices(batch):
+            found = pc.value_counts(tokens(part.column(0))[0])
+            # the empty token is the end of a text
+            words = pa.concat_arrays([found.field("values"), pa.array([b""], pa.binary())])
+            counts = pa.concat_arrays([found.field("counts"), pa.array([part.num_rows], pa.int64())])
+            held.append(pa.RecordBatch.from_arrays([words, counts], ["token", "n"]))
+            size += len(words)
+            if size > 1_000_000:
+                held = summed()
+                size = sum(b.num_rows for b in held)
+                if size > 500_000:
+                    yield from held
+                    held, size = [], 0
+    if held:
+        yield from summed()
 
 
 def token_counts(training: DataFrame) -> DataFrame:
@@ -364,10 +411,14 @@ class Table:
 
     def __init__(self, words: list[bytes], counts: np.ndarray, vocabulary: int):
         words = [w for w in words if w]
-        self.index = {w: i for i, w in enumerate(words)}
+        self.words = pa.array(words, pa.binary())
         self.counts = counts
         self.own = min(len(words), vocabulary - 2)
 
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Table places of some words (-1: not in the table)."""
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False)
+
     def model_ids(self, at: np.ndarray) -> np.ndarray:
         """Model ids of table places (-1: not in the table)."""
         return np.where((at >= 0) & (at < self.own), at + 2, UNKNOWN).astype(np.int32)
@@ -376,10 +427,16 @@ class Table:
 def _train_shard(v: int, flat: np.ndarray, words: list[bytes], counts: np.ndarray, vocabulary: int):
     def run(table: pa.Table) -> pa.Table:
         known = Table(words, counts, vocabulary)
-        get = known.index.get
-        texts = table.sort_by("text").column("text").to_pylist()
-        ids = [np.append(known.model_ids(np.array([get(w, -1) for w in tokens(t)], dtype=np.int64)), END) for t in texts]
-        stream = np.concatenate([[END], *ids]).astype(np.int32)
+        parts = [np.array([END], dtype=np.int32)]
+        for batch in table.sort_by("text").select(["text"]).to_batches():
+            for part in slices(batch):
+                found, n = tokens(part.column(0))
+                own = np.full(len(found) + len(n), END, dtype=np.int32)
+                inside = np.ones(len(own), dtype=bool)
+                inside[np.cumsum(n + 1) - 1] = False
+                own[inside] = known.model_ids(known.places(found))
+                parts.append(own)
+        stream = np.concatenate(parts)
         p = pack(train(unpack(flat, v), stream)).astype(np.float64)
         weight = float(len(stream))
         return pa.Table.from_arrays([pa.array([(p * weight).tobytes()], pa.binary()), pa.array([weight])], ["sums", "weight"])
@@ -424,7 +481,6 @@ def _score_rows(model: dict):
     def run(batches):
         p = unpack(model["flat"], v)
         known = Table(words, counts, vocabulary)
-        get = known.index.get
         # the log-count of a table place; place -1 (rare) is settled by the join
         logs = np.append(np.log10(known.counts + 1.0), 0.0)
         outside = np.ones(len(logs))
@@ -432,7 +488,7 @@ def _score_rows(model: dict):
         key = TaskContext.get().partitionId() << 33
         pool: list[np.ndarray] = []
         rows: list[tuple] = []
-        rare: tuple[list, list, list] = ([], [], [])
+        rare: list[tuple[np.ndarray, pa.Array, np.ndarray]] = []
         held = 0
 
         def flush():
@@ -440,38 +496,44 @@ def _score_rows(model: dict):
             out = [(*r[:5], r[5] + s, r[6], None, None) for r, s in zip(rows, scores.tolist(), strict=True)]
             for i in range(0, len(out), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i : i + 50_000], strict=True), kinds, strict=True)], names)
-            for i in range(0, len(rare[0]), 50_000):
-                key_of, token, n = (pa.array(c[i : i + 50_000], t) for c, t in zip(rare, (kinds[0], *kinds[7:]), strict=True))
-                yield pa.RecordBatch.from_arrays([key_of, *[pa.nulls(len(key_of), t) for t in kinds[1:7]], token, n], names)
-            for x in (pool, rows, *rare):
+            for key_of, token, n in rare:
+                for i in range(0, len(key_of), 50_000):
+                    own = key_of[i : i + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own), *[pa.nulls(len(own), t) for t in kinds[1:7]], token[i : i + 50_000], pa.array(n[i : i + 50_000])], names
+                    )
+            for x in (pool, rows, rare):
                 x.clear()
 
         for batch in batches:
-            for part in pieces(batch):
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    own = tokens(text)
-                    at = np.array([get(w, -1) for w in own], dtype=np.int64)
-                    unseen = at < 0
-                    n_rare = int(unseen.sum())
+            for part in slices(batch, 1):
+                words_of, n_words = tokens(part.column(1))
+                places = known.places(words_of)
+                edges = np.cumsum([0, *n_words]).tolist()
+                strange = np.flatnonzero(places < 0)
+                if len(strange):
+                    # each document's rare tokens and how often it holds them
+                    coded = words_of.take(pa.array(strange)).dictionary_encode()
+                    kind = len(coded.dictionary)
+                    pairs, often = np.unique((np.searchsorted(edges, strange, side="right") - 1) * kind + coded.indices.to_numpy(), return_counts=True)
+                    rare.append((key + pairs // kind, coded.dictionary.take(pa.array(pairs % kind)), often))
+                for doc, first, last in zip(part.column(0).to_pylist(), edges, edges[1:], strict=False):
+                    at, n = places[first:last], last - first
+                    n_rare = int((at < 0).sum())
                     log_count, n_out = float(logs[at].sum()), float(outside[at].sum())
                     out_log = float((logs[at] * outside[at]).sum())
                     rows.append(
                         (
-                            key, doc, len(own) + 1, len(own) - n_rare + (n_end > 0),
-                            log_count + math.log10(n_end + 1) - base_log * (len(own) + 1), out_log - rest_log * n_out, n_rare,
+                            key, doc, n + 1, n - n_rare + (n_end > 0),
+                            log_count + math.log10(n_end + 1) - base_log * (n + 1), out_log - rest_log * n_out, n_rare,
                         )
                     )
-                    if n_rare:
-                        unknown = Counter([own[i] for i in np.flatnonzero(unseen).tolist()])
-                        rare[0].extend([key] * len(unknown))
-                        rare[1].extend(unknown.keys())
-                        rare[2].extend(unknown.values())
                     pool.append(np.append(known.model_ids(at), END).astype(np.int32))
                     key += 1
-                    held += len(own)
-                if held >= POOL_TOKENS:
-                    yield from flush()
-                    held = 0
+                    held += n
+                    if held >= POOL_TOKENS:
+                        yield from flush()
+                        held = 0
         if rows:
             yield from flush()
 

@@ -156,3 +156,54 @@ def test_odd_rows(odd, empty):
     assert L.score(empty).count() == 0
     only = odd.where("doc_id is null")
     assert L.score(only).count() == 1
+
+
+def test_texts_share_lanes_of_equal_length():
+    """Many short texts beside a long one fill the lanes, and each keeps its score."""
+    r = np.random.default_rng(6)
+    p = L.initial(np.arange(1, 30, dtype=float))
+    lengths = np.array([400, *r.integers(1, 60, 300)])
+    dealt = L.lanes(lengths, 8)
+    assert sorted(i for own in dealt for i in own) == list(range(301))
+    held = [lengths[own].sum() for own in dealt]
+    assert held == sorted(held, reverse=True) and held[0] - held[-1] < 60
+    texts = [np.append(r.integers(2, 29, n - 1), L.END).astype(np.int32) for n in lengths]
+    together = L.score_texts(p, texts)
+    assert all(abs(together[i] - L.score_texts(p, [texts[i]])[0]) < 1e-2 for i in range(0, 301, 30))
+    assert len(L.score_texts(p, [])) == 0
+
+
+def test_tokens_of_many_texts():
+    """Words of all texts at once: as bytes.split, for any bytes."""
+    import pyarrow as pa
+
+    texts = [b"", b"  A b\x0bc\x1cD\t\n", b" ", b"\xff\xfeE \xc3\x89 e", b"x" * 3000, b"a  a"]
+    words, n = L.tokens(pa.array([b"skipped", *texts], pa.binary()).slice(1))
+    assert n.tolist() == [len(t.split()) for t in texts]
+    assert words.to_pylist() == [w for t in texts for w in t.lower().split()]
+    rows = [x for b in L._count([pa.RecordBatch.from_arrays([pa.array(texts * 2, pa.binary())], ["text"])]) for x in b.to_pylist()]
+    want = Counter(w for t in texts * 2 for w in [*t.lower().split(), b""])
+    assert {x["token"]: x["n"] for x in rows} == want and len(rows) == len(want)
+
+
+def test_slices_follow_the_bytes(monkeypatch):
+    """Long texts come alone, and training and counting see every text once."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(L, "SLICE_BYTES", 300)
+    texts = [b"a b", b"c " * 400, b"", b"b a", b"d " * 500, b"e"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])
+    cut = list(L.slices(batch))
+    assert len(cut) >= 3 and [x for c in cut for x in c.column(0).to_pylist()] == texts
+    got = Counter()
+    for b in L._count([batch]):
+        got.update({x["token"]: x["n"] for x in b.to_pylist()})
+    assert got == Counter(w for t in texts for w in [*t.split(), b""])
+    seen = []
+    monkeypatch.setattr(L, "train", lambda p, stream: seen.append(stream) or p)
+    words = [b"a", b"b", b"c", b"d"]
+    L._train_shard(6, L.pack(L.initial(np.ones(6))), words, np.ones(4), 6)(pa.Table.from_batches([batch]))
+    want = [L.END]
+    for t in sorted(texts):
+        want += [words.index(w) + 2 if w in words else L.UNKNOWN for w in t.split()] + [L.END]
+    assert seen[0].tolist() == want
